@@ -59,45 +59,45 @@ def qterm_ctes(tokens_fn=ws_tokens, src: str = "q") -> list[str]:
             f"AS term FROM {src}) GROUP BY ALL)"]
 
 
-def bm25_ctes(variant: str) -> list[str]:
-    """CTEs ending in ``scores(qid, passage_id, score)`` -- dense, all pairs."""
+def bm25_ctes(variant: str, p: str = "") -> list[str]:
+    """CTEs ending in ``{p}scores(qid, passage_id, score, matched)`` -- dense, all pairs."""
     norm = "(1.5 * (0.25 + 0.75 * l.dl / s.avgdl))"
     if variant == "okapi":
         idf = [
-            "idf0 AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM vocab, stats)",
-            "mean_idf AS (SELECT avg(raw) AS m FROM idf0)",
-            "idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM idf0, mean_idf)",
+            f"{p}idf0 AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM vocab, stats)",
+            f"{p}mean_idf AS (SELECT avg(raw) AS m FROM {p}idf0)",
+            f"{p}idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM {p}idf0, {p}mean_idf)",
         ]
         contrib = f"qt.qtf * i.idf * p.tf * 2.5 / (p.tf + {norm})"
         base = "0.0"
     elif variant == "plus":
-        idf = ["idf AS (SELECT term, ln((n + 1.0) / df) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln((n + 1.0) / df) AS idf FROM vocab, stats)"]
         contrib = f"qt.qtf * i.idf * (p.tf * 2.5 / ({norm} + p.tf))"
         base = "qt.qtf * i.idf * 1.0"
     elif variant == "l":
-        idf = ["idf AS (SELECT term, ln(n + 1.0) - ln(df + 0.5) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln(n + 1.0) - ln(df + 0.5) AS idf FROM vocab, stats)"]
         c = "(p.tf / (0.25 + 0.75 * l.dl / s.avgdl))"
         contrib = f"qt.qtf * i.idf * 2.5 * (({c} + 0.5) / (1.5 + {c} + 0.5) - 0.5 / (1.5 + 0.5))"
         base = "qt.qtf * i.idf * 2.5 * 0.5 / (1.5 + 0.5)"
     elif variant == "server":
-        idf = ["idf AS (SELECT term, ln(1.0 + (n - df + 0.5) / (df + 0.5)) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln(1.0 + (n - df + 0.5) / (df + 0.5)) AS idf FROM vocab, stats)"]
         norm = "(1.2 * (0.25 + 0.75 * l.dl / s.avgdl))"
         contrib = f"qt.qtf * i.idf * p.tf / (p.tf + {norm})"
         base = "0.0"
     else:
         raise ValueError(variant)
     return idf + [
-        f"qbase AS (SELECT q.qid, coalesce(sum({base}), 0.0) AS b0 FROM q "
-        "LEFT JOIN (qt JOIN idf i USING (term)) ON qt.qid = q.qid GROUP BY q.qid)",
-        f"msum AS (SELECT qt.qid, p.passage_id, sum({contrib}) AS s FROM qt JOIN idf i USING (term) "
+        f"{p}qbase AS (SELECT q.qid, coalesce(sum({base}), 0.0) AS b0 FROM q "
+        f"LEFT JOIN (qt JOIN {p}idf i USING (term)) ON qt.qid = q.qid GROUP BY q.qid)",
+        f"{p}msum AS (SELECT qt.qid, p.passage_id, sum({contrib}) AS s FROM qt JOIN {p}idf i USING (term) "
         "JOIN post p USING (term) JOIN lens l USING (passage_id), stats s GROUP BY ALL)",
-        "scores AS (SELECT q.qid, l.passage_id, round(qb.b0 + coalesce(m.s, 0.0), 6) AS score, "
-        "m.s IS NOT NULL AS matched FROM q JOIN qbase qb USING (qid) CROSS JOIN lens l "
-        "LEFT JOIN msum m ON m.qid = q.qid AND m.passage_id = l.passage_id)",
+        f"{p}scores AS (SELECT q.qid, l.passage_id, round(qb.b0 + coalesce(m.s, 0.0), 6) AS score, "
+        f"m.s IS NOT NULL AS matched FROM q JOIN {p}qbase qb USING (qid) CROSS JOIN lens l "
+        f"LEFT JOIN {p}msum m ON m.qid = q.qid AND m.passage_id = l.passage_id)",
     ]
 
 
-def tfidf_ctes(max_features: int = 50_000) -> list[str]:
+def tfidf_ctes(max_features: int = 50_000, p: str = "") -> list[str]:
     grams = f"list_concat(toks, {bigrams('toks')})"
     return [
         f"gtok AS (SELECT passage_id, {grams} AS g FROM (SELECT passage_id, {ws_tokens('text')} AS toks FROM passages))",
@@ -113,7 +113,7 @@ def tfidf_ctes(max_features: int = 50_000) -> list[str]:
         "qw0 AS (SELECT qid, term, qtf * idf AS qw FROM qgt JOIN tidf USING (term))",
         "qw AS (SELECT qid, term, qw / sqrt(sum(qw * qw) OVER (PARTITION BY qid)) AS qw FROM qw0)",
         "tsum AS (SELECT qid, passage_id, round(sum(qw * w), 6) AS s FROM qw JOIN tpost USING (term) GROUP BY ALL)",
-        "scores AS (SELECT q.qid, p.passage_id, coalesce(t.s, 0.0) AS score, t.s IS NOT NULL AS matched "
+        f"{p}scores AS (SELECT q.qid, p.passage_id, coalesce(t.s, 0.0) AS score, t.s IS NOT NULL AS matched "
         "FROM q CROSS JOIN passages p LEFT JOIN tsum t ON t.qid = q.qid AND t.passage_id = p.passage_id)",
     ]
 

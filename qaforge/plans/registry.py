@@ -75,3 +75,179 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# --- step 2: vocabulary cap, paragraph TF-IDF --------------------------------
+
+from ..functions.text import uni_and_bigrams, whitespace_tokens  # noqa: E402
+from ..operators.corpus import paragraphs  # noqa: E402
+from ..operators.index import term_postings, top_terms  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+STORE_K = 10
+PARAGRAPH_ID_STRIDE = 1 << 20  # paragraph key = document_id * stride + position
+
+
+@register("vocab_top_terms",
+          O.with_(O.PASSAGES, *O.tfidf_ctes()[:3])
+          + "SELECT term, cf::BIGINT AS cf, df::BIGINT AS df FROM tvocab")
+def vocab_top_terms(spark, sf_dir):
+    counts, _ = term_postings(FX.passages(spark, sf_dir),
+                              uni_and_bigrams(whitespace_tokens(F.col("text"))))
+    return top_terms(counts, 50_000).select("term", F.col("cf").cast("long"), F.col("df").cast("long"))
+
+
+def paragraph_table(spark, sf_dir, delimiter="\n"):
+    paras = paragraphs(table(spark, sf_dir, "documents"), delimiter=delimiter)
+    return paras.withColumn("passage_id", F.col("document_id") * PARAGRAPH_ID_STRIDE
+                            + F.col("paragraph_pos")).withColumnRenamed("content", "text")
+
+
+PARAGRAPHS_SQL = (
+    "passages AS (SELECT document_id, paragraph_pos, document_id * 1048576 + paragraph_pos AS passage_id, "
+    "content AS text FROM (SELECT doc_id AS document_id, unnest(parts) AS content, "
+    "unnest(range(len(parts)))::INTEGER AS paragraph_pos FROM (SELECT doc_id, string_split(text, chr(10)) AS parts "
+    "FROM documents WHERE text IS NOT NULL)) WHERE regexp_matches(content, '\\S'))")
+
+
+@register("paragraph_tfidf_topk",
+          O.with_(PARAGRAPHS_SQL, O.QUESTIONS, *O.tfidf_ctes(), O.topk_cte(STORE_K))
+          + "SELECT t.qid, t.rank, p.document_id::BIGINT AS document_id, p.paragraph_pos, t.score "
+            "FROM topk t JOIN passages p USING (passage_id)")
+def paragraph_tfidf_topk(spark, sf_dir):
+    paras = paragraph_table(spark, sf_dir)
+    index = build_tfidf_index(paras)
+    ranked = R.tfidf_topk(index, FX.questions(spark, sf_dir), STORE_K)
+    return ranked.select("qid", "rank",
+                         (F.col("passage_id") / PARAGRAPH_ID_STRIDE).cast("long").alias("document_id"),
+                         (F.col("passage_id") % PARAGRAPH_ID_STRIDE).cast("int").alias("paragraph_pos"),
+                         "score")
+
+
+# --- step 3: min-max, ensemble, assembled contexts ---------------------------
+
+from ..operators import ensemble as EN  # noqa: E402
+from ..operators import assemble as AS  # noqa: E402
+from ..operators import relevance as RV  # noqa: E402
+
+
+def _three_lists(spark, sf_dir, k=K):
+    psg = FX.passages(spark, sf_dir)
+    qs = FX.questions(spark, sf_dir)
+    bm = build_index(psg)
+    tf = build_tfidf_index(psg)
+    return {"tfidf": R.tfidf_topk(tf, qs, k), "bm25": R.bm25_topk(bm, qs, k, "okapi"),
+            "bm25_plus": R.bm25_topk(bm, qs, k, "plus")}
+
+
+THREE_LISTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(),
+                   *O.bm25_ctes("okapi", "o_"), *O.bm25_ctes("plus", "p_"), *O.tfidf_ctes(p="t_"),
+                   O.topk_cte(K, "t_top", src="t_scores"), O.topk_cte(K, "o_top", src="o_scores"),
+                   O.topk_cte(K, "p_top", src="p_scores"),
+                   "lists AS (SELECT *, 'tfidf' AS retriever, 0 AS r_idx FROM t_top UNION ALL "
+                   "SELECT *, 'bm25', 1 FROM o_top UNION ALL SELECT *, 'bm25_plus', 2 FROM p_top)",
+                   "scaled AS (SELECT *, round(CASE WHEN max(score) OVER w = min(score) OVER w THEN 0.0 "
+                   "ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END, 6) "
+                   "AS scaled FROM lists WINDOW w AS (PARTITION BY qid, r_idx))"]
+
+
+@register("minmax_scores", O.with_(*THREE_LISTS_SQL)
+          + "SELECT qid, retriever, rank, passage_id, score, scaled FROM scaled")
+def minmax_scores(spark, sf_dir):
+    parts = [df.withColumn("retriever", F.lit(name)) for name, df in _three_lists(spark, sf_dir).items()]
+    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return EN.minmax_scaled(union).select("qid", "retriever", "rank", "passage_id", "score", "scaled")
+
+
+ENSEMBLE_SQL = O.with_(
+    *THREE_LISTS_SQL,
+    "best AS (SELECT qid, passage_id, scaled AS score, r_idx * 1000000 + rank AS pos FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY qid, passage_id ORDER BY scaled DESC, "
+    "r_idx * 1000000 + rank) AS rn FROM scaled) WHERE rn = 1)") + (
+    f"SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, passage_id::BIGINT AS passage_id, score "
+    f"FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, pos) AS rank FROM best) "
+    f"WHERE rank <= {K}")
+
+
+@register("ensemble_topk", ENSEMBLE_SQL)
+def ensemble_topk(spark, sf_dir):
+    return EN.max_merge(_three_lists(spark, sf_dir), K)
+
+
+CONTEXTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm25_ctes("okapi"),
+                O.topk_cte(K),
+                "ctx AS (SELECT t.qid, any_value(q.question) AS question, "
+                "string_agg(t.passage_id::VARCHAR, ',' ORDER BY t.rank) AS context_ids, "
+                "string_agg(p.text, ' ' ORDER BY t.rank) AS context, "
+                "coalesce(min(t.rank) FILTER (WHERE contains(p.text, q.question)), 0)::INTEGER - 1 AS answer_index, "
+                "min(t.score) AS lo, max(t.score) AS hi, "
+                "min(t.score) FILTER (WHERE contains(p.text, q.question) AND t.rank = "
+                "(SELECT min(t2.rank) FROM topk t2 JOIN passages p2 USING (passage_id) "
+                "WHERE t2.qid = t.qid AND contains(p2.text, q.question))) AS at_score "
+                "FROM topk t JOIN passages p USING (passage_id) JOIN q USING (qid) GROUP BY t.qid)"]
+
+
+def _okapi_contexts(spark, sf_dir):
+    psg = FX.passages(spark, sf_dir)
+    qs = FX.questions(spark, sf_dir)
+    ranked = R.bm25_topk(build_index(psg), qs, K, "okapi")
+    return AS.assemble(AS.with_text(ranked, psg), qs, gold_col="question")
+
+
+@register("retrieved_contexts", O.with_(*CONTEXTS_SQL)
+          + "SELECT qid::BIGINT AS qid, context_ids, context, contains(context, question) AS contained, "
+            "answer_index FROM ctx")
+def retrieved_contexts(spark, sf_dir):
+    out = _okapi_contexts(spark, sf_dir)
+    return out.select("qid", F.array_join(F.transform("context_id", lambda x: x.cast("string")), ",")
+                      .alias("context_ids"), "context", "contained", "answer_index")
+
+
+# --- step 4: retrieval evaluation --------------------------------------------
+
+@register("hit_rate", O.with_(*CONTEXTS_SQL)
+          + "SELECT count(*) AS n_questions, sum(contains(context, question)::INTEGER)::BIGINT AS hits, "
+            "round(avg(contains(context, question)::INTEGER::DOUBLE), 6) AS hit_rate FROM ctx")
+def hit_rate(spark, sf_dir):
+    return AS.hit_rate(_okapi_contexts(spark, sf_dir)).select("n_questions", "hits", "hit_rate")
+
+
+@register("gold_score_mean", O.with_(*CONTEXTS_SQL)
+          + "SELECT count(*) AS n_hits, round(avg(round(CASE WHEN hi = lo THEN 0.0 ELSE (at_score - lo) / (hi - lo) END, 6)), 6) "
+            "AS gold_score_mean FROM ctx WHERE answer_index >= 0")
+def gold_score_mean(spark, sf_dir):
+    scaled = AS.gold_scaled_score(_okapi_contexts(spark, sf_dir))
+    return scaled.agg(F.count(F.lit(1)).alias("n_hits"),
+                      O_round(F.avg("gold_scaled")).alias("gold_score_mean"))
+
+
+def O_round(c):
+    return F.round(c, 6)
+
+
+RANKING_SQL = O.with_(
+    O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm25_ctes("okapi"), O.topk_cte(K),
+    "gold AS (SELECT q.qid, p.passage_id FROM q JOIN passages p ON contains(p.text, q.question))",
+    "ng AS (SELECT qid, count(*) AS n_gold FROM gold GROUP BY qid)",
+    "fl AS (SELECT t.*, (g.qid IS NOT NULL)::INTEGER AS rel FROM topk t LEFT JOIN gold g USING (qid, passage_id))",
+    "fl2 AS (SELECT *, sum(rel) OVER (PARTITION BY qid ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_rel FROM fl)",
+    "pq AS (SELECT qid, count(*) AS n_ret, sum(rel) AS n_hit, min(rank) FILTER (WHERE rel = 1) AS first_hit, "
+    "sum(rel / log2(rank + 1.0)) AS dcg, sum(rel * cum_rel / rank) AS ap_sum FROM fl2 GROUP BY qid)",
+    "m AS (SELECT least(n_hit, 1)::DOUBLE AS recall_single_hit, n_hit / n_gold AS recall_multi_hit, "
+    "n_hit / n_ret AS precision, coalesce(1.0 / first_hit, 0.0) AS rr, ap_sum / n_gold AS ap, "
+    "dcg / list_sum(list_transform(range(1, least(n_gold, n_ret) + 1), lambda i: 1.0 / log2(i + 1.0))) AS ndcg "
+    "FROM pq JOIN ng USING (qid))") + (
+    "SELECT count(*) AS n_questions, round(avg(recall_single_hit), 6) AS recall_single_hit, "
+    "round(avg(recall_multi_hit), 6) AS recall_multi_hit, round(avg(precision), 6) AS precision, "
+    "round(avg(rr), 6) AS mrr, round(avg(ap), 6) AS map, round(avg(ndcg), 6) AS ndcg FROM m")
+
+
+@register("ranking_metrics", RANKING_SQL)
+def ranking_metrics(spark, sf_dir):
+    psg = FX.passages(spark, sf_dir)
+    qs = FX.questions(spark, sf_dir)
+    index = build_index(psg)
+    ranked = R.bm25_topk(index, qs, K, "okapi")
+    gold = RV.containing_passages(qs, psg, index)
+    return RV.ranking_metrics(ranked, gold)
