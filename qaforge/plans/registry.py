@@ -251,3 +251,90 @@ def ranking_metrics(spark, sf_dir):
     ranked = R.bm25_topk(index, qs, K, "okapi")
     gold = RV.containing_passages(qs, psg, index)
     return RV.ranking_metrics(ranked, gold)
+
+
+# --- step 7/8: windows, alignment, span decoding ------------------------------
+
+from ..operators import windows as WN  # noqa: E402
+from ..operators import spans as SP  # noqa: E402
+from . import oracle_reading as OR  # noqa: E402
+
+
+def _features(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    feats = WN.synthetic_logits(WN.context_windows(ex))
+    return ex, feats
+
+
+@register("context_windows", O.with_(OR.EXAMPLES, *OR.TOKENS, *OR.WINDOWS)
+          + "SELECT w.example_id, w.wi AS \"window\", w.first_token::INTEGER AS first_token, w.n_ctx, "
+            "substring(ex.context, t1.s + 1, t2.e - t1.s) AS window_text FROM win w JOIN ex USING (example_id) "
+            "JOIN tok t1 ON t1.example_id = w.example_id AND t1.t = w.first_token "
+            "JOIN tok t2 ON t2.example_id = w.example_id AND t2.t = w.first_token + w.n_ctx - 1")
+def context_windows(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    win = WN.context_windows(ex)
+    first = F.get("offsets", F.col("qn") + 2)
+    last = F.get("offsets", F.col("qn") + 1 + F.col("n_ctx"))
+    return (win.join(ex.select("example_id", "context"), "example_id")
+            .select("example_id", "window", "first_token", "n_ctx",
+                    F.substring("context", first["s"] + 1, last["e"] - first["s"]).alias("window_text")))
+
+
+ALIGN_SQL = O.with_(
+    OR.EXAMPLES, *OR.TOKENS, *OR.WINDOWS,
+    "g AS (SELECT example_id, ans_start[1] AS sc, ans_start[1] + length(ans_text[1]) AS ec FROM ex WHERE len(ans_start) > 0)",
+    "wt AS (SELECT w.example_id, w.wi, w.qn, tok.t - w.first_token + w.qn + 2 AS p, tok.s, tok.e, "
+    "w.first_token, w.n_ctx FROM win w JOIN tok ON tok.example_id = w.example_id "
+    "AND tok.t BETWEEN w.first_token AND w.first_token + w.n_ctx - 1)",
+    "al AS (SELECT wt.example_id, wt.wi, min(wt.s) AS fs, max(wt.e) AS le, "
+    "max(wt.p) FILTER (WHERE wt.s <= g.sc) AS sp, min(wt.p) FILTER (WHERE wt.e >= g.ec) AS ep, "
+    "any_value(g.sc) AS sc, any_value(g.ec) AS ec FROM wt JOIN g USING (example_id) GROUP BY 1, 2)") + (
+    "SELECT w.example_id, w.wi AS \"window\", (CASE WHEN al.fs <= al.sc AND al.le >= al.ec THEN al.sp ELSE 0 END)::INTEGER "
+    "AS start_position, (CASE WHEN al.fs <= al.sc AND al.le >= al.ec THEN al.ep ELSE 0 END)::INTEGER AS end_position "
+    "FROM win w LEFT JOIN al USING (example_id, wi)")
+
+
+@register("span_alignment", ALIGN_SQL)
+def span_alignment(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    return WN.align_answers(WN.context_windows(ex), ex)
+
+
+def _nbest(spark, sf_dir, with_null=False):
+    ex, feats = _features(spark, sf_dir)
+    with_windows = ex.join(feats.select("example_id"), "example_id", "left_semi")
+    return SP.nbest(feats, with_windows, with_null=with_null)
+
+
+@register("span_nbest", O.with_(*OR.reading_ctes())
+          + "SELECT example_id, rank, text, start_logit, end_logit, round(probability, 6) AS probability FROM nb")
+def span_nbest(spark, sf_dir):
+    return _nbest(spark, sf_dir).select("example_id", "rank", "text", "start_logit", "end_logit",
+                                        F.round("probability", 6).alias("probability"))
+
+
+BEST_SQL = O.with_(*OR.reading_ctes()) + \
+    "SELECT ex.id, nb.text AS prediction_text FROM nb JOIN ex USING (example_id) WHERE nb.rank = 1"
+
+
+@register("best_answers", BEST_SQL)
+def best_answers(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    return (SP.best_answers(_nbest(spark, sf_dir)).join(ex.select("example_id", "id"), "example_id")
+            .select("id", "prediction_text"))
+
+
+@register("null_odds", O.with_(
+    *OR.reading_ctes(with_null=True),
+    "bn AS (SELECT example_id, arg_min(start_logit, rank) AS bs, arg_min(end_logit, rank) AS be, "
+    "arg_min(text, rank) AS bt FROM nb WHERE text <> '' GROUP BY 1)",
+    "ns AS (SELECT example_id, max(score) FILTER (WHERE is_null) AS null_score FROM nb GROUP BY 1)") + (
+    "SELECT ex.id, round(ns.null_score - bn.bs - bn.be, 6) AS score_diff, "
+    "CASE WHEN bn.bt IS NULL OR ns.null_score - bn.bs - bn.be > 0.0 THEN '' ELSE bn.bt END AS prediction_text "
+    "FROM ns LEFT JOIN bn USING (example_id) JOIN ex USING (example_id)"))
+def null_odds(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    return (SP.null_odds(_nbest(spark, sf_dir, with_null=True))
+            .join(ex.select("example_id", "id"), "example_id")
+            .select("id", F.round("score_diff", 6).alias("score_diff"), "prediction_text"))
