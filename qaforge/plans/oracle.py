@@ -126,3 +126,24 @@ def topk_select(k: int, where: str = "TRUE", src: str = "scores") -> str:
 
 def topk_cte(k: int, name: str = "topk", where: str = "TRUE", src: str = "scores") -> str:
     return f"{name} AS ({topk_select(k, where, src)})"
+
+
+def chars(expr: str) -> str:
+    n = f"replace({normalize(expr)}, ' ', '')"
+    return f"(CASE WHEN {n} = '' THEN []::VARCHAR[] ELSE string_split({n}, '') END)"
+
+
+def squad_tokens(expr: str) -> str:
+    cleaned = (f"trim(regexp_replace(regexp_replace(lower({expr}), '{ASCII_PUNCT_CLASS}', '', 'g'), "
+               f"'{UNICODE_SPACE_CLASS}+', ' ', 'g'))")
+    return f"list_filter(string_split({cleaned}, ' '), lambda w: w <> '' AND w NOT IN ('a', 'an', 'the'))"
+
+
+def common(p: str, g: str) -> str:
+    return (f"coalesce(list_sum(list_transform(list_distinct({p}), lambda c: least("
+            f"len(list_filter({p}, lambda x: x = c)), len(list_filter({g}, lambda x: x = c))))), 0)")
+
+
+def f1_from(same: str, p: str, g: str) -> str:
+    pr, rc = f"({same} / len({p}))", f"({same} / len({g}))"
+    return f"(CASE WHEN {same} = 0 THEN 0.0 ELSE 2 * {pr} * {rc} / ({pr} + {rc}) END)"

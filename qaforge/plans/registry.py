@@ -338,3 +338,79 @@ def null_odds(spark, sf_dir):
     return (SP.null_odds(_nbest(spark, sf_dir, with_null=True))
             .join(ex.select("example_id", "id"), "example_id")
             .select("id", F.round("score_diff", 6).alias("score_diff"), "prediction_text"))
+
+
+# --- step 6: answer normalization and scoring -------------------------------
+
+from ..operators import metrics as MT  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+
+
+@register("normalize_answers",
+          f"SELECT conv_id, turn, {O.normalize('text')} AS normalized FROM conversations")
+def normalize_answers(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", TX.normalize_answer(F.col("text")).alias("normalized"))
+
+
+def _gold_and_preds(spark, sf_dir):
+    ex = FX.qa_examples(spark, sf_dir)
+    preds = (SP.best_answers(_nbest(spark, sf_dir)).join(ex.select("example_id", "id"), "example_id")
+             .select("id", "prediction_text"))
+    return ex, preds
+
+
+SCORE_CTES = [
+    *OR.reading_ctes(),
+    "pr AS (SELECT ex.id, nb.text AS pred FROM nb JOIN ex USING (example_id) WHERE nb.rank = 1)",
+    "gx AS (SELECT id, unnest(ans_text) AS g FROM ex)",
+    f"pc AS (SELECT gx.id, ({O.normalize('pr.pred')} = {O.normalize('gx.g')})::INTEGER AS em, "
+    f"{O.chars('pr.pred')} AS pch, {O.chars('gx.g')} AS gch FROM gx JOIN pr USING (id))",
+    f"pc2 AS (SELECT *, {O.common('pch', 'gch')} AS same FROM pc)",
+    f"pf AS (SELECT id, max(em) AS em, max({O.f1_from('same', 'pch', 'gch')}) AS f1 FROM pc2 GROUP BY id)",
+    "per AS (SELECT ex.id, pr.pred AS prediction_text, coalesce(pf.em, 0)::DOUBLE AS em, "
+    "coalesce(pf.f1, 0.0)::DOUBLE AS f1, pr.id IS NOT NULL AS answered "
+    "FROM ex LEFT JOIN pr USING (id) LEFT JOIN pf USING (id))",
+]
+
+
+@register("answer_em_f1", O.with_(*SCORE_CTES)
+          + "SELECT id, prediction_text, em, round(f1, 6) AS f1, answered FROM per")
+def answer_em_f1(spark, sf_dir):
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    per = MT.per_question(ex, preds)
+    return per.select("id", "prediction_text", "em", F.round("f1", 6).alias("f1"), "answered")
+
+
+@register("answer_report", O.with_(*SCORE_CTES)
+          + "SELECT count(*) AS n_questions, round(avg(em), 6) AS em, round(avg(f1), 6) AS f1, "
+            "to_json({'EM': {'value': printf('%.2f%%', avg(em) * 100), 'rank': true, 'decs': true}, "
+            "'F1': {'value': printf('%.2f%%', avg(f1) * 100), 'rank': false, 'decs': true}})::VARCHAR AS report FROM per")
+def answer_report(spark, sf_dir):
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    return MT.report(MT.per_question(ex, preds))
+
+
+@register("unanswered", O.with_(*SCORE_CTES) + "SELECT id FROM per WHERE NOT answered")
+def unanswered(spark, sf_dir):
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    return MT.unanswered(ex, preds)
+
+
+SQUAD_SQL = O.with_(
+    *OR.reading_ctes(),
+    "pr AS (SELECT ex.id, nb.text AS pred FROM nb JOIN ex USING (example_id) WHERE nb.rank = 1)",
+    "gx AS (SELECT id, unnest(ans_text) AS g FROM ex)",
+    f"pc AS (SELECT gx.id, {O.squad_tokens('pr.pred')} AS pt, {O.squad_tokens('gx.g')} AS gt FROM gx JOIN pr USING (id))",
+    f"pc2 AS (SELECT *, (array_to_string(pt, ' ') = array_to_string(gt, ' '))::INTEGER AS em, {O.common('pt', 'gt')} AS same FROM pc)",
+    f"pf AS (SELECT id, max(em) AS em, max({O.f1_from('same', 'pt', 'gt')}) AS f1 FROM pc2 GROUP BY id)",
+    "per AS (SELECT ex.id, CASE WHEN pr.id IS NULL THEN 0.0 ELSE coalesce(pf.em, 0) END::DOUBLE AS em, "
+    "CASE WHEN pr.id IS NULL THEN 0.0 ELSE coalesce(pf.f1, 0.0) END::DOUBLE AS f1 "
+    "FROM ex LEFT JOIN pr USING (id) LEFT JOIN pf USING (id))") + \
+    "SELECT round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM per"
+
+
+@register("squad_em_f1", SQUAD_SQL)
+def squad_em_f1(spark, sf_dir):
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    return MT.squad_scores(ex, preds)
