@@ -139,7 +139,8 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
             .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s")))
     base_side = F.broadcast(base) if is_small else base
     matched = sums.join(base_side, "qid").select(
-        "qid", "passage_id", rounded(F.col("base_raw") + F.col("s")).alias("score"))
+        "qid", "passage_id", rounded(F.col("base_raw") + F.col("s")).alias("score"),
+        (F.col("base_raw") + F.col("s")).alias("raw"))
     below = variant == "okapi" and mean_idf is not None and mean_idf < 0
     return Scored(matched=matched, base=base.select("qid", "base"), can_fall_below_base=below)
 

@@ -43,14 +43,14 @@ PASSAGES = """passages AS (
 QUESTIONS = "q AS (SELECT item_id AS qid, text AS question FROM benchmark)"
 
 
-def index_ctes(tokens_fn=ws_tokens, src: str = "passages") -> list[str]:
+def index_ctes(tokens_fn=ws_tokens, src: str = "passages", ip: str = "") -> list[str]:
     return [
-        f"ptok AS (SELECT passage_id, {tokens_fn('text')} AS toks FROM {src})",
-        "lens AS (SELECT passage_id, len(toks) AS dl FROM ptok)",
-        "stats AS (SELECT count(*) AS n, sum(dl)::DOUBLE / count(*) AS avgdl FROM lens)",
-        "post AS (SELECT term, passage_id, count(*) AS tf FROM "
-        "(SELECT passage_id, unnest(toks) AS term FROM ptok) GROUP BY ALL)",
-        "vocab AS (SELECT term, count(*) AS df FROM post GROUP BY term)",
+        f"{ip}ptok AS (SELECT passage_id, {tokens_fn('text')} AS toks FROM {src})",
+        f"{ip}lens AS (SELECT passage_id, len(toks) AS dl FROM {ip}ptok)",
+        f"{ip}stats AS (SELECT count(*) AS n, sum(dl)::DOUBLE / count(*) AS avgdl FROM {ip}lens)",
+        f"{ip}post AS (SELECT term, passage_id, count(*) AS tf FROM "
+        f"(SELECT passage_id, unnest(toks) AS term FROM {ip}ptok) GROUP BY ALL)",
+        f"{ip}vocab AS (SELECT term, count(*) AS df FROM {ip}post GROUP BY term)",
     ]
 
 
@@ -59,28 +59,28 @@ def qterm_ctes(tokens_fn=ws_tokens, src: str = "q") -> list[str]:
             f"AS term FROM {src}) GROUP BY ALL)"]
 
 
-def bm25_ctes(variant: str, p: str = "") -> list[str]:
+def bm25_ctes(variant: str, p: str = "", ip: str = "") -> list[str]:
     """CTEs ending in ``{p}scores(qid, passage_id, score, matched)`` -- dense, all pairs."""
     norm = "(1.5 * (0.25 + 0.75 * l.dl / s.avgdl))"
     if variant == "okapi":
         idf = [
-            f"{p}idf0 AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM vocab, stats)",
+            f"{p}idf0 AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM {ip}vocab, {ip}stats)",
             f"{p}mean_idf AS (SELECT avg(raw) AS m FROM {p}idf0)",
             f"{p}idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM {p}idf0, {p}mean_idf)",
         ]
         contrib = f"qt.qtf * i.idf * p.tf * 2.5 / (p.tf + {norm})"
         base = "0.0"
     elif variant == "plus":
-        idf = [f"{p}idf AS (SELECT term, ln((n + 1.0) / df) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln((n + 1.0) / df) AS idf FROM {ip}vocab, {ip}stats)"]
         contrib = f"qt.qtf * i.idf * (p.tf * 2.5 / ({norm} + p.tf))"
         base = "qt.qtf * i.idf * 1.0"
     elif variant == "l":
-        idf = [f"{p}idf AS (SELECT term, ln(n + 1.0) - ln(df + 0.5) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln(n + 1.0) - ln(df + 0.5) AS idf FROM {ip}vocab, {ip}stats)"]
         c = "(p.tf / (0.25 + 0.75 * l.dl / s.avgdl))"
         contrib = f"qt.qtf * i.idf * 2.5 * (({c} + 0.5) / (1.5 + {c} + 0.5) - 0.5 / (1.5 + 0.5))"
         base = "qt.qtf * i.idf * 2.5 * 0.5 / (1.5 + 0.5)"
     elif variant == "server":
-        idf = [f"{p}idf AS (SELECT term, ln(1.0 + (n - df + 0.5) / (df + 0.5)) AS idf FROM vocab, stats)"]
+        idf = [f"{p}idf AS (SELECT term, ln(1.0 + (n - df + 0.5) / (df + 0.5)) AS idf FROM {ip}vocab, {ip}stats)"]
         norm = "(1.2 * (0.25 + 0.75 * l.dl / s.avgdl))"
         contrib = f"qt.qtf * i.idf * p.tf / (p.tf + {norm})"
         base = "0.0"
@@ -90,9 +90,9 @@ def bm25_ctes(variant: str, p: str = "") -> list[str]:
         f"{p}qbase AS (SELECT q.qid, coalesce(sum({base}), 0.0) AS b0 FROM q "
         f"LEFT JOIN (qt JOIN {p}idf i USING (term)) ON qt.qid = q.qid GROUP BY q.qid)",
         f"{p}msum AS (SELECT qt.qid, p.passage_id, sum({contrib}) AS s FROM qt JOIN {p}idf i USING (term) "
-        "JOIN post p USING (term) JOIN lens l USING (passage_id), stats s GROUP BY ALL)",
+        f"JOIN {ip}post p USING (term) JOIN {ip}lens l USING (passage_id), {ip}stats s GROUP BY ALL)",
         f"{p}scores AS (SELECT q.qid, l.passage_id, round(qb.b0 + coalesce(m.s, 0.0), 6) AS score, "
-        f"m.s IS NOT NULL AS matched FROM q JOIN {p}qbase qb USING (qid) CROSS JOIN lens l "
+        f"m.s IS NOT NULL AS matched FROM q JOIN {p}qbase qb USING (qid) CROSS JOIN {ip}lens l "
         f"LEFT JOIN {p}msum m ON m.qid = q.qid AND m.passage_id = l.passage_id)",
     ]
 

@@ -414,3 +414,103 @@ SQUAD_SQL = O.with_(
 def squad_em_f1(spark, sf_dir):
     ex, preds = _gold_and_preds(spark, sf_dir)
     return MT.squad_scores(ex, preds)
+
+
+# --- step 5: filters, keyword store retrieval, multi-field, highlights --------
+
+from ..operators import store as ST  # noqa: E402
+from ..functions.filters import compile_filter  # noqa: E402
+
+# The two filter examples of the store documentation, with
+# the fields renamed to this data's metadata (lang, source, n_chars).
+FILTER_AND_OR = {"$and": {"lang": {"$in": ["en", "de"]}, "n_chars": {"$gte": 200, "$lt": 3000},
+                          "$or": {"source": {"$in": ["src1", "src2", "src3"]}, "lang": {"$eq": "de"}}}}
+FILTER_OR_OF_AND = {"$or": [{"$and": {"lang": "en", "n_chars": {"$lt": 1000}}},
+                            {"$and": {"lang": "fr", "n_chars": {"$gte": 1000}}}]}
+FILTER_AND_OR_SQL = ("lang IN ('en', 'de') AND n_chars >= 200 AND n_chars < 3000 "
+                     "AND (source IN ('src1', 'src2', 'src3') OR lang = 'de')")
+FILTER_OR_OF_AND_SQL = "((lang = 'en' AND n_chars < 1000) OR (lang = 'fr' AND n_chars >= 1000))"
+
+STORE_DOCS_SQL = "store AS (SELECT doc_id AS passage_id, coalesce(text, '') AS text, lang, source, n_chars FROM documents)"
+
+
+@register("filtered_docs",
+          f"SELECT 'and_or' AS filter, doc_id FROM documents WHERE {FILTER_AND_OR_SQL} "
+          f"UNION ALL SELECT 'or_of_and', doc_id FROM documents WHERE {FILTER_OR_OF_AND_SQL}")
+def filtered_docs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    a = ST.filter_only(docs, FILTER_AND_OR).select(F.lit("and_or").alias("filter"), "doc_id")
+    b = ST.filter_only(docs, FILTER_OR_OF_AND).select(F.lit("or_of_and").alias("filter"), "doc_id")
+    return a.unionByName(b)
+
+
+def _store_sql(where: str = "TRUE", all_terms: bool = False) -> str:
+    ctes = [STORE_DOCS_SQL, O.QUESTIONS, *O.index_ctes(O.word_tokens, src="store"),
+            *O.qterm_ctes(O.word_tokens), *O.bm25_ctes("server")]
+    ctes.append("need AS (SELECT qid, count(*) AS need FROM qt GROUP BY qid)")
+    ctes.append("have AS (SELECT qt.qid, p.passage_id, count(*) AS have FROM qt JOIN post p USING (term) GROUP BY ALL)")
+    cond = "h.have = n.need" if all_terms else "TRUE"
+    ctes.append(f"ok AS (SELECT m.qid, m.passage_id, round(m.s, 6) AS score FROM msum m JOIN store d USING (passage_id) "
+                f"JOIN have h ON h.qid = m.qid AND h.passage_id = m.passage_id JOIN need n ON n.qid = m.qid "
+                f"WHERE {where} AND {cond})")
+    ctes.append(O.topk_cte(ST.STORE_TOP_K, src="ok"))
+    return O.with_(*ctes) + ("SELECT qid, rank, passage_id, round(1.0 / (1.0 + exp(-score / 8.0)), 6) AS score "
+                             "FROM topk")
+
+
+@register("filtered_bm25", _store_sql(FILTER_AND_OR_SQL))
+def filtered_bm25(spark, sf_dir):
+    docs = FX.store_documents(spark, sf_dir)
+    index = build_index(docs, "word")
+    return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), docs, FILTER_AND_OR)
+
+
+@register("all_terms_match", _store_sql(all_terms=True))
+def all_terms_match(spark, sf_dir):
+    docs = FX.store_documents(spark, sf_dir)
+    index = build_index(docs, "word")
+    return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), all_terms_must_match=True)
+
+
+PAGES_SQL = ("pg AS (SELECT page_id AS passage_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, "
+             "trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>', ' ', 'g'), "
+             "'<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS content FROM pages)")
+
+
+def _multi_field_sql() -> list[str]:
+    ctes = [PAGES_SQL, O.QUESTIONS, *O.qterm_ctes(O.word_tokens)]
+    for f in ("content", "title"):
+        ctes.append(f"{f}_src AS (SELECT passage_id, coalesce({f}, '') AS text FROM pg)")
+        ctes += O.index_ctes(O.word_tokens, src=f"{f}_src", ip=f"{f}_")
+        ctes += O.bm25_ctes("server", p=f"{f}_", ip=f"{f}_")
+    ctes.append("mf AS (SELECT qid, passage_id, round(coalesce(c.s, 0.0) + coalesce(t.s, 0.0), 6) AS score "
+                "FROM content_msum c FULL JOIN title_msum t USING (qid, passage_id))")
+    ctes.append(O.topk_cte(ST.STORE_TOP_K, src="mf"))
+    return ctes
+
+
+@register("multi_field_match", O.with_(*_multi_field_sql()) + "SELECT * FROM topk")
+def multi_field_match(spark, sf_dir):
+    return ST.multi_field_retrieve(FX.pages_store(spark, sf_dir), FX.questions(spark, sf_dir),
+                                   ["content", "title"])
+
+
+def _hl_sql(col: str) -> str:
+    pieces = f"regexp_extract_all(coalesce(pg.{col}, ''), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+|[^\\p{{L}}\\p{{M}}\\p{{N}}_]+')"
+    return (f"array_to_string(list_transform({pieces}, lambda x: CASE WHEN list_contains(qa.terms, lower(x)) "
+            f"THEN '<em>' || x || '</em>' ELSE x END), '')")
+
+
+@register("highlights", O.with_(*_multi_field_sql(),
+                                "qa AS (SELECT qid, list(term) AS terms FROM qt GROUP BY qid)")
+          + f"SELECT t.qid, t.rank, t.passage_id AS page_id, {_hl_sql('title')} AS title_highlighted, "
+            f"{_hl_sql('content')} AS content_highlighted FROM topk t JOIN pg USING (passage_id) JOIN qa USING (qid)")
+def highlights(spark, sf_dir):
+    pages = FX.pages_store(spark, sf_dir)
+    qs = FX.questions(spark, sf_dir)
+    ranked = ST.multi_field_retrieve(pages, qs, ["content", "title"])
+    terms = (R.query_terms(qs, "word").groupBy("qid").agg(F.collect_list("term").alias("terms")))
+    return (ranked.join(pages, "passage_id").join(terms, "qid")
+            .select("qid", "rank", F.col("passage_id").alias("page_id"),
+                    ST.highlight(F.col("title"), F.col("terms")).alias("title_highlighted"),
+                    ST.highlight(F.col("content"), F.col("terms")).alias("content_highlighted")))

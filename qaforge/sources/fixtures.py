@@ -61,3 +61,29 @@ def qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("conversation "), F.col("u.conv_id").cast("string")).alias("title"),
         F.col("u.conv_id").alias("document_id"),
     )
+
+
+# Page cleanup patterns (title, dropped blocks, tags).
+TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
+DROP_BLOCKS_PATTERN = r"(?s)<script.*?</script>|<style.*?</style>"
+TAG_PATTERN = r"<[^>]*>"
+
+
+def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document store: every document (no dedup), id = doc_id, meta as columns."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("passage_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        "lang", "source", "n_chars")
+
+
+def page_text(html):
+    body = F.regexp_replace(F.regexp_replace(html, DROP_BLOCKS_PATTERN, " "), TAG_PATTERN, " ")
+    return F.trim(F.regexp_replace(body, r"\s+", " "))
+
+
+def pages_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as two-field documents: ``passage_id, title, content``."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select(F.col("page_id").alias("passage_id"),
+                        F.regexp_extract(F.col("html"), TITLE_PATTERN, 1).alias("title"),
+                        page_text(F.col("html")).alias("content"), "url")
