@@ -514,3 +514,75 @@ def highlights(spark, sf_dir):
             .select("qid", "rank", F.col("passage_id").alias("page_id"),
                     ST.highlight(F.col("title"), F.col("terms")).alias("title_highlighted"),
                     ST.highlight(F.col("content"), F.col("terms")).alias("content_highlighted")))
+
+
+# --- step 9: corpus and label preparation, exports, curriculum ----------------
+
+from ..operators import prep as PR  # noqa: E402
+
+
+@register("clean_text", O.with_(O.PASSAGES)
+          + f"SELECT passage_id, {O.normalize('text')} AS document_text FROM passages")
+def clean_text(spark, sf_dir):
+    return PR.clean_for_index(FX.passages(spark, sf_dir))
+
+
+CLEAN_SQL = ("regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[ \\t\\r\\f]*\\n[ \\t\\r\\f]*', chr(10), 'g'), "
+             "'^\\s+|\\s+$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")
+WORD_SPLITS_SQL = (
+    "WITH RECURSIVE sl AS (SELECT doc_id, string_split(regexp_replace(" + CLEAN_SQL + ", '([.!?])\\s+', "
+    "'\\1' || chr(1), 'g'), chr(1)) AS s FROM documents),\n"
+    "sw AS (SELECT doc_id, r.i AS i, r.x AS x, len(list_filter(string_split_regex(r.x, '\\s+'), lambda t: t <> '')) AS wc "
+    "FROM (SELECT doc_id, unnest(list_transform(s, lambda x, i: {'x': x, 'i': i})) AS r FROM sl)),\n"
+    f"pack AS (SELECT doc_id, i, wc AS cur, 0 AS piece FROM sw WHERE i = 1 UNION ALL "
+    f"SELECT sw.doc_id, sw.i, CASE WHEN p.cur > 0 AND p.cur + sw.wc > {PR.SPLIT_LENGTH} THEN sw.wc ELSE p.cur + sw.wc END, "
+    f"CASE WHEN p.cur > 0 AND p.cur + sw.wc > {PR.SPLIT_LENGTH} THEN p.piece + 1 ELSE p.piece END "
+    "FROM pack p JOIN sw ON sw.doc_id = p.doc_id AND sw.i = p.i + 1)\n"
+    "SELECT * FROM (SELECT doc_id, piece::INTEGER AS split_idx, sum(wc)::INTEGER AS n_words, "
+    "string_agg(x, ' ' ORDER BY i) AS content FROM pack JOIN sw USING (doc_id, i) GROUP BY doc_id, piece) "
+    "WHERE content <> ''")
+
+
+@register("word_splits", WORD_SPLITS_SQL)
+def word_splits(spark, sf_dir):
+    return PR.split_words(table(spark, sf_dir, "documents"))
+
+
+LABELS_SQL = [OR.EXAMPLES,
+              "lab AS (SELECT id, question AS query, conv_id, answer FROM (SELECT id, question, "
+              "example_id // 1000 AS conv_id, unnest(CASE WHEN len(ans_text) = 0 THEN [NULL::VARCHAR] ELSE ans_text END) "
+              "AS answer FROM ex))"]
+
+
+@register("label_rows", O.with_(*LABELS_SQL)
+          + "SELECT id, query, conv_id AS document_id, coalesce(answer, '') AS answer, answer IS NULL AS no_answer FROM lab")
+def label_rows(spark, sf_dir):
+    return PR.label_rows(FX.qa_examples(spark, sf_dir)).select(
+        "id", "query", "document_id", "answer", "no_answer")
+
+
+@register("labels_aggregated", O.with_(*LABELS_SQL)
+          + "SELECT id, query, count(*) AS n_labels, array_to_string(list_sort(list_distinct(list(answer))), '|') AS answers "
+            "FROM lab WHERE answer IS NOT NULL GROUP BY id, query")
+def labels_aggregated(spark, sf_dir):
+    agg = PR.aggregate_labels(PR.label_rows(FX.qa_examples(spark, sf_dir)))
+    return agg.select("id", "query", "n_labels", F.array_join("answers", "|").alias("answers"))
+
+
+@register("squad_export", O.with_(OR.EXAMPLES)
+          + "SELECT id, to_json({'title': 'conversation ' || (example_id // 1000)::VARCHAR, 'paragraphs': "
+            "[{'qas': [{'question': question, 'id': id, 'answers': CASE WHEN len(ans_text) = 0 THEN [] ELSE "
+            "[{'text': ans_text[1], 'answer_start': ans_start[1]}] END, 'is_impossible': len(ans_text) = 0}], "
+            "'context': context}]})::VARCHAR AS record FROM ex")
+def squad_export(spark, sf_dir):
+    return PR.squad_records(FX.qa_examples(spark, sf_dir)).select("id", F.to_json("record").alias("record"))
+
+
+@register("curriculum_split", O.with_(*OR.reading_ctes(),
+                                      "pr AS (SELECT ex.id, nb.text AS pred FROM nb JOIN ex USING (example_id) WHERE nb.rank = 1)")
+          + "SELECT ex.id, CASE WHEN pr.pred = ex.ans_text[1] AND pr.pred <> '' THEN 'easy' ELSE 'hard' END AS difficulty "
+            "FROM ex JOIN pr USING (id)")
+def curriculum_split(spark, sf_dir):
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    pairs = PR.difficulty_pairs(preds, ex)
+    return PR.curriculum_split(ex, pairs).select("id", "difficulty")
