@@ -586,3 +586,35 @@ def curriculum_split(spark, sf_dir):
     ex, preds = _gold_and_preds(spark, sf_dir)
     pairs = PR.difficulty_pairs(preds, ex)
     return PR.curriculum_split(ex, pairs).select("id", "difficulty")
+
+
+# --- step 10: vectors, index freshness ---------------------------------------
+
+from ..operators import vector as VE  # noqa: E402
+
+VECTOR_K = K
+
+
+def _vector_queries(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    return emb, emb.select(F.col("vec_id").alias("qid"), "embedding")
+
+
+@register("exact_vector_topk",
+          "WITH d AS (SELECT q.vec_id AS qid, v.vec_id, round(list_sum(list_transform(range(1, len(q.embedding) + 1), "
+          "lambda i: (q.embedding[i]::DOUBLE - v.embedding[i]::DOUBLE) * (q.embedding[i]::DOUBLE - v.embedding[i]::DOUBLE))), 6) "
+          "AS distance FROM embeddings q, embeddings v) "
+          "SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM "
+          "(SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM d) "
+          f"WHERE rank <= {VECTOR_K}")
+def exact_vector_topk(spark, sf_dir):
+    emb, qs = _vector_queries(spark, sf_dir)
+    index = VE.build_ivf(emb)
+    return VE.exact_topk(index, qs, VECTOR_K)
+
+
+@register("ivf_topk")
+def ivf_topk(spark, sf_dir):
+    emb, qs = _vector_queries(spark, sf_dir)
+    index = VE.build_ivf(emb)
+    return VE.ivf_topk(index, qs, VECTOR_K, nprobe=VE.DEFAULT_NPROBE)
