@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
+from ..session import materialize as _write
 
 
 @dataclass
@@ -29,28 +30,42 @@ class SparseIndex:
         return terms.join(self.vocab, "term")
 
 
-def term_postings(passages: DataFrame, tokens: F.Column) -> tuple[DataFrame, DataFrame]:
+def term_postings(passages: DataFrame, tokens: F.Column,
+                  materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """(postings, lengths) from a token-array expression over ``passages``.
 
     Tokens of one passage sit in one partition, so the partial aggregation
     on (term, passage_id) collapses repeats before the shuffle; the shuffle
     key includes passage_id, so a term present everywhere does not pile up
-    in one reducer.
+    in one reducer. With ``materialize`` the tokenized passages are written
+    once and both outputs are read from that table.
     """
     toks = passages.select("passage_id", tokens.alias("toks"))
-    lengths = toks.select("passage_id", F.size("toks").alias("dl"))
-    postings = (toks.select("passage_id", F.size("toks").alias("dl"),
-                            F.explode("toks").alias("term"))
+    toks = toks.select("passage_id", F.size("toks").alias("dl"), "toks")
+    if materialize:
+        toks = _write(toks, "tokens")
+    lengths = toks.select("passage_id", "dl")
+    postings = (toks.select("passage_id", "dl", F.explode("toks").alias("term"))
                 .groupBy("term", "passage_id", "dl")
                 .agg(F.count(F.lit(1)).cast("int").alias("tf")))
     return postings, lengths
 
 
-def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace") -> SparseIndex:
-    """Postings / vocabulary / stats for the BM25 family (A2)."""
+def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
+                materialize: bool = True) -> SparseIndex:
+    """Postings / vocabulary / stats for the BM25 family (A2).
+
+    With ``materialize`` the tables are written once to the shared folder,
+    so the statistics jobs and every later query read them instead of
+    re-tokenizing the corpus.
+    """
     tok = get_tokenizer(tokenizer)
-    postings, lengths = term_postings(passages, tok(F.col("text")))
+    postings, lengths = term_postings(passages, tok(F.col("text")), materialize)
+    if materialize:
+        postings = _write(postings, "postings")
     vocab = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if materialize:
+        vocab = _write(vocab, "vocab")
     stats = lengths.agg(F.count(F.lit(1)).alias("n"),
                         F.sum("dl").alias("total")).first()
     n = int(stats["n"])
@@ -70,7 +85,8 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
 
 
 def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
-                      max_features: int = 50_000, ngrams: bool = True) -> SparseIndex:
+                      max_features: int = 50_000, ngrams: bool = True,
+                      materialize: bool = True) -> SparseIndex:
     """Capped 1-/2-gram TF-IDF with smooth idf and L2-normalized rows.
 
     ``idf = ln((1+N)/(1+df)) + 1``; the capped vocabulary has a proven size
@@ -79,10 +95,14 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
     """
     tok = get_tokenizer(tokenizer)
     terms = uni_and_bigrams(tok(F.col("text"))) if ngrams else tok(F.col("text"))
-    counts, lengths = term_postings(passages, terms)
+    counts, lengths = term_postings(passages, terms, materialize)
+    if materialize:
+        counts = _write(counts, "gram_counts")
     n = lengths.count()
     vocab = (top_terms(counts, max_features)
              .withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0))
+    if materialize:
+        vocab = _write(vocab, "tfidf_vocab")
     weighted = (counts.join(F.broadcast(vocab.select("term", "idf")), "term")
                 .withColumn("w", F.col("tf") * F.col("idf")))
     # one shuffle on passage_id: the norm is a window over the passage's rows
@@ -90,6 +110,8 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
     postings = weighted.select(
         "term", "passage_id", "tf", "dl",
         (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_passage))).alias("w"))
+    if materialize:
+        postings = _write(postings, "tfidf_postings")
     return SparseIndex(postings=postings, vocab=vocab, lengths=lengths,
                        n_docs=n, avgdl=0.0, tokenizer=tok,
                        extras={"ngrams": ngrams, "max_features": max_features})

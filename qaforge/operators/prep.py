@@ -51,15 +51,18 @@ def split_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with_wc = docs.select(F.col(id_col), sents.alias("s")) \
         .withColumn("wc", F.transform("s", lambda x: word_count(x)))
     n = F.size("wc")
-    init = F.struct(F.lit(0).alias("cur"), F.array(F.lit(0)).alias("starts"))
+    init = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("i"), F.array(F.lit(0)).alias("starts"))
 
-    def step(acc, i):
-        w = F.get(F.col("wc"), i)
+    def step(acc, w):
+        # the word counts are the aggregate's input, evaluated once per row;
+        # the accumulator array grows only when a piece starts
         new_piece = (acc["cur"] > 0) & (acc["cur"] + w > split_length)
-        return F.when(new_piece, F.struct(w.alias("cur"), F.array_append(acc["starts"], i).alias("starts"))) \
-            .otherwise(F.struct((acc["cur"] + w).alias("cur"), acc["starts"].alias("starts")))
+        return F.when(new_piece, F.struct(w.alias("cur"), (acc["i"] + 1).alias("i"),
+                                          F.array_append(acc["starts"], acc["i"]).alias("starts"))) \
+            .otherwise(F.struct((acc["cur"] + w).alias("cur"), (acc["i"] + 1).alias("i"),
+                                acc["starts"].alias("starts")))
 
-    starts = F.aggregate(F.sequence(F.lit(0), n - 1), init, step)["starts"]
+    starts = F.aggregate(F.col("wc"), init, step)["starts"]
     packed = with_wc.withColumn("starts", starts)
     pieces = packed.select(id_col, "s", "wc", "starts", F.posexplode("starts").alias("split_idx", "b"))
     end = F.coalesce(F.try_element_at("starts", F.col("split_idx") + 2), n)

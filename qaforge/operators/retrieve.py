@@ -39,13 +39,19 @@ DEFAULT_K = 40
 def query_terms(questions: DataFrame, tokenizer: Tokenizer | str = "whitespace",
                 qid_col: str = "qid", text_col: str = "question",
                 ngrams: bool = False) -> DataFrame:
-    """``qid, term, qtf``: query tokens with their repeat count."""
+    """``qid, term, qtf``: query tokens with their repeat count.
+
+    Counted inside each question's row (questions are short), so building
+    the query side needs no shuffle.
+    """
     tok = get_tokenizer(tokenizer)
     toks = tok(F.col(text_col))
     if ngrams:
         toks = uni_and_bigrams(toks)
-    return (questions.select(F.col(qid_col).alias("qid"), F.explode(toks).alias("term"))
-            .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
+    counted = F.transform(F.array_distinct(toks), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter(toks, lambda x: x == t)).cast("long").alias("qtf")))
+    return (questions.select(F.col(qid_col).alias("qid"), F.explode(counted).alias("c"))
+            .select("qid", "c.term", "c.qtf"))
 
 
 def _small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
@@ -70,6 +76,7 @@ class Scored:
     matched: DataFrame      # qid, passage_id, score (rounded)
     base: DataFrame         # qid, base (rounded), one row per query
     can_fall_below_base: bool = False
+    small: bool = True      # the query side passed the broadcast size check
 
 
 def _bm25_norm(index: SparseIndex, k1: float, b: float) -> Column:
@@ -131,18 +138,26 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
         contrib = w * tf / (tf + norm)
         base_term = F.lit(0.0)
 
-    base = (questions.select(F.col(qid_col).alias("qid"))
-            .join(qv.groupBy("qid").agg(F.sum(base_term).alias("b0")), "qid", "left")
-            .select("qid", rounded(F.coalesce(F.col("b0"), F.lit(0.0))).alias("base"),
-                    F.coalesce(F.col("b0"), F.lit(0.0)).alias("base_raw")))
     sums = (_join_postings(qv_side, index.postings, is_small, salt)
             .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s")))
-    base_side = F.broadcast(base) if is_small else base
-    matched = sums.join(base_side, "qid").select(
-        "qid", "passage_id", rounded(F.col("base_raw") + F.col("s")).alias("score"),
-        (F.col("base_raw") + F.col("s")).alias("raw"))
+    if variant in ("okapi", "server"):
+        # unmatched passages score 0: no per-query base to join
+        base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
+        matched = sums.select("qid", "passage_id", rounded(F.col("s")).alias("score"),
+                              F.col("s").alias("raw"))
+    else:
+        b0 = qv.groupBy("qid").agg(F.sum(base_term).alias("b0"))
+        b0 = F.broadcast(b0) if is_small else b0
+        base = (questions.select(F.col(qid_col).alias("qid")).join(b0, "qid", "left")
+                .select("qid", rounded(F.coalesce(F.col("b0"), F.lit(0.0))).alias("base"),
+                        F.coalesce(F.col("b0"), F.lit(0.0)).alias("base_raw")))
+        base_side = F.broadcast(base) if is_small else base
+        matched = sums.join(base_side, "qid").select(
+            "qid", "passage_id", rounded(F.col("base_raw") + F.col("s")).alias("score"),
+            (F.col("base_raw") + F.col("s")).alias("raw"))
     below = variant == "okapi" and mean_idf is not None and mean_idf < 0
-    return Scored(matched=matched, base=base.select("qid", "base"), can_fall_below_base=below)
+    return Scored(matched=matched, base=base.select("qid", "base"), can_fall_below_base=below,
+                  small=is_small)
 
 
 def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
@@ -162,13 +177,13 @@ def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
                .groupBy("qid", "passage_id")
                .agg(rounded(F.sum(F.col("qw") * F.col("w"))).alias("score")))
     base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
-    return Scored(matched=matched, base=base)
+    return Scored(matched=matched, base=base, small=is_small)
 
 
 def topk(index: SparseIndex, scored: Scored, k: int = DEFAULT_K) -> DataFrame:
     """Exhaustive top-k (matches, then base-score fill by id)."""
     return exhaustive_topk(scored.matched, scored.base, index.lengths.select("passage_id"),
-                           k, index.n_docs, scored.can_fall_below_base)
+                           k, index.n_docs, scored.can_fall_below_base, scored.small)
 
 
 def bm25_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K,

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import rounded, top_n
 
 
-def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int) -> DataFrame:
+def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int,
+               small: bool = True) -> DataFrame:
     """Per query: the first k head ids the query did not match.
 
     Matched passages whose score rounds to the base stay in the candidate
@@ -35,6 +36,8 @@ def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int)
     head = F.array(*[F.lit(int(i)).cast("long") for i in head_ids]) if head_ids else empty
     in_head = (matched.where(F.col("passage_id").isin(head_ids))
                .groupBy("qid").agg(F.collect_list("passage_id").alias("seen")))
+    # one row per query on both sides: broadcast when the query side is small
+    in_head = F.broadcast(in_head) if small else in_head
     return (base.join(in_head, "qid", "left")
             .select("qid", "base",
                     F.slice(F.filter(head, lambda p: ~F.array_contains(
@@ -42,7 +45,8 @@ def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int)
 
 
 def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
-                    k: int, n_passages: int, can_fall_below_base: bool = False) -> DataFrame:
+                    k: int, n_passages: int, can_fall_below_base: bool = False,
+                    small: bool = True) -> DataFrame:
     """Top-k over all passages.
 
     matched: ``qid, passage_id, score`` (score already rounded);
@@ -53,7 +57,7 @@ def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
     head_size = min(2 * k, n_passages)
     while True:
         head_ids = [r[0] for r in passage_ids.orderBy("passage_id").limit(head_size).collect()]
-        fill = _fill_rows(matched, base, head_ids, k)
+        fill = _fill_rows(matched, base, head_ids, k, small)
         if not can_fall_below_base or head_size >= n_passages:
             break
         # a query is unsafe if it is short of fill candidates while fewer

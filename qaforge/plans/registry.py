@@ -618,3 +618,17 @@ def ivf_topk(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
     index = VE.build_ivf(emb)
     return VE.ivf_topk(index, qs, VECTOR_K, nprobe=VE.DEFAULT_NPROBE)
+
+
+from ..sources import index_store as IS  # noqa: E402
+
+
+@register("index_freshness",
+          "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum "
+          "FROM documents GROUP BY source")
+def index_freshness(spark, sf_dir):
+    """Per-source fingerprints of the store: what a refit compares with the
+    fingerprints recorded when the index was fitted (R11)."""
+    docs = table(spark, sf_dir, "documents")
+    fp = IS.portable_fingerprint(docs, "doc_id", "text", ["source"])
+    return fp.select("source", "n_docs", F.col("id_sum").cast("long"), "char_sum")

@@ -65,3 +65,17 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage (later jobs and lost executors restart from the files,
+    not from the raw tables) and lets several jobs reuse one computation.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
