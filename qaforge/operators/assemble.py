@@ -9,11 +9,15 @@ from .common import BROADCAST_MAX_ROWS, bounded_broadcast, rounded
 
 
 def with_text(ranked: DataFrame, passages: DataFrame,
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              max_broadcast_rows: int = BROADCAST_MAX_ROWS, bound_rows: int | None = None) -> DataFrame:
     """Ranked ids joined to passage text (J1). The ranked side is k rows per
-    query; it is broadcast when its counted size allows, so the passages are
-    read in place and only the k hit texts per query travel."""
-    small = bounded_broadcast(ranked, max_broadcast_rows)
+    query; it is broadcast when its size bound allows, so the passages are
+    read in place and only the k hit texts per query travel. ``bound_rows``
+    (questions x k) avoids counting -- and so re-running -- the ranking."""
+    if bound_rows is not None:
+        small = F.broadcast(ranked) if bound_rows <= max_broadcast_rows else ranked
+    else:
+        small = bounded_broadcast(ranked, max_broadcast_rows)
     return small.join(passages.select("passage_id", "text"), "passage_id")
 
 

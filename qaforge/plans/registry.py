@@ -192,7 +192,7 @@ def _okapi_contexts(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
     ranked = R.bm25_topk(build_index(psg), qs, K, "okapi")
-    return AS.assemble(AS.with_text(ranked, psg), qs, gold_col="question")
+    return AS.assemble(AS.with_text(ranked, psg, bound_rows=qs.count() * K), qs, gold_col="question")
 
 
 @register("retrieved_contexts", O.with_(*CONTEXTS_SQL)
@@ -632,3 +632,62 @@ def index_freshness(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     fp = IS.portable_fingerprint(docs, "doc_id", "text", ["source"])
     return fp.select("source", "n_docs", F.col("id_sum").cast("long"), "char_sum")
+
+
+# --- retrieve-then-read across passages, retrieval evaluation ---------------
+
+from . import reading_flow as RF  # noqa: E402
+
+READER_SQL = O.with_(
+    O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm25_ctes("okapi"),
+    O.topk_cte(RF.RETRIEVER_TOP_K),
+    f"ex AS (SELECT t.qid * {RF.PAIR_KEY} + t.passage_id AS example_id, t.qid, t.passage_id, q.question, "
+    "p.text AS context FROM topk t JOIN passages p USING (passage_id) JOIN q USING (qid))",
+    *OR.TOKENS, *OR.WINDOWS, *OR.CANDIDATES,
+    f"pw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id, wi ORDER BY score DESC, si, ei) "
+    f"AS r1 FROM cand) WHERE r1 <= {RF.TOP_K_PER_SAMPLE})",
+    "uq AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id, s_off, e_off ORDER BY score DESC, wi) "
+    "AS r2 FROM pw) WHERE r2 = 1)",
+    f"pp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id ORDER BY score DESC, wi, si) AS r3 "
+    f"FROM uq) WHERE r3 <= {RF.TOP_K_PER_CANDIDATE})",
+    "fin AS (SELECT pp.*, ex.qid, ex.passage_id, ex.context FROM pp JOIN ex USING (example_id))") + (
+    "SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, passage_id::BIGINT AS passage_id, "
+    "substring(context, s_off + 1, e_off - s_off) AS text, score FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY qid ORDER BY score DESC, passage_id, s_off, e_off) AS rank FROM fin) "
+    f"WHERE rank <= {RF.READER_TOP_K}")
+
+
+@register("reader_topk", READER_SQL)
+def reader_topk(spark, sf_dir):
+    psg = FX.passages(spark, sf_dir)
+    qs = FX.questions(spark, sf_dir)
+    ranked = R.bm25_topk(build_index(psg), qs, RF.RETRIEVER_TOP_K, "okapi")
+    return RF.read_retrieved(ranked, psg, qs)
+
+
+def _hits_sql(src: str, method: str) -> str:
+    return (f"SELECT '{method}' AS method, count(*) AS n_questions, sum(c::INTEGER)::BIGINT AS hits, "
+            f"round(avg(c::INTEGER::DOUBLE), 6) AS hit_rate FROM (SELECT t.qid, "
+            f"contains(string_agg(p.text, ' ' ORDER BY t.rank), any_value(q.question)) AS c "
+            f"FROM {src} t JOIN passages p USING (passage_id) JOIN q USING (qid) GROUP BY t.qid)")
+
+
+RETRIEVAL_EVAL_SQL = O.with_(
+    *THREE_LISTS_SQL,
+    "best AS (SELECT qid, passage_id, scaled AS score, r_idx * 1000000 + rank AS pos FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY qid, passage_id ORDER BY scaled DESC, "
+    "r_idx * 1000000 + rank) AS rn FROM scaled) WHERE rn = 1)",
+    f"e_top AS (SELECT qid, passage_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+    f"ORDER BY score DESC, pos) AS rank FROM best) WHERE rank <= {K})") + " UNION ALL ".join(
+    [_hits_sql("t_top", "tfidf"), _hits_sql("o_top", "bm25"), _hits_sql("p_top", "bm25_plus"),
+     _hits_sql("e_top", "ensemble")])
+
+
+@register("retrieval_eval", RETRIEVAL_EVAL_SQL)
+def retrieval_eval(spark, sf_dir):
+    psg = FX.passages(spark, sf_dir)
+    bm = build_index(psg)
+    tf = build_tfidf_index(psg)
+    out = RF.evaluate_retrievers({"tfidf": tf, "bm25": bm, "bm25_plus": bm}, psg,
+                                 FX.questions(spark, sf_dir), K)
+    return out.select("method", "n_questions", "hits", "hit_rate")
