@@ -30,8 +30,12 @@ class SparseIndex:
         return terms.join(self.vocab, "term")
 
 
-def term_postings(passages: DataFrame, tokens: F.Column,
-                  materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+def _out(df: DataFrame, name: str, out_dir: str | None) -> DataFrame:
+    return _write(df, name, f"{out_dir}/{name}" if out_dir else None)
+
+
+def term_postings(passages: DataFrame, tokens: F.Column, materialize: bool = False,
+                  out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(postings, lengths) from a token-array expression over ``passages``.
 
     Tokens of one passage sit in one partition, so the partial aggregation
@@ -43,7 +47,7 @@ def term_postings(passages: DataFrame, tokens: F.Column,
     toks = passages.select("passage_id", tokens.alias("toks"))
     toks = toks.select("passage_id", F.size("toks").alias("dl"), "toks")
     if materialize:
-        toks = _write(toks, "tokens")
+        toks = _out(toks, "tokens", out_dir)
     lengths = toks.select("passage_id", "dl")
     postings = (toks.select("passage_id", "dl", F.explode("toks").alias("term"))
                 .groupBy("term", "passage_id", "dl")
@@ -52,7 +56,7 @@ def term_postings(passages: DataFrame, tokens: F.Column,
 
 
 def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
-                materialize: bool = True) -> SparseIndex:
+                materialize: bool = True, out_dir: str | None = None) -> SparseIndex:
     """Postings / vocabulary / stats for the BM25 family (A2).
 
     With ``materialize`` the tables are written once to the shared folder,
@@ -60,12 +64,12 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
     re-tokenizing the corpus.
     """
     tok = get_tokenizer(tokenizer)
-    postings, lengths = term_postings(passages, tok(F.col("text")), materialize)
+    postings, lengths = term_postings(passages, tok(F.col("text")), materialize, out_dir)
     if materialize:
-        postings = _write(postings, "postings")
+        postings = _out(postings.sortWithinPartitions("term"), "postings", out_dir)
     vocab = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if materialize:
-        vocab = _write(vocab, "vocab")
+        vocab = _out(vocab, "vocab", out_dir)
     stats = lengths.agg(F.count(F.lit(1)).alias("n"),
                         F.sum("dl").alias("total")).first()
     n = int(stats["n"])
@@ -86,7 +90,7 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
 
 def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
                       max_features: int = 50_000, ngrams: bool = True,
-                      materialize: bool = True) -> SparseIndex:
+                      materialize: bool = True, out_dir: str | None = None) -> SparseIndex:
     """Capped 1-/2-gram TF-IDF with smooth idf and L2-normalized rows.
 
     ``idf = ln((1+N)/(1+df)) + 1``; the capped vocabulary has a proven size
@@ -95,14 +99,14 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
     """
     tok = get_tokenizer(tokenizer)
     terms = uni_and_bigrams(tok(F.col("text"))) if ngrams else tok(F.col("text"))
-    counts, lengths = term_postings(passages, terms, materialize)
+    counts, lengths = term_postings(passages, terms, materialize, out_dir)
     if materialize:
-        counts = _write(counts, "gram_counts")
+        counts = _out(counts, "gram_counts", out_dir)
     n = lengths.count()
     vocab = (top_terms(counts, max_features)
              .withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0))
     if materialize:
-        vocab = _write(vocab, "tfidf_vocab")
+        vocab = _out(vocab, "vocab", out_dir)
     weighted = (counts.join(F.broadcast(vocab.select("term", "idf")), "term")
                 .withColumn("w", F.col("tf") * F.col("idf")))
     # one shuffle on passage_id: the norm is a window over the passage's rows
@@ -111,7 +115,7 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
         "term", "passage_id", "tf", "dl",
         (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_passage))).alias("w"))
     if materialize:
-        postings = _write(postings, "tfidf_postings")
+        postings = _out(postings.sortWithinPartitions("term"), "postings", out_dir)
     return SparseIndex(postings=postings, vocab=vocab, lengths=lengths,
                        n_docs=n, avgdl=0.0, tokenizer=tok,
                        extras={"ngrams": ngrams, "max_features": max_features})

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import retrieve as R
 from ..operators.index import build_index, build_tfidf_index
 from ..sources import fixtures as FX
+from ..sources import index_store as IS
 from . import oracle as O
 
 K = R.DEFAULT_K
@@ -34,7 +35,7 @@ def register(name: str, sql: str | None = None):
 
 def _bm25(variant: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        index = build_index(FX.passages(spark, sf_dir))
+        index = IS.shared_index(FX.passages(spark, sf_dir), "bm25")
         return R.bm25_topk(index, FX.questions(spark, sf_dir), K, variant)
     return run
 
@@ -50,7 +51,7 @@ for _name, _variant in [("bm25_okapi_topk", "okapi"), ("bm25_plus_topk", "plus")
                   *O.qterm_ctes(O.word_tokens), *O.bm25_ctes("server"))
           + O.topk_select(K, where="matched"))
 def server_bm25_topk(spark, sf_dir):
-    index = build_index(FX.passages(spark, sf_dir), tokenizer="word")
+    index = IS.shared_index(FX.passages(spark, sf_dir), "bm25", "word")
     return R.server_topk(index, FX.questions(spark, sf_dir), K)
 
 
@@ -59,13 +60,13 @@ def server_bm25_topk(spark, sf_dir):
           + "SELECT qid::BIGINT AS qid, question FROM q WHERE qid NOT IN "
             "(SELECT qid FROM qt JOIN vocab USING (term))")
 def unmatched_queries(spark, sf_dir):
-    index = build_index(FX.passages(spark, sf_dir))
+    index = IS.shared_index(FX.passages(spark, sf_dir), "bm25")
     return R.unmatched_queries(index, FX.questions(spark, sf_dir))
 
 
 @register("tfidf_topk", O.with_(O.PASSAGES, O.QUESTIONS, *O.tfidf_ctes()) + O.topk_select(K))
 def tfidf_topk(spark, sf_dir):
-    index = build_tfidf_index(FX.passages(spark, sf_dir))
+    index = IS.shared_index(FX.passages(spark, sf_dir), "tfidf")
     return R.tfidf_topk(index, FX.questions(spark, sf_dir), K)
 
 
@@ -117,7 +118,7 @@ PARAGRAPHS_SQL = (
             "FROM topk t JOIN passages p USING (passage_id)")
 def paragraph_tfidf_topk(spark, sf_dir):
     paras = paragraph_table(spark, sf_dir)
-    index = build_tfidf_index(paras)
+    index = IS.shared_index(paras, "tfidf")
     ranked = R.tfidf_topk(index, FX.questions(spark, sf_dir), STORE_K)
     return ranked.select("qid", "rank",
                          (F.col("passage_id") / PARAGRAPH_ID_STRIDE).cast("long").alias("document_id"),
@@ -135,8 +136,8 @@ from ..operators import relevance as RV  # noqa: E402
 def _three_lists(spark, sf_dir, k=K):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    bm = build_index(psg)
-    tf = build_tfidf_index(psg)
+    bm = IS.shared_index(psg, "bm25")
+    tf = IS.shared_index(psg, "tfidf")
     return {"tfidf": R.tfidf_topk(tf, qs, k), "bm25": R.bm25_topk(bm, qs, k, "okapi"),
             "bm25_plus": R.bm25_topk(bm, qs, k, "plus")}
 
@@ -191,7 +192,7 @@ CONTEXTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm
 def _okapi_contexts(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    ranked = R.bm25_topk(build_index(psg), qs, K, "okapi")
+    ranked = R.bm25_topk(IS.shared_index(psg, "bm25"), qs, K, "okapi")
     return AS.assemble(AS.with_text(ranked, psg, bound_rows=qs.count() * K), qs, gold_col="question")
 
 
@@ -247,7 +248,7 @@ RANKING_SQL = O.with_(
 def ranking_metrics(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    index = build_index(psg)
+    index = IS.shared_index(psg, "bm25")
     ranked = R.bm25_topk(index, qs, K, "okapi")
     gold = RV.containing_passages(qs, psg, index)
     return RV.ranking_metrics(ranked, gold)
@@ -461,14 +462,14 @@ def _store_sql(where: str = "TRUE", all_terms: bool = False) -> str:
 @register("filtered_bm25", _store_sql(FILTER_AND_OR_SQL))
 def filtered_bm25(spark, sf_dir):
     docs = FX.store_documents(spark, sf_dir)
-    index = build_index(docs, "word")
+    index = IS.shared_index(docs, "bm25", "word")
     return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), docs, FILTER_AND_OR)
 
 
 @register("all_terms_match", _store_sql(all_terms=True))
 def all_terms_match(spark, sf_dir):
     docs = FX.store_documents(spark, sf_dir)
-    index = build_index(docs, "word")
+    index = IS.shared_index(docs, "bm25", "word")
     return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), all_terms_must_match=True)
 
 
@@ -620,8 +621,6 @@ def ivf_topk(spark, sf_dir):
     return VE.ivf_topk(index, qs, VECTOR_K, nprobe=VE.DEFAULT_NPROBE)
 
 
-from ..sources import index_store as IS  # noqa: E402
-
 
 @register("index_freshness",
           "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum "
@@ -661,7 +660,7 @@ READER_SQL = O.with_(
 def reader_topk(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    ranked = R.bm25_topk(build_index(psg), qs, RF.RETRIEVER_TOP_K, "okapi")
+    ranked = R.bm25_topk(IS.shared_index(psg, "bm25"), qs, RF.RETRIEVER_TOP_K, "okapi")
     return RF.read_retrieved(ranked, psg, qs)
 
 
@@ -686,8 +685,8 @@ RETRIEVAL_EVAL_SQL = O.with_(
 @register("retrieval_eval", RETRIEVAL_EVAL_SQL)
 def retrieval_eval(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
-    bm = build_index(psg)
-    tf = build_tfidf_index(psg)
+    bm = IS.shared_index(psg, "bm25")
+    tf = IS.shared_index(psg, "tfidf")
     out = RF.evaluate_retrievers({"tfidf": tf, "bm25": bm, "bm25_plus": bm}, psg,
                                  FX.questions(spark, sf_dir), K)
     return out.select("method", "n_questions", "hits", "hit_rate")

@@ -67,8 +67,8 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
-def materialize(df, name: str = "table"):
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def materialize(df, name: str = "table", path: str | None = None):
+    """Write ``df`` as Parquet in the shared folder (or at ``path``) and read it back.
 
     Cuts the lineage (later jobs and lost executors restart from the files,
     not from the raw tables) and lets several jobs reuse one computation.
@@ -76,6 +76,6 @@ def materialize(df, name: str = "table"):
     import uuid
 
     spark = df.sparkSession
-    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = path or shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -14,13 +14,16 @@ A stored index is reused only when the fingerprint and tokenizer match
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import get_tokenizer
-from ..operators.index import SparseIndex
+from ..functions.text import TOKENIZERS, get_tokenizer
+from ..operators.index import SparseIndex, build_index, build_tfidf_index
+from ..session import shared_path
 
 
 def fingerprint(df: DataFrame, id_col: str = "passage_id", text_col: str = "text",
@@ -54,14 +57,49 @@ def save_index(index: SparseIndex, path: str, fp: dict | None = None, tokenizer_
 
 def load_index(spark: SparkSession, path: str) -> tuple[SparseIndex, dict]:
     stats = spark.read.parquet(f"{path}/stats").first().asDict()
+    extras = {}
+    if stats.get("kind") == "tfidf":
+        extras = {"ngrams": bool(stats["ngrams"]), "max_features": int(stats["max_features"])}
     index = SparseIndex(postings=spark.read.parquet(f"{path}/postings"),
                         vocab=spark.read.parquet(f"{path}/vocab"),
-                        lengths=spark.read.parquet(f"{path}/lengths"),
+                        lengths=spark.read.parquet(f"{path}/tokens" if stats.get("kind") else f"{path}/lengths")
+                        .select("passage_id", "dl"),
                         n_docs=int(stats["n_docs"]), avgdl=float(stats["avgdl"]),
-                        tokenizer=get_tokenizer(stats["tokenizer"]))
+                        tokenizer=get_tokenizer(stats["tokenizer"]), extras=extras)
     return index, stats
 
 
+def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whitespace",
+                 **params) -> SparseIndex:
+    """The index of this corpus, built once per (kind, tokenizer, params,
+    corpus fingerprint) in the shared folder and loaded afterwards (S11,
+    R11): a changed corpus has another fingerprint, so a stale index is
+    never reused. Named tokenizers only (a callable has no stable name)."""
+    if tokenizer not in TOKENIZERS:
+        raise ValueError("shared_index needs a named tokenizer")
+    spark = passages.sparkSession
+    fp = fingerprint(passages).first().asDict()
+    key = hashlib.sha1(json.dumps([kind, tokenizer, params, fp], sort_keys=True,
+                                  default=str).encode()).hexdigest()[:20]
+    path = shared_path(spark, f"index-{kind}-{key}")
+    if index_exists(spark, path):
+        return load_index(spark, path)[0]
+    if kind == "bm25":
+        index = build_index(passages, tokenizer, out_dir=path)
+        row = {"kind": kind, "ngrams": False, "max_features": 0}
+    elif kind == "tfidf":
+        index = build_tfidf_index(passages, tokenizer, out_dir=path, **params)
+        row = {"kind": kind, "ngrams": bool(index.extras["ngrams"]),
+               "max_features": int(index.extras["max_features"])}
+    else:
+        raise ValueError(f"unknown index kind {kind!r}")
+    row.update({"n_docs": index.n_docs, "avgdl": float(index.avgdl), "tokenizer": tokenizer,
+                **{f"fp_{k}": v for k, v in fp.items()}})
+    # the stats table is written last: its presence marks a complete index
+    spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    return index
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(f"{path}/stats").limit(1).count()
