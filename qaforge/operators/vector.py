@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .common import rounded, top_n
 
 N_CELLS = 64
@@ -36,23 +37,12 @@ def squared_l2(a: Column, b: Column) -> Column:
                        F.lit(0.0).cast("double"), lambda acc, d: acc + d)
 
 
-@F.pandas_udf(T.DoubleType())
-def squared_l2_batch(q: pd.Series, v: pd.Series) -> pd.Series:
-    """Squared L2 of row pairs, one Arrow batch at a time (vectorized numpy;
-    the array-lambda form is interpreted per element and far slower)."""
-    if len(q) == 0:
-        return pd.Series([], dtype="float64")
-    a = np.stack(q.to_numpy()).astype(np.float64)
-    b = np.stack(v.to_numpy()).astype(np.float64)
-    d = a - b
-    return pd.Series(np.round(np.einsum("ij,ij->i", d, d), 6))
-
-
 @dataclass
 class IVFIndex:
     vectors: DataFrame        # vec_id, embedding, cell
     centroids: list           # list[list[float]]
     radii: dict               # cell -> max distance of a member to its centroid
+    sizes: dict = None        # cell -> number of vectors
 
     def centroid_column(self) -> Column:
         return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in self.centroids])
@@ -70,19 +60,68 @@ def build_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_it
                    predictionCol="cell").fit(feats)
     centroids = [list(map(float, c)) for c in model.clusterCenters()]
     index = IVFIndex(vectors=None, centroids=centroids, radii={})
-    assigned = feats.select("vec_id", "embedding").withColumn("cell", nearest_cells(index, F.col("embedding"), 1)[0])
-    radii = (assigned.withColumn("d", F.sqrt(squared_l2(F.col("embedding"),
-                                                          F.element_at(index.centroid_column(), F.col("cell") + 1))))
-             .groupBy("cell").agg(F.max("d").alias("r")).collect())
+    assigned = model.transform(feats).select("vec_id", "embedding", F.col("cell").cast("int"))
+    own = F.element_at(_centroid_distance_udf(centroids)(F.col("embedding")), F.col("cell") + 1)
+    stats = (assigned.withColumn("d", F.sqrt(own))
+             .groupBy("cell").agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect())
     index.vectors = assigned
-    index.radii = {int(r["cell"]): float(r["r"]) for r in radii}
+    index.radii = {int(r["cell"]): float(r["r"]) for r in stats}
+    index.sizes = {int(r["cell"]): int(r["n"]) for r in stats}
     return index
 
 
+def shared_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
+               id_col: str = "vec_id", vec_col: str = "embedding") -> IVFIndex:
+    """``build_ivf`` once per (vector-table fingerprint, parameters): the cell
+    assignment and centroids are written to the shared folder and reused."""
+    import hashlib
+    import json
+
+    from ..session import shared_path
+
+    spark = vectors.sparkSession
+    fp = vectors.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(id_col)).alias("s"),
+                     F.bit_xor(F.xxhash64(F.col(id_col), F.col(vec_col))).alias("h")).first().asDict()
+    key = hashlib.sha1(json.dumps([n_cells, seed, max_iter, fp], sort_keys=True).encode()).hexdigest()[:20]
+    path = shared_path(spark, f"ivf-{key}")
+    try:
+        cells = spark.read.parquet(f"{path}/cells").collect()
+        assigned = spark.read.parquet(f"{path}/vectors")
+    except Exception:  # noqa: BLE001 -- not built yet
+        index = build_ivf(vectors, n_cells, seed, max_iter, id_col, vec_col)
+        index.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+        rows = [(i, c, index.radii.get(i, 0.0), index.sizes.get(i, 0)) for i, c in enumerate(index.centroids)]
+        spark.createDataFrame(rows, "cell int, centroid array<double>, radius double, size long") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
+        cells = spark.read.parquet(f"{path}/cells").collect()
+        assigned = spark.read.parquet(f"{path}/vectors")
+    cells = sorted(cells, key=lambda r: r["cell"])
+    return IVFIndex(vectors=assigned, centroids=[list(r["centroid"]) for r in cells],
+                    radii={r["cell"]: r["radius"] for r in cells if r["size"]},
+                    sizes={r["cell"]: r["size"] for r in cells if r["size"]})
+
+
+def _centroid_distance_udf(centroids: list):
+    """Arrow-batched squared distances from each vector to every centroid
+    (the centroid matrix is cells x dim, a bounded driver value)."""
+    cmat = np.asarray(centroids, dtype=np.float64)
+    cnorm = (cmat * cmat).sum(axis=1)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def dist(vs: pd.Series) -> pd.Series:
+        if len(vs) == 0:
+            return pd.Series([], dtype=object)
+        x = np.stack(vs.to_numpy()).astype(np.float64)
+        d = (x * x).sum(axis=1)[:, None] + cnorm[None, :] - 2.0 * (x @ cmat.T)
+        return pd.Series(list(np.maximum(d, 0.0)))
+
+    return dist
+
+
 def _centroid_distances(index: IVFIndex, q: Column) -> Column:
     """array<struct<d, cell>> of squared distances from q to every centroid."""
-    cents = index.centroid_column()
-    return F.transform(cents, lambda c, i: F.struct(squared_l2(q, c).alias("d"), i.alias("cell")))
+    udf = _centroid_distance_udf(index.centroids)
+    return F.transform(udf(q), lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
 
 
 def nearest_cells(index: IVFIndex, q: Column, nprobe: int) -> Column:
@@ -90,10 +129,73 @@ def nearest_cells(index: IVFIndex, q: Column, nprobe: int) -> Column:
                        lambda s: s["cell"])
 
 
-def _probe(queries: DataFrame, vectors: DataFrame, cells: Column) -> DataFrame:
+# Largest number of vectors / probing queries one block holds. A cell above
+# either bound is split (vectors by id hash, queries by id hash), so a cell
+# holding a third of all vectors becomes many bounded tasks.
+VEC_BLOCK = 20_000
+QUERY_BLOCK = 20_000
+QUERY_CHUNK = 256
+
+
+def _block_schema() -> str:
+    return "qid long, vec_id long, distance double"
+
+
+def _block_topk_fn(k: int, margin: int):
+    def fn(qdf: pd.DataFrame, vdf: pd.DataFrame) -> pd.DataFrame:
+        if qdf.empty or vdf.empty:
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
+                                 "distance": pd.Series([], dtype="float64")})
+        vecs = np.stack(vdf["v"].to_numpy()).astype(np.float64)
+        vids = vdf["vec_id"].to_numpy(dtype=np.int64)
+        vnorm = (vecs * vecs).sum(axis=1)
+        qs = np.stack(qdf["q"].to_numpy()).astype(np.float64)
+        qids = qdf["qid"].to_numpy(dtype=np.int64)
+        m = min(k + margin, len(vids))
+        out_q, out_v, out_d = [], [], []
+        for lo in range(0, len(qids), QUERY_CHUNK):
+            q = qs[lo:lo + QUERY_CHUNK]
+            approx = (q * q).sum(axis=1)[:, None] + vnorm[None, :] - 2.0 * (q @ vecs.T)
+            cand = np.argpartition(approx, m - 1, axis=1)[:, :m] if m < len(vids) else \
+                np.tile(np.arange(len(vids)), (len(q), 1))
+            diff = vecs[cand] - q[:, None, :]
+            exact = np.round((diff * diff).sum(axis=2), 6)
+            for row in range(len(q)):
+                order = np.lexsort((vids[cand[row]], exact[row]))[:k]
+                out_q.append(np.full(len(order), qids[lo + row], dtype=np.int64))
+                out_v.append(vids[cand[row]][order])
+                out_d.append(exact[row][order])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
+                             "distance": np.concatenate(out_d)})
+    return fn
+
+
+def _probe(queries: DataFrame, index: IVFIndex, cells: Column, k: int, margin: int | None = None) -> DataFrame:
+    """Top-k candidates of each query inside the cells it probes.
+
+    Queries and vectors meet per (cell, vector block, query block) in a
+    cogrouped ``applyInPandas``; each block is a numpy distance matrix
+    (no row per pair), cut to the block's k best per query. The block
+    counts come from per-cell sizes (one row per cell on the driver)."""
     probes = queries.select("qid", F.col("embedding").alias("q"), F.explode(cells).alias("cell"))
-    joined = probes.join(vectors.select("vec_id", F.col("embedding").alias("v"), "cell"), "cell")
-    return joined.select("qid", "vec_id", squared_l2_batch(F.col("q"), F.col("v")).alias("distance"))
+    n_probe = {int(r["cell"]): int(r["n"]) for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = index.sizes or {}
+    vsub = {c: max(1, math.ceil(sizes.get(c, 0) / VEC_BLOCK)) for c in set(sizes) | set(n_probe)}
+    qblk = {c: max(1, math.ceil(n_probe.get(c, 0) / QUERY_BLOCK)) for c in vsub}
+
+    def lookup(table: dict) -> Column:
+        return F.create_map(*[x for c, v in sorted(table.items()) for x in (F.lit(c), F.lit(v))])
+
+    vmap, qmap = lookup(vsub), lookup(qblk)
+    q_side = (probes.withColumn("qb", F.pmod(F.xxhash64("qid"), F.element_at(qmap, F.col("cell"))))
+              .withColumn("vs", F.explode(F.sequence(F.lit(0), F.element_at(vmap, F.col("cell")) - 1))))
+    v_side = (index.vectors.select("vec_id", F.col("embedding").alias("v"), "cell")
+              .withColumn("vs", F.pmod(F.xxhash64("vec_id"), F.element_at(vmap, F.col("cell"))))
+              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.element_at(qmap, F.col("cell")) - 1))))
+    fn = _block_topk_fn(k, k if margin is None else margin)
+    return (q_side.groupBy("cell", "vs", "qb")
+            .cogroup(v_side.groupBy("cell", "vs", "qb"))
+            .applyInPandas(fn, _block_schema()))
 
 
 def _rank(cands: DataFrame, k: int) -> DataFrame:
@@ -106,7 +208,7 @@ def ivf_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = DEF
     """Approximate top-k by squared L2 within the ``nprobe`` nearest cells.
     Fewer than k neighbours in the probed cells -> fewer rows (no -1 ids)."""
     q = queries.select("qid", "embedding")
-    return _rank(_probe(q, index.vectors, nearest_cells(index, F.col("embedding"), nprobe)), k)
+    return _rank(_probe(q, index, nearest_cells(index, F.col("embedding"), nprobe), k), k)
 
 
 def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4) -> DataFrame:
@@ -114,7 +216,7 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
     cells the triangle-inequality bound cannot exclude."""
     q = queries.select("qid", "embedding")
     first_cells = nearest_cells(index, F.col("embedding"), nprobe)
-    first = _rank(_probe(q, index.vectors, first_cells), k)
+    first = materialize(_rank(_probe(q, index, first_cells, k), k), "vector-first-pass")
     kth = first.groupBy("qid").agg(F.max("distance").alias("dk"), F.count(F.lit(1)).alias("n"))
     radius = F.create_map(*[x for c, r in sorted(index.radii.items()) for x in (F.lit(c), F.lit(r))]) \
         if index.radii else F.create_map().cast("map<int,double>")
@@ -128,7 +230,7 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
               <= F.sqrt(F.col("dk")) + slack)))
     second_q = (q.withColumn("first", first_cells).join(kth, "qid", "left")
                 .select("qid", "embedding", F.transform(more, lambda s: s["cell"]).alias("cells")))
-    second = _probe(second_q, index.vectors, F.col("cells"))
+    second = _probe(second_q, index, F.col("cells"), k)
     cands = first.select("qid", "vec_id", "distance").unionByName(second)
     return _rank(cands, k)
 

@@ -610,14 +610,14 @@ def _vector_queries(spark, sf_dir):
           f"WHERE rank <= {VECTOR_K}")
 def exact_vector_topk(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
-    index = VE.build_ivf(emb)
+    index = VE.shared_ivf(emb)
     return VE.exact_topk(index, qs, VECTOR_K)
 
 
 @register("ivf_topk")
 def ivf_topk(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
-    index = VE.build_ivf(emb)
+    index = VE.shared_ivf(emb)
     return VE.ivf_topk(index, qs, VECTOR_K, nprobe=VE.DEFAULT_NPROBE)
 
 
