@@ -73,6 +73,8 @@ def nbest(features: DataFrame, examples: DataFrame, n_best: int = N_BEST,
     Output: ``example_id, rank int, text, start_logit, end_logit, score,
     probability, is_null``. With ``with_null`` the minimum null candidate
     competes, and is appended after the n-best if it was cut (D6).
+    ``features`` is read more than once: pass a stored table (see
+    ``session.materialize``) rather than a long lazy plan.
     """
     cands = window_candidates(features, n_best, max_answer_len, id_col)
     order = [F.col("score").desc(), F.col("window").asc(), F.col("si").asc(), F.col("ei").asc()]

@@ -13,6 +13,7 @@ from ..operators import retrieve as R
 from ..operators.index import build_index, build_tfidf_index
 from ..sources import fixtures as FX
 from ..sources import index_store as IS
+from ..session import materialize
 from . import oracle as O
 
 K = R.DEFAULT_K
@@ -262,8 +263,10 @@ from . import oracle_reading as OR  # noqa: E402
 
 
 def _features(spark, sf_dir):
+    """QA examples and their scored windows; the windows are read by several
+    steps of the decoder, so they are written once to the shared folder."""
     ex = FX.qa_examples(spark, sf_dir)
-    feats = WN.synthetic_logits(WN.context_windows(ex))
+    feats = materialize(WN.synthetic_logits(WN.context_windows(ex)), "features")
     return ex, feats
 
 

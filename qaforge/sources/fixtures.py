@@ -25,8 +25,31 @@ ANSWER_PATTERN = r"^(\s*\S+\s+\S+\s+)(\S+\s+\S+\s+\S+)"
 EXAMPLE_ID_STRIDE = 1000
 
 
-def passages(spark: SparkSession, sf_dir: str, keep=("lang", "source", "n_chars")) -> DataFrame:
-    return distinct_passages(table(spark, sf_dir, "documents"), keep=tuple(keep))
+def passages(spark: SparkSession, sf_dir: str, keep=("lang", "source", "n_chars"),
+             stored: bool = True) -> DataFrame:
+    """Distinct passages of ``documents``. With ``stored`` the deduplicated
+    table is written once per input (keyed by the source files' names,
+    sizes and modification times) to the shared folder, and read from there
+    by every later query instead of re-shuffling all texts."""
+    docs = table(spark, sf_dir, "documents")
+    if not stored:
+        return distinct_passages(docs, keep=tuple(keep))
+    import hashlib
+
+    from ..session import shared_path
+
+    # file listing only: the binaryFile source prunes the unread content column
+    src = f"{sf_dir.rstrip('/')}/documents.parquet"
+    files = (spark.read.format("binaryFile").load(src)
+             .select("path", "length", "modificationTime").collect())
+    stamp = [(r["path"], r["length"], str(r["modificationTime"])) for r in files]
+    key = hashlib.sha1(repr((sorted(stamp), tuple(keep))).encode()).hexdigest()[:20]
+    path = shared_path(spark, f"passages-{key}")
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 -- first use: build it
+        distinct_passages(docs, keep=tuple(keep)).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

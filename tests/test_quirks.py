@@ -50,16 +50,18 @@ def test_q14_every_candidate_empty_gives_empty_string(spark):
 
 
 def test_q15_settings_argument_wins(spark):
+    import uuid
+    tag = uuid.uuid4().hex[:8]          # managed-table folders outlive a session
     df = spark.createDataFrame([(1, "x")], "passage_id long, document_text string")
-    IS.drop_index_table(spark, "q15_index")
-    assert IS.create_index_table(df, "q15_index", {"analyzer": "word", "similarity": "bm25"})
-    assert IS.index_properties(spark, "q15_index")["analyzer"] == "word"
-    assert not IS.create_index_table(df, "q15_index")          # create-if-absent keeps it
-    assert "q15_index" in IS.list_index_tables(spark)
+    IS.drop_index_table(spark, f"q15_index_{tag}")
+    assert IS.create_index_table(df, f"q15_index_{tag}", {"analyzer": "word", "similarity": "bm25"})
+    assert IS.index_properties(spark, f"q15_index_{tag}")["analyzer"] == "word"
+    assert not IS.create_index_table(df, f"q15_index_{tag}")          # create-if-absent keeps it
+    assert f"q15_index_{tag}" in IS.list_index_tables(spark)
     stored, rejected = IS.write_with_rejects(
         spark.createDataFrame([(1, "ok"), (2, None)], "passage_id long, document_text string"),
         __import__("pyspark.sql.functions", fromlist=["col"]).col("document_text").isNotNull(),
-        "q15_loaded", "q15_rejects")
+        f"q15_loaded_{tag}", f"q15_rejects_{tag}")
     assert (stored, rejected) == (1, 1)
-    IS.drop_index_table(spark, "q15_index")
-    assert "q15_index" not in IS.list_index_tables(spark)
+    IS.drop_index_table(spark, f"q15_index_{tag}")
+    assert f"q15_index_{tag}" not in IS.list_index_tables(spark)
