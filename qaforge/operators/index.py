@@ -99,9 +99,13 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
     """
     tok = get_tokenizer(tokenizer)
     terms = uni_and_bigrams(tok(F.col("text"))) if ngrams else tok(F.col("text"))
-    counts, lengths = term_postings(passages, terms, materialize, out_dir)
+    # gram counts straight from the passages (the n-gram arrays are never
+    # written); TF-IDF needs only the passage ids from the length table
+    counts, _ = term_postings(passages, terms)
+    lengths = passages.select("passage_id", F.lit(0).alias("dl"))
     if materialize:
         counts = _out(counts, "gram_counts", out_dir)
+        lengths = _out(lengths, "tokens", out_dir)
     n = lengths.count()
     vocab = (top_terms(counts, max_features)
              .withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0))

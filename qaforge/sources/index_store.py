@@ -84,6 +84,14 @@ def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whit
     path = shared_path(spark, f"index-{kind}-{key}")
     if index_exists(spark, path):
         return load_index(spark, path)[0]
+    return build_and_save(passages, path, kind, tokenizer, fp, **params)
+
+
+def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer: str = "whitespace",
+                   fp: dict | None = None, **params) -> SparseIndex:
+    """Build an index straight into ``path`` (each table written once) and
+    record its statistics; ``load_index(path)`` reads it back."""
+    spark = passages.sparkSession
     if kind == "bm25":
         index = build_index(passages, tokenizer, out_dir=path)
         row = {"kind": kind, "ngrams": False, "max_features": 0}
@@ -94,7 +102,7 @@ def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whit
     else:
         raise ValueError(f"unknown index kind {kind!r}")
     row.update({"n_docs": index.n_docs, "avgdl": float(index.avgdl), "tokenizer": tokenizer,
-                **{f"fp_{k}": v for k, v in fp.items()}})
+                **{f"fp_{k}": v for k, v in (fp or {}).items()}})
     # the stats table is written last: its presence marks a complete index
     spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
     return index
