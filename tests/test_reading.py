@@ -176,3 +176,39 @@ def test_synthetic_logits_shape(spark):
     assert len(f["start_logits"]) == len(f["offsets"]) == len(f["end_logits"])
     assert f["start_logits"][1] == ((7 * 7919 + 0 * 31 + 1 * 104729) % 2003) / 100.0
     assert F is not None
+
+
+def test_user_model_hook_and_reader_metrics(spark):
+    """a user scorer runs through mapInPandas; T7/D11 limits; E7 metrics."""
+    import pandas as pd
+
+    from qaforge.operators import metrics as MT
+    from qaforge.plans import reading_flow as RF
+
+    passages = spark.createDataFrame([(1, "the capital is Seoul city"), (2, "Busan is a port")],
+                                     "passage_id long, text string")
+    questions = spark.createDataFrame([(5, "what is the capital")], "qid long, question string")
+    ranked = spark.createDataFrame([(5, 1, 1, 1.0), (5, 2, 2, 0.5)], "qid long, rank int, passage_id long, score double")
+
+    def model(batches):
+        # prefers the token "Seoul" as start and end
+        for pdf in batches:
+            starts, ends = [], []
+            for offs in pdf["offsets"]:
+                s = [0.0] * len(offs)
+                for i, o in enumerate(offs):
+                    if o is not None and o["e"] - o["s"] == 5:
+                        s[i] = 5.0
+                starts.append(s)
+                ends.append(list(s))
+            yield pd.DataFrame({"example_id": pdf["example_id"], "window": pdf["window"],
+                                "offsets": pdf["offsets"], "start_logits": starts, "end_logits": ends})
+
+    out = RF.read_retrieved(ranked, passages, questions, model=model, top_k=2,
+                            max_passages_per_question=2)
+    rows = out.orderBy("rank").collect()
+    assert rows[0]["text"] in ("Seoul", "Busan") and rows[0]["score"] == 10.0
+    answers = out.withColumn("id", out["qid"].cast("string"))
+    gold = spark.createDataFrame([("5", (["Seoul"],))], "id string, answers struct<text:array<string>>")
+    m = MT.reader_topk_metrics(answers, gold, k=2).first()
+    assert m["em"] == 1.0 and m["n_questions"] == 1
