@@ -693,3 +693,25 @@ def retrieval_eval(spark, sf_dir):
     out = RF.evaluate_retrievers({"tfidf": tf, "bm25": bm, "bm25_plus": bm}, psg,
                                  FX.questions(spark, sf_dir), K)
     return out.select("method", "n_questions", "hits", "hit_rate")
+
+
+@register("row_counts", O.with_(
+    O.PASSAGES, OR.EXAMPLES, *OR.TOKENS, *OR.WINDOWS,
+    "lab AS (SELECT unnest(CASE WHEN len(ans_text) = 0 THEN [NULL::VARCHAR] ELSE ans_text END) AS a FROM ex)") + (
+    "SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL "
+    "SELECT 'passages', count(*) FROM passages UNION ALL "
+    "SELECT 'questions', count(*) FROM benchmark UNION ALL "
+    "SELECT 'examples', count(*) FROM ex UNION ALL "
+    "SELECT 'labels', count(*) FROM lab UNION ALL "
+    "SELECT 'windows', count(*) FROM win"))
+def row_counts(spark, sf_dir):
+    """Row counts of the stored tables and derived splits (A15), one row each."""
+    ex = FX.qa_examples(spark, sf_dir)
+    parts = [("documents", table(spark, sf_dir, "documents")), ("passages", FX.passages(spark, sf_dir)),
+             ("questions", FX.questions(spark, sf_dir)), ("examples", ex),
+             ("labels", PR.label_rows(ex)), ("windows", WN.context_windows(ex))]
+    out = None
+    for name, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
