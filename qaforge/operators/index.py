@@ -80,12 +80,30 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
 
 def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     """The ``max_features`` terms with the highest corpus count, ties by term
-    (A3). ``orderBy().limit()`` plans as TakeOrderedAndProject: each
-    partition keeps its own best ``max_features`` rows."""
-    return (counts.groupBy("term")
-            .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-            .orderBy(F.desc("cf"), F.asc("term"))
-            .limit(max_features))
+    (A3), without funnelling every partition's top rows into one task.
+
+    1. per-term totals (partial aggregation);
+    2. a histogram ``cf -> number of terms`` (one row per distinct count),
+       of which only the largest ``max_features`` counts can matter: read
+       to the driver (bounded by ``max_features`` rows) to find the cut-off
+       count c* and how many terms lie strictly above it;
+    3. every term with ``cf > c*`` plus the first remaining ones with
+       ``cf = c*`` in term order (a limit over the tie set only).
+    """
+    totals = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    hist = (totals.groupBy("cf").agg(F.count(F.lit(1)).alias("n_terms"))
+            .orderBy(F.desc("cf")).limit(max_features).collect())
+    seen, cut, above = 0, None, 0
+    for row in hist:
+        if seen + row["n_terms"] >= max_features:
+            cut, above = row["cf"], seen
+            break
+        seen += row["n_terms"]
+    if cut is None:                      # fewer terms than the cap: keep all
+        return totals
+    head = totals.where(F.col("cf") > cut)
+    ties = totals.where(F.col("cf") == cut).orderBy("term").limit(max_features - above)
+    return head.unionByName(ties)
 
 
 def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
