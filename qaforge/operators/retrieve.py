@@ -113,7 +113,11 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
     defaults = {"okapi": OKAPI, "plus": PLUS, "l": BM25L, "server": SERVER}[variant]
     p = {**defaults, **(params or {})}
     k1, b = p["k1"], p["b"]
-    mean_idf = okapi_mean_idf(index) if variant == "okapi" else None
+    mean_idf = None
+    if variant == "okapi":
+        mean_idf = index.extras.get("mean_idf")
+        if mean_idf is None:
+            mean_idf = okapi_mean_idf(index)
     qterms = query_terms(questions, index.tokenizer, qid_col, text_col)
     qside, is_small = _small(qterms, max_broadcast_rows)
     qv = (qside.join(index.vocab, "term")

@@ -58,6 +58,8 @@ def save_index(index: SparseIndex, path: str, fp: dict | None = None, tokenizer_
 def load_index(spark: SparkSession, path: str) -> tuple[SparseIndex, dict]:
     stats = spark.read.parquet(f"{path}/stats").first().asDict()
     extras = {}
+    if stats.get("mean_idf") is not None:
+        extras["mean_idf"] = float(stats["mean_idf"])
     if stats.get("kind") == "tfidf":
         extras = {"ngrams": bool(stats["ngrams"]), "max_features": int(stats["max_features"])}
     index = SparseIndex(postings=spark.read.parquet(f"{path}/postings"),
@@ -93,8 +95,10 @@ def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer
     record its statistics; ``load_index(path)`` reads it back."""
     spark = passages.sparkSession
     if kind == "bm25":
+        from ..operators.retrieve import okapi_mean_idf
         index = build_index(passages, tokenizer, out_dir=path)
-        row = {"kind": kind, "ngrams": False, "max_features": 0}
+        index.extras["mean_idf"] = okapi_mean_idf(index)
+        row = {"kind": kind, "ngrams": False, "max_features": 0, "mean_idf": index.extras["mean_idf"]}
     elif kind == "tfidf":
         index = build_tfidf_index(passages, tokenizer, out_dir=path, **params)
         row = {"kind": kind, "ngrams": bool(index.extras["ngrams"]),
