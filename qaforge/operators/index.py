@@ -90,7 +90,9 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     3. every term with ``cf > c*`` plus the first remaining ones with
        ``cf = c*`` in term order (a limit over the tie set only).
     """
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    # read three times below (histogram, head, ties): computed once
+    totals = _write(counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df")),
+                    "term-totals")
     hist = (totals.groupBy("cf").agg(F.count(F.lit(1)).alias("n_terms"))
             .orderBy(F.desc("cf")).limit(max_features).collect())
     seen, cut, above = 0, None, 0

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_MAX_ROWS, rounded
+from .common import rounded
 from .index import SparseIndex
 
 SHORT_TEXT_MAX_ROWS = 100_000
@@ -86,4 +86,4 @@ def ranking_metrics(ranked: DataFrame, gold: DataFrame) -> DataFrame:
           for c in ("recall_single_hit", "recall_multi_hit", "precision", "rr", "ap", "ndcg")])
 
 
-__all__ = ["containing_passages", "ranking_metrics", "BROADCAST_MAX_ROWS"]
+__all__ = ["containing_passages", "ranking_metrics"]

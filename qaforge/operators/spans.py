@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_MAX_ROWS, rounded, top_n
+from .common import top_n
 
 # Decoding defaults.
 N_BEST = 20
@@ -136,4 +136,4 @@ def nbest_records(nb: DataFrame, id_col: str = "example_id") -> DataFrame:
         "rank", "text", "start_logit", "end_logit", "probability"))).alias("nbest"))
 
 
-__all__ = ["nbest", "best_answers", "null_odds", "nbest_records", "rounded", "BROADCAST_MAX_ROWS"]
+__all__ = ["nbest", "best_answers", "null_odds", "nbest_records", "window_candidates", "null_candidates"]

@@ -9,8 +9,6 @@ side before the join, so Catalyst can prune there.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,4 +124,4 @@ def tfidf_store_guard(filters: dict | None = None, scale_score: bool | None = No
 
 
 __all__ = ["keyword_retrieve", "keyword_retrieve_batch", "filter_only", "multi_field_retrieve",
-           "highlight", "scale_score", "math"]
+           "highlight", "scale_score", "tfidf_store_guard"]

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rounded, top_n
+from .common import top_n
 
 
 def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int,
@@ -85,4 +85,4 @@ def matches_only_topk(matched: DataFrame, k: int) -> DataFrame:
                          F.col("passage_id").cast("long"), F.col("score").cast("double"))
 
 
-__all__ = ["exhaustive_topk", "matches_only_topk", "rounded"]
+__all__ = ["exhaustive_topk", "matches_only_topk"]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import rounded, top_n
+from .common import top_n
 
 N_CELLS = 64
 DEFAULT_NPROBE = 1
@@ -235,4 +235,4 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
     return _rank(cands, k)
 
 
-__all__ = ["build_ivf", "ivf_topk", "exact_topk", "squared_l2", "math"]
+__all__ = ["build_ivf", "shared_ivf", "ivf_topk", "exact_topk", "squared_l2"]

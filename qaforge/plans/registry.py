@@ -10,7 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import retrieve as R
-from ..operators.index import build_index, build_tfidf_index
 from ..sources import fixtures as FX
 from ..sources import index_store as IS
 from ..session import materialize
@@ -423,7 +422,6 @@ def squad_em_f1(spark, sf_dir):
 # --- step 5: filters, keyword store retrieval, multi-field, highlights --------
 
 from ..operators import store as ST  # noqa: E402
-from ..functions.filters import compile_filter  # noqa: E402
 
 # The two filter examples of the store documentation, with
 # the fields renamed to this data's metadata (lang, source, n_chars).
