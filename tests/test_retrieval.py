@@ -181,3 +181,23 @@ def test_permutation_invariance(spark):
     a = as_dict(R.bm25_topk(build_index(distinct_passages(docs_df(spark))), q_df(spark), 3))
     b = as_dict(R.bm25_topk(build_index(distinct_passages(docs_df(spark, rows))), q_df(spark), 3))
     assert a == b
+
+
+@pytest.mark.parametrize("variant", ["okapi", "plus"])
+def test_salted_shuffle_path_equals_broadcast_path(spark, variant):
+    """Above the broadcast bound the query side is shuffled and the postings
+    are salted by passage id; the result must not change."""
+    idx = build_index(distinct_passages(docs_df(spark)))
+    a = as_dict(R.bm25_topk(idx, q_df(spark), 4, variant))
+    b = as_dict(R.bm25_topk(idx, q_df(spark), 4, variant, max_broadcast_rows=0, salt=3))
+    assert a == b
+    plan = R.bm25_topk(idx, q_df(spark), 4, variant, max_broadcast_rows=0, salt=3) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "salt" in plan
+
+
+def test_tfidf_salted_path(spark):
+    idx = build_tfidf_index(distinct_passages(docs_df(spark)))
+    a = as_dict(R.tfidf_topk(idx, q_df(spark), 3))
+    b = as_dict(R.tfidf_topk(idx, q_df(spark), 3, max_broadcast_rows=0, salt=2))
+    assert a == b
