@@ -172,3 +172,16 @@ def test_containing_passages_matches_brute_force(spark, sf0001):
     texts = [(r["passage_id"], r["text"]) for r in psg.collect()]
     want = sorted((q["qid"], p) for q in qs.collect() for p, t in texts if q["question"] in t)
     assert got == want and len(want) > 0
+
+
+def test_keyword_batch_one_filter_per_query(spark):
+    from qaforge.operators.index import build_index
+    docs = spark.createDataFrame([(1, "red apple pie", "en"), (2, "red car", "en"), (3, "red tree", "de")],
+                                 "passage_id long, text string, lang string")
+    qs = spark.createDataFrame([(1, "red"), (2, "red")], "qid long, question string")
+    idx = build_index(docs, "word")
+    got = ST.keyword_retrieve_batch(idx, qs, docs, {1: {"lang": "de"}, 2: {"lang": "en"}}).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["qid"], set()).add(r["passage_id"])
+    assert by_q == {1: {3}, 2: {1, 2}}
