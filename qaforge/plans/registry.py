@@ -713,3 +713,28 @@ def row_counts(spark, sf_dir):
         c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+from ..sources import readers as RD  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..session import shared_path  # noqa: E402
+
+
+@register("csv_roundtrip", O.with_(OR.EXAMPLES)
+          + "SELECT id, question, context, ans_text[1] AS first_answer, ans_start[1] AS answer_start FROM ex")
+def csv_roundtrip(spark, sf_dir):
+    """QA examples exported as a CSV split (S6, answers as JSON text), read
+    back with an explicit all-string schema (S4) and the answers parsed
+    (S5)."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    ex = FX.qa_examples(spark, sf_dir).select("id", "question", "context", "answers")
+    path = shared_path(spark, f"csv-split-{uuid.uuid4().hex[:12]}")
+    SK.export_csv(ex, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "question", "context", "answers")])
+    back = RD.read_csv_split(spark, path, schema).withColumn("a", RD.parse_answers(F.col("answers")))
+    return back.select("id", "question", F.coalesce(F.col("context"), F.lit("")).alias("context"),
+                       F.try_element_at("a.text", F.lit(1)).alias("first_answer"),
+                       F.try_element_at("a.answer_start", F.lit(1)).alias("answer_start"))

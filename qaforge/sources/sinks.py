@@ -16,7 +16,9 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     cols = [F.to_json(F.col(f.name)).alias(f.name)
             if f.dataType.typeName() in ("struct", "array", "map") else F.col(f.name)
             for f in df.schema.fields]
-    df.select(*cols).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    (df.select(*cols).write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
