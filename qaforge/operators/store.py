@@ -68,20 +68,39 @@ def keyword_retrieve(index: SparseIndex, questions: DataFrame, docs: DataFrame |
 
 
 def keyword_retrieve_batch(index: SparseIndex, questions: DataFrame, docs: DataFrame,
-                           filters_by_qid: dict, top_k: int = STORE_TOP_K, **kw) -> DataFrame:
-    """One filter per query: the distinct filters become one CASE predicate
-    on (qid, document) after the join."""
-    pred = F.lit(True)
-    cases = None
+                           filters_by_qid: dict, top_k: int = STORE_TOP_K,
+                           all_terms_must_match: bool = False, scale: bool = True) -> DataFrame:
+    """One filter per query (R9 batch form), as data rather than one
+    expression per query: the distinct filters get ids, ``(qid,
+    filter_id)`` is a table, each distinct filter's allowed documents are
+    one filtered scan, and matched scores are semi-joined on
+    ``(filter_id, passage_id)``. Queries without a filter are unrestricted."""
+    import json
+
+    spark = questions.sparkSession
+    ids: dict[str, int] = {}
+    compiled = []
+    pairs = []
     for qid, flt in filters_by_qid.items():
-        cond = compile_filter(flt)
-        cases = F.when(F.col("qid") == qid, cond) if cases is None else cases.when(F.col("qid") == qid, cond)
-    if cases is not None:
-        pred = cases.otherwise(F.lit(True))
-    scores = keyword_scores(index, questions, None, kw.get("all_terms_must_match", False))
-    allowed = scores.join(docs, "passage_id").where(pred).select("qid", "passage_id", "score")
-    ranked = matches_only_topk(allowed, top_k)
-    if kw.get("scale", True):
+        key = json.dumps(flt, sort_keys=True, default=str)
+        if key not in ids:
+            ids[key] = len(ids)
+            compiled.append(compile_filter(flt))
+        pairs.append((int(qid), ids[key]))
+    scores = keyword_scores(index, questions, None, all_terms_must_match)
+    if pairs:
+        qf = spark.createDataFrame(pairs, "qid long, filter_id int")
+        allowed = None
+        for fid, cond in enumerate(compiled):
+            part = docs.where(cond).select("passage_id", F.lit(fid).alias("filter_id"))
+            allowed = part if allowed is None else allowed.unionByName(part)
+        tagged = scores.join(qf, "qid", "left")
+        scores = (tagged.where(F.col("filter_id").isNull())
+                  .unionByName(tagged.where(F.col("filter_id").isNotNull())
+                               .join(allowed, ["filter_id", "passage_id"], "left_semi"))
+                  .drop("filter_id"))
+    ranked = matches_only_topk(scores, top_k)
+    if scale:
         ranked = ranked.withColumn("score", rounded(scale_score(F.col("score"))))
     return ranked
 

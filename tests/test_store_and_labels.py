@@ -185,3 +185,16 @@ def test_keyword_batch_one_filter_per_query(spark):
     for r in got:
         by_q.setdefault(r["qid"], set()).add(r["passage_id"])
     assert by_q == {1: {3}, 2: {1, 2}}
+
+
+def test_keyword_batch_shared_and_missing_filters(spark):
+    from qaforge.operators.index import build_index
+    docs = spark.createDataFrame([(1, "red apple pie", "en"), (2, "red car", "en"), (3, "red tree", "de")],
+                                 "passage_id long, text string, lang string")
+    qs = spark.createDataFrame([(1, "red"), (2, "red"), (3, "red")], "qid long, question string")
+    idx = build_index(docs, "word")
+    got = ST.keyword_retrieve_batch(idx, qs, docs, {1: {"lang": "de"}, 2: {"lang": "de"}}).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r["qid"], set()).add(r["passage_id"])
+    assert by_q == {1: {3}, 2: {3}, 3: {1, 2, 3}}     # query 3 has no filter
