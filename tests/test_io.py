@@ -100,3 +100,13 @@ def test_question_stream_matches_batch(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").select("qid", "rank", "passage_id").collect())
     want = sorted(tuple(r) for r in R.bm25_topk(idx, qs, 2).select("qid", "rank", "passage_id").collect())
     assert got == want
+
+
+def test_stage_results_export(spark):
+    d = tmpdir()
+    stages = {"retriever": spark.createDataFrame([(1, 0.5)], "qid long, recall double"),
+              "reader": spark.createDataFrame([("a", 1.0)], "id string, em double")}
+    SK.save_stage_results(stages, d)
+    got = RD.read_csv_split(spark, f"{d}/reader").collect()
+    assert [(r["id"], r["em"]) for r in got] == [("a", "1.0")]
+    assert sorted(os.listdir(d)) == ["reader", "retriever"]
