@@ -84,9 +84,10 @@ def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whit
     key = hashlib.sha1(json.dumps([kind, tokenizer, params, fp], sort_keys=True,
                                   default=str).encode()).hexdigest()[:20]
     path = shared_path(spark, f"index-{kind}-{key}")
-    if index_exists(spark, path):
+    try:                                  # one read: present and complete (stats written last)
         return load_index(spark, path)[0]
-    return build_and_save(passages, path, kind, tokenizer, fp, **params)
+    except Exception:  # noqa: BLE001 -- absent: build it
+        return build_and_save(passages, path, kind, tokenizer, fp, **params)
 
 
 def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer: str = "whitespace",
