@@ -98,8 +98,10 @@ def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer
     if kind == "bm25":
         from ..operators.retrieve import okapi_mean_idf
         index = build_index(passages, tokenizer, out_dir=path)
-        index.extras["mean_idf"] = okapi_mean_idf(index)
-        row = {"kind": kind, "ngrams": False, "max_features": 0, "mean_idf": index.extras["mean_idf"]}
+        row = {"kind": kind, "ngrams": False, "max_features": 0}
+        if tokenizer == "whitespace":      # Okapi's index; others compute it on demand
+            index.extras["mean_idf"] = okapi_mean_idf(index)
+            row["mean_idf"] = index.extras["mean_idf"]
     elif kind == "tfidf":
         index = build_tfidf_index(passages, tokenizer, out_dir=path, **params)
         row = {"kind": kind, "ngrams": bool(index.extras["ngrams"]),
