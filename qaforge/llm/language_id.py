@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import spans, utf8
@@ -51,13 +51,18 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> DataFrame:
-    """At most ``rows`` texts per language, chosen by a hash of the text."""
-    labelled = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                           & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
-                           & (F.octet_length("text") <= most))
-                .select("lang", "text", F.xxhash64("text").alias("_h")))
-    order = Window.partitionBy("lang").orderBy("_h", "text")
-    return labelled.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= rows).select("lang", "text")
+    """About ``2 * rows`` different texts per language at most, chosen by a hash of the text.
+
+    Rows are counted by language first; a hash threshold then passes twice the
+    rows wanted, so neither a hot language nor a hot text reaches one task.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
+                          & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
+                          & (F.octet_length("text") <= most)).select("lang", "text", F.xxhash64("text").alias("_h"))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_n"))
+    few = F.pmod("_h", F.lit(1_000_003)) < F.lit(2.0 * rows * 1_000_003) / F.col("_n")
+    return (labelled.join(F.broadcast(sizes), "lang").where(few)
+            .groupBy("lang", "_h").agg(F.first("text").alias("text")))
 
 
 class Model:
@@ -168,11 +173,12 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CON
 
 
 def fit(docs: DataFrame, **bounds) -> Model:
-    rows = training_sample(docs, **bounds).collect()  # bounded: SAMPLE_ROWS x SAMPLE_BYTES per language
-    texts: dict[str, list[bytes]] = {}
-    for r in rows:
-        texts.setdefault(r["lang"], []).append(r["text"].encode())
-    return train({k: sorted(v) for k, v in texts.items()})
+    """Train on the ``rows`` texts of each language with the smallest hashes (a bounded collect)."""
+    texts: dict[str, list[tuple[int, bytes]]] = {}
+    for r in training_sample(docs, **bounds).collect():
+        texts.setdefault(r["lang"], []).append((r["_h"], r["text"].encode()))
+    rows = bounds.get("rows", SAMPLE_ROWS)
+    return train({k: [t for _, t in sorted(v, key=lambda x: (x[0] % 1_000_003, x))[:rows]] for k, v in texts.items()})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

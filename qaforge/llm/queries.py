@@ -5,19 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
-from . import url_filter
+from . import decontaminate, jaccard_join, language_id, line_dedup, sentencepiece_nbest, url_filter
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs, counts=True)
+    return out.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), "n_lines", "n_removed", "n_chunks_removed")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark))
 
 
+def op5_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the number of pieces, a digest of the best path's ids, and scores and sizes of the n best."""
+    out = sentencepiece_nbest.encode(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_pieces", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                      "scores", "sizes", "round_trip")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_sentencepiece_nbest": op5_sentencepiece_nbest,
+    "op6_decontaminate": op6_decontaminate,
+    "op10_jaccard_join": op10_jaccard_join,
+}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op4_url_filter": url_filter.ORACLE,
+    "op6_decontaminate": decontaminate.ORACLE,
 }
-ORACLE: dict[str, str] = {"op4_url_filter": url_filter.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
