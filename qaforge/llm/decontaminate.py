@@ -13,8 +13,10 @@ exact containment of the shingles themselves, as strings.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of one to four
 words has its whole sequence as its one shingle. Only built-in expressions
-run here. The sketches are broadcast after their rows were counted; beyond
-``SKETCH_ROWS`` they are shuffled. Candidates, not documents, are grouped.
+run here. Sketches, candidates and shingle lists are broadcast after their
+rows or bytes were counted (``SKETCH_ROWS``, ``FOUND_ROWS``, ``GRAM_BYTES``);
+beyond that they are shuffled, shingle lists with salts for hot items.
+Candidates, not documents, are grouped.
 
 Defined cases: a null or blank text or item has no shingles and never
 matches; repeated rows of documents or items give one pair (the smallest
@@ -28,9 +30,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .url_filter import LOWER, UPPER
 
 SKETCH_ROWS = 200_000
+FOUND_ROWS = 500_000
+GRAM_BYTES = 64 << 20
+SALTS = 64
 NUM, DEN = 8, 10
 
 
@@ -53,7 +59,7 @@ def shingle_hashes(w: Column) -> Column:
 
 
 def item_sketches(items: DataFrame) -> DataFrame:
-    """item, n, class bound and one row per sketch hash of every item with shingles."""
+    """item_id, n, grams (the shingles) and sketch (the least hashes) of every different item with shingles."""
     w = items.select("item_id", "text").where("text is not null").distinct().select(
         "item_id", words(F.col("text")).alias("w"))
     sized = (w.select("item_id", shingle_strings(F.col("w")).alias("grams"),
@@ -63,15 +69,18 @@ def item_sketches(items: DataFrame) -> DataFrame:
     bound = F.ceil(F.pow(F.lit(1.25), F.ceil(F.log(F.col("n")) / F.log(F.lit(1.25)) - 1e-9))).cast("int")
     sized = sized.withColumn("bound", F.greatest(bound, "n"))
     k = F.col("bound") - F.ceil(F.col("bound") * NUM / DEN).cast("int") + 1
-    return sized.select("item_id", "n", "grams", F.explode(
-        F.slice(F.array_sort("hashes"), F.lit(1), k)).alias("h"))
+    return sized.select("item_id", "n", "grams", F.slice(F.array_sort("hashes"), F.lit(1), k).alias("sketch"))
+
+
+def documents_words(docs: DataFrame) -> DataFrame:
+    """doc_id, text hash and words; the words are one column, read by what follows, not computed again for every shingle."""
+    return docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), words(F.col("text")).alias("w"))
 
 
 def candidates(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Distinct (doc_id, text hash, item_id) with a sketch hash among the document's shingle hashes."""
-    w = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), words(F.col("text")).alias("w"))
-    hashed = w.select("doc_id", "t", F.explode(shingle_hashes(F.col("w"))).alias("h"))
-    slim = sketches.select("item_id", "h").distinct()
+    hashed = documents_words(docs).select("doc_id", "t", F.explode(shingle_hashes(F.col("w"))).alias("h"))
+    slim = sketches.select("item_id", F.explode("sketch").alias("h")).distinct()
     if slim.limit(SKETCH_ROWS + 1).count() <= SKETCH_ROWS:
         slim = F.broadcast(slim)
     return hashed.join(slim, "h").select("doc_id", "t", "item_id").distinct()
@@ -80,15 +89,32 @@ def candidates(docs: DataFrame, sketches: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_item, n_common, containment of every leak."""
     docs = docs.select("doc_id", "text")
-    sketches = item_sketches(items)
-    found = candidates(docs, sketches)
-    grams = sketches.select(F.col("item_id").alias("_item"), "n", "grams").dropDuplicates(["_item", "grams"])
-    texts = docs.where("text is not null").select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_t"), "text")
-    pairs = (found.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")))
-             .select("doc_id", "item_id", "text")
-             .join(grams, F.col("item_id").eqNullSafe(F.col("_item"))))
-    common = F.size(F.array_intersect(shingle_strings(words(F.col("text"))), "grams"))
-    return (pairs.withColumn("n_common", common).where(F.col("n_common") * DEN >= F.col("n") * NUM)
+    sketches = materialize(item_sketches(items), "decontaminate-items")
+    found = materialize(candidates(docs, sketches).groupBy("doc_id", "t").agg(F.collect_set("item_id").alias("items"),
+                                                                             F.count_if(F.col("item_id").isNull()).alias("nameless")),
+                        "decontaminate-candidates")
+    # null ids are no set members
+    found = found.select(F.col("doc_id").alias("_doc"), F.col("t").alias("_t"), F.when(
+        F.col("nameless") > 0, F.concat("items", F.array(F.lit(None).cast(sketches.schema["item_id"].dataType))))
+        .otherwise(F.col("items")).alias("items"))
+    if found.limit(FOUND_ROWS + 1).count() <= FOUND_ROWS:
+        found = F.broadcast(found)
+    # documents without a candidate leave before their words are made
+    live = (docs.where("text is not null").withColumn("t", F.xxhash64("text"))
+            .join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")))
+            .select("doc_id", "text", "items").distinct()
+            .select("doc_id", "items", words(F.col("text")).alias("w")))
+    pairs = live.select("doc_id", shingle_strings(F.col("w")).alias("own"), F.explode("items").alias("item"))
+    grams = sketches.select("item_id", "n", "grams").distinct()
+    size = sketches.agg(F.sum(F.expr("aggregate(grams, 0L, (a, g) -> a + length(g) + 16)"))).first()[0] or 0
+    if size <= GRAM_BYTES:
+        met = pairs.join(F.broadcast(grams), F.col("item").eqNullSafe(F.col("item_id")))
+    else:  # a hot item meets its documents in SALTS places
+        salted = grams.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = pairs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
+            salted, F.col("item").eqNullSafe(F.col("item_id")) & (F.col("_salt") == F.col("salt")))
+    return (met.withColumn("n_common", F.size(F.array_intersect("own", "grams")))
+            .where(F.col("n_common") * DEN >= F.col("n") * NUM)
             .select("doc_id", "item_id", F.col("n").alias("n_item"), "n_common",
                     F.round(F.col("n_common") / F.col("n"), 6).alias("containment")).distinct())
 
@@ -102,9 +128,9 @@ def remove_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
 def _grams(name: str, source: str, key: str) -> str:
     return f"""
 {name}_w AS (SELECT DISTINCT {key}, text, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM {source} WHERE text IS NOT NULL),
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {source} WHERE text IS NOT NULL),
 {name} AS (SELECT DISTINCT {key}, text, unnest(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-    i -> array_to_string(w[i:i + 4], ' ')) END) AS g FROM {name}_w)"""
+    lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM {name}_w)"""
 
 
 ORACLE = f"""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import decontaminate, jaccard_join, language_id, line_dedup, sentencepiece_nbest, url_filter
+from . import (decontaminate, html_text, jaccard_join, language_id, line_dedup, maxscore, sentencepiece_nbest,
+               url_filter)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.sha2("text", 256).alias("kept_sha256"), "n_lines", "n_removed", "n_chunks_removed")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark))
 
@@ -37,6 +42,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search_table(table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
@@ -44,15 +53,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_text": op3_html_text,
     "op4_url_filter": op4_url_filter,
     "op5_sentencepiece_nbest": op5_sentencepiece_nbest,
     "op6_decontaminate": op6_decontaminate,
+    "op7_maxscore": op7_maxscore,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op4_url_filter": url_filter.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op7_maxscore": maxscore.ORACLE,
 }
 
 
