@@ -31,10 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..session import materialize
+
 WINDOW = 2
 DIVISOR = 3
 PRIME = 2_147_483_647
 FACTOR = 1_103_515_245
+#: Rows up to which a side is broadcast: hashes (8 bytes) and places (about 60 bytes).
+HASH_ROWS = 1_000_000
+PLACE_ROWS = 300_000
 
 
 def line_hash(line: str) -> int:
@@ -94,25 +99,38 @@ def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
     return docs.mapInArrow(cut, f"doc_id {kind}, _t long, i int, h long, chunk string")
 
 
+def _small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` (a written table), marked for broadcast if it has at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, _t, i): the multi-line chunks to remove."""
+    """(doc_id, _t, i): the multi-line chunks to remove.
+
+    All joins are between written tables, so Spark can split a hot chunk's
+    partition; the groupings are pre-aggregated.
+    """
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_t")).where("instr(text, '\n') > 0")
-    again = (_chunk_rows(texts, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    same = _chunk_rows(texts, True).join(again, "h")
+    again = materialize(_chunk_rows(texts, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"),
+                        "line-hashes")
+    same = materialize(_chunk_rows(texts, True).join(_small(again, HASH_ROWS), "h"), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_t", "i")
-    first = same.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = first.select(F.col("h").alias("_h"), F.col("chunk").alias("_chunk"), "first")
-    return (same.join(first, (F.col("h") == F.col("_h")) & (F.col("chunk") == F.col("_chunk")))
+    # the byte comparison: one group per chunk text; its digest names it from here on
+    first = materialize(same.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+                        .select(F.col("h").alias("_h"), F.sha2("chunk", 256).alias("_digest"), "first"), "line-first")
+    named = same.select("h", F.sha2("chunk", 256).alias("digest"), "doc_id", "_t", "i")
+    return (named.join(_small(first, PLACE_ROWS), (F.col("h") == F.col("_h")) & (F.col("digest") == F.col("_digest")))
             .where(place != F.col("first")).select("doc_id", "_t", "i"))
 
 
 def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; with ``counts`` also n_lines, n_removed (lines), n_chunks_removed."""
-    gone = (repeated_chunks(docs).groupBy("doc_id", "_t").agg(F.sort_array(F.collect_set("i")).alias("_gone"))
-            .withColumnRenamed("doc_id", "_id").withColumnRenamed("_t", "_k"))
-    keyed = docs.withColumn("_t", F.xxhash64("text"))
-    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_k")), "left").select(
-        *docs.columns, "_gone")
+    gone = materialize(repeated_chunks(docs).groupBy("doc_id", "_t").agg(F.sort_array(F.collect_set("i")).alias("_gone"))
+                       .withColumnRenamed("doc_id", "_id").withColumnRenamed("_t", "_k"), "line-gone")
+    # the row stands in one struct, so that no column of docs meets a helper column's name
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64("text").alias("t"))
+    joined = keyed.join(_small(gone, PLACE_ROWS), F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_k")),
+                        "left").select("row", "_gone")
     extra = ", n_lines int, n_removed int, n_chunks_removed int" if counts else ""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + extra
     columns = docs.columns
@@ -121,7 +139,8 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, n_lines, n_gone, n_chunks = [], [], [], []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist()):
+            row = batch.column("row").flatten()
+            for text, gone in zip(row[at].to_pylist(), batch.column("_gone").to_pylist()):
                 lines = text.count("\n") + 1 if text else 0
                 removed = 0
                 if gone:
@@ -136,7 +155,7 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
                 n_lines.append(lines)
                 n_gone.append(removed)
                 n_chunks.append(len(gone or ()))
-            arrays = [batch.column(c) for c in columns]
+            arrays = row
             arrays[at] = pa.array(out, pa.string())
             names = list(columns)
             if counts:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import (decontaminate, html_text, jaccard_join, language_id, line_dedup, maxscore, sentencepiece_nbest,
-               url_filter)
+from . import (chat_format, decontaminate, html_text, jaccard_join, language_id, line_dedup, maxscore,
+               sentencepiece_nbest, url_filter)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,12 @@ def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search_table(table(spark, sf_dir, "embeddings"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat_format.format_chats(table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "turn", "source_role", "piece", "role", "action",
+                      F.sha2("rendered", 256).alias("rendered_sha256"), F.length("rendered").alias("n_chars"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece_nbest": op5_sentencepiece_nbest,
     "op6_decontaminate": op6_decontaminate,
     "op7_maxscore": op7_maxscore,
+    "op8_chat_format": op8_chat_format,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE: dict[str, str] = {
