@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from . import (chat_format, decontaminate, html_text, jaccard_join, language_id, line_dedup, maxscore,
-               sentencepiece_nbest, url_filter)
+               sentencepiece_nbest, suffix_dedup, url_filter)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("rendered", 256).alias("rendered_sha256"), F.length("rendered").alias("n_chars"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_maxscore": op7_maxscore,
     "op8_chat_format": op8_chat_format,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE: dict[str, str] = {
