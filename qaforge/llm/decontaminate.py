@@ -86,8 +86,8 @@ def candidates(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     return hashed.join(slim, "h").select("doc_id", "t", "item_id").distinct()
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_item, n_common, containment of every leak."""
+def leaking_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, t (text hash), item_id, n_item, n_common, containment of every leak."""
     docs = docs.select("doc_id", "text")
     sketches = materialize(item_sketches(items), "decontaminate-items")
     found = materialize(candidates(docs, sketches).groupBy("doc_id", "t").agg(F.collect_set("item_id").alias("items"),
@@ -102,9 +102,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     # documents without a candidate leave before their words are made
     live = (docs.where("text is not null").withColumn("t", F.xxhash64("text"))
             .join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")))
-            .select("doc_id", "text", "items").distinct()
-            .select("doc_id", "items", words(F.col("text")).alias("w")))
-    pairs = live.select("doc_id", shingle_strings(F.col("w")).alias("own"), F.explode("items").alias("item"))
+            .select("doc_id", "t", "text", "items").distinct()
+            .select("doc_id", "t", "items", words(F.col("text")).alias("w")))
+    pairs = live.select("doc_id", "t", shingle_strings(F.col("w")).alias("own"), F.explode("items").alias("item"))
     grams = sketches.select("item_id", "n", "grams").distinct()
     size = sketches.agg(F.sum(F.expr("aggregate(grams, 0L, (a, g) -> a + length(g) + 16)"))).first()[0] or 0
     if size <= GRAM_BYTES:
@@ -115,14 +115,22 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             salted, F.col("item").eqNullSafe(F.col("item_id")) & (F.col("_salt") == F.col("salt")))
     return (met.withColumn("n_common", F.size(F.array_intersect("own", "grams")))
             .where(F.col("n_common") * DEN >= F.col("n") * NUM)
-            .select("doc_id", "item_id", F.col("n").alias("n_item"), "n_common",
+            .select("doc_id", "t", "item_id", F.col("n").alias("n_item"), "n_common",
                     F.round(F.col("n_common") / F.col("n"), 6).alias("containment")).distinct())
 
 
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_item, n_common, containment of every leak."""
+    return leaking_texts(docs, items).drop("t").distinct()
+
+
 def remove_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item; a null doc_id leaks like any other."""
-    bad = leaks(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the rows whose text leaks an item (rows with the same id and another text stay)."""
+    bad = materialize(leaking_texts(docs, items).select(F.col("doc_id").alias("_bad"), "t").distinct(), "decontaminate-bad")
+    if bad.limit(FOUND_ROWS + 1).count() <= FOUND_ROWS:
+        bad = F.broadcast(bad)
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64("text").alias("_t"))
+    return keyed.join(bad, F.col("row.doc_id").eqNullSafe(F.col("_bad")) & (F.col("_t") == F.col("t")), "left_anti").select("row.*")
 
 
 def _grams(name: str, source: str, key: str) -> str:

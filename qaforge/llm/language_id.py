@@ -217,14 +217,17 @@ def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) ->
     """``docs`` without the rows in no learned language: no letters, or a code of over ``most_bits`` a byte."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
-    source = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    at = columns.index("text")
+    source = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"),
+                         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
+            row = batch.column("row").flatten()
+            data, offsets = utf8(row[at])
             bits = shared.value.code_lengths(data, offsets) / np.maximum(np.diff(offsets), 1)[:, None]
-            good = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
+            good = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
             good &= bits.min(1) <= most_bits if bits.shape[1] else False
-            yield batch.filter(pa.array(good)).select(columns)
+            yield pa.RecordBatch.from_arrays(row, names=columns).filter(pa.array(good))
 
     return source.mapInArrow(keep, docs.schema)
