@@ -169,7 +169,7 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CON
         flat = escape + np.log2(np.maximum(rest, 1))
         bits = np.where(open_, flat[:, None], bits)
         cost[me] = bits.T
-    return Model(langs, order, symbol, step, cost.reshape(-1, len(langs)))
+    return Model(langs, order, symbol, step, cost.reshape(len(kept) * width, len(langs)))
 
 
 def fit(docs: DataFrame, **bounds) -> Model:
