@@ -58,7 +58,7 @@ PASSES = 4
 STRETCH = 4 << 20
 BATCH = 8 << 20
 #: Rows up to which a table of places per text is broadcast.
-PLACE_ROWS = 1_000_000
+PLACE_ROWS = 300_000
 
 
 def keys_at(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -175,9 +175,9 @@ def read_keys(blob: bytes):
     return keys, out[0], out[1], marked, out[2], out[3]
 
 
-def _answer(shared: bool):
+def _answer(shared: bool, targets: int):
     def settle(group: pa.Table) -> pa.Table:
-        """Sort one bucket; the places of its shared (or unique) keys by node."""
+        """Sort one bucket; the places of its shared (or unique) keys, one row per range of nodes."""
         got = [read_keys(b.as_py()) for b in group.column("blob")]
         keys, node, pos, marked, known_node, known_pos = (np.concatenate(x) for x in zip(*got))
         order = np.lexsort((pos, node, keys))
@@ -190,19 +190,47 @@ def _answer(shared: bool):
         several = np.repeat(n > 1, np.diff(np.r_[first, len(k)]))
         take = (several if shared else ~several) & fresh
         x, p = np.r_[x[take], known_node], np.r_[p[take], known_pos]
-        order = np.lexsort((p, x))
+        target = (x.view(np.uint64) % np.uint64(targets)).astype(np.int32)
+        order = np.lexsort((p, x, target))
         x, p = x[order], p[order]
-        cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
-        ends = np.r_[cuts[1:], len(x)]
-        return pa.table({"node": pa.array(x[cuts]), "places": pa.array(
-            [pack_places(p[a:b]) for a, b in zip(cuts.tolist(), ends.tolist())], pa.binary())})
+        cuts = np.searchsorted(target[order], np.arange(targets + 1))
+        some = np.flatnonzero(np.diff(cuts))
+        return pa.table({"target": pa.array(some, pa.int32()), "blob": pa.array(
+            [pack_answer(x[cuts[t]:cuts[t + 1]], p[cuts[t]:cuts[t + 1]]) for t in some], pa.binary())})
 
     return settle
 
 
+def pack_answer(node: np.ndarray, pos: np.ndarray) -> bytes:
+    names, count = np.unique(node, return_counts=True)
+    d = np.diff(pos, prepend=0).astype(np.int32)
+    return b"".join([np.array([len(names)], np.int64).tobytes(), names.tobytes(), count.astype(np.int64).tobytes(),
+                     zstandard.ZstdCompressor(1).compress(d.tobytes())])
+
+
+def read_answer(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    names, count = np.frombuffer(blob, np.int64, n, 8), np.frombuffer(blob, np.int64, n, 8 + 8 * n)
+    d = zstandard.ZstdDecompressor().decompress(blob[8 + 16 * n:])
+    return np.repeat(names, count), np.cumsum(np.frombuffer(d, np.int32).astype(np.int64))
+
+
+def _merge(group: pa.Table) -> pa.Table:
+    """One row per node of a range of nodes."""
+    x, p = (np.concatenate(c) for c in zip(*[read_answer(b.as_py()) for b in group.column("blob")]))
+    order = np.lexsort((p, x))
+    x, p = x[order], p[order]
+    cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    ends = np.r_[cuts[1:], len(x)]
+    return pa.table({"node": pa.array(x[cuts]), "places": pa.array(
+        [pack_places(p[a:b]) for a, b in zip(cuts.tolist(), ends.tolist())], pa.binary())})
+
+
 def settle_keys(keyed: DataFrame, shared: bool, name: str) -> DataFrame:
-    """(node, places): one row per node and bucket with such places."""
-    return materialize(keyed.groupBy("bucket").applyInArrow(_answer(shared), PLACES), name)
+    """(node, places) of every node with such places."""
+    targets = max(partitions(keyed.sparkSession), 16)
+    settled = keyed.groupBy("bucket").applyInArrow(_answer(shared, targets), "target int, blob binary")
+    return materialize(settled.groupBy("target").applyInArrow(_merge, PLACES), name)
 
 
 def release(spark) -> None:
@@ -212,10 +240,6 @@ def release(spark) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def _places(column) -> np.ndarray:
-    return np.unique(np.concatenate([read_places(b) for b in column] or [np.zeros(0, np.int64)]))
-
-
 # --- the operator ---------------------------------------------------------------
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -259,7 +283,7 @@ def unique_windows(work: DataFrame, number: int) -> DataFrame:
 
             for node, blob, places in zip(batch.column("node").to_pylist(), batch.column("blob"), batch.column("places")):
                 data = np.frombuffer(reader.decompress(blob.as_py()), np.uint8)
-                at = open_windows(len(data), _places(places.as_py()))
+                at = open_windows(len(data), read_places(places.as_py()))
                 for lo in range(0, len(at), STRETCH):
                     some = at[lo:lo + STRETCH]
                     keys = keys_at(data, some, LENGTH)
@@ -284,9 +308,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     copies = materialize(copies, "suffix-texts")
     samples = shared_samples(texts)
     release(spark)
-    wanted = (samples.groupBy("node").agg(F.collect_list("places").alias("places")).join(copies, "node")
-              .select(F.col("node").alias("_node"), "first", "places"))
-    wanted = materialize(wanted, "suffix-wanted")
+    wanted = materialize(samples.join(copies, "node").select(F.col("node").alias("_node"), "first", "places"), "suffix-wanted")
     chosen = texts.join(F.broadcast(wanted) if wanted.limit(PLACE_ROWS + 1).count() <= PLACE_ROWS else wanted,
                         (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("first")))
 
@@ -297,7 +319,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("places"), pa.array(blobs, pa.binary())],
                                              names=["node", "places", "blob"])
 
-    work = materialize(chosen.select("node", "places", "text").mapInArrow(pack, "node long, places array<binary>, blob binary"),
+    work = materialize(chosen.select("node", "places", "text").mapInArrow(pack, "node long, places binary, blob binary"),
                        "suffix-work")
     unique = []
     for number in range(PASSES):
@@ -317,7 +339,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 if copies > 1:
                     out.append(np.array([[0], [n]], np.int64).tobytes())
                     continue
-                left = np.setdiff1d(open_windows(n, _places(places)), _places(unique or []), assume_unique=True)
+                left = open_windows(n, read_places(places))
+                if unique:
+                    left = np.setdiff1d(left, np.concatenate([read_places(u) for u in unique]))
                 gap = np.flatnonzero(np.diff(left) > LENGTH)  # strings that meet or overlap are one span
                 start, end = left[np.r_[0, gap + 1]] if len(left) else left, left[np.r_[gap, len(left) - 1]] + LENGTH if len(left) else left
                 out.append(np.stack([start, end]).tobytes())

@@ -173,6 +173,13 @@ def test_cover_and_places():
         assert list(zip(kx.tolist(), kp.tolist())) == ([(3, 9), (8, 2)] if shared else [])
 
 
+def test_answers_round_trip():
+    node, pos = np.array([-9, -9, -9, 4, 4, 70]), np.array([0, 5, 900, 3, 4, 1 << 30])
+    x, p = suffix_dedup.read_answer(suffix_dedup.pack_answer(node, pos))
+    assert x.tolist() == node.tolist() and p.tolist() == pos.tolist()
+    assert suffix_dedup.read_places(suffix_dedup.pack_places(pos[:3])).tolist() == [0, 5, 900]
+
+
 def test_ppm_code_lengths():
     pick = random.Random(1)
     texts = {lang: ["".join(pick.choice(letters) for _ in range(300)).encode() for _ in range(3)]
