@@ -21,14 +21,15 @@ def minmax_scaled(ranked: DataFrame, group=("qid", "retriever")) -> DataFrame:
         "scaled", rounded(F.when(hi == lo, F.lit(0.0)).otherwise((F.col("score") - lo) / (hi - lo))))
 
 
-def max_merge(lists: dict[str, DataFrame], k: int) -> DataFrame:
+def max_merge(lists: dict[str, DataFrame], k: int, strict: bool = False) -> DataFrame:
     """Concatenate per-retriever top-k lists, scale each, keep every passage
     once with its best scaled score, re-rank, keep k.
 
     Ties follow the concatenation order (retriever order, then rank), as a
     stable sort over the concatenated lists would. Output: ``qid, rank,
     passage_id, score`` where score is the kept scaled score. A query with
-    fewer than k distinct passages keeps what it has (see ``short_queries``).
+    fewer than k distinct passages keeps what it has (see ``short_queries``),
+    or is an error with ``strict`` (T6).
     """
     parts = []
     for i, (name, df) in enumerate(lists.items()):
@@ -38,14 +39,17 @@ def max_merge(lists: dict[str, DataFrame], k: int) -> DataFrame:
     for p in parts[1:]:
         union = union.unionByName(p)
     scaled = minmax_scaled(union)
-    best = (scaled.withColumn("pos", F.col("r_idx") * 1_000_000 + F.col("rank"))
-            .groupBy("qid", "passage_id")
-            .agg(F.max(F.struct(F.col("scaled"), (-F.col("pos")).alias("neg_pos"))).alias("b"))
-            .select("qid", "passage_id", F.col("b.scaled").alias("score"),
-                    (-F.col("b.neg_pos")).alias("pos")))
-    ranked = top_n(best, "qid", [F.col("score").desc(), F.col("pos").asc()], k)
-    return ranked.select(F.col("qid").cast("long"), F.col("rank").cast("int"),
-                         F.col("passage_id").cast("long"), F.col("score").cast("double"))
+    best = (scaled.groupBy("qid", "passage_id")
+            .agg(F.max(F.struct(F.col("scaled"), (-F.col("r_idx")).alias("r"), (-F.col("rank")).alias("n"))).alias("b"))
+            .select("qid", "passage_id", F.col("b.scaled").alias("score"), "b.r", "b.n"))
+    ranked = top_n(best, "qid", [F.col("score").desc(), F.col("r").desc(), F.col("n").desc()], k)
+    out = ranked.select(F.col("qid").cast("long"), F.col("rank").cast("int"),
+                        F.col("passage_id").cast("long"), F.col("score").cast("double"))
+    if strict:
+        short = short_queries(out, k).limit(1).collect()
+        if short:
+            raise ValueError(f"question {short[0]['qid']} has {short[0]['n']} distinct passages, fewer than {k}")
+    return out
 
 
 def short_queries(ranked: DataFrame, k: int) -> DataFrame:

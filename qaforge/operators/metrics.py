@@ -71,11 +71,13 @@ def squad_scores(gold: DataFrame, preds: DataFrame, id_col: str = "id") -> DataF
 def reader_topk_metrics(answers: DataFrame, gold: DataFrame, id_col: str = "id",
                         k: int | None = None) -> DataFrame:
     """Reader EM / F1 of the top-k answers per question (E7): the best over
-    the first k answers and all golds."""
+    the first k answers and all golds. A gold question without an answer
+    scores 0."""
     a = answers if k is None else answers.where(F.col("rank") <= k)
     per = (a.join(gold.select(F.col(id_col), F.col("answers.text").alias("golds")), id_col)
            .select(id_col, best_over_golds(TX.exact_match, F.col("text"), F.col("golds")).alias("em"),
                    best_over_golds(TX.char_f1, F.col("text"), F.col("golds")).alias("f1"))
            .groupBy(id_col).agg(F.max("em").alias("em"), F.max("f1").alias("f1")))
-    return per.agg(F.count(F.lit(1)).alias("n_questions"),
-                   rounded(F.avg("em")).alias("em"), rounded(F.avg("f1")).alias("f1"))
+    every = gold.select(id_col).join(per, id_col, "left").na.fill(0.0, ["em", "f1"])
+    return every.agg(F.count(F.lit(1)).alias("n_questions"),
+                     rounded(F.avg("em")).alias("em"), rounded(F.avg("f1")).alias("f1"))

@@ -88,11 +88,12 @@ def label_rows(examples: DataFrame) -> DataFrame:
 
 def aggregate_labels(labels: DataFrame) -> DataFrame:
     """Drop negative and no-answer labels (P11), then one row per question
-    with its distinct answers (A14)."""
+    text with its distinct answers and documents (A14)."""
     kept = labels.where(~F.col("no_answer") & F.col("is_correct_answer") & F.col("is_correct_document"))
-    return kept.groupBy("id", "query").agg(
+    return kept.groupBy("query").agg(
         F.count(F.lit(1)).alias("n_labels"),
-        F.array_sort(F.collect_set("answer")).alias("answers"))
+        F.array_sort(F.collect_set("answer")).alias("answers"),
+        F.array_sort(F.collect_set("document_id")).alias("document_ids"))
 
 
 def squad_records(examples: DataFrame) -> DataFrame:

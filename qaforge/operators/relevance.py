@@ -5,9 +5,10 @@ Which passages contain a gold text? A brute-force answer tests every
 each *interior* whitespace token of it (all but the first and last, which
 may be glued to neighbouring characters) as a whole token. So the
 question's rarest interior term, joined to the postings, yields a candidate
-superset, and ``contains`` verifies it. Texts with fewer than three tokens
-have no interior token; those few rows go through a broadcast nested-loop
-containment join behind a size check.
+superset, and ``contains`` verifies it. A text with fewer than three tokens
+has no interior token; it is joined by equality with the passages' distinct
+substrings of the lengths that such texts have. An empty text has no gold
+passage.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from pyspark.sql import functions as F
 from .common import rounded
 from .index import SparseIndex
 
-SHORT_TEXT_MAX_ROWS = 100_000
-
 
 def containing_passages(items: DataFrame, passages: DataFrame, index: SparseIndex,
                         qid_col: str = "qid", text_col: str = "question") -> DataFrame:
@@ -42,16 +41,16 @@ def containing_passages(items: DataFrame, passages: DataFrame, index: SparseInde
                 .join(texts, "passage_id")
                 .where(F.col("text").contains(F.col("gold")))
                 .select("qid", "passage_id"))
-    short_items = base.where(F.size("toks") < 3).select("qid", "gold")
-    n_short = short_items.count()
-    if n_short == 0:
+    short_items = base.where((F.size("toks") < 3) & (F.length("gold") > 0)).select("qid", "gold")
+    lengths = sorted(r[0] for r in short_items.select(F.length("gold")).distinct().collect())  # a few numbers
+    if not lengths:
         return verified
-    if n_short > SHORT_TEXT_MAX_ROWS:
-        raise ValueError(f"{n_short} gold texts have fewer than three tokens; "
-                         f"more than {SHORT_TEXT_MAX_ROWS} cannot be broadcast")
-    short_hits = (texts.join(F.broadcast(short_items), F.col("text").contains(F.col("gold")))
-                  .select("qid", "passage_id"))
-    return verified.unionByName(short_hits)
+    chars = F.split(F.col("text"), "")
+    parts = F.flatten(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.when(
+        F.size("chars") >= n, F.transform(F.sequence(F.lit(1), F.size("chars") - n + 1),
+                                          lambda i: F.array_join(F.slice("chars", i, n), ""))).otherwise(F.array())))
+    grams = texts.select("passage_id", chars.alias("chars")).select("passage_id", F.explode(F.array_distinct(parts)).alias("gold"))
+    return verified.unionByName(grams.join(short_items, "gold").select("qid", "passage_id"))
 
 
 def ranking_metrics(ranked: DataFrame, gold: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def _join_postings(qside: DataFrame, postings: DataFrame, is_small: bool,
 @dataclass
 class Scored:
     """Sparse scores plus the per-query base every unmatched passage gets."""
-    matched: DataFrame      # qid, passage_id, score (rounded)
+    matched: DataFrame      # qid, passage_id, score (rounded); BM25 also raw, n_terms (distinct query terms held)
     base: DataFrame         # qid, base (rounded), one row per query
     can_fall_below_base: bool = False
     small: bool = True      # the query side passed the broadcast size check
@@ -143,12 +143,12 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
         base_term = F.lit(0.0)
 
     sums = (_join_postings(qv_side, index.postings, is_small, salt)
-            .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s")))
+            .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s"), F.count(F.lit(1)).alias("n_terms")))
     if variant in ("okapi", "server"):
         # unmatched passages score 0: no per-query base to join
         base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
         matched = sums.select("qid", "passage_id", rounded(F.col("s")).alias("score"),
-                              F.col("s").alias("raw"))
+                              F.col("s").alias("raw"), "n_terms")
     else:
         b0 = qv.groupBy("qid").agg(F.sum(base_term).alias("b0"))
         b0 = F.broadcast(b0) if is_small else b0
@@ -158,7 +158,7 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
         base_side = F.broadcast(base) if is_small else base
         matched = sums.join(base_side, "qid").select(
             "qid", "passage_id", rounded(F.col("base_raw") + F.col("s")).alias("score"),
-            (F.col("base_raw") + F.col("s")).alias("raw"))
+            (F.col("base_raw") + F.col("s")).alias("raw"), "n_terms")
     below = variant == "okapi" and mean_idf is not None and mean_idf < 0
     return Scored(matched=matched, base=base.select("qid", "base"), can_fall_below_base=below,
                   small=is_small)
@@ -205,12 +205,15 @@ def tfidf_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K, **k
 
 
 def unmatched_queries(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
-                      text_col: str = "question", ngrams: bool = False) -> DataFrame:
-    """Questions none of whose terms is in the vocabulary (P14), as rows."""
+                      text_col: str = "question", ngrams: bool = False, strict: bool = False) -> DataFrame:
+    """Questions none of whose terms is in the vocabulary (P14), as rows; an error with ``strict``."""
     qterms = query_terms(questions, index.tokenizer, qid_col, text_col, ngrams=ngrams)
     known = qterms.join(index.vocab.select("term"), "term", "left_semi").select("qid")
-    return (questions.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("question"))
+    none = (questions.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("question"))
             .join(known, "qid", "left_anti"))
+    if strict and (bad := none.limit(1).collect()):
+        raise ValueError(f"question {bad[0]['qid']} has no known term")
+    return none
 
 
 METHODS = {
@@ -220,13 +223,28 @@ METHODS = {
     "server_bm25": lambda idx, q, k, **kw: server_topk(idx, q, k, **kw),
     "tfidf": lambda idx, q, k, **kw: tfidf_topk(idx, q, k, **kw),
 }
+#: Methods that need more than one sparse index: "ensemble" takes a dict of the indexes of its
+#: members, "ivf" and "vector" an IVF index and questions with an embedding.
+COMBINED = ("ensemble", "ivf", "vector")
 
 
-def retrieve(index: SparseIndex, questions: DataFrame, method: str = "bm25",
+def _combined(index, questions: DataFrame, method: str, k: int, **kw) -> DataFrame:
+    from . import ensemble as EN
+    from . import vector as VE
+
+    if method == "ensemble":
+        return EN.max_merge({m: retrieve(index[m], questions, m, k) for m in EN.ENSEMBLE_METHODS}, k, **kw)
+    found = (VE.ivf_topk if method == "ivf" else VE.exact_topk)(index, questions, k, **kw)
+    return found.select("qid", "rank", F.col("vec_id").alias("passage_id"), (-F.col("distance")).alias("score"))
+
+
+def retrieve(index, questions: DataFrame, method: str = "bm25",
              k: int = DEFAULT_K, **kw) -> DataFrame:
     """Retriever selection by name (R12); unknown names are an error."""
+    if method in COMBINED:
+        return _combined(index, questions, method, k, **kw)
     try:
         fn = METHODS[method]
     except KeyError:
-        raise ValueError(f"unknown retrieval method {method!r}; known: {sorted(METHODS)}") from None
+        raise ValueError(f"unknown retrieval method {method!r}; known: {sorted([*METHODS, *COMBINED])}") from None
     return fn(index, questions, k, **kw)

@@ -32,7 +32,10 @@ def _top_positions(logits: Column, n: int) -> Column:
 
 def window_candidates(features: DataFrame, n_best: int = N_BEST,
                       max_answer_len: int = MAX_ANSWER_LEN, id_col: str = "example_id") -> DataFrame:
-    """``example_id, window, si, ei, s_off, e_off, start_logit, end_logit, score``."""
+    """``example_id, window, si, ei, s_off, e_off, start_logit, end_logit, score``.
+
+    With a column ``token_is_max_context`` (map of position to boolean), a
+    start is only taken where another window does not show more context."""
     starts = _top_positions(F.col("start_logits"), n_best)
     ends = _top_positions(F.col("end_logits"), n_best)
     off = F.col("offsets")
@@ -47,7 +50,12 @@ def window_candidates(features: DataFrame, n_best: int = N_BEST,
             F.get(F.col("start_logits"), s).alias("start_logit"),
             F.get(F.col("end_logits"), c["e"]).alias("end_logit")))
 
-    cands = F.flatten(F.transform(starts, pairs))
+    if "token_is_max_context" in features.columns:
+        best = F.col("token_is_max_context")
+        starts = F.transform(starts, lambda s: F.when(best.isNull() | F.coalesce(F.try_element_at(best, s), F.lit(False)), s))
+    # a rejected start keeps its rank and has no pairs
+    cands = F.flatten(F.transform(starts, lambda s, si: F.coalesce(pairs(s, si), F.array())
+                                  if "token_is_max_context" in features.columns else pairs(s, si)))
     return (features.select(id_col, "window", F.explode(cands).alias("c"))
             .select(id_col, "window", "c.*")
             .withColumn("score", F.col("start_logit") + F.col("end_logit")))

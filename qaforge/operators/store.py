@@ -3,12 +3,14 @@ score scaling, highlighting (P1-P5, R9, R10 guard).
 
 The index statistics (N, df, average length) always come from the whole
 store, as a search server computes them; a metadata filter only narrows
-which documents may be returned. The filter is applied to the postings
-side before the join, so Catalyst can prune there.
+which documents may be returned. The postings are semi-joined with the
+allowed ids before they meet the query terms.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,18 +37,16 @@ def keyword_scores(index: SparseIndex, questions: DataFrame, allowed: DataFrame
     """Server-BM25 matched scores ``qid, passage_id, score`` (unrounded sum),
     restricted to ``allowed`` ids (a filtered id table) and, for AND
     matching, to passages holding every distinct query term."""
+    if allowed is not None:  # postings of other passages never meet a query term
+        index = replace(index, postings=index.postings.join(allowed.select("passage_id"), "passage_id", "left_semi"))
     scored = R.score_bm25(index, questions, "server", qid_col, text_col)
     matched = scored.matched
-    if allowed is not None:
-        matched = matched.join(allowed.select("passage_id"), "passage_id", "left_semi")
     if all_terms_must_match:
         qterms = R.query_terms(questions, index.tokenizer, qid_col, text_col)
         need = qterms.groupBy("qid").agg(F.count(F.lit(1)).alias("need"))
-        have = (qterms.select("qid", "term").join(index.postings.select("term", "passage_id"), "term")
-                .groupBy("qid", "passage_id").agg(F.count(F.lit(1)).alias("have")))
-        full = have.join(need, "qid").where(F.col("have") == F.col("need")).select("qid", "passage_id")
-        matched = matched.join(full, ["qid", "passage_id"], "left_semi")
-    return matched
+        need = F.broadcast(need) if scored.small else need
+        matched = matched.join(need, "qid").where(F.col("n_terms") == F.col("need"))
+    return matched.select("qid", "passage_id", "score")
 
 
 def keyword_retrieve(index: SparseIndex, questions: DataFrame, docs: DataFrame | None = None,
@@ -68,37 +68,20 @@ def keyword_retrieve(index: SparseIndex, questions: DataFrame, docs: DataFrame |
 
 
 def keyword_retrieve_batch(index: SparseIndex, questions: DataFrame, docs: DataFrame,
-                           filters_by_qid: dict, top_k: int = STORE_TOP_K,
+                           filters: list, filter_of: DataFrame, top_k: int = STORE_TOP_K,
                            all_terms_must_match: bool = False, scale: bool = True) -> DataFrame:
-    """One filter per query (R9 batch form), as data rather than one
-    expression per query: the distinct filters get ids, ``(qid,
-    filter_id)`` is a table, each distinct filter's allowed documents are
-    one filtered scan, and matched scores are semi-joined on
-    ``(filter_id, passage_id)``. Queries without a filter are unrestricted."""
-    import json
-
-    spark = questions.sparkSession
-    ids: dict[str, int] = {}
-    compiled = []
-    pairs = []
-    for qid, flt in filters_by_qid.items():
-        key = json.dumps(flt, sort_keys=True, default=str)
-        if key not in ids:
-            ids[key] = len(ids)
-            compiled.append(compile_filter(flt))
-        pairs.append((int(qid), ids[key]))
+    """One filter per query (R9 batch form). ``filters`` are the few distinct
+    ones (None: unrestricted); the table ``filter_of`` (qid, filter_id) says
+    which of them a query has. A query without one is unrestricted. One scan
+    marks every document with the filters it passes, however many there are.
+    """
     scores = keyword_scores(index, questions, None, all_terms_must_match)
-    if pairs:
-        qf = spark.createDataFrame(pairs, "qid long, filter_id int")
-        allowed = None
-        for fid, cond in enumerate(compiled):
-            part = docs.where(cond).select("passage_id", F.lit(fid).alias("filter_id"))
-            allowed = part if allowed is None else allowed.unionByName(part)
-        tagged = scores.join(qf, "qid", "left")
-        scores = (tagged.where(F.col("filter_id").isNull())
-                  .unionByName(tagged.where(F.col("filter_id").isNotNull())
-                               .join(allowed, ["filter_id", "passage_id"], "left_semi"))
-                  .drop("filter_id"))
+    passes = F.array_compact(F.array(*[F.when(compile_filter(f) if f else F.lit(True), F.lit(i)) for i, f in enumerate(filters)]))
+    allowed = docs.select("passage_id", F.explode(passes).alias("filter_id"))
+    tagged = scores.join(filter_of.select("qid", "filter_id"), "qid", "left")
+    scores = (tagged.where(F.col("filter_id").isNull())
+              .unionByName(tagged.join(allowed, ["filter_id", "passage_id"], "left_semi"))
+              .drop("filter_id"))
     ranked = matches_only_topk(scores, top_k)
     if scale:
         ranked = ranked.withColumn("score", rounded(scale_score(F.col("score"))))
@@ -111,13 +94,18 @@ def filter_only(docs: DataFrame, filters: dict | None) -> DataFrame:
 
 
 def multi_field_retrieve(docs: DataFrame, questions: DataFrame, fields: list[str],
-                         top_k: int = STORE_TOP_K, id_col: str = "passage_id") -> DataFrame:
+                         top_k: int = STORE_TOP_K, id_col: str = "passage_id",
+                         source_key: str | None = None) -> DataFrame:
     """``most_fields`` match (P4): one server-BM25 index per field, the
-    per-field scores summed; matches only. ``qid, rank, passage_id, score``."""
+    per-field scores summed; matches only. ``qid, rank, passage_id, score``.
+    With ``source_key`` (see ``index_store.shared_index``) the field indexes are
+    stored and reused."""
+    from ..sources.index_store import shared_index
+
     total = None
     for field in fields:
-        idx = build_index(docs.select(F.col(id_col).alias("passage_id"),
-                                      F.coalesce(F.col(field), F.lit("")).alias("text")), "word")
+        part = docs.select(F.col(id_col).alias("passage_id"), F.coalesce(F.col(field), F.lit("")).alias("text"))
+        idx = shared_index(part, "bm25", "word", f"{source_key}-{field}") if source_key else build_index(part, "word")
         s = (R.score_bm25(idx, questions, "server").matched
              .select("qid", "passage_id", F.col("raw").alias(f"s_{field}")))
         total = s if total is None else total.join(s, ["qid", "passage_id"], "full")

@@ -11,15 +11,18 @@ TakeOrderedAndProject, read to the driver as a literal array) minus the
 query's matched ids inside that head. When no matched score can fall below
 the base, ``head = 2k`` is provably enough: a query needing fill has fewer
 than k matches, so at least k+1 of the first 2k ids are unmatched. When
-scores can fall below the base (Okapi with a negative idf floor), the head
-grows until every query that needs fill has enough candidates.
+scores can fall below the base (Okapi with a negative idf floor), a query
+with m matches, fewer than k of them above the base, is filled from the
+first k + m ids: passages are numbered in id order by a range sort, joined
+on that number, and the query's own matches are removed by an anti-join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import top_n
 
 
@@ -44,6 +47,31 @@ def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int,
                         F.coalesce(F.col("seen"), empty), p)), 1, k).alias("fill")))
 
 
+def numbered_ids(passage_ids: DataFrame) -> DataFrame:
+    """``passage_id, no``: the passages numbered from 1 in id order, by a range sort."""
+    spark = passage_ids.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(passage_ids.select("passage_id").repartitionByRange(n, "passage_id")
+                         .withColumn("part", F.spark_partition_id()), "numbered-ids")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = (placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+               .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip")))
+    own = F.row_number().over(Window.partitionBy("part").orderBy("passage_id"))
+    return placed.withColumn("own", own).join(F.broadcast(offsets), "part").select(
+        "passage_id", (F.col("own") + F.col("skip")).alias("no"))
+
+
+def _fill_from_numbered(matched: DataFrame, base: DataFrame, passage_ids: DataFrame, k: int, n_passages: int) -> DataFrame:
+    counts = (matched.join(base, "qid").groupBy("qid")
+              .agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("score") > F.col("base")).alias("above")))
+    need = (base.join(counts, "qid", "left").na.fill(0, ["m", "above"]).where(F.col("above") < k)
+            .select("qid", "base", F.explode(F.sequence(F.lit(1).cast("long"), F.least(
+                F.col("m") + k, F.lit(n_passages).cast("long")))).alias("no")))
+    free = (need.join(numbered_ids(passage_ids), "no")
+            .join(matched.select("qid", "passage_id"), ["qid", "passage_id"], "left_anti"))
+    return top_n(free, "qid", [F.col("passage_id").asc()], k).select("qid", "passage_id", F.col("base").alias("score"))
+
+
 def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
                     k: int, n_passages: int, can_fall_below_base: bool = False,
                     small: bool = True) -> DataFrame:
@@ -54,24 +82,12 @@ def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
     passage_ids: one ``passage_id`` column over the whole corpus.
     Output: ``qid long, rank int, passage_id long, score double``.
     """
-    head_size = min(2 * k, n_passages)
-    while True:
-        head_ids = [r[0] for r in passage_ids.orderBy("passage_id").limit(head_size).collect()]
-        fill = _fill_rows(matched, base, head_ids, k, small)
-        if not can_fall_below_base or head_size >= n_passages:
-            break
-        # a query is unsafe if it is short of fill candidates while fewer
-        # than k passages score above its base
-        above = (matched.join(base, "qid").where(F.col("score") > F.col("base"))
-                 .groupBy("qid").agg(F.count(F.lit(1)).alias("n_above")))
-        unsafe = (fill.where(F.size("fill") < k).join(above, "qid", "left")
-                  .where(F.coalesce(F.col("n_above"), F.lit(0)) < k).limit(1).count())
-        if unsafe == 0:
-            break
-        head_size = min(head_size * 8, n_passages)
-
-    fill_rows = fill.select("qid", F.explode("fill").alias("passage_id"),
-                            F.col("base").alias("score"))
+    if can_fall_below_base:
+        fill_rows = _fill_from_numbered(matched, base, passage_ids, k, n_passages)
+    else:
+        head_ids = [r[0] for r in passage_ids.orderBy("passage_id").limit(2 * k).collect()]
+        fill_rows = (_fill_rows(matched, base, head_ids, k, small)
+                     .select("qid", F.explode("fill").alias("passage_id"), F.col("base").alias("score")))
     candidates = matched.select("qid", "passage_id", "score").unionByName(fill_rows)
     ranked = top_n(candidates, "qid", [F.col("score").desc(), F.col("passage_id").asc()], k)
     return ranked.select(F.col("qid").cast("long"), F.col("rank").cast("int"),

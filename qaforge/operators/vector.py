@@ -23,20 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import is_complete, materialize, shared_path
 from .common import top_n
 
 N_CELLS = 64
 DEFAULT_NPROBE = 1
 
 
-def squared_l2(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance in double precision, summed in order."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
-                                  * (x.cast("double") - y.cast("double"))),
-                       F.lit(0.0).cast("double"), lambda acc, d: acc + d)
-
-
 @dataclass
 class IVFIndex:
     vectors: DataFrame        # vec_id, embedding, cell
@@ -49,8 +42,16 @@ class IVFIndex:
 
 
 def build_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
-              id_col: str = "vec_id", vec_col: str = "embedding") -> IVFIndex:
-    """Fit KMeans cells and assign every vector to its nearest centroid."""
+              id_col: str = "vec_id", vec_col: str = "embedding", centroids: list | None = None) -> IVFIndex:
+    """Fit KMeans cells, or take the given centroids, and assign every vector to its nearest one."""
+    if centroids is not None:
+        base = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"))
+        far = F.transform(_centroid_distance_udf(centroids)(F.col("embedding")), lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
+        assigned = materialize(base.withColumn("near", F.array_min(far)).select(
+            "vec_id", "embedding", F.col("near.cell").cast("int").alias("cell"), F.sqrt("near.d").alias("far")), "ivf-cells")
+        stats = assigned.groupBy("cell").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()
+        return IVFIndex(vectors=assigned.drop("far"), centroids=[list(map(float, c)) for c in centroids],
+                        radii={int(r["cell"]): float(r["r"]) for r in stats}, sizes={int(r["cell"]): int(r["n"]) for r in stats})
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -71,30 +72,25 @@ def build_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_it
 
 
 def shared_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
-               id_col: str = "vec_id", vec_col: str = "embedding") -> IVFIndex:
+               id_col: str = "vec_id", vec_col: str = "embedding", source_key: str | None = None) -> IVFIndex:
     """``build_ivf`` once per (vector-table fingerprint, parameters): the cell
     assignment and centroids are written to the shared folder and reused."""
     import hashlib
     import json
 
-    from ..session import shared_path
-
     spark = vectors.sparkSession
-    fp = vectors.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(id_col)).alias("s"),
+    fp = {"source": source_key} if source_key else vectors.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(id_col)).alias("s"),
                      F.bit_xor(F.xxhash64(F.col(id_col), F.col(vec_col))).alias("h")).first().asDict()
     key = hashlib.sha1(json.dumps([n_cells, seed, max_iter, fp], sort_keys=True).encode()).hexdigest()[:20]
     path = shared_path(spark, f"ivf-{key}")
-    try:
-        cells = spark.read.parquet(f"{path}/cells").collect()
-        assigned = spark.read.parquet(f"{path}/vectors")
-    except Exception:  # noqa: BLE001 -- not built yet
+    if not is_complete(spark, f"{path}/cells"):
         index = build_ivf(vectors, n_cells, seed, max_iter, id_col, vec_col)
         index.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
         rows = [(i, c, index.radii.get(i, 0.0), index.sizes.get(i, 0)) for i, c in enumerate(index.centroids)]
         spark.createDataFrame(rows, "cell int, centroid array<double>, radius double, size long") \
-            .coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
-        cells = spark.read.parquet(f"{path}/cells").collect()
-        assigned = spark.read.parquet(f"{path}/vectors")
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")  # last: marks a complete index
+    cells = spark.read.parquet(f"{path}/cells").collect()
+    assigned = spark.read.parquet(f"{path}/vectors")
     cells = sorted(cells, key=lambda r: r["cell"])
     return IVFIndex(vectors=assigned, centroids=[list(r["centroid"]) for r in cells],
                     radii={r["cell"]: r["radius"] for r in cells if r["size"]},
@@ -141,7 +137,10 @@ def _block_schema() -> str:
     return "qid long, vec_id long, distance double"
 
 
-def _block_topk_fn(k: int, margin: int):
+def _block_topk_fn(k: int):
+    """The k best of a block: every vector whose approximate distance may, within
+    its rounding error, reach the k-th one is compared exactly, so ties at the
+    k-th place are broken by id among all of them."""
     def fn(qdf: pd.DataFrame, vdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or vdf.empty:
             return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
@@ -151,26 +150,30 @@ def _block_topk_fn(k: int, margin: int):
         vnorm = (vecs * vecs).sum(axis=1)
         qs = np.stack(qdf["q"].to_numpy()).astype(np.float64)
         qids = qdf["qid"].to_numpy(dtype=np.int64)
-        m = min(k + margin, len(vids))
+        m = min(k, len(vids))
+        top = float(vnorm.max())
         out_q, out_v, out_d = [], [], []
         for lo in range(0, len(qids), QUERY_CHUNK):
             q = qs[lo:lo + QUERY_CHUNK]
-            approx = (q * q).sum(axis=1)[:, None] + vnorm[None, :] - 2.0 * (q @ vecs.T)
-            cand = np.argpartition(approx, m - 1, axis=1)[:, :m] if m < len(vids) else \
-                np.tile(np.arange(len(vids)), (len(q), 1))
-            diff = vecs[cand] - q[:, None, :]
-            exact = np.round((diff * diff).sum(axis=2), 6)
+            qnorm = (q * q).sum(axis=1)
+            approx = qnorm[:, None] + vnorm[None, :] - 2.0 * (q @ vecs.T)
+            # distances are rounded to 6 digits; the error of the approximation grows with the norms
+            error = 1e-6 + 8 * q.shape[1] * np.finfo(float).eps * (qnorm + top)
+            limit = np.partition(approx, m - 1, axis=1)[:, m - 1] + 2 * error
             for row in range(len(q)):
-                order = np.lexsort((vids[cand[row]], exact[row]))[:k]
+                cand = np.flatnonzero(approx[row] <= limit[row])
+                diff = vecs[cand] - q[row]
+                exact = np.round((diff * diff).sum(axis=1), 6)
+                order = np.lexsort((vids[cand], exact))[:k]
                 out_q.append(np.full(len(order), qids[lo + row], dtype=np.int64))
-                out_v.append(vids[cand[row]][order])
-                out_d.append(exact[row][order])
+                out_v.append(vids[cand][order])
+                out_d.append(exact[order])
         return pd.DataFrame({"qid": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
                              "distance": np.concatenate(out_d)})
     return fn
 
 
-def _probe(queries: DataFrame, index: IVFIndex, cells: Column, k: int, margin: int | None = None) -> DataFrame:
+def _probe(queries: DataFrame, index: IVFIndex, cells: Column, k: int) -> DataFrame:
     """Top-k candidates of each query inside the cells it probes.
 
     Queries and vectors meet per (cell, vector block, query block) in a
@@ -192,7 +195,7 @@ def _probe(queries: DataFrame, index: IVFIndex, cells: Column, k: int, margin: i
     v_side = (index.vectors.select("vec_id", F.col("embedding").alias("v"), "cell")
               .withColumn("vs", F.pmod(F.xxhash64("vec_id"), F.element_at(vmap, F.col("cell"))))
               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.element_at(qmap, F.col("cell")) - 1))))
-    fn = _block_topk_fn(k, k if margin is None else margin)
+    fn = _block_topk_fn(k)
     return (q_side.groupBy("cell", "vs", "qb")
             .cogroup(v_side.groupBy("cell", "vs", "qb"))
             .applyInPandas(fn, _block_schema()))
@@ -222,7 +225,7 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
         if index.radii else F.create_map().cast("map<int,double>")
     # cells not probed yet that may hold a closer point (all of them when
     # the first pass found fewer than k)
-    slack = 1e-3
+    slack = 1e-3 + 1e-6 * F.sqrt(F.col("dk"))
     more = F.filter(_centroid_distances(index, F.col("embedding")), lambda s: (
         ~F.array_contains(F.col("first"), s["cell"]))
         & (F.col("n").isNull() | (F.col("n") < k)
@@ -235,4 +238,4 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
     return _rank(cands, k)
 
 
-__all__ = ["build_ivf", "shared_ivf", "ivf_topk", "exact_topk", "squared_l2"]
+__all__ = ["build_ivf", "shared_ivf", "ivf_topk", "exact_topk"]

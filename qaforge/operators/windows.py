@@ -48,21 +48,24 @@ def question_token_count(question: Column) -> Column:
 
 
 def context_windows(examples: DataFrame, max_len: int = MAX_LEN, stride: int = DOC_STRIDE,
-                    id_col: str = "example_id") -> DataFrame:
+                    id_col: str = "example_id", model_max_len: int | None = None) -> DataFrame:
     """One row per window: ``example_id, window, first_token, qn, n_ctx,
     offsets`` (full feature length, null outside the context).
 
-    Examples whose context has no token produce no window; examples whose
-    question leaves no room for ``stride`` overlap are rejected rows of
-    ``rejected_examples`` and produce no window either.
+    An example whose context has no token has one window without context
+    offsets. Examples whose question leaves no room for ``stride`` overlap
+    have no window; ``rejected_examples`` reports them. A window is never
+    longer than the model's own limit ``model_max_len``.
     """
+    max_len = max_len if model_max_len is None else min(max_len, model_max_len)  # D4
     offs = token_offsets(examples, id_col, "context")
-    ex = (examples.select(id_col, "question").join(offs, id_col)
+    ex = (examples.select(id_col, "question").join(offs, id_col, "left")
+          .withColumn("offsets", F.coalesce(F.col("offsets"), F.array().cast(OFFSET_TYPE)))
           .withColumn("qn", question_token_count(F.col("question")))
           .withColumn("cap", F.lit(max_len - SPECIAL_TOKENS) - F.col("qn"))
           .withColumn("step", F.col("cap") - F.lit(stride))
           .withColumn("n", F.size("offsets"))
-          .where((F.col("n") > 0) & (F.col("step") > 0)))
+          .where(F.col("step") > 0))
     last_first = (F.ceil(F.greatest(F.col("n") - F.col("cap"), F.lit(0)) / F.col("step"))
                   * F.col("step")).cast("int")
     wins = ex.select(id_col, "qn", "cap", "offsets", "n",
@@ -107,15 +110,16 @@ def align_answers(windows: DataFrame, examples: DataFrame, id_col: str = "exampl
                     F.when(inside, end_pos).otherwise(F.lit(0)).cast("int").alias("end_position"))
 
 
-def synthetic_logits(windows: DataFrame, id_col: str = "example_id") -> DataFrame:
+def synthetic_logits(windows: DataFrame, id_col: str = "example_id", number: Column | None = None) -> DataFrame:
     """Deterministic stand-in for model scores (the reader model is out of
     scope; a user supplies real ones with ``mapInPandas``). Integer
-    arithmetic, so every engine computes the same values."""
+    arithmetic, so every engine computes the same values. ``number`` seeds an
+    example's scores when its id is no number."""
     n = F.size("offsets")
     pos = F.sequence(F.lit(0), n - 1)
-    ex = F.col(id_col)
+    ex = (F.col(id_col) if number is None else number) % 1_000_003
     win = F.col("window")
-    # Multipliers and modulus of the stand-in scores.
+    # Multipliers and moduli of the stand-in scores.
     start = F.transform(pos, lambda p: ((ex * 7919 + win * 31 + p * 104729) % 2003).cast("double") / 100.0)
     end = F.transform(pos, lambda p: ((ex * 104729 + win * 17 + p * 7919) % 2003).cast("double") / 100.0)
     return windows.withColumn("start_logits", start).withColumn("end_logits", end)

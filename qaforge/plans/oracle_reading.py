@@ -34,21 +34,26 @@ TOKENS = [
     "(s + length(piece))::BIGINT AS e FROM st WHERE regexp_matches(piece, '^\\S'))",
 ]
 
-WINDOWS = [
+def windows_ctes(max_len: int = MAX_LEN) -> list[str]:
+    cap = max_len - SPECIAL_TOKENS
+    return [
     "exq AS (SELECT example_id, len(regexp_extract_all(question, '\\S+')) AS qn FROM ex)",
     "nt AS (SELECT example_id, count(*) AS n FROM tok GROUP BY 1)",
-    f"wp AS (SELECT example_id, qn, {CAP0} - qn AS cap, {CAP0} - qn - {DOC_STRIDE} AS step, n "
-    f"FROM exq JOIN nt USING (example_id) WHERE {CAP0} - qn - {DOC_STRIDE} > 0)",
+    f"wp AS (SELECT example_id, qn, {cap} - qn AS cap, {cap} - qn - {DOC_STRIDE} AS step, coalesce(n, 0) AS n "
+    f"FROM exq LEFT JOIN nt USING (example_id) WHERE {cap} - qn - {DOC_STRIDE} > 0)",
     "win0 AS (SELECT example_id, qn, cap, step, n, unnest(range(0, ceil(greatest(n - cap, 0) / step)::BIGINT * step + 1, step)) "
     "AS first_token FROM wp)",
     "win AS (SELECT *, (first_token // step)::INTEGER AS wi, least(cap, n - first_token)::INTEGER AS n_ctx FROM win0)",
-]
+    ]
+
+
+WINDOWS = windows_ctes()
 
 CANDIDATES = [
     "pos AS (SELECT example_id, wi, qn, n_ctx, first_token, unnest(range(0, qn + 3 + n_ctx)) AS p FROM win)",
     "lg AS (SELECT example_id, wi, p, "
-    "((example_id * 7919 + wi * 31 + p * 104729) % 2003)::DOUBLE / 100.0 AS sl, "
-    "((example_id * 104729 + wi * 17 + p * 7919) % 2003)::DOUBLE / 100.0 AS el, "
+    "((example_id % 1000003 * 7919 + wi * 31 + p * 104729) % 2003)::DOUBLE / 100.0 AS sl, "
+    "((example_id % 1000003 * 104729 + wi * 17 + p * 7919) % 2003)::DOUBLE / 100.0 AS el, "
     "CASE WHEN p >= qn + 2 AND p <= qn + 1 + n_ctx THEN first_token + p - qn - 2 END AS t FROM pos)",
     "lgo AS (SELECT lg.*, tok.s, tok.e FROM lg LEFT JOIN tok ON tok.example_id = lg.example_id AND tok.t = lg.t)",
     f"ss AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id, wi ORDER BY sl DESC, p) AS si "
@@ -84,10 +89,9 @@ def nbest_ctes(with_null: bool = False) -> list[str]:
         "kt AS (SELECT k.example_id, k.rank, CASE WHEN k.wi = 1073741824 THEN '' ELSE "
         "substring(ex.context, k.s_off + 1, k.e_off - k.s_off) END AS text, k.start_logit, k.end_logit, "
         "k.score, k.wi = 1073741824 AS is_null FROM kept k JOIN ex USING (example_id))",
-        "has_win AS (SELECT DISTINCT example_id FROM win)",
         "kst AS (SELECT example_id, count(*) AS n, max(length(text)) AS maxlen FROM kt GROUP BY 1)",
         "fb AS (SELECT h.example_id, 0 AS rank, 'empty' AS text, 0.0::DOUBLE AS start_logit, 0.0::DOUBLE AS end_logit, "
-        "0.0::DOUBLE AS score, false AS is_null FROM has_win h LEFT JOIN kst USING (example_id) "
+        "0.0::DOUBLE AS score, false AS is_null FROM ex h LEFT JOIN kst USING (example_id) "
         "WHERE kst.n IS NULL OR (kst.n = 1 AND kst.maxlen = 0))",
         "allr AS (SELECT * FROM kt UNION ALL SELECT * FROM fb)",
         "mx AS (SELECT *, exp(score - max(score) OVER (PARTITION BY example_id)) AS ex FROM allr)",

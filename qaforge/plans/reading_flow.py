@@ -29,10 +29,14 @@ TOP_K_PER_SAMPLE = 1
 TOP_K_PER_CANDIDATE = 3
 READER_TOP_K = 1
 RETRIEVER_TOP_K = 10
-PAIR_KEY = 1_000_000      # example key = qid * PAIR_KEY + passage_id
+READER_MAX_LEN = 256
+READER_QUESTION_LEN = 64
+# The first READER_QUESTION_LEN tokens of a question.
+QUESTION_HEAD = r"^\s*\S+(\s+\S+){0,%d}" % (READER_QUESTION_LEN - 1)
+PAIR_SEED = 1_000_000     # seeds the stand-in scores of a (question, passage) pair
 
 ScoreFn = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
-LOGITS_SCHEMA = ("example_id long, window int, offsets array<struct<s:int,e:int>>, "
+LOGITS_SCHEMA = ("example_id struct<qid:long,passage_id:long>, window int, offsets array<struct<s:int,e:int>>, "
                  "start_logits array<double>, end_logits array<double>")
 
 
@@ -41,21 +45,23 @@ def score_features(features: DataFrame, model: ScoreFn | None = None) -> DataFra
     returning ``LOGITS_SCHEMA`` rows; without one, the deterministic stand-in
     scores are used (no model ships with this library)."""
     if model is None:
-        return WN.synthetic_logits(features)
+        return WN.synthetic_logits(features, number=F.col("example_id.qid") * PAIR_SEED + F.col("example_id.passage_id"))
     return features.mapInPandas(model, LOGITS_SCHEMA)
 
 
 def read_retrieved(ranked: DataFrame, passages: DataFrame, questions: DataFrame,
                    model: ScoreFn | None = None, top_k: int = READER_TOP_K,
                    per_candidate: int = TOP_K_PER_CANDIDATE, per_sample: int = TOP_K_PER_SAMPLE,
-                   max_len: int = WN.MAX_LEN, stride: int = WN.DOC_STRIDE,
+                   max_len: int = READER_MAX_LEN, stride: int = WN.DOC_STRIDE,
                    max_passages_per_question: int = RETRIEVER_TOP_K) -> DataFrame:
     """Answers across retrieved passages: ``qid, rank, passage_id, text, score``."""
     bound = questions.count() * max_passages_per_question
     pairs = AS.with_text(ranked.select("qid", "passage_id"), passages, bound_rows=bound) \
         .join(questions.select("qid", "question"), "qid")
-    examples = pairs.select((F.col("qid") * PAIR_KEY + F.col("passage_id")).alias("example_id"),
-                            "qid", "passage_id", "question", F.col("text").alias("context"))
+    examples = pairs.select(F.struct(F.col("qid").cast("long").alias("qid"), F.col("passage_id").cast("long").alias("passage_id"))
+                            .alias("example_id"),
+                            "qid", "passage_id", F.regexp_extract("question", QUESTION_HEAD, 0).alias("question"),
+                            F.col("text").alias("context"))
     feats = score_features(WN.context_windows(examples, max_len, stride), model)
     cands = SP.window_candidates(feats)
     per_window = top_n(cands, ["example_id", "window"],

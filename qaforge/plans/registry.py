@@ -5,6 +5,7 @@ Every callable takes ``(spark, sf_dir)`` and reads the given tables whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def corpus_index(spark: SparkSession, sf_dir: str, kind: str = "bm25", tokenizer: str = "whitespace"):
+    """The stored index of the distinct passages; found by the file listing of ``documents``."""
+    return IS.shared_index(FX.passages(spark, sf_dir), kind, tokenizer, FX.source_key(spark, sf_dir, "documents", "passages"))
+
+
 # --- step 0/1: BM25 family -------------------------------------------------
 
 def _bm25(variant: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        index = IS.shared_index(FX.passages(spark, sf_dir), "bm25")
+        index = corpus_index(spark, sf_dir)
         return R.bm25_topk(index, FX.questions(spark, sf_dir), K, variant)
     return run
 
@@ -51,22 +57,24 @@ for _name, _variant in [("bm25_okapi_topk", "okapi"), ("bm25_plus_topk", "plus")
                   *O.qterm_ctes(O.word_tokens), *O.bm25_ctes("server"))
           + O.topk_select(K, where="matched"))
 def server_bm25_topk(spark, sf_dir):
-    index = IS.shared_index(FX.passages(spark, sf_dir), "bm25", "word")
+    index = corpus_index(spark, sf_dir, "bm25", "word")
     return R.server_topk(index, FX.questions(spark, sf_dir), K)
 
 
 @register("unmatched_queries",
-          O.with_(O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes())
+          O.with_(O.PASSAGES, "q AS (SELECT page_id AS qid, replace(url, '/', ' ') AS question FROM pages)",
+                  *O.index_ctes(), *O.qterm_ctes())
           + "SELECT qid::BIGINT AS qid, question FROM q WHERE qid NOT IN "
             "(SELECT qid FROM qt JOIN vocab USING (term))")
 def unmatched_queries(spark, sf_dir):
-    index = IS.shared_index(FX.passages(spark, sf_dir), "bm25")
-    return R.unmatched_queries(index, FX.questions(spark, sf_dir))
+    """Page addresses as questions: their words are often in no passage."""
+    urls = table(spark, sf_dir, "pages").select(F.col("page_id").alias("qid"), F.replace("url", F.lit("/"), F.lit(" ")).alias("question"))
+    return R.unmatched_queries(corpus_index(spark, sf_dir), urls)
 
 
 @register("tfidf_topk", O.with_(O.PASSAGES, O.QUESTIONS, *O.tfidf_ctes()) + O.topk_select(K))
 def tfidf_topk(spark, sf_dir):
-    index = IS.shared_index(FX.passages(spark, sf_dir), "tfidf")
+    index = corpus_index(spark, sf_dir, "tfidf")
     return R.tfidf_topk(index, FX.questions(spark, sf_dir), K)
 
 
@@ -87,7 +95,7 @@ from ..sources.tables import table  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 STORE_K = 10
-PARAGRAPH_ID_STRIDE = 1 << 20  # paragraph key = document_id * stride + position
+PARAGRAPH_BITS = 24  # paragraph key = document_id shifted left + position
 
 
 @register("vocab_top_terms",
@@ -101,12 +109,14 @@ def vocab_top_terms(spark, sf_dir):
 
 def paragraph_table(spark, sf_dir, delimiter="\n"):
     paras = paragraphs(table(spark, sf_dir, "documents"), delimiter=delimiter)
-    return paras.withColumn("passage_id", F.col("document_id") * PARAGRAPH_ID_STRIDE
-                            + F.col("paragraph_pos")).withColumnRenamed("content", "text")
+    fits = (F.col("paragraph_pos") < 1 << PARAGRAPH_BITS) & (F.abs("document_id") < 1 << (63 - PARAGRAPH_BITS))
+    key = F.shiftleft("document_id", PARAGRAPH_BITS) + F.col("paragraph_pos")
+    return paras.withColumn("passage_id", F.when(fits, key).otherwise(
+        F.raise_error(F.lit("paragraph key out of range")).cast("long"))).withColumnRenamed("content", "text")
 
 
 PARAGRAPHS_SQL = (
-    "passages AS (SELECT document_id, paragraph_pos, document_id * 1048576 + paragraph_pos AS passage_id, "
+    "passages AS (SELECT document_id, paragraph_pos, document_id * 16777216 + paragraph_pos AS passage_id, "
     "content AS text FROM (SELECT doc_id AS document_id, unnest(parts) AS content, "
     "unnest(range(len(parts)))::INTEGER AS paragraph_pos FROM (SELECT doc_id, string_split(text, chr(10)) AS parts "
     "FROM documents WHERE text IS NOT NULL)) WHERE regexp_matches(content, '\\S'))")
@@ -118,11 +128,12 @@ PARAGRAPHS_SQL = (
             "FROM topk t JOIN passages p USING (passage_id)")
 def paragraph_tfidf_topk(spark, sf_dir):
     paras = paragraph_table(spark, sf_dir)
-    index = IS.shared_index(paras, "tfidf")
+    ST.tfidf_store_guard(filters=None, scale_score=False)  # the retriever takes neither
+    index = IS.shared_index(paras, "tfidf", source_key=FX.source_key(spark, sf_dir, "documents", "paragraphs"))
     ranked = R.tfidf_topk(index, FX.questions(spark, sf_dir), STORE_K)
     return ranked.select("qid", "rank",
-                         (F.col("passage_id") / PARAGRAPH_ID_STRIDE).cast("long").alias("document_id"),
-                         (F.col("passage_id") % PARAGRAPH_ID_STRIDE).cast("int").alias("paragraph_pos"),
+                         F.shiftright("passage_id", PARAGRAPH_BITS).alias("document_id"),
+                         F.col("passage_id").bitwiseAND(F.lit((1 << PARAGRAPH_BITS) - 1)).cast("int").alias("paragraph_pos"),
                          "score")
 
 
@@ -134,10 +145,8 @@ from ..operators import relevance as RV  # noqa: E402
 
 
 def _three_lists(spark, sf_dir, k=K):
-    psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    bm = IS.shared_index(psg, "bm25")
-    tf = IS.shared_index(psg, "tfidf")
+    bm, tf = corpus_index(spark, sf_dir), corpus_index(spark, sf_dir, "tfidf")
     return {"tfidf": R.tfidf_topk(tf, qs, k), "bm25": R.bm25_topk(bm, qs, k, "okapi"),
             "bm25_plus": R.bm25_topk(bm, qs, k, "plus")}
 
@@ -181,7 +190,8 @@ CONTEXTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm
                 "ctx AS (SELECT t.qid, any_value(q.question) AS question, "
                 "string_agg(t.passage_id::VARCHAR, ',' ORDER BY t.rank) AS context_ids, "
                 "string_agg(p.text, ' ' ORDER BY t.rank) AS context, "
-                "coalesce(min(t.rank) FILTER (WHERE contains(p.text, q.question)), 0)::INTEGER - 1 AS answer_index, "
+                "coalesce(min(t.rank) FILTER (WHERE contains(p.text, q.question)), 0)::INTEGER - 1 AS containing_index, "
+                "coalesce(min(t.rank) FILTER (WHERE p.text = q.question), 0)::INTEGER - 1 AS answer_index, "
                 "min(t.score) AS lo, max(t.score) AS hi, "
                 "min(t.score) FILTER (WHERE contains(p.text, q.question) AND t.rank = "
                 "(SELECT min(t2.rank) FROM topk t2 JOIN passages p2 USING (passage_id) "
@@ -192,17 +202,17 @@ CONTEXTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm
 def _okapi_contexts(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    ranked = R.bm25_topk(IS.shared_index(psg, "bm25"), qs, K, "okapi")
+    ranked = R.bm25_topk(corpus_index(spark, sf_dir), qs, K, "okapi")
     return AS.assemble(AS.with_text(ranked, psg, bound_rows=qs.count() * K), qs, gold_col="question")
 
 
 @register("retrieved_contexts", O.with_(*CONTEXTS_SQL)
           + "SELECT qid::BIGINT AS qid, context_ids, context, contains(context, question) AS contained, "
-            "answer_index FROM ctx")
+            "answer_index, containing_index FROM ctx")
 def retrieved_contexts(spark, sf_dir):
     out = _okapi_contexts(spark, sf_dir)
     return out.select("qid", F.array_join(F.transform("context_id", lambda x: x.cast("string")), ",")
-                      .alias("context_ids"), "context", "contained", "answer_index")
+                      .alias("context_ids"), "context", "contained", "answer_index", "containing_index")
 
 
 # --- step 4: retrieval evaluation --------------------------------------------
@@ -216,7 +226,7 @@ def hit_rate(spark, sf_dir):
 
 @register("gold_score_mean", O.with_(*CONTEXTS_SQL)
           + "SELECT count(*) AS n_hits, round(avg(round(CASE WHEN hi = lo THEN 0.0 ELSE (at_score - lo) / (hi - lo) END, 6)), 6) "
-            "AS gold_score_mean FROM ctx WHERE answer_index >= 0")
+            "AS gold_score_mean FROM ctx WHERE containing_index >= 0")
 def gold_score_mean(spark, sf_dir):
     scaled = AS.gold_scaled_score(_okapi_contexts(spark, sf_dir))
     return scaled.agg(F.count(F.lit(1)).alias("n_hits"),
@@ -248,7 +258,7 @@ RANKING_SQL = O.with_(
 def ranking_metrics(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    index = IS.shared_index(psg, "bm25")
+    index = corpus_index(spark, sf_dir)
     ranked = R.bm25_topk(index, qs, K, "okapi")
     gold = RV.containing_passages(qs, psg, index)
     return RV.ranking_metrics(ranked, gold)
@@ -271,9 +281,9 @@ def _features(spark, sf_dir):
 
 @register("context_windows", O.with_(OR.EXAMPLES, *OR.TOKENS, *OR.WINDOWS)
           + "SELECT w.example_id, w.wi AS \"window\", w.first_token::INTEGER AS first_token, w.n_ctx, "
-            "substring(ex.context, t1.s + 1, t2.e - t1.s) AS window_text FROM win w JOIN ex USING (example_id) "
-            "JOIN tok t1 ON t1.example_id = w.example_id AND t1.t = w.first_token "
-            "JOIN tok t2 ON t2.example_id = w.example_id AND t2.t = w.first_token + w.n_ctx - 1")
+            "coalesce(substring(ex.context, t1.s + 1, t2.e - t1.s), '') AS window_text FROM win w JOIN ex USING (example_id) "
+            "LEFT JOIN tok t1 ON t1.example_id = w.example_id AND t1.t = w.first_token "
+            "LEFT JOIN tok t2 ON t2.example_id = w.example_id AND t2.t = w.first_token + w.n_ctx - 1")
 def context_windows(spark, sf_dir):
     ex = FX.qa_examples(spark, sf_dir)
     win = WN.context_windows(ex)
@@ -281,7 +291,8 @@ def context_windows(spark, sf_dir):
     last = F.get("offsets", F.col("qn") + 1 + F.col("n_ctx"))
     return (win.join(ex.select("example_id", "context"), "example_id")
             .select("example_id", "window", "first_token", "n_ctx",
-                    F.substring("context", first["s"] + 1, last["e"] - first["s"]).alias("window_text")))
+                    F.coalesce(F.substring("context", first["s"] + 1, last["e"] - first["s"]), F.lit(""))
+                    .alias("window_text")))
 
 
 ALIGN_SQL = O.with_(
@@ -306,8 +317,15 @@ def span_alignment(spark, sf_dir):
 
 def _nbest(spark, sf_dir, with_null=False):
     ex, feats = _features(spark, sf_dir)
-    with_windows = ex.join(feats.select("example_id"), "example_id", "left_semi")
-    return SP.nbest(feats, with_windows, with_null=with_null)
+    return SP.nbest(feats, ex, with_null=with_null)
+
+
+@register("rejected_examples", O.with_(OR.EXAMPLES, OR.WINDOWS[0])
+          + f"SELECT example_id, qn::INTEGER AS n_question_tokens FROM exq WHERE {OR.CAP0} - qn - {WN.DOC_STRIDE} <= 0")
+def rejected_examples(spark, sf_dir):
+    """Examples without a window: their question leaves no room for the context."""
+    bad = WN.rejected_examples(FX.qa_examples(spark, sf_dir))
+    return bad.select("example_id", WN.question_token_count(F.col("question")).alias("n_question_tokens"))
 
 
 @register("span_nbest", O.with_(*OR.reading_ctes())
@@ -460,17 +478,20 @@ def _store_sql(where: str = "TRUE", all_terms: bool = False) -> str:
                              "FROM topk")
 
 
+def store_index(spark, sf_dir):
+    return IS.shared_index(FX.store_documents(spark, sf_dir), "bm25", "word", FX.source_key(spark, sf_dir, "documents", "store"))
+
+
 @register("filtered_bm25", _store_sql(FILTER_AND_OR_SQL))
 def filtered_bm25(spark, sf_dir):
     docs = FX.store_documents(spark, sf_dir)
-    index = IS.shared_index(docs, "bm25", "word")
+    index = store_index(spark, sf_dir)
     return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), docs, FILTER_AND_OR)
 
 
 @register("all_terms_match", _store_sql(all_terms=True))
 def all_terms_match(spark, sf_dir):
-    docs = FX.store_documents(spark, sf_dir)
-    index = IS.shared_index(docs, "bm25", "word")
+    index = store_index(spark, sf_dir)
     return ST.keyword_retrieve(index, FX.questions(spark, sf_dir), all_terms_must_match=True)
 
 
@@ -494,7 +515,7 @@ def _multi_field_sql() -> list[str]:
 @register("multi_field_match", O.with_(*_multi_field_sql()) + "SELECT * FROM topk")
 def multi_field_match(spark, sf_dir):
     return ST.multi_field_retrieve(FX.pages_store(spark, sf_dir), FX.questions(spark, sf_dir),
-                                   ["content", "title"])
+                                   ["content", "title"], source_key=FX.source_key(spark, sf_dir, "pages"))
 
 
 def _hl_sql(col: str) -> str:
@@ -510,7 +531,7 @@ def _hl_sql(col: str) -> str:
 def highlights(spark, sf_dir):
     pages = FX.pages_store(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    ranked = ST.multi_field_retrieve(pages, qs, ["content", "title"])
+    ranked = ST.multi_field_retrieve(pages, qs, ["content", "title"], source_key=FX.source_key(spark, sf_dir, "pages"))
     terms = (R.query_terms(qs, "word").groupBy("qid").agg(F.collect_list("term").alias("terms")))
     return (ranked.join(pages, "passage_id").join(terms, "qid")
             .select("qid", "rank", F.col("passage_id").alias("page_id"),
@@ -552,7 +573,7 @@ def word_splits(spark, sf_dir):
 
 LABELS_SQL = [OR.EXAMPLES,
               "lab AS (SELECT id, question AS query, conv_id, answer FROM (SELECT id, question, "
-              "example_id // 1000 AS conv_id, unnest(CASE WHEN len(ans_text) = 0 THEN [NULL::VARCHAR] ELSE ans_text END) "
+              f"example_id // {FX.EXAMPLE_ID_STRIDE} AS conv_id, unnest(CASE WHEN len(ans_text) = 0 THEN [NULL::VARCHAR] ELSE ans_text END) "
               "AS answer FROM ex))"]
 
 
@@ -564,15 +585,17 @@ def label_rows(spark, sf_dir):
 
 
 @register("labels_aggregated", O.with_(*LABELS_SQL)
-          + "SELECT id, query, count(*) AS n_labels, array_to_string(list_sort(list_distinct(list(answer))), '|') AS answers "
-            "FROM lab WHERE answer IS NOT NULL GROUP BY id, query")
+          + "SELECT query, count(*) AS n_labels, array_to_string(list_sort(list_distinct(list(answer))), '|') AS answers, "
+            "array_to_string(list_sort(list_distinct(list(conv_id))), '|') AS document_ids "
+            "FROM lab WHERE answer IS NOT NULL GROUP BY query")
 def labels_aggregated(spark, sf_dir):
     agg = PR.aggregate_labels(PR.label_rows(FX.qa_examples(spark, sf_dir)))
-    return agg.select("id", "query", "n_labels", F.array_join("answers", "|").alias("answers"))
+    return agg.select("query", "n_labels", F.array_join("answers", "|").alias("answers"),
+                      F.array_join(F.transform("document_ids", lambda d: d.cast("string")), "|").alias("document_ids"))
 
 
 @register("squad_export", O.with_(OR.EXAMPLES)
-          + "SELECT id, to_json({'title': 'conversation ' || (example_id // 1000)::VARCHAR, 'paragraphs': "
+          + f"SELECT id, to_json({{'title': 'conversation ' || (example_id // {FX.EXAMPLE_ID_STRIDE})::VARCHAR, 'paragraphs': "
             "[{'qas': [{'question': question, 'id': id, 'answers': CASE WHEN len(ans_text) = 0 THEN [] ELSE "
             "[{'text': ans_text[1], 'answer_start': ans_start[1]}] END, 'is_impossible': len(ans_text) = 0}], "
             "'context': context}]})::VARCHAR AS record FROM ex")
@@ -611,27 +634,53 @@ def _vector_queries(spark, sf_dir):
           f"WHERE rank <= {VECTOR_K}")
 def exact_vector_topk(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
-    index = VE.shared_ivf(emb)
+    index = VE.shared_ivf(emb, source_key=FX.source_key(spark, sf_dir, "embeddings"))
     return VE.exact_topk(index, qs, VECTOR_K)
 
 
-@register("ivf_topk")
+IVF_SQL = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+m AS (SELECT label, i, round(avg(v[i]), 6) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e WHERE label IS NOT NULL) GROUP BY ALL),
+c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, label, list(x ORDER BY i) AS c FROM m GROUP BY label),
+ec AS (SELECT e.vec_id, e.v, c.cell, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c.c[i]) * (v[i] - c.c[i]))) AS d FROM e, c),
+own AS (SELECT vec_id, any_value(v) AS v, arg_min(cell, (d, cell)) AS cell FROM ec GROUP BY vec_id),
+qc AS (SELECT q.cell AS qid, q.c AS q, c.cell, row_number() OVER (PARTITION BY q.cell ORDER BY
+       list_sum(list_transform(range(1, len(q.c) + 1), lambda i: (q.c[i] - c.c[i]) * (q.c[i] - c.c[i]))), c.cell) AS r FROM c q, c),
+s AS (SELECT qid, vec_id, round(list_sum(list_transform(range(1, len(v) + 1), lambda i: (q[i] - v[i]) * (q[i] - v[i]))), 6) AS distance
+      FROM qc JOIN own USING (cell) WHERE r <= {nprobe})
+SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM
+(SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM s) WHERE rank <= {k}"""
+IVF_NPROBE = 2
+
+
+@register("ivf_topk", IVF_SQL.format(nprobe=IVF_NPROBE, k=VECTOR_K))
 def ivf_topk(spark, sf_dir):
-    emb, qs = _vector_queries(spark, sf_dir)
-    index = VE.shared_ivf(emb)
-    return VE.ivf_topk(index, qs, VECTOR_K, nprobe=VE.DEFAULT_NPROBE)
+    """Cells around the means of the labels, which SQL can compute too (KMeans is
+    the default); the queries are those means."""
+    emb = table(spark, sf_dir, "embeddings")
+    at = F.posexplode("embedding").alias("i", "x")
+    means = (emb.where(F.col("label").isNotNull()).select("label", at).groupBy("label", "i")
+             .agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x")).groupBy("label")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c")))
+    centroids = [r["c"] for r in means.orderBy("label").collect()]  # one row per label
+    index = VE.build_ivf(emb, centroids=centroids)
+    queries = spark.createDataFrame(list(enumerate(centroids)), "qid long, embedding array<double>")
+    return VE.ivf_topk(index, queries, VECTOR_K, nprobe=IVF_NPROBE)
 
 
+FRESH_SQL = "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum FROM {src} GROUP BY source"
+
 
 @register("index_freshness",
-          "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum "
-          "FROM documents GROUP BY source")
+          "WITH s AS (" + FRESH_SQL.format(src="documents") + "), c AS (" + FRESH_SQL.format(
+              src="(SELECT doc_id, text, source FROM documents WHERE lang IS DISTINCT FROM 'de')") + ") "
+          "SELECT source FROM s FULL JOIN c USING (source) WHERE (s.n_docs, s.id_sum, s.char_sum) IS DISTINCT FROM (c.n_docs, c.id_sum, c.char_sum)")
 def index_freshness(spark, sf_dir):
-    """Per-source fingerprints of the store: what a refit compares with the
-    fingerprints recorded when the index was fitted (R11)."""
+    """Sources to refit (R11): the fingerprints stored when the index was made,
+    against those of the store after its German documents went."""
     docs = table(spark, sf_dir, "documents")
-    fp = IS.portable_fingerprint(docs, "doc_id", "text", ["source"])
-    return fp.select("source", "n_docs", F.col("id_sum").cast("long"), "char_sum")
+    stored = materialize(IS.portable_fingerprint(docs, "doc_id", "text", ["source"]), "stored-fingerprints")
+    now = IS.portable_fingerprint(docs.where(~F.col("lang").eqNullSafe(F.lit("de"))), "doc_id", "text", ["source"])
+    return IS.stale_groups(stored, now, ["source"])
 
 
 # --- retrieve-then-read across passages, retrieval evaluation ---------------
@@ -641,9 +690,10 @@ from . import reading_flow as RF  # noqa: E402
 READER_SQL = O.with_(
     O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(), *O.bm25_ctes("okapi"),
     O.topk_cte(RF.RETRIEVER_TOP_K),
-    f"ex AS (SELECT t.qid * {RF.PAIR_KEY} + t.passage_id AS example_id, t.qid, t.passage_id, q.question, "
+    f"ex AS (SELECT t.qid * {RF.PAIR_SEED} + t.passage_id AS example_id, t.qid, t.passage_id, "
+    f"regexp_extract(q.question, '{RF.QUESTION_HEAD}') AS question, "
     "p.text AS context FROM topk t JOIN passages p USING (passage_id) JOIN q USING (qid))",
-    *OR.TOKENS, *OR.WINDOWS, *OR.CANDIDATES,
+    *OR.TOKENS, *OR.windows_ctes(RF.READER_MAX_LEN), *OR.CANDIDATES,
     f"pw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id, wi ORDER BY score DESC, si, ei) "
     f"AS r1 FROM cand) WHERE r1 <= {RF.TOP_K_PER_SAMPLE})",
     "uq AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY example_id, s_off, e_off ORDER BY score DESC, wi) "
@@ -661,14 +711,19 @@ READER_SQL = O.with_(
 def reader_topk(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
     qs = FX.questions(spark, sf_dir)
-    ranked = R.bm25_topk(IS.shared_index(psg, "bm25"), qs, RF.RETRIEVER_TOP_K, "okapi")
+    ranked = R.bm25_topk(corpus_index(spark, sf_dir), qs, RF.RETRIEVER_TOP_K, "okapi")
     return RF.read_retrieved(ranked, psg, qs)
 
 
 def _hits_sql(src: str, method: str) -> str:
     return (f"SELECT '{method}' AS method, count(*) AS n_questions, sum(c::INTEGER)::BIGINT AS hits, "
-            f"round(avg(c::INTEGER::DOUBLE), 6) AS hit_rate FROM (SELECT t.qid, "
-            f"contains(string_agg(p.text, ' ' ORDER BY t.rank), any_value(q.question)) AS c "
+            f"round(avg(c::INTEGER::DOUBLE), 6) AS hit_rate, round(avg(e::INTEGER::DOUBLE), 6) AS top1_equal_rate, "
+            f"round(avg(round(CASE WHEN hi = lo THEN 0.0 ELSE (sc[ri] - lo) / (hi - lo) END, 6)) FILTER (ri IS NOT NULL), 6) "
+            f"AS gold_score_mean FROM (SELECT t.qid, "
+            f"contains(string_agg(p.text, ' ' ORDER BY t.rank), any_value(q.question)) AS c, "
+            f"coalesce(bool_or(p.text = q.question) FILTER (t.rank = 1), false) AS e, "
+            f"min(t.score) AS lo, max(t.score) AS hi, list(t.score ORDER BY t.rank) AS sc, "
+            f"min(t.rank) FILTER (contains(p.text, q.question)) AS ri "
             f"FROM {src} t JOIN passages p USING (passage_id) JOIN q USING (qid) GROUP BY t.qid)")
 
 
@@ -677,20 +732,21 @@ RETRIEVAL_EVAL_SQL = O.with_(
     "best AS (SELECT qid, passage_id, scaled AS score, r_idx * 1000000 + rank AS pos FROM "
     "(SELECT *, row_number() OVER (PARTITION BY qid, passage_id ORDER BY scaled DESC, "
     "r_idx * 1000000 + rank) AS rn FROM scaled) WHERE rn = 1)",
-    f"e_top AS (SELECT qid, passage_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+    *O.bm25_ctes("l", "l_"), *O.bm25_ctes("server", "s_"), O.topk_cte(K, "l_top", src="l_scores"),
+    O.topk_cte(K, "s_top", src="s_scores", where="matched"),
+    f"e_top AS (SELECT qid, passage_id, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY qid "
     f"ORDER BY score DESC, pos) AS rank FROM best) WHERE rank <= {K})") + " UNION ALL ".join(
-    [_hits_sql("t_top", "tfidf"), _hits_sql("o_top", "bm25"), _hits_sql("p_top", "bm25_plus"),
-     _hits_sql("e_top", "ensemble")])
+    [_hits_sql("t_top", "tfidf"), _hits_sql("o_top", "bm25"), _hits_sql("p_top", "bm25_plus"), _hits_sql("l_top", "bm25l"),
+     _hits_sql("s_top", "server_bm25"), _hits_sql("e_top", "ensemble")])
 
 
 @register("retrieval_eval", RETRIEVAL_EVAL_SQL)
 def retrieval_eval(spark, sf_dir):
     psg = FX.passages(spark, sf_dir)
-    bm = IS.shared_index(psg, "bm25")
-    tf = IS.shared_index(psg, "tfidf")
-    out = RF.evaluate_retrievers({"tfidf": tf, "bm25": bm, "bm25_plus": bm}, psg,
-                                 FX.questions(spark, sf_dir), K)
-    return out.select("method", "n_questions", "hits", "hit_rate")
+    bm, tf = corpus_index(spark, sf_dir), corpus_index(spark, sf_dir, "tfidf")
+    indexes = {"tfidf": tf, "bm25": bm, "bm25_plus": bm, "bm25l": bm, "server_bm25": bm}
+    out = RF.evaluate_retrievers(indexes, psg, FX.questions(spark, sf_dir), K)
+    return out.select("method", "n_questions", "hits", "hit_rate", "top1_equal_rate", "gold_score_mean")
 
 
 @register("row_counts", O.with_(
@@ -726,8 +782,6 @@ def csv_roundtrip(spark, sf_dir):
     """QA examples exported as a CSV split (S6, answers as JSON text), read
     back with an explicit all-string schema (S4) and the answers parsed
     (S5)."""
-    import uuid
-
     from pyspark.sql import types as T
 
     ex = FX.qa_examples(spark, sf_dir).select("id", "question", "context", "answers")
@@ -738,3 +792,60 @@ def csv_roundtrip(spark, sf_dir):
     return back.select("id", "question", F.coalesce(F.col("context"), F.lit("")).alias("context"),
                        F.try_element_at("a.text", F.lit(1)).alias("first_answer"),
                        F.try_element_at("a.answer_start", F.lit(1)).alias("answer_start"))
+
+
+# --- operators that write, batch filters, reader metrics -----------------------
+
+@register("reader_metrics", O.with_(*SCORE_CTES)
+          + "SELECT count(*) AS n_questions, round(avg(em), 6) AS em, round(avg(f1), 6) AS f1 FROM per")
+def reader_metrics(spark, sf_dir):
+    """Reader EM / F1 over all gold questions, from the rank-1 answers."""
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    answers = preds.select("id", F.lit(1).alias("rank"), F.col("prediction_text").alias("text"))
+    return MT.reader_topk_metrics(answers, ex, k=1)
+
+
+@register("nbest_records", O.with_(*OR.reading_ctes())
+          + "SELECT example_id, count(*) AS n, array_to_string(list(text ORDER BY rank), '|') AS texts, "
+            "round(sum(probability), 6) AS total FROM nb GROUP BY example_id")
+def nbest_records(spark, sf_dir):
+    """N-best lists (D10) written as JSON Lines (S8) and read back."""
+    path = shared_path(spark, f"nbest-{uuid.uuid4().hex[:12]}")
+    records = SP.nbest_records(_nbest(spark, sf_dir))
+    SK.write_predictions(records, records, None, path, prefix="run")
+    back = spark.read.schema(records.schema).json(f"{path}/run_nbest_predictions")
+    return back.select("example_id", F.size("nbest").cast("long").alias("n"),
+                       F.array_join(F.transform("nbest", lambda x: x["text"]), "|").alias("texts"),
+                       F.round(F.aggregate("nbest", F.lit(0.0), lambda a, x: a + x["probability"]), 6).alias("total"))
+
+
+BATCH_FILTERS = [FILTER_AND_OR, FILTER_OR_OF_AND, None]
+_BATCH_WHERE = (f"(m.qid % 3 = 0 AND {FILTER_AND_OR_SQL}) OR (m.qid % 3 = 1 AND {FILTER_OR_OF_AND_SQL}) OR m.qid % 3 = 2")
+
+
+@register("batch_filtered_bm25", _store_sql(f"({_BATCH_WHERE})"))
+def batch_filtered_bm25(spark, sf_dir):
+    """One filter per question (R9 batch form): every third question has the first, the second, or none."""
+    qs = FX.questions(spark, sf_dir)
+    kinds = qs.select("qid", (F.col("qid") % 3).cast("int").alias("filter_id"))
+    docs = FX.store_documents(spark, sf_dir)
+    return ST.keyword_retrieve_batch(store_index(spark, sf_dir), qs, docs, BATCH_FILTERS, kinds)
+
+
+@register("difficulty_table", BEST_SQL.replace("SELECT ex.id, nb.text AS prediction_text",
+          "SELECT CASE WHEN nb.text = ex.ans_text[1] AND nb.text <> '' THEN 'easy' ELSE 'hard' END AS difficulty, count(*) AS n") + " GROUP BY 1")
+def difficulty_table(spark, sf_dir):
+    """Easy and hard examples written as a partitioned table (S10), counted per partition."""
+    ex, preds = _gold_and_preds(spark, sf_dir)
+    path = shared_path(spark, f"difficulty-{uuid.uuid4().hex[:12]}")
+    SK.write_by_difficulty(PR.curriculum_split(ex, PR.difficulty_pairs(preds, ex)), path)
+    return spark.read.parquet(path).groupBy("difficulty").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("corpus_lines", "SELECT doc_id::VARCHAR AS document_id, text, lang AS domain FROM documents WHERE text IS NOT NULL")
+def corpus_lines(spark, sf_dir):
+    """Documents written as JSON Lines and read by the corpus reader."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    path = shared_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
+    SK.write_json(docs.select(F.col("doc_id").cast("string").alias("document_id"), "text", F.col("lang").alias("domain")), path)
+    return RD.read_corpus_lines(spark, path).select("document_id", "text", "domain")

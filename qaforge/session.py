@@ -8,6 +8,7 @@ for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,19 +47,30 @@ def get_spark(app: str = "qaforge", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem). Only when nothing is set -- local tests -- a fresh folder
-    under /tmp is taken.
+    This is the folder that ``spark.checkpoint.dir`` names (a shared
+    filesystem), itself and not a subfolder of one session, so that stored
+    indexes are found again by later sessions. Where nothing is set, a local
+    session (tests, bench) takes a fresh folder under /tmp; a cluster session
+    is refused, since each of its executors has a /tmp of its own.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="qaforge-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    return configured
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any filesystem that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

@@ -13,16 +13,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.corpus import distinct_passages
+from ..session import is_complete, shared_path
 from .tables import table
 
 # How a gold answer is cut out of a context (tokens 3..5).
 ANSWER_PATTERN = r"^(\s*\S+\s+\S+\s+)(\S+\s+\S+\s+\S+)"
 # Example id = conv_id * EXAMPLE_ID_STRIDE + turn.
-EXAMPLE_ID_STRIDE = 1000
+EXAMPLE_ID_STRIDE = 1 << 31
 
 
 def passages(spark: SparkSession, sf_dir: str, keep=("lang", "source", "n_chars"),
@@ -34,22 +37,20 @@ def passages(spark: SparkSession, sf_dir: str, keep=("lang", "source", "n_chars"
     docs = table(spark, sf_dir, "documents")
     if not stored:
         return distinct_passages(docs, keep=tuple(keep))
-    import hashlib
-
-    from ..session import shared_path
-
-    # file listing only: the binaryFile source prunes the unread content column
-    src = f"{sf_dir.rstrip('/')}/documents.parquet"
-    files = (spark.read.format("binaryFile").load(src)
-             .select("path", "length", "modificationTime").collect())
-    stamp = [(r["path"], r["length"], str(r["modificationTime"])) for r in files]
-    key = hashlib.sha1(repr((sorted(stamp), tuple(keep))).encode()).hexdigest()[:20]
-    path = shared_path(spark, f"passages-{key}")
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- first use: build it
+    path = shared_path(spark, f"passages-{source_key(spark, sf_dir, 'documents', *keep)}")
+    if not is_complete(spark, path):
         distinct_passages(docs, keep=tuple(keep)).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def source_key(spark: SparkSession, sf_dir: str, name: str, *more: str) -> str:
+    """Names the present state of a table: a hash over its files' paths, sizes and
+    modification times, made of the file listing without reading the table."""
+    # the binaryFile source prunes the unread content column
+    listing = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("string"))
+    stamp = listing.agg(F.count(F.lit(1)), F.bit_xor(one), F.sum("length")).first()
+    return hashlib.sha1(repr((name, tuple(stamp), more)).encode()).hexdigest()[:20]
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

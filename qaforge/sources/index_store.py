@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TOKENIZERS, get_tokenizer
 from ..operators.index import SparseIndex, build_index, build_tfidf_index
-from ..session import shared_path
+from ..session import is_complete, shared_path
 
 
 def fingerprint(df: DataFrame, id_col: str = "passage_id", text_col: str = "text",
@@ -72,22 +72,24 @@ def load_index(spark: SparkSession, path: str) -> tuple[SparseIndex, dict]:
 
 
 def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whitespace",
-                 **params) -> SparseIndex:
+                 source_key: str | None = None, **params) -> SparseIndex:
     """The index of this corpus, built once per (kind, tokenizer, params,
-    corpus fingerprint) in the shared folder and loaded afterwards (S11,
-    R11): a changed corpus has another fingerprint, so a stale index is
-    never reused. Named tokenizers only (a callable has no stable name)."""
+    corpus) in the shared folder and loaded afterwards, by later sessions too
+    (S11, R11). ``source_key`` names the state of the corpus (see
+    ``fixtures.source_key``) and costs a file listing; without one, the
+    corpus is fingerprinted by a scan. A changed corpus has another key, so a
+    stale index is never reused. Named tokenizers only (a callable has no
+    stable name)."""
     if tokenizer not in TOKENIZERS:
         raise ValueError("shared_index needs a named tokenizer")
     spark = passages.sparkSession
-    fp = fingerprint(passages).first().asDict()
+    fp = {"source": source_key} if source_key else fingerprint(passages).first().asDict()
     key = hashlib.sha1(json.dumps([kind, tokenizer, params, fp], sort_keys=True,
                                   default=str).encode()).hexdigest()[:20]
     path = shared_path(spark, f"index-{kind}-{key}")
-    try:                                  # one read: present and complete (stats written last)
+    if index_exists(spark, path):
         return load_index(spark, path)[0]
-    except Exception:  # noqa: BLE001 -- absent: build it
-        return build_and_save(passages, path, kind, tokenizer, fp, **params)
+    return build_and_save(passages, path, kind, tokenizer, fp, **params)
 
 
 def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer: str = "whitespace",
@@ -116,11 +118,7 @@ def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(f"{path}/stats").limit(1).count()
-        return True
-    except Exception:  # noqa: BLE001 -- a missing path raises AnalysisException
-        return False
+    return is_complete(spark, f"{path}/stats")  # written last
 
 
 def load_or_build(spark: SparkSession, passages: DataFrame, path: str,
@@ -173,7 +171,8 @@ def index_properties(spark: SparkSession, name: str) -> dict:
 
 
 def set_index_properties(spark: SparkSession, name: str, properties: dict) -> None:
-    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    quoted = lambda x: "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 

@@ -6,11 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A single JSON object holding every prediction is one row, written by one
-# task; it is only allowed below this many predictions.
-SINGLE_OBJECT_MAX_ROWS = 1_000_000
-
-
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export of a split (S6); struct/array columns become JSON text."""
     cols = [F.to_json(F.col(f.name)).alias(f.name)
@@ -38,17 +33,6 @@ def write_predictions(predictions: DataFrame, nbest: DataFrame | None, null_odds
         write_json(null_odds, f"{out_dir}/{name}null_odds", mode)
 
 
-def predictions_object(predictions: DataFrame, id_col: str = "id",
-                       text_col: str = "prediction_text") -> DataFrame:
-    """``{id: text, ...}`` as one JSON string, for consumers that need the
-    single-object file; refused above ``SINGLE_OBJECT_MAX_ROWS`` rows."""
-    n = predictions.count()
-    if n > SINGLE_OBJECT_MAX_ROWS:
-        raise ValueError(f"{n} predictions: write JSON Lines instead of one object")
-    return predictions.agg(F.to_json(F.map_from_entries(F.collect_list(
-        F.struct(F.col(id_col), F.col(text_col))))).alias("json"))
-
-
 def top_answers(answers: DataFrame, id_col: str = "id") -> DataFrame:
     """id -> the rank-1 answer."""
     return answers.where(F.col("rank") == 1).select(id_col, F.col("text").alias("prediction_text"))

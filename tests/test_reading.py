@@ -59,10 +59,15 @@ def test_overlap_is_capacity_minus_one(spark):
     assert got == [0, 1, 2, 3]
 
 
-def test_blank_context_has_no_window_and_long_question_is_rejected(spark):
+def test_blank_context_has_one_window_and_long_question_is_rejected(spark):
     ex = examples(spark, [(1, "1", "q", "   ", ([], [])),
                           (2, "2", " ".join(["q"] * 20), "a b c", ([], []))])
-    assert WN.context_windows(ex, 24, 4).count() == 0
+    (w,) = WN.context_windows(ex, 24, 4).collect()
+    assert (w["example_id"], w["window"], w["first_token"], w["n_ctx"], w["offsets"]) == (1, 0, 0, 0, [None] * 4)
+    scored = WN.synthetic_logits(WN.context_windows(ex, 24, 4))
+    answers = {r["example_id"]: r["text"] for r in SP.nbest(scored, ex).where("rank = 1").collect()}
+    assert answers == {1: "empty", 2: "empty"}
+    assert [tuple(r)[2:] for r in WN.align_answers(WN.context_windows(ex, 24, 4), ex).collect()] == [(0, 0)]
     assert [r["example_id"] for r in WN.rejected_examples(ex, 24, 4).collect()] == [2]
 
 

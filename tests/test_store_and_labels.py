@@ -87,7 +87,7 @@ def test_label_rows_and_aggregation(spark):
     rows = sorted((r["id"], r["answer"], r["no_answer"]) for r in labels.collect())
     assert rows == [("a", "x", False), ("a", "y", False), ("b", "", True)]
     agg = PR.aggregate_labels(labels).collect()
-    assert [(r["id"], r["n_labels"], r["answers"]) for r in agg] == [("a", 2, ["x", "y"])]
+    assert [(r["query"], r["n_labels"], r["answers"], r["document_ids"]) for r in agg] == [("q1", 2, ["x", "y"], [1])]
 
 
 def test_squad_record_without_answer_is_impossible(spark):
@@ -180,7 +180,8 @@ def test_keyword_batch_one_filter_per_query(spark):
                                  "passage_id long, text string, lang string")
     qs = spark.createDataFrame([(1, "red"), (2, "red")], "qid long, question string")
     idx = build_index(docs, "word")
-    got = ST.keyword_retrieve_batch(idx, qs, docs, {1: {"lang": "de"}, 2: {"lang": "en"}}).collect()
+    got = ST.keyword_retrieve_batch(idx, qs, docs, [{"lang": "de"}, {"lang": "en"}],
+                                     spark.createDataFrame([(1, 0), (2, 1)], "qid long, filter_id int")).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r["qid"], set()).add(r["passage_id"])
@@ -193,7 +194,8 @@ def test_keyword_batch_shared_and_missing_filters(spark):
                                  "passage_id long, text string, lang string")
     qs = spark.createDataFrame([(1, "red"), (2, "red"), (3, "red")], "qid long, question string")
     idx = build_index(docs, "word")
-    got = ST.keyword_retrieve_batch(idx, qs, docs, {1: {"lang": "de"}, 2: {"lang": "de"}}).collect()
+    got = ST.keyword_retrieve_batch(idx, qs, docs, [{"lang": "de"}],
+                                     spark.createDataFrame([(1, 0), (2, 0)], "qid long, filter_id int")).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r["qid"], set()).add(r["passage_id"])
