@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 _M = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)

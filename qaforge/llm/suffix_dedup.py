@@ -55,8 +55,8 @@ MODULUS = 273
 COVER = [1, 2, 4, 8, 16, 32, 64, 91, 117, 128, 137, 182, 195, 205, 234, 239, 256]
 SAMPLE = LENGTH - MODULUS + 1
 PASSES = 4
-STRETCH = 4 << 20
-BATCH = 8 << 20
+STRETCH = 1 << 20
+BATCH = 4 << 20
 #: Rows up to which a table of places per text is broadcast.
 PLACE_ROWS = 300_000
 
