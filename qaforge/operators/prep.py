@@ -64,14 +64,15 @@ def split_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     starts = F.aggregate(F.col("wc"), init, step)["starts"]
     packed = with_wc.withColumn("starts", starts)
-    pieces = packed.select(id_col, "s", "wc", "starts", F.posexplode("starts").alias("split_idx", "b"))
-    end = F.coalesce(F.try_element_at("starts", F.col("split_idx") + 2), n)
-    length = end - F.col("b")
-    out = pieces.select(
-        id_col, F.col("split_idx").cast("int"),
-        F.aggregate(F.slice("wc", F.col("b") + 1, length), F.lit(0), lambda a, x: a + x).alias("n_words"),
-        F.array_join(F.slice("s", F.col("b") + 1, length), " ").alias("content"))
-    return out.where(F.col("content") != "")
+
+    # pieces are cut inside the row, so that no copy of the whole document is exploded
+    def piece(b, i):
+        length = F.coalesce(F.try_element_at("starts", i + 2), n) - b
+        return F.struct(F.aggregate(F.slice("wc", b + 1, length), F.lit(0), lambda a, x: a + x).alias("n_words"),
+                        F.array_join(F.slice("s", b + 1, length), " ").alias("content"))
+
+    out = packed.select(id_col, F.posexplode(F.transform("starts", piece)).alias("split_idx", "piece"))
+    return out.select(id_col, F.col("split_idx").cast("int"), "piece.n_words", "piece.content").where(F.col("content") != "")
 
 
 def label_rows(examples: DataFrame) -> DataFrame:

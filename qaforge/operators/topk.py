@@ -6,11 +6,12 @@ per-query constant for BM25+/BM25L). The reference ranks all passages, so a
 query with fewer than k matches is filled with base-score passages, lowest
 id first. Order contract: rounded score descending, passage_id ascending.
 
-Fill without a cross join: the first ``head`` passage ids (a bounded
-TakeOrderedAndProject, read to the driver as a literal array) minus the
-query's matched ids inside that head. When no matched score can fall below
-the base, ``head = 2k`` is provably enough: a query needing fill has fewer
-than k matches, so at least k+1 of the first 2k ids are unmatched. When
+Fill without a cross join: the k best matches of each query are written
+once; only queries with fewer than k scores above their base are filled, from
+the first ``2k`` passage ids (a bounded TakeOrderedAndProject, read to the
+driver as a literal array) minus the ids among their k best. When no matched
+score can fall below the base that is enough: at most k of the 2k ids are
+among the best, and a match outside them scores the base, like its fill. When
 scores can fall below the base (Okapi with a negative idf floor), a query
 with m matches, fewer than k of them above the base, is filled from the
 first k + m ids: passages are numbered in id order by a range sort, joined
@@ -26,25 +27,22 @@ from ..session import materialize
 from .common import top_n
 
 
-def _fill_rows(matched: DataFrame, base: DataFrame, head_ids: list[int], k: int,
-               small: bool = True) -> DataFrame:
-    """Per query: the first k head ids the query did not match.
+def _fill_rows(top: DataFrame, base: DataFrame, passage_ids: DataFrame, k: int) -> DataFrame | None:
+    """Base-score rows for the queries with fewer than k scores above their base; None if there is no such query.
 
-    Matched passages whose score rounds to the base stay in the candidate
-    set as matched rows and compete with the fill by id, so the two sets are
-    disjoint. The filter on ``passage_id`` passes through the score
-    aggregate down to the postings scan.
+    ``top`` holds each query's k best matches, which is enough: a match that
+    is not among them and has the base score is the same row as its fill.
     """
+    above = top.join(base, "qid").where(F.col("score") > F.col("base")).groupBy("qid").agg(F.count(F.lit(1)).alias("above"))
+    need = base.join(above, "qid", "left").where(F.coalesce(F.col("above"), F.lit(0)) < k).select("qid", "base")
+    if need.limit(1).count() == 0:
+        return None
     empty = F.array().cast("array<long>")
+    head_ids = [r[0] for r in passage_ids.orderBy("passage_id").limit(2 * k).collect()]
     head = F.array(*[F.lit(int(i)).cast("long") for i in head_ids]) if head_ids else empty
-    in_head = (matched.where(F.col("passage_id").isin(head_ids))
-               .groupBy("qid").agg(F.collect_list("passage_id").alias("seen")))
-    # one row per query on both sides: broadcast when the query side is small
-    in_head = F.broadcast(in_head) if small else in_head
-    return (base.join(in_head, "qid", "left")
-            .select("qid", "base",
-                    F.slice(F.filter(head, lambda p: ~F.array_contains(
-                        F.coalesce(F.col("seen"), empty), p)), 1, k).alias("fill")))
+    seen = top.groupBy("qid").agg(F.collect_list("passage_id").alias("seen"))  # at most k ids
+    free = F.filter(head, lambda p: ~F.array_contains(F.coalesce(F.col("seen"), empty), p))
+    return need.join(seen, "qid", "left").select("qid", F.explode(F.slice(free, 1, k)).alias("passage_id"), F.col("base").alias("score"))
 
 
 def numbered_ids(passage_ids: DataFrame) -> DataFrame:
@@ -73,8 +71,7 @@ def _fill_from_numbered(matched: DataFrame, base: DataFrame, passage_ids: DataFr
 
 
 def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
-                    k: int, n_passages: int, can_fall_below_base: bool = False,
-                    small: bool = True) -> DataFrame:
+                    k: int, n_passages: int, can_fall_below_base: bool = False) -> DataFrame:
     """Top-k over all passages.
 
     matched: ``qid, passage_id, score`` (score already rounded);
@@ -82,14 +79,16 @@ def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
     passage_ids: one ``passage_id`` column over the whole corpus.
     Output: ``qid long, rank int, passage_id long, score double``.
     """
+    order = [F.col("score").desc(), F.col("passage_id").asc()]
     if can_fall_below_base:
-        fill_rows = _fill_from_numbered(matched, base, passage_ids, k, n_passages)
+        fill = _fill_from_numbered(matched, base, passage_ids, k, n_passages)
+        ranked = top_n(matched.select("qid", "passage_id", "score").unionByName(fill), "qid", order, k)
     else:
-        head_ids = [r[0] for r in passage_ids.orderBy("passage_id").limit(2 * k).collect()]
-        fill_rows = (_fill_rows(matched, base, head_ids, k, small)
-                     .select("qid", F.explode("fill").alias("passage_id"), F.col("base").alias("score")))
-    candidates = matched.select("qid", "passage_id", "score").unionByName(fill_rows)
-    ranked = top_n(candidates, "qid", [F.col("score").desc(), F.col("passage_id").asc()], k)
+        # one pass over the postings: the k best matches are written, what follows reads them
+        ranked = materialize(top_n(matched.select("qid", "passage_id", "score"), "qid", order, k), "top-matches")
+        fill = _fill_rows(ranked, base, passage_ids, k)
+        if fill is not None:
+            ranked = top_n(ranked.drop("rank").unionByName(fill), "qid", order, k)
     return ranked.select(F.col("qid").cast("long"), F.col("rank").cast("int"),
                          F.col("passage_id").cast("long"), F.col("score").cast("double"))
 

@@ -68,10 +68,11 @@ def context_windows(examples: DataFrame, max_len: int = MAX_LEN, stride: int = D
           .where(F.col("step") > 0))
     last_first = (F.ceil(F.greatest(F.col("n") - F.col("cap"), F.lit(0)) / F.col("step"))
                   * F.col("step")).cast("int")
-    wins = ex.select(id_col, "qn", "cap", "offsets", "n",
-                     F.posexplode(F.sequence(F.lit(0), last_first, F.col("step")))
-                     .alias("window", "first_token"))
-    ctx = F.slice("offsets", F.col("first_token") + 1, F.col("cap"))
+    # windows are cut inside the row, so that no copy of all offsets is exploded
+    cut = F.transform(F.sequence(F.lit(0), last_first, F.col("step")), lambda f: F.struct(
+        f.alias("first_token"), F.slice("offsets", f + 1, F.col("cap")).alias("ctx")))
+    wins = ex.select(id_col, "qn", F.posexplode(cut).alias("window", "w")).select(id_col, "qn", "window", "w.first_token", "w.ctx")
+    ctx = F.col("ctx")
     nulls = F.array_repeat(F.lit(None).cast("struct<s:int,e:int>"), F.col("qn") + 2)
     tail = F.array(F.lit(None).cast("struct<s:int,e:int>"))
     return wins.select(
