@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
-from .common import BROADCAST_MAX_ROWS, rounded
+from ..session import materialize
+from .common import BROADCAST_MAX_ROWS, rounded, top_n
 from .index import SparseIndex
-from .topk import exhaustive_topk, matches_only_topk
+from .topk import exhaustive_topk, filled_topk, matches_only_topk
 
 # ---------------------------------------------------------------------------
 # The parameters of the scoring functions.
@@ -105,14 +106,33 @@ def okapi_mean_idf(index: SparseIndex) -> float:
     return float(row["m"] or 0.0)
 
 
+DEFAULTS = {"okapi": OKAPI, "plus": PLUS, "l": BM25L, "server": SERVER}
+
+
+def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column) -> tuple[Column, Column]:
+    """What a (query term, posting) adds to the score above the base, and what the term adds to the base."""
+    k1, b = p["k1"], p["b"]
+    tf = F.col("tf")
+    norm = _bm25_norm(index, k1, b)
+    w = F.col("qtf") * idf
+    if variant == "okapi":
+        return w * tf * (k1 + 1) / (tf + norm), F.lit(0.0)
+    if variant == "plus":
+        return w * (tf * (k1 + 1) / (norm + tf)), w * p["delta"]
+    if variant == "l":
+        d = p["delta"]
+        c = tf / (1 - b + b * F.col("dl") / F.lit(index.avgdl))
+        return w * (k1 + 1) * ((c + d) / (k1 + c + d) - d / (k1 + d)), w * (k1 + 1) * d / (k1 + d)
+    return w * tf / (tf + norm), F.lit(0.0)  # server
+
+
 def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
                qid_col: str = "qid", text_col: str = "question",
                params: dict | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                salt: int = 16) -> Scored:
     """Sparse BM25 scores for every question."""
-    defaults = {"okapi": OKAPI, "plus": PLUS, "l": BM25L, "server": SERVER}[variant]
+    defaults = DEFAULTS[variant]
     p = {**defaults, **(params or {})}
-    k1, b = p["k1"], p["b"]
     mean_idf = None
     if variant == "okapi":
         mean_idf = index.extras.get("mean_idf")
@@ -124,23 +144,7 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
           .withColumn("idf", _idf(variant, index.n_docs, mean_idf, p.get("epsilon", 0.25))))
     qv_side = F.broadcast(qv) if is_small else qv
 
-    tf = F.col("tf")
-    norm = _bm25_norm(index, k1, b)
-    w = F.col("qtf") * F.col("idf")
-    if variant == "okapi":
-        contrib = w * tf * (k1 + 1) / (tf + norm)
-        base_term = F.lit(0.0)
-    elif variant == "plus":
-        contrib = w * (tf * (k1 + 1) / (norm + tf))            # above base idf*delta
-        base_term = w * p["delta"]
-    elif variant == "l":
-        d = p["delta"]
-        c = tf / (1 - b + b * F.col("dl") / F.lit(index.avgdl))
-        contrib = w * (k1 + 1) * ((c + d) / (k1 + c + d) - d / (k1 + d))
-        base_term = w * (k1 + 1) * d / (k1 + d)
-    else:  # server
-        contrib = w * tf / (tf + norm)
-        base_term = F.lit(0.0)
+    contrib, base_term = _contribution(index, variant, p, F.col("idf"))
 
     sums = (_join_postings(qv_side, index.postings, is_small, salt)
             .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s"), F.count(F.lit(1)).alias("n_terms")))
@@ -195,6 +199,36 @@ def bm25_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K,
     return topk(index, score_bm25(index, questions, variant, **kw), k)
 
 
+def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plus"), k: int = DEFAULT_K,
+               max_broadcast_rows: int = BROADCAST_MAX_ROWS, salt: int = 16) -> dict[str, DataFrame]:
+    """The top-k lists of several BM25 variants from one join with the postings:
+    one score column per variant in one aggregate, one ranking over (question,
+    variant)."""
+    mean_idf = index.extras.get("mean_idf")
+    if "okapi" in variants and mean_idf is None:
+        mean_idf = okapi_mean_idf(index)
+    if "okapi" in variants and mean_idf < 0:  # scores below the base need the wider fill
+        return {v: bm25_topk(index, questions, k, v) for v in variants}
+    qside, is_small = _small(query_terms(questions, index.tokenizer), max_broadcast_rows)
+    qv = qside.join(index.vocab, "term")
+    parts = {}
+    for v in variants:
+        qv = qv.withColumn(f"idf_{v}", _idf(v, index.n_docs, mean_idf, DEFAULTS[v].get("epsilon", 0.25)))
+        parts[v] = _contribution(index, v, DEFAULTS[v], F.col(f"idf_{v}"))
+    base = (questions.select("qid").join(qv.groupBy("qid").agg(*[F.sum(parts[v][1]).alias(f"b_{v}") for v in variants]), "qid", "left")
+            .na.fill(0.0, [f"b_{v}" for v in variants]))
+    base = materialize(base, "bm25-base")  # one row per question
+    side = F.broadcast(base) if is_small else base
+    sums = (_join_postings(F.broadcast(qv) if is_small else qv, index.postings, is_small, salt)
+            .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
+    scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
+    rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")
+    best = materialize(top_n(rows, ["qid", "variant"], [F.col("score").desc(), F.col("passage_id").asc()], k), "bm25-lists")
+    ids = index.lengths.select("passage_id")
+    return {v: filled_topk(best.where(F.col("variant") == v).drop("variant"),
+                           base.select("qid", rounded(F.col(f"b_{v}")).alias("base")), ids, k) for v in variants}
+
+
 def server_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K, **kw) -> DataFrame:
     """Search-server BM25: matches only, no fill."""
     return matches_only_topk(score_bm25(index, questions, "server", **kw).matched, k)

@@ -70,6 +70,15 @@ def _fill_from_numbered(matched: DataFrame, base: DataFrame, passage_ids: DataFr
     return top_n(free, "qid", [F.col("passage_id").asc()], k).select("qid", "passage_id", F.col("base").alias("score"))
 
 
+def filled_topk(best: DataFrame, base: DataFrame, passage_ids: DataFrame, k: int) -> DataFrame:
+    """Top-k over all passages from each query's k best matches (``qid, rank, passage_id, score``, a written table)."""
+    fill = _fill_rows(best, base, passage_ids, k)
+    if fill is not None:
+        best = top_n(best.drop("rank").unionByName(fill), "qid", [F.col("score").desc(), F.col("passage_id").asc()], k)
+    return best.select(F.col("qid").cast("long"), F.col("rank").cast("int"),
+                       F.col("passage_id").cast("long"), F.col("score").cast("double"))
+
+
 def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
                     k: int, n_passages: int, can_fall_below_base: bool = False) -> DataFrame:
     """Top-k over all passages.
@@ -85,10 +94,8 @@ def exhaustive_topk(matched: DataFrame, base: DataFrame, passage_ids: DataFrame,
         ranked = top_n(matched.select("qid", "passage_id", "score").unionByName(fill), "qid", order, k)
     else:
         # one pass over the postings: the k best matches are written, what follows reads them
-        ranked = materialize(top_n(matched.select("qid", "passage_id", "score"), "qid", order, k), "top-matches")
-        fill = _fill_rows(ranked, base, passage_ids, k)
-        if fill is not None:
-            ranked = top_n(ranked.drop("rank").unionByName(fill), "qid", order, k)
+        best = materialize(top_n(matched.select("qid", "passage_id", "score"), "qid", order, k), "top-matches")
+        return filled_topk(best, base, passage_ids, k)
     return ranked.select(F.col("qid").cast("long"), F.col("rank").cast("int"),
                          F.col("passage_id").cast("long"), F.col("score").cast("double"))
 
@@ -100,4 +107,4 @@ def matches_only_topk(matched: DataFrame, k: int) -> DataFrame:
                          F.col("passage_id").cast("long"), F.col("score").cast("double"))
 
 
-__all__ = ["exhaustive_topk", "matches_only_topk"]
+__all__ = ["exhaustive_topk", "filled_topk", "matches_only_topk"]

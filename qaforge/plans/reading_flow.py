@@ -87,7 +87,11 @@ def evaluate_retrievers(indexes: dict[str, SparseIndex], passages: DataFrame, qu
     index (TF-IDF methods need a TF-IDF index)."""
     # each list is read several times (its own metrics and the ensemble):
     # write it once to the shared folder (k rows per question)
-    lists = {m: materialize(R.retrieve(idx, questions, m, k), f"ranked-{m}") for m, idx in indexes.items()}
+    variants = {m: v for m, v in (("bm25", "okapi"), ("bm25_plus", "plus"), ("bm25l", "l")) if m in indexes}
+    shared = {id(indexes[m]) for m in variants}
+    joint = R.bm25_lists(indexes[next(iter(variants))], questions, tuple(variants.values()), k) if len(shared) == 1 else {}
+    lists = {m: materialize(joint[variants[m]] if m in variants and joint else R.retrieve(idx, questions, m, k), f"ranked-{m}")
+             for m, idx in indexes.items()}
     bound = questions.count() * k
     if with_ensemble and all(m in lists for m in EN.ENSEMBLE_METHODS):
         lists["ensemble"] = EN.max_merge({m: lists[m] for m in EN.ENSEMBLE_METHODS}, k)

@@ -147,8 +147,8 @@ from ..operators import relevance as RV  # noqa: E402
 def _three_lists(spark, sf_dir, k=K):
     qs = FX.questions(spark, sf_dir)
     bm, tf = corpus_index(spark, sf_dir), corpus_index(spark, sf_dir, "tfidf")
-    return {"tfidf": R.tfidf_topk(tf, qs, k), "bm25": R.bm25_topk(bm, qs, k, "okapi"),
-            "bm25_plus": R.bm25_topk(bm, qs, k, "plus")}
+    bm25 = R.bm25_lists(bm, qs, ("okapi", "plus"), k)
+    return {"tfidf": R.tfidf_topk(tf, qs, k), "bm25": bm25["okapi"], "bm25_plus": bm25["plus"]}
 
 
 THREE_LISTS_SQL = [O.PASSAGES, O.QUESTIONS, *O.index_ctes(), *O.qterm_ctes(),
