@@ -48,18 +48,22 @@ def question_token_count(question: Column) -> Column:
 
 
 def context_windows(examples: DataFrame, max_len: int = MAX_LEN, stride: int = DOC_STRIDE,
-                    id_col: str = "example_id", model_max_len: int | None = None) -> DataFrame:
+                    id_col: str = "example_id", model_max_len: int | None = None,
+                    offsets: DataFrame | None = None, offsets_on: str | None = None) -> DataFrame:
     """One row per window: ``example_id, window, first_token, qn, n_ctx,
     offsets`` (full feature length, null outside the context).
 
     An example whose context has no token has one window without context
     offsets. Examples whose question leaves no room for ``stride`` overlap
     have no window; ``rejected_examples`` reports them. A window is never
-    longer than the model's own limit ``model_max_len``.
+    longer than the model's own limit ``model_max_len``. Contexts that many
+    examples share can bring their token ``offsets``, made once per context and
+    joined on ``offsets_on``.
     """
     max_len = max_len if model_max_len is None else min(max_len, model_max_len)  # D4
-    offs = token_offsets(examples, id_col, "context")
-    ex = (examples.select(id_col, "question").join(offs, id_col, "left")
+    on = offsets_on or id_col
+    offs = token_offsets(examples, id_col, "context") if offsets is None else offsets
+    ex = (examples.select(*dict.fromkeys((id_col, on)), "question").join(offs, on, "left")
           .withColumn("offsets", F.coalesce(F.col("offsets"), F.array().cast(OFFSET_TYPE)))
           .withColumn("qn", question_token_count(F.col("question")))
           .withColumn("cap", F.lit(max_len - SPECIAL_TOKENS) - F.col("qn"))

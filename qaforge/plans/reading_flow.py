@@ -56,13 +56,16 @@ def read_retrieved(ranked: DataFrame, passages: DataFrame, questions: DataFrame,
                    max_passages_per_question: int = RETRIEVER_TOP_K) -> DataFrame:
     """Answers across retrieved passages: ``qid, rank, passage_id, text, score``."""
     bound = questions.count() * max_passages_per_question
-    pairs = AS.with_text(ranked.select("qid", "passage_id"), passages, bound_rows=bound) \
-        .join(questions.select("qid", "question"), "qid")
+    ranked = materialize(ranked.select("qid", "passage_id"), "reader-pairs")  # k rows per question
+    pairs = AS.with_text(ranked, passages, bound_rows=bound).join(questions.select("qid", "question"), "qid")
+    # a popular passage is tokenized once, not once per question
+    texts = AS.with_text(ranked.select("passage_id").distinct(), passages, bound_rows=bound)
+    offsets = WN.token_offsets(texts, "passage_id", "text")
     examples = pairs.select(F.struct(F.col("qid").cast("long").alias("qid"), F.col("passage_id").cast("long").alias("passage_id"))
                             .alias("example_id"),
                             "qid", "passage_id", F.regexp_extract("question", QUESTION_HEAD, 0).alias("question"),
                             F.col("text").alias("context"))
-    feats = score_features(WN.context_windows(examples, max_len, stride), model)
+    feats = score_features(WN.context_windows(examples, max_len, stride, offsets=offsets, offsets_on="passage_id"), model)
     cands = SP.window_candidates(feats)
     per_window = top_n(cands, ["example_id", "window"],
                        [F.col("score").desc(), F.col("si").asc(), F.col("ei").asc()], per_sample, "wr")
