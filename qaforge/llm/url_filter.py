@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 DEFAULT_VERDICT = "allow"
 HOT_SHARE = 512
 RULE_ROWS = 50_000
+LOT = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -126,9 +127,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
     merged = every.groupBy("page_id", "host", "path").agg(
         F.sum("own").alias("rows"),
         F.max("best").alias("best"))
-    return merged.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
-                         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
-                         F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_copy")).drop("_copy")
+    # repeated rows come back in two steps, so that no array is as long as a row is frequent
+    lots = merged.withColumn("lot", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("rows") / LOT))))
+    last = F.least(F.lit(LOT).cast("long"), F.col("rows") - (F.col("lot") - 1) * LOT)
+    return lots.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
+                       F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+                       F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("copy")).drop("copy")
 
 
 ORACLE = """
