@@ -42,6 +42,8 @@ ORDER = 3
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 20_000
 CONTEXTS = 12_000
+#: Bytes scored at a time.
+SLICE = 1 << 18
 #: Bits a byte above which no learned language explains a text (plain bytes need 8).
 REJECT_BITS = 6.0
 
@@ -74,10 +76,10 @@ class Model:
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each row (rows x languages)."""
         out = np.zeros((len(offsets) - 1, len(self.langs)))
-        for lo, hi in spans(offsets, 1 << 20):
+        for lo, hi in spans(offsets, SLICE):
             a, b = int(offsets[lo]), int(offsets[hi])
-            for at in range(a, b, 1 << 20):  # a very long row in slices
-                end = min(at + (1 << 20), b)
+            for at in range(a, b, SLICE):  # a very long row in slices
+                end = min(at + SLICE, b)
                 out[lo:hi] += self._slice(data, offsets[lo:hi + 1], a, at, end)
         return out
 

@@ -48,7 +48,7 @@ MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_SCORE = -40_000.0
 NBEST = 4
-CACHE_WORDS = 700_000
+CACHE_WORDS = 250_000
 CACHE_LENGTH = 48
 _NONE = float("-inf")
 
@@ -461,7 +461,7 @@ def _lists(values: list[np.ndarray | None], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat), mask=pa.array(null))
 
 
-def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int = 2 << 20) -> DataFrame:
+def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, n_pieces and ids of the best path, scores and piece counts of the n best, round_trip."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
