@@ -85,7 +85,7 @@ def shared_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_i
     path = shared_path(spark, f"ivf-{key}")
     if not is_complete(spark, f"{path}/cells"):
         index = build_ivf(vectors, n_cells, seed, max_iter, id_col, vec_col)
-        index.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+        index.vectors.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
         rows = [(i, c, index.radii.get(i, 0.0), index.sizes.get(i, 0)) for i, c in enumerate(index.centroids)]
         spark.createDataFrame(rows, "cell int, centroid array<double>, radius double, size long") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")  # last: marks a complete index
@@ -192,7 +192,8 @@ def _probe(queries: DataFrame, index: IVFIndex, cells: Column, k: int) -> DataFr
     vmap, qmap = lookup(vsub), lookup(qblk)
     q_side = (probes.withColumn("qb", F.pmod(F.xxhash64("qid"), F.element_at(qmap, F.col("cell"))))
               .withColumn("vs", F.explode(F.sequence(F.lit(0), F.element_at(vmap, F.col("cell")) - 1))))
-    v_side = (index.vectors.select("vec_id", F.col("embedding").alias("v"), "cell")
+    # only probed cells are read (stored vectors are partitioned by cell) and shuffled
+    v_side = (index.vectors.where(F.col("cell").isin(sorted(n_probe))).select("vec_id", F.col("embedding").alias("v"), "cell")
               .withColumn("vs", F.pmod(F.xxhash64("vec_id"), F.element_at(vmap, F.col("cell"))))
               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.element_at(qmap, F.col("cell")) - 1))))
     fn = _block_topk_fn(k)

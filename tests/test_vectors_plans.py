@@ -60,7 +60,9 @@ def test_scoring_plan_shape(spark, sf0001):
     from qaforge.operators.index import build_index
     from qaforge.sources import fixtures as FX
     idx = build_index(FX.passages(spark, sf0001))
-    df = R.bm25_topk(idx, FX.questions(spark, sf0001), 10)
+    from qaforge.operators.common import top_n
+    scored = R.score_bm25(idx, FX.questions(spark, sf0001), "okapi")
+    df = top_n(scored.matched, "qid", [F.col("score").desc(), F.col("passage_id").asc()], 10)
     df.collect()
     plan = plan_of(df)
     assert "WindowGroupLimit" in plan
