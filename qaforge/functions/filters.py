@@ -74,8 +74,3 @@ def compile_filter(filters: dict | None, column_of=F.col) -> Column:
     if not isinstance(filters, dict):
         raise ValueError("filters must be a dict")
     return _all([_node(k, v, column_of) for k, v in filters.items()])
-
-
-def meta_column(meta_struct: str = "meta"):
-    """Field resolver for documents whose metadata sits in a struct column."""
-    return lambda name: F.col(f"{meta_struct}.{name}")

@@ -26,9 +26,6 @@ class SparseIndex:
     tokenizer: Tokenizer = field(repr=False)
     extras: dict = field(default_factory=dict, repr=False)
 
-    def df_of(self, terms: DataFrame) -> DataFrame:
-        return terms.join(self.vocab, "term")
-
 
 def _out(df: DataFrame, name: str, out_dir: str | None) -> DataFrame:
     return _write(df, name, f"{out_dir}/{name}" if out_dir else None)

@@ -10,8 +10,8 @@ Plan shape for every method (J2 + A5 + T1):
 
 With the query side broadcast, the postings are never shuffled by term, so a
 term present in a third of all passages causes no skewed reducer. When the
-query side is too large to broadcast, the postings side is salted by
-``passage_id`` so a hot term spreads over ``salt`` reducers.
+query side is too large to broadcast, the postings of a hot term are salted
+by ``passage_id``, with as many salts as its document frequency asks for.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
 from ..session import materialize
-from .common import BROADCAST_MAX_ROWS, rounded, top_n
+from .common import BROADCAST_MAX_ROWS, bounded_broadcast, rounded, top_n
 from .index import SparseIndex
 from .topk import exhaustive_topk, filled_topk, matches_only_topk
 
@@ -35,6 +35,8 @@ BM25L = {"k1": 1.5, "b": 0.75, "delta": 0.5}
 SERVER = {"k1": 1.2, "b": 0.75}
 DEFAULT_K = 40
 # ---------------------------------------------------------------------------
+# Postings of one term that a reducer takes.
+HOT_DF = 500_000
 
 
 def query_terms(questions: DataFrame, tokenizer: Tokenizer | str = "whitespace",
@@ -60,14 +62,17 @@ def _small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
-def _join_postings(qside: DataFrame, postings: DataFrame, is_small: bool,
-                   salt: int) -> DataFrame:
-    """Query terms x postings on term. Broadcast when small; otherwise salt
-    the join key with ``passage_id % salt`` and replicate query rows."""
-    if is_small or salt <= 1:
+def _join_postings(qside: DataFrame, postings: DataFrame, is_small: bool, hot_df: int) -> DataFrame:
+    """Query terms x postings on term. Broadcast when small; otherwise a term
+    with more than ``hot_df`` postings is dealt over ``ceil(df / hot_df)``
+    salts, so a reducer's share of a term has the same size at any scale."""
+    if is_small:
         return qside.join(postings, "term")
-    salted_q = qside.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    salted_p = postings.withColumn("salt", F.pmod(F.col("passage_id"), F.lit(salt)))
+    salts = F.ceil(F.col("df") / hot_df).cast("int")
+    hot = bounded_broadcast(qside.where(F.col("df") > hot_df).select("term", salts.alias("salts")).distinct())
+    salted_q = qside.withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)))
+    salted_p = (postings.join(hot, "term", "left")
+                .withColumn("salt", F.pmod(F.xxhash64("passage_id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts"))
     return salted_q.join(salted_p, ["term", "salt"]).drop("salt")
 
 
@@ -129,7 +134,7 @@ def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column) -> tup
 def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
                qid_col: str = "qid", text_col: str = "question",
                params: dict | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-               salt: int = 16) -> Scored:
+               hot_df: int = HOT_DF) -> Scored:
     """Sparse BM25 scores for every question."""
     defaults = DEFAULTS[variant]
     p = {**defaults, **(params or {})}
@@ -146,7 +151,7 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
 
     contrib, base_term = _contribution(index, variant, p, F.col("idf"))
 
-    sums = (_join_postings(qv_side, index.postings, is_small, salt)
+    sums = (_join_postings(qv_side, index.postings, is_small, hot_df)
             .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s"), F.count(F.lit(1)).alias("n_terms")))
     if variant in ("okapi", "server"):
         # unmatched passages score 0: no per-query base to join
@@ -170,18 +175,18 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
 
 def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
                 text_col: str = "question", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                salt: int = 16) -> Scored:
+                hot_df: int = HOT_DF) -> Scored:
     """Cosine of L2-normalized tf*idf vectors over the capped vocabulary.
     Query terms outside the vocabulary are ignored."""
     qterms = query_terms(questions, index.tokenizer, qid_col, text_col,
                          ngrams=index.extras.get("ngrams", True))
     qside, is_small = _small(qterms, max_broadcast_rows)
-    qv = (qside.join(F.broadcast(index.vocab.select("term", "idf")), "term")
+    qv = (qside.join(bounded_broadcast(index.vocab.select("term", "df", "idf")), "term")
           .withColumn("qw", F.col("qtf") * F.col("idf")))
     qnorm = qv.groupBy("qid").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     qv = qv.join(qnorm, "qid").withColumn("qw", F.col("qw") / F.col("qn"))
     qv_side = F.broadcast(qv) if is_small else qv
-    matched = (_join_postings(qv_side, index.postings, is_small, salt)
+    matched = (_join_postings(qv_side, index.postings, is_small, hot_df)
                .groupBy("qid", "passage_id")
                .agg(rounded(F.sum(F.col("qw") * F.col("w"))).alias("score")))
     base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
@@ -200,7 +205,7 @@ def bm25_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K,
 
 
 def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plus"), k: int = DEFAULT_K,
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS, salt: int = 16) -> dict[str, DataFrame]:
+               max_broadcast_rows: int = BROADCAST_MAX_ROWS, hot_df: int = HOT_DF) -> dict[str, DataFrame]:
     """The top-k lists of several BM25 variants from one join with the postings:
     one score column per variant in one aggregate, one ranking over (question,
     variant)."""
@@ -219,7 +224,7 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
             .na.fill(0.0, [f"b_{v}" for v in variants]))
     base = materialize(base, "bm25-base")  # one row per question
     side = F.broadcast(base) if is_small else base
-    sums = (_join_postings(F.broadcast(qv) if is_small else qv, index.postings, is_small, salt)
+    sums = (_join_postings(F.broadcast(qv) if is_small else qv, index.postings, is_small, hot_df)
             .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
     scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
     rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")

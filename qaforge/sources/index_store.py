@@ -162,6 +162,17 @@ def drop_index_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def write_rows(df: DataFrame, name: str) -> int:
+    """Add documents or labels to a named table (S14); returns its row count."""
+    df.write.mode("append").saveAsTable(name)
+    return df.sparkSession.table(name).count()
+
+
+def clear_table(spark: SparkSession, name: str) -> None:
+    """Remove all rows of a named table and keep the table."""
+    spark.sql(f"TRUNCATE TABLE {name}")
+
+
 def list_index_tables(spark: SparkSession) -> list[str]:
     return [t.name for t in spark.catalog.listTables()]
 

@@ -48,8 +48,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     return reader.parquet(path)
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
-    for name in names or SCHEMAS:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)

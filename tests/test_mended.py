@@ -147,3 +147,16 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_label_table_is_written_counted_and_cleared(spark, tmp_path):
+    name = "labels_" + tmp_path.name.replace("-", "_")
+    labels = spark.createDataFrame([("q", "a", False), ("q", "b", False)], "query string, answer string, no_answer boolean")
+    try:
+        assert IS.write_rows(labels, name) == 2 and IS.write_rows(labels, name) == 4
+        IS.set_index_properties(spark, name, {"note": "it's a 'label' store"})
+        assert IS.index_properties(spark, name)["note"] == "it's a 'label' store"
+        IS.clear_table(spark, name)
+        assert spark.table(name).count() == 0
+    finally:
+        IS.drop_index_table(spark, name)

@@ -189,9 +189,9 @@ def test_salted_shuffle_path_equals_broadcast_path(spark, variant):
     are salted by passage id; the result must not change."""
     idx = build_index(distinct_passages(docs_df(spark)))
     a = as_dict(R.bm25_topk(idx, q_df(spark), 4, variant))
-    b = as_dict(R.bm25_topk(idx, q_df(spark), 4, variant, max_broadcast_rows=0, salt=3))
+    b = as_dict(R.bm25_topk(idx, q_df(spark), 4, variant, max_broadcast_rows=0, hot_df=1))
     assert a == b
-    plan = R.score_bm25(idx, q_df(spark), variant, max_broadcast_rows=0, salt=3).matched \
+    plan = R.score_bm25(idx, q_df(spark), variant, max_broadcast_rows=0, hot_df=1).matched \
         ._jdf.queryExecution().executedPlan().toString()
     assert "salt" in plan
 
@@ -199,5 +199,5 @@ def test_salted_shuffle_path_equals_broadcast_path(spark, variant):
 def test_tfidf_salted_path(spark):
     idx = build_tfidf_index(distinct_passages(docs_df(spark)))
     a = as_dict(R.tfidf_topk(idx, q_df(spark), 3))
-    b = as_dict(R.tfidf_topk(idx, q_df(spark), 3, max_broadcast_rows=0, salt=2))
+    b = as_dict(R.tfidf_topk(idx, q_df(spark), 3, max_broadcast_rows=0, hot_df=1))
     assert a == b
