@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize
-from .common import partitions
+from .common import bounded_batches, partitions
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -187,6 +187,7 @@ COLUMNS = ["piece", "role", "action", "rendered"]
 def format_chats(turns: DataFrame) -> DataFrame:
     """conv_id, turn, source_role, piece, role, action, rendered: one row per source turn and per inserted turn."""
     spark = turns.sparkSession
+    bounded_batches(turns)
     kind, turn_kind = (turns.schema[c].dataType.simpleString() for c in ("conv_id", "turn"))
     # the row number splits a run of equal turns over partitions as well
     rows = turns.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("n"))

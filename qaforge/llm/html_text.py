@@ -38,6 +38,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))
     |<!\[CDATA\[.*?(?:\]\]>|\Z)
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
@@ -259,5 +261,6 @@ def extract(pages: DataFrame) -> DataFrame:
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
+    bounded_batches(pages)
     kind = pages.schema["page_id"].dataType.simpleString()
     return pages.select("page_id", "url", "html").mapInArrow(rows, f"page_id {kind}, url string, text string, n_chars long")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spans, utf8
+from .common import bounded_batches, spans, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 400
@@ -185,6 +185,7 @@ def fit(docs: DataFrame, **bounds) -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` that are named doc_id, plus held_out, lang_pred, score and bits_per_byte."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"),
                          held_out(F.col("doc_id")).alias("held_out"))
@@ -217,6 +218,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) -> DataFrame:
     """``docs`` without the rows in no learned language: no letters, or a code of over ``most_bits`` a byte."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
     at = columns.index("text")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize
+from .common import bounded_batches
 
 WINDOW = 2
 DIVISOR = 3
@@ -125,6 +126,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; with ``counts`` also n_lines, n_removed (lines), n_chunks_removed."""
+    bounded_batches(docs)
     gone = materialize(repeated_chunks(docs).groupBy("doc_id", "_t").agg(F.sort_array(F.collect_set("i")).alias("_gone"))
                        .withColumnRenamed("doc_id", "_id").withColumnRenamed("_t", "_k"), "line-gone")
     # the row stands in one struct, so that no column of docs meets a helper column's name

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import mix, powers, spans, utf8
+from .common import bounded_batches, mix, powers, spans, utf8
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -463,6 +463,7 @@ def _lists(values: list[np.ndarray | None], kind) -> pa.Array:
 
 def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, n_pieces and ids of the best path, scores and piece counts of the n best, round_trip."""
+    bounded_batches(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

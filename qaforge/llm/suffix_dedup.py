@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import partitions, prefix_sums, range_hash, spans, utf8
+from .common import bounded_batches, partitions, prefix_sums, range_hash, spans, utf8
 
 LENGTH = 400
 #: A perfect difference set modulo 273: every difference occurs once.
@@ -243,6 +243,7 @@ def release(spark) -> None:
 # --- the operator ---------------------------------------------------------------
 
 def texts_of(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs)
     return docs.select("doc_id", "text", F.xxhash64("text").alias("node"))
 
 
