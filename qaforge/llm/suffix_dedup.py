@@ -387,3 +387,21 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                      pa.array(digest, pa.string())], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return joined.mapInArrow(rows, f"doc_id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+ORACLE = f"""
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, md5(b[i:i + {LENGTH - 1}]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {LENGTH - 2})) AS i FROM b)),
+rep AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+cut AS (SELECT *, (i > lag(i, 1, -{LENGTH}) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH})::INTEGER AS first FROM rep),
+isl AS (SELECT *, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut),
+span AS (SELECT doc_id, min(i) AS s, max(i) + {LENGTH} AS e FROM isl GROUP BY doc_id, k),
+gap AS (SELECT doc_id, lag(e, 1, 1) OVER (PARTITION BY doc_id ORDER BY s) AS a, s AS z FROM span
+        UNION ALL SELECT doc_id, max(e), NULL FROM span GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(hex(b[a:coalesce(z - 1, octet_length(b))]), '' ORDER BY a) AS hex
+         FROM gap JOIN b USING (doc_id) WHERE a < coalesce(z, octet_length(b) + 1) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT b.doc_id, octet_length(b.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN gone.doc_id IS NULL THEN b.b ELSE unhex(coalesce(kept.hex, '')) END) AS kept_sha256
+FROM b LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
