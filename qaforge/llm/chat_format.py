@@ -310,3 +310,47 @@ def _arrow(turns: DataFrame, names: list[str]) -> pa.Schema:
     for c in ("conv_id", "turn"):
         kinds[c] = to_arrow_type(turns.schema[c].dataType)
     return pa.schema([(n, kinds.get(n, pa.string())) for n in names])
+
+
+ORACLE = """
+WITH RECURSIVE t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+         CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 WHEN 'assistant' THEN 3 ELSE 0 END AS r FROM conversations),
+f AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS c0, 1000000000 AS c1, 1000000000 AS c2, 1000000000 AS c3 FROM t
+  UNION ALL
+  SELECT t.conv_id, t.i, 1000000000, least(c0, c1 + 2, 999999999) + 3 * (r <> 1)::INTEGER,
+         least(c0, c1, c2 + 2, c3, 999999999) + 3 * (r <> 2)::INTEGER,
+         least(c0 + 4, c1 + 4, c2, c3 + 2, 999999999) + 3 * (r <> 3)::INTEGER
+  FROM f JOIN t ON t.conv_id = f.conv_id AND t.i = f.i + 1),
+b AS (SELECT t.conv_id, t.i, CASE WHEN c1 + 8 <= least(c2 + 4, c3) THEN 1 WHEN c2 + 4 <= c3 THEN 2 ELSE 3 END AS now
+  FROM f JOIN t USING (conv_id, i) WHERE i = n
+  UNION ALL
+  SELECT f.conv_id, f.i, CASE
+    WHEN now = 1 THEN CASE WHEN c0 <= c1 + 2 THEN 0 ELSE 1 END
+    WHEN now = 2 THEN CASE WHEN c0 <= least(c1, c2 + 2, c3) THEN 0 WHEN c1 <= least(c2 + 2, c3) THEN 1 WHEN c2 + 2 <= c3 THEN 2 ELSE 3 END
+    ELSE CASE WHEN c0 + 4 <= least(c1 + 4, c2, c3 + 2) THEN 0 WHEN c1 + 4 <= least(c2, c3 + 2) THEN 1 WHEN c2 <= c3 + 2 THEN 2 ELSE 3 END END
+  FROM b JOIN f ON f.conv_id = b.conv_id AND f.i = b.i - 1),
+s AS (SELECT t.*, b.now, p.now AS was, t.i = t.n AS final, b.now = 3 AND p.now IN (0, 1) AS pre, b.now = p.now AS merged,
+        ['system', 'user', 'assistant'][b.now] AS own,
+        replace(replace(coalesce(text, ''), '<|im_start|>', '<' || chr(8205) || '|im_start|>'),
+                '<|im_end|>', '<' || chr(8205) || '|im_end|>') AS safe,
+        CASE WHEN p.now = 0 THEN '' ELSE '<|im_end|>' || chr(10) END AS shut
+      FROM t JOIN b USING (conv_id, i) JOIN b p ON p.conv_id = t.conv_id AND p.i = t.i - 1),
+x AS (
+  SELECT conv_id, turn, role AS source_role, 0 AS piece, 'user' AS role, 'insert' AS action,
+         shut || '<|im_start|>user' || chr(10) AS rendered FROM s WHERE pre
+  UNION ALL
+  SELECT conv_id, turn, role, pre::INTEGER, own,
+         CASE WHEN r = now THEN CASE WHEN merged THEN 'merge' ELSE 'keep' END WHEN merged THEN 'relabel+merge' ELSE 'relabel' END,
+         CASE WHEN merged THEN chr(10) || safe
+              ELSE (CASE WHEN pre THEN '<|im_end|>' || chr(10) ELSE shut END) || '<|im_start|>' || own || chr(10) || safe END
+         || CASE WHEN final AND now = 3 THEN '<|im_end|>' || chr(10) ELSE '' END FROM s
+  UNION ALL
+  SELECT conv_id, turn, role, pre::INTEGER + 1, 'user', 'insert', '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
+  FROM s WHERE final AND now = 1
+  UNION ALL
+  SELECT conv_id, turn, role, pre::INTEGER + 3 - now, 'assistant', 'insert',
+         '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '<|im_end|>' || chr(10) FROM s WHERE final AND now IN (1, 2))
+SELECT conv_id, turn, source_role, piece::INTEGER AS piece, role, action, sha256(rendered) AS rendered_sha256,
+       length(rendered)::INTEGER AS n_chars FROM x
+"""

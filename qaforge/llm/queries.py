@@ -78,6 +78,7 @@ ORACLE: dict[str, str] = {
     "op4_url_filter": url_filter.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_maxscore": maxscore.ORACLE,
+    "op8_chat_format": chat_format.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
 }
