@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize
-from .common import bounded_batches, partitions
+from .common import bounded_batches, partitions, trimmed
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -236,7 +236,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, schema.field(k).type) for k, c in enumerate(zip(*rows))], schema=schema)
 
-    stage = materialize(rows.mapInArrow(runs, fields), "chat-pieces")
+    stage = materialize(rows.mapInArrow(trimmed(runs), fields), "chat-pieces")
     solved = stage.where("not border").select("conv_id", "turn", "source_role", *COLUMNS)
     border = stage.where("border").select("conv_id", "turn", "source_role", "part", "at", F.col("rendered").alias("text"))
 
@@ -302,7 +302,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
     short = _arrow(turns, ["conv_id", "turn", "source_role", *COLUMNS])
     return solved.unionByName(walked.mapInArrow(
-        render, f"conv_id {kind}, turn {turn_kind}, source_role string, piece int, role string, action string, rendered string"))
+        trimmed(render), f"conv_id {kind}, turn {turn_kind}, source_role string, piece int, role string, action string, rendered string"))
 
 
 def _arrow(turns: DataFrame, names: list[str]) -> pa.Schema:

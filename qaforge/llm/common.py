@@ -8,6 +8,7 @@ word n-grams of all rows of a run at once with numpy.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,21 @@ def bounded_batches(df: DataFrame) -> None:
         conf.set(key, BATCH_ROWS)
 
 
+def trimmed(rows):
+    """``rows``, a function over batches, that gives freed memory back to the system when its task ends.
+
+    Python workers are reused; what the allocators keep would add up over the stages of a job.
+    """
+    def run(batches):
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):  # glibc
+            libc.malloc_trim(0)
+
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

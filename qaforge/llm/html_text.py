@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches
+from .common import bounded_batches, trimmed
 
 TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))
     |<!\[CDATA\[.*?(?:\]\]>|\Z)
@@ -263,4 +263,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
     bounded_batches(pages)
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInArrow(rows, f"page_id {kind}, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(trimmed(rows), f"page_id {kind}, url string, text string, n_chars long")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, spans, utf8
+from .common import bounded_batches, spans, trimmed, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 400
@@ -213,7 +213,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 pa.array(np.where(known, least, 0.0))], names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(score, f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_byte double")
+    return source.mapInArrow(trimmed(score), f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
 def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) -> DataFrame:
@@ -234,4 +234,4 @@ def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) ->
             good &= bits.min(1) <= most_bits if bits.shape[1] else False
             yield pa.RecordBatch.from_arrays(row, names=columns).filter(pa.array(good))
 
-    return source.mapInArrow(keep, docs.schema)
+    return source.mapInArrow(trimmed(keep), docs.schema)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize
-from .common import bounded_batches
+from .common import bounded_batches, trimmed
 
 WINDOW = 2
 DIVISOR = 3
@@ -97,7 +97,7 @@ def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(cut, f"doc_id {kind}, _t long, i int, h long, chunk string")
+    return docs.mapInArrow(trimmed(cut), f"doc_id {kind}, _t long, i int, h long, chunk string")
 
 
 def _small(df: DataFrame, most: int) -> DataFrame:
@@ -165,7 +165,7 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
                 names += ["n_lines", "n_removed", "n_chunks_removed"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(trimmed(cut), schema)
 
 
 ORACLE = f"""

@@ -15,7 +15,7 @@ different entries for different paths, so only the best ``n`` need to be
 kept: the agenda is bounded whatever the length of the text.
 
 No piece has a mark behind another character, so a lattice falls apart at the
-marks into a chain of independent words. Words repeat, so each worker keeps
+marks into a chain of independent words. Words repeat, so each task keeps
 their best path and the loss of the second best (both from the forward pass)
 in a bounded cache. The n best paths of the text differ from its best one in
 words with the n - 1 least losses; the backward search runs on those words
@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches, mix, powers, spans, utf8
+from .common import bounded_batches, mix, powers, spans, trimmed, utf8
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -490,9 +490,11 @@ def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int =
                     _lists([p and np.array([len(i) for _, i in p]) for p in paths], np.int32),
                     pa.array([t is not None and decode(x, vocab) == t for t, x in zip(texts, ids)], pa.bool_())],
                     names=["doc_id", "n_pieces", "ids", "scores", "sizes", "round_trip"])
+        # the worker may go on with other work: its word caches end with the task
+        vocab.young, vocab.old, vocab.paths = {}, {}, {}
 
     return docs.select("doc_id", "text").mapInArrow(
-        rows, f"doc_id {kind}, n_pieces int, ids array<int>, scores array<double>, sizes array<int>, round_trip boolean")
+        trimmed(rows), f"doc_id {kind}, n_pieces int, ids array<int>, scores array<double>, sizes array<int>, round_trip boolean")
 
 
 def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -505,4 +507,4 @@ def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = [None if x is None else decode(x, vocab) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(rows, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(rows), f"doc_id {kind}, text string")

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bounded_batches, partitions, prefix_sums, range_hash, spans, utf8
+from .common import bounded_batches, partitions, prefix_sums, range_hash, spans, trimmed, utf8
 
 LENGTH = 400
 #: A perfect difference set modulo 273: every difference occurs once.
@@ -266,7 +266,7 @@ def shared_samples(texts: DataFrame) -> DataFrame:
                     yield pack_keys(keys, nodes[lo + row], pos, buckets, True)
 
     long = texts.where(F.octet_length("text") >= LENGTH).select("node", "text")
-    return settle_keys(long.mapInArrow(rows, KEYED), True, "suffix-samples")
+    return settle_keys(long.mapInArrow(trimmed(rows), KEYED), True, "suffix-samples")
 
 
 def unique_windows(work: DataFrame, number: int) -> DataFrame:
@@ -297,7 +297,7 @@ def unique_windows(work: DataFrame, number: int) -> DataFrame:
             if weight:
                 yield flush()
 
-    return settle_keys(work.mapInArrow(rows, KEYED), False, f"suffix-block{number}")
+    return settle_keys(work.mapInArrow(trimmed(rows), KEYED), False, f"suffix-block{number}")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -320,7 +320,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("places"), pa.array(blobs, pa.binary())],
                                              names=["node", "places", "blob"])
 
-    work = materialize(chosen.select("node", "places", "text").mapInArrow(pack, "node long, places binary, blob binary"),
+    work = materialize(chosen.select("node", "places", "text").mapInArrow(trimmed(pack), "node long, places binary, blob binary"),
                        "suffix-work")
     unique = []
     for number in range(PASSES):
@@ -348,7 +348,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 out.append(np.stack([start, end]).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "spans"])
 
-    return materialize(open_.mapInArrow(cut, "node long, spans binary").where("length(spans) > 0"), "suffix-spans")
+    return materialize(open_.mapInArrow(trimmed(cut), "node long, spans binary").where("length(spans) > 0"), "suffix-spans")
 
 
 def kept_of(text: bytes, spans_: bytes | None) -> tuple[list[bytes], int, int]:
@@ -386,7 +386,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                     [part.column("doc_id"), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, gone, n)),
                      pa.array(digest, pa.string())], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.mapInArrow(rows, f"doc_id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(trimmed(rows), f"doc_id {kind}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 ORACLE = f"""
