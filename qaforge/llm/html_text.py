@@ -11,10 +11,17 @@ cut first. Every other node has
 with C characters, T tags, LC characters and LT tags in links and nLC
 characters outside links (each at least 1): characters per tag, adjusted for
 links. The node with the largest sum of its children's densities is the core
-of the article; if an ``article`` or ``main`` holds it, that is the core. The
-smallest density on the path from ``body`` to the core is the threshold:
-siblings of the path (below ``body``) that reach it belong to the article
-too. The chosen subtrees give their text whole.
+of the article. The topmost node on the path from ``body`` to the core that
+is at least as dense as the core is taken whole (what stands beside the core
+in it does not thin it out). The smallest density on the path is the
+threshold: siblings of the path, children of ``body`` included, that reach it
+belong to the article too, by their density or, if less than half of their
+text is links, by the sum of their children's densities.
+
+Two tag rules stay beside the densities: an ``article`` or ``main`` that holds
+the core is taken whole, and siblings with no text outside ``h1`` to ``h6``
+belong if a sibling up to the next heading does (a headline is too short to be
+dense). The chosen subtrees give their text whole.
 
 Blocks are the runs of text between block-level tags. Character references
 are decoded, white space inside a block becomes one space, blocks are trimmed
@@ -67,6 +74,7 @@ CUT_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor
     sidebars aside widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs header masthead footer footers
     copyright comment comments reply replies discussion disqus share sharing social related recommended search pagination
     pager toolbar complementary contentinfo""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORD = re.compile(r"[a-z]+")
 
 
@@ -182,21 +190,24 @@ class Page:
         """Which elements' texts belong to the article."""
         tags, parents, cut = self.tags, self.parents, self.cut
         n = len(tags)
-        chars, links, tag_n, link_n = [0] * n, [0] * n, [1] * n, [0] * n
-        linked = [False] * n
+        chars, links, heads, tag_n, link_n = [0] * n, [0] * n, [0] * n, [1] * n, [0] * n
+        linked, heading = [False] * n, [False] * n
         for k in range(1, n):
             linked[k] = linked[parents[k]] or tags[k] == "a"
+            heading[k] = heading[parents[k]] or tags[k] in HEADINGS
             link_n[k] = int(tags[k] == "a")
         for k, text in self.texts:
             if text and not cut[k]:
                 c = len("".join(text.split()))
                 chars[k] += c
                 links[k] += c * linked[k]
+                heads[k] += c * heading[k]
         for k in range(n - 1, 0, -1):
             if not cut[k]:
                 p = parents[k]
                 chars[p] += chars[k]
                 links[p] += links[k]
+                heads[p] += heads[k]
                 tag_n[p] += tag_n[k]
                 link_n[p] += link_n[k]
         body = next((k for k in range(n) if tags[k] == "body" and not cut[k]), 0)
@@ -210,25 +221,34 @@ class Page:
                 if k:
                     sums[parents[k]] += density[k]
         best = max(range(body, n), key=lambda k: (sums[k], -k)) if n > body else body
-        k, holder = best, None
-        while k > body:
-            if tags[k] in ("article", "main"):
-                holder = k
-            k = parents[k]
-        best = best if holder is None else holder
         path, k = [], best
-        while k >= 0:
+        while k >= body:
             path.append(k)
             k = parents[k]
-        least = min((density[k] for k in path if k >= body), default=0.0)
-        on_path = set(path)
+        least = min((density[k] for k in path), default=0.0)
+        # the topmost of these is taken whole
+        whole = [k for k in path if density[k] >= density[best] > 0 or k > body and tags[k] in ("article", "main")]
+        top = whole[-1] if whole else best
+        above, on_path = set(path[path.index(top) + 1:]), set(path)
+        chosen = {top}
+        section: dict[int, tuple[bool, bool]] = {}  # by parent: does what follows, up to the next heading, belong; is that heading next
+        for k in range(n - 1, body, -1):
+            p = parents[k]
+            if p not in above or cut[k] or not chars[k]:
+                continue
+            fate, headed = section.get(p, (False, False))
+            if heads[k] == chars[k] and k not in on_path:
+                headed = True
+            else:
+                dense = density[k] >= least or (2 * links[k] < chars[k] and sums[k] >= least)
+                own = k in on_path or 0 < least and dense
+                fate, headed = own or fate and not headed, False
+            if k not in on_path and (fate if headed else own):
+                chosen.add(k)
+            section[p] = fate, headed
         take = [False] * n
         for k in range(n):
-            if cut[k]:
-                continue
-            p = parents[k]
-            take[k] = (k == best or (p >= 0 and take[p])
-                       or (holder is None and p > body and p in on_path and k not in on_path and 0 < least <= density[k]))
+            take[k] = not cut[k] and (k in chosen or k > 0 and take[parents[k]])
         return take
 
     def main_text(self) -> str:

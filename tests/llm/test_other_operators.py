@@ -30,6 +30,23 @@ def test_html_density_picks_the_article():
     assert text.count("\n") == 7 and text.startswith("Sentence number 0") and "menu" not in text
 
 
+@pytest.mark.parametrize("after", ["", "<ul>" + "".join(f"<li><a href={i}>elsewhere {i}</a>" for i in range(60)) + "</ul>"])
+@pytest.mark.parametrize("wrap", ["{}", "<div class=page>{}</div>"])
+def test_html_sections_without_article(wrap, after):
+    part = lambda name, n: "<div>" + "".join(f"<p>Paragraph {i} of the {name} part, which has a few words to say.</p>" for i in range(n)) + "</div>"
+    body = "<h1>Headline</h1>" + part("first", 6) + part("second", 4)
+    want = ["Headline"] + [f"Paragraph {i} of the {name} part, which has a few words to say." for name, n in (("first", 6), ("second", 4)) for i in range(n)]
+    page = "<body>" + wrap.format(body) + after + "</body>"
+    assert html_text.main_text(page).split("\n") == want
+
+
+def test_html_heading_of_links_is_left_out():
+    story = "<div>" + "".join(f"<p>Sentence {i} of a story that goes on for a while, as stories do.</p>" for i in range(6)) + "</div>"
+    links = "<h2>Elsewhere</h2><ul>" + "".join(f"<li><a href={i}>entry {i}</a>" for i in range(40)) + "</ul>"
+    text = html_text.main_text(f"<body><h1>Title</h1>{story}{links}</body>")
+    assert text.startswith("Title\nSentence 0") and text.count("\n") == 6 and "Elsewhere" not in text and "entry" not in text
+
+
 @pytest.mark.parametrize("source, want", [
     (None, ""), ("", ""), ("no tags  at\nall", "no tags at all"), ("<p>a<p>b", "a\nb"), ("a < b <3", "a < b <3"),
     ("<p>x</b></i></p>y", "x\ny"), ("<div>a<script>b", "a"), ("<p>cut <a href='", "cut"), ("<![CDATA[<p>]]>", "<p>"), ("&#65;&eacute;", "Aé")])
