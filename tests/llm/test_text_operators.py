@@ -76,6 +76,14 @@ def test_keep_one(spark, near_rows):
     assert kept == want
 
 
+def test_keep_one_of_every_component(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(5, text("a")), (8, text("a") + " end"), (5, text("b")), (9, text("b") + " end"),  # one id in two components
+            (None, text("c")), (None, text("c") + " end"), (None, text("d")), (None, text("d")), (None, text("e"))]
+    kept = jaccard_join.keep_one(clashing(spark, rows)).select("doc_id", "text").collect()
+    assert sorted((r["text"].split()[0][0], r["doc_id"]) for r in kept) == [("a", 5), ("b", 5), ("c", None), ("d", None), ("e", None)]
+
+
 def test_jaccard_join_empty(spark):
     assert jaccard_join.join_documents(spark.createDataFrame([], SCHEMA)).collect() == []
     assert jaccard_join.keep_one(spark.createDataFrame([], SCHEMA)).collect() == []
