@@ -15,8 +15,9 @@ context of the bytes read so far) and a table holds the cost of every (state,
 byte, language). Scoring is ``order`` table steps per byte, done with numpy
 over whole Arrow batches; texts are read whole.
 
-Training reads a bounded sample: at most ``SAMPLE_ROWS`` texts per language,
-each of at most ``SAMPLE_BYTES`` bytes, and the model keeps at most
+Training reads a bounded sample: at most ``SAMPLE_ROWS`` different texts per
+language, each of at most ``SAMPLE_BYTES`` bytes (of a longer one its first
+``SAMPLE_BYTES // 4`` characters), and the model keeps at most
 ``CONTEXTS`` contexts, so the broadcast table has at most ``CONTEXTS * 257 *
 languages`` floats. Every text is scored.
 
@@ -55,13 +56,16 @@ def held_out(doc_id) -> F.Column:
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> DataFrame:
     """About ``2 * rows`` different texts per language at most, chosen by a hash of the text.
 
-    Rows are counted by language first; a hash threshold then passes twice the
-    rows wanted, so neither a hot language nor a hot text reaches one task.
+    Different texts are counted by language first; a hash threshold then passes
+    twice the number wanted, so neither a hot language nor a hot text reaches one
+    task, and copies do not thin out the sample. Of a text of over ``most`` bytes
+    the first ``most // 4`` characters (``most`` bytes at most) are taken.
     """
+    piece = F.when(F.octet_length("text") > most, F.substring("text", 1, most // 4)).otherwise(F.col("text"))
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                           & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
-                          & (F.octet_length("text") <= most)).select("lang", "text", F.xxhash64("text").alias("_h"))
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_n"))
+                          ).select("lang", piece.alias("text"), F.xxhash64("text").alias("_h"))
+    sizes = labelled.groupBy("lang", "_h").agg(F.lit(1)).groupBy("lang").agg(F.count("*").alias("_n"))
     few = F.pmod("_h", F.lit(1_000_003)) < F.lit(2.0 * rows * 1_000_003) / F.col("_n")
     return (labelled.join(F.broadcast(sizes), "lang").where(few)
             .groupBy("lang", "_h").agg(F.first("text").alias("text")))

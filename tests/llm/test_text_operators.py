@@ -226,6 +226,19 @@ def test_language_cases(spark):
     assert {r["lang_pred"] for r in language_id.predict(docs, empty).collect()} == {"und"}
 
 
+def test_training_sample_of_copies_and_long_texts(spark):
+    rows = [("hot", "the same text")] * 4000 + [("hot", f"text number {i}") for i in range(400)]
+    rows += [("few", f"copied text {i % 3}") for i in range(600)]
+    rows += [("long", f"{i} " + "ж" * 40_000) for i in range(10)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = language_id.training_sample(docs, rows=20, most=1000).collect()
+    texts = {lang: [r["text"] for r in got if r["lang"] == lang] for lang in ("hot", "few", "long")}
+    assert 20 <= len(texts["hot"]) <= 80 and len(set(texts["hot"])) == len(texts["hot"])
+    assert len(texts["few"]) == 3 and len(texts["long"]) >= 5
+    assert all(0 < len(t.encode()) <= 1000 for t in texts["long"])
+    assert language_id.fit(docs, rows=20, most=1000).langs == ["few", "hot", "long"]
+
+
 def test_held_out_fold(spark):
     import zlib
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
