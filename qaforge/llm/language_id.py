@@ -47,6 +47,8 @@ CONTEXTS = 12_000
 SLICE = 1 << 18
 #: Bits a byte above which no learned language explains a text (plain bytes need 8).
 REJECT_BITS = 6.0
+#: Bits allowed beside that for the start of a text, which has no context yet (one plain byte).
+START_BITS = 8.0
 
 
 def held_out(doc_id) -> F.Column:
@@ -221,7 +223,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) -> DataFrame:
-    """``docs`` without the rows in no learned language: no letters, or a code of over ``most_bits`` a byte."""
+    """``docs`` without the rows in no learned language: no letters, or a code of over ``most_bits`` a byte and ``START_BITS``."""
     bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
@@ -233,9 +235,9 @@ def keep_known(docs: DataFrame, model: Model, most_bits: float = REJECT_BITS) ->
         for batch in batches:
             row = batch.column("row").flatten()
             data, offsets = utf8(row[at])
-            bits = shared.value.code_lengths(data, offsets) / np.maximum(np.diff(offsets), 1)[:, None]
+            bits = shared.value.code_lengths(data, offsets)
             good = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
-            good &= bits.min(1) <= most_bits if bits.shape[1] else False
+            good &= bits.min(1) <= most_bits * np.diff(offsets) + START_BITS if bits.shape[1] else False
             yield pa.RecordBatch.from_arrays(row, names=columns).filter(pa.array(good))
 
     return source.mapInArrow(trimmed(keep), docs.schema)

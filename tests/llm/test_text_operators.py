@@ -239,6 +239,19 @@ def test_training_sample_of_copies_and_long_texts(spark):
     assert language_id.fit(docs, rows=20, most=1000).langs == ["few", "hot", "long"]
 
 
+def test_short_texts_are_not_rejected_for_their_start(spark):
+    pick = random.Random(8)
+    words = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(300)]
+    text = lambda: ". ".join(" ".join(pick.choice(words) for _ in range(6)).capitalize() for _ in range(14)) + "."
+    model = language_id.train({"en": [text().encode() for _ in range(60)]})
+    offsets = np.array([0, 2, 4])
+    bits = model.code_lengths(np.frombuffer(b"A.E.", np.uint8), offsets)[:, 0]
+    assert (bits > 2 * language_id.REJECT_BITS).all()
+    rows = [(1, "A."), (2, "E."), (3, "日本語の文章です"), (4, text()), (5, "日")]
+    kept = language_id.keep_known(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 2, 4]
+
+
 def test_held_out_fold(spark):
     import zlib
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
