@@ -17,9 +17,10 @@ over whole Arrow batches; texts are read whole.
 
 Training reads a bounded sample: at most ``SAMPLE_ROWS`` different texts per
 language, each of at most ``SAMPLE_BYTES`` bytes (of a longer one its first
-``SAMPLE_BYTES // 4`` characters), and the model keeps at most
-``CONTEXTS`` contexts, so the broadcast table has at most ``CONTEXTS * 257 *
-languages`` floats. Every text is scored.
+``SAMPLE_BYTES // 4`` characters), and the model keeps the ``CONTEXTS`` most
+frequent contexts of all languages together and the ``OWN_CONTEXTS`` most
+frequent of each language, so the broadcast table has at most ``(CONTEXTS +
+OWN_CONTEXTS * languages) * 257 * languages`` floats. Every text is scored.
 
 Defined cases: a null text or one without letters is ``und`` with score 0;
 null ids are kept (held_out false, never trained on); repeated rows give
@@ -43,6 +44,7 @@ ORDER = 3
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 20_000
 CONTEXTS = 12_000
+OWN_CONTEXTS = 3_000
 #: Bytes scored at a time.
 SLICE = 1 << 18
 #: Bits a byte above which no learned language explains a text (plain bytes need 8).
@@ -115,7 +117,8 @@ class Model:
         return sums[ends[1:]] - sums[ends[:-1]]
 
 
-def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CONTEXTS) -> Model:
+def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CONTEXTS,
+          own_contexts: int = OWN_CONTEXTS) -> Model:
     """Fit the context trees on the texts of each language."""
     langs = sorted(texts)
     seen = sorted({b for docs in texts.values() for d in docs for b in d})
@@ -142,10 +145,13 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CON
                 if row is None:
                     row = rows[c] = np.zeros((len(langs), width))
                 row[li, x] += m
-    # keep the most frequent contexts; a prefix or suffix of a kept one is kept before it
-    size = sorted(((-row.sum(), k, c) for k, rows in counts.items() if k for c, row in rows.items()))[:contexts]
+    # keep the most frequent contexts, of all and of each language; a prefix or suffix of a kept one is kept before it
+    sums = [(row.sum(1), k, c) for k, rows in counts.items() if k for c, row in rows.items()]
+    most = {x[1:] for x in sorted((-n.sum(), k, c) for n, k, c in sums)[:contexts]}
+    for li in range(len(langs)):
+        most.update(x[1:] for x in sorted((-n[li], k, c) for n, k, c in sums if n[li])[:own_contexts])
     kept: dict[tuple[int, int], int] = {(0, 0): 0}
-    for _, k, c in sorted(size, key=lambda x: (x[1], x[2])):
+    for k, c in sorted(most):
         if (k - 1, c // width) in kept and (k - 1, c % width ** (k - 1)) in kept:
             kept[k, c] = len(kept)
     step = np.zeros((len(kept), width), np.int32)

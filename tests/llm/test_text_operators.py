@@ -252,6 +252,19 @@ def test_short_texts_are_not_rejected_for_their_start(spark):
     assert sorted(r["doc_id"] for r in kept) == [1, 2, 4]
 
 
+def test_a_small_language_keeps_its_contexts():
+    pick = random.Random(9)
+    text = lambda letters, n: "".join(pick.choice(letters) for _ in range(n)).encode()
+    large, small = [text("abcdefghij ", 3000) for _ in range(20)], [b"the cat sat on the mat " * 3] * 2
+    model = language_id.train({"large": large, "small": small}, contexts=200, own_contexts=200)
+    slow = brute.PPM({"small": small})
+    raw = b"the cat sat on the mat"
+    got = model.code_lengths(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+    assert got[1] < 1.2 * slow.bits(raw, "small") and 2 * got[1] < got[0]
+    many = language_id.train({f"l{i}": [text("abcdefghijklmnopqrstuvwxyz"[i:i + 9], 2000)] for i in range(6)}, contexts=50, own_contexts=40)
+    assert 6 * 40 / 2 < len(many.step) <= 50 + 6 * 40 + 1
+
+
 def test_held_out_fold(spark):
     import zlib
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
