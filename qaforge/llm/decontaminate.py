@@ -12,8 +12,9 @@ sketches loses nothing. Candidate (document, item) pairs are verified by
 exact containment of the shingles themselves, as strings.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of one to four
-words has its whole sequence as its one shingle. Only built-in expressions
-run here. Sketches, candidates and shingle lists are broadcast after their
+words has its whole sequence as its one shingle, so an item that short is found
+in documents with the same words and no others. Only built-in expressions run
+here. Sketches, candidates and shingle lists are broadcast after their
 rows or bytes were counted (``SKETCH_ROWS``, ``FOUND_ROWS``, ``GRAM_BYTES``);
 beyond that they are shuffled, shingle lists with salts for hot items.
 Candidates, not documents, are grouped.
