@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import (chat_format, decontaminate, html_text, jaccard_join, language_id, line_dedup, maxscore,
-               sentencepiece_nbest, suffix_dedup, url_filter)
+from . import (chat_format, decontaminate, embedding_whitening, html_text, importance_resample, jaccard_join, language_id,
+               line_dedup, maxscore, sentencepiece_nbest, suffix_dedup, url_filter)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -72,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_importance_resample": op11_importance_resample,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
@@ -81,6 +91,7 @@ ORACLE: dict[str, str] = {
     "op8_chat_format": chat_format.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op11_importance_resample": importance_resample.ORACLE,
 }
 
 
