@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 RUN_BYTES = 1 << 20
@@ -80,14 +81,18 @@ def spans(offsets: np.ndarray, most: int = RUN_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64 for i < n."""
-    if len(_POWERS.get("p", ())) < n:
-        size = max(n, RUN_BYTES + 1)
-        for name, base in (("p", BASE), ("q", BASE_INV)):
-            out = np.full(size, base, np.uint64)
-            out[0] = 1
-            _POWERS[name] = np.multiply.accumulate(out)
+    """BASE**i and its inverse modulo 2**64 for i < n; those of a run are kept, those of a longer text are not."""
+    if n > RUN_BYTES + 1:
+        return _powers(BASE, n), _powers(BASE_INV, n)
+    if not _POWERS:
+        _POWERS.update(p=_powers(BASE, RUN_BYTES + 1), q=_powers(BASE_INV, RUN_BYTES + 1))
     return _POWERS["p"][:n], _POWERS["q"][:n]
 
 
@@ -132,6 +137,18 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return start, end, np.searchsorted(start, offsets)
 
 
+#: Words over so many bytes are hashed one by one: long strings built to collide modulo 2**64 exist for every base.
+LONG_WORD = 128
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words [start, end)."""
+    out = range_hash(prefix_sums(data), start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i]:end[i]].tobytes())
+    return out
+
+
 SHINGLE = 5
 _ODD = [np.uint64((0xA0761D6478BD642F + 2 * k * 0xE7037ED1A0B428DB) & _M | 1) for k in range(SHINGLE)]
 
@@ -144,7 +161,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """
     data = LOWER[data]
     start, end, first = word_bounds(data, offsets)
-    words = range_hash(prefix_sums(data), start, end)
+    words = word_hashes(data, start, end)
     parts = [words * k for k in _ODD]
     n = len(words) - SHINGLE + 1
     grams = mix(sum((parts[k][k:k + n] for k in range(1, SHINGLE)), parts[0][:n].copy())) if n > 0 else words[:0]

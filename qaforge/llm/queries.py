@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from . import (chat_format, decontaminate, embedding_whitening, html_text, importance_resample, jaccard_join, language_id,
-               line_dedup, maxscore, sentencepiece_nbest, suffix_dedup, url_filter)
+               line_dedup, maxscore, sentencepiece_nbest, substring_automata, suffix_dedup, url_filter)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_substring_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_automata.dedup_runs(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeat"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_importance_resample": op11_importance_resample,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_substring_automata": op13_substring_automata,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
@@ -92,6 +98,7 @@ ORACLE: dict[str, str] = {
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
     "op11_importance_resample": importance_resample.ORACLE,
+    "op13_substring_automata": substring_automata.ORACLE,
 }
 
 
