@@ -169,3 +169,51 @@ def segmentations(text, scores, byte_ids, byte_score):
         for s, ids in heads:
             out += [(s + t, ids + rest) for t, rest in segmentations(text[n:], scores, byte_ids, byte_score)]
     return sorted(out, key=lambda x: -x[0])
+
+
+def bucket_of(feature, buckets):
+    crc = 0xFFFFFFFF
+    for byte in feature.encode():
+        crc ^= byte
+        for _ in range(8):
+            crc = (crc >> 1) ^ (0xEDB88320 * (crc & 1))
+    return (crc ^ 0xFFFFFFFF) % buckets
+
+
+def resampled(rows, target, most=1, buckets=10_000, percent=10, least=20, seed=2024):
+    """Sorted (doc_id, n_features, weight, score, rank) of (doc_id, text) rows."""
+    def cut(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        return len(w), [bucket_of(" ".join(w[i:i + n]), buckets) for n in range(1, most + 1) for i in range(len(w) - n + 1)]
+
+    parts = [cut(t) for _, t in rows]
+    s, t = Counter(b for _, p in parts for b in p), Counter(b for x in target for b in cut(x)[1])
+    big_s, big_t = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * big_s / ((s[b] + 1) * big_t)))
+    out = []
+    for (d, _), (n, p) in zip(rows, parts):
+        weight = sum(map(gain, p)) // len(p) if p else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        out.append([d, len(p), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), None, n])
+    able = sorted((x for x in out if x[5] >= least), key=lambda x: (-x[3], x[0] is None, x[0] or 0))
+    for rank, x in enumerate(able[:percent * len(able) // 100], 1):
+        x[4] = rank
+    return sorted((tuple(x[:5]) for x in out), key=repr)
+
+
+def repeated_runs(rows, window=50):
+    """[(doc_id, n_words, n_removed, kept)] of (doc_id, text) rows."""
+    parts = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in rows]
+    first = {}
+    for d, w in parts:
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            first[key] = min(first.get(key, math.inf), math.inf if d is None else d)
+    out = []
+    for d, w in parts:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i:i + window])] < (math.inf if d is None else d):
+                gone |= set(range(i, i + window))
+        out.append((d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
