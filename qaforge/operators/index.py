@@ -3,10 +3,17 @@
 The index is three DataFrames plus two one-row statistics (N, average
 length) that are read to the driver as literals -- the only driver values
 the scoring plans use.
+
+Stored postings lie in folders by a hash of the term (``part``) and, in each
+folder, in files by a hash of the passage (buckets). A batch of questions
+opens only the folders of its terms, and a question's terms for one passage
+meet in one task: score sums need no shuffle, however many pairs there are,
+and a term in a third of all passages is spread over all buckets.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -14,6 +21,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
 from ..session import materialize as _write
+from ..session import shared_path, write_bucketed
+
+# Postings that a bucket, and a file of a bucket, should hold.
+BUCKET_POSTINGS = 4_000_000
+FILE_POSTINGS = 500_000
+LEAST_PARTS = 8
+# Fixed value: the weight b of the passage length, the same in all BM25 variants.
+LENGTH_WEIGHT = 0.75
 
 
 @dataclass
@@ -31,6 +46,23 @@ def _out(df: DataFrame, name: str, out_dir: str | None) -> DataFrame:
     return _write(df, name, f"{out_dir}/{name}" if out_dir else None)
 
 
+def layout(spark, n_postings: int) -> tuple[int, int]:
+    """(buckets, parts) of a postings table: both grow with it, so tasks and files keep their size."""
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_postings // BUCKET_POSTINGS))
+    return buckets, max(LEAST_PARTS, -(-n_postings // (buckets * FILE_POSTINGS)))
+
+
+def part_of(term: F.Column, parts: int) -> F.Column:
+    """The folder of a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def store_postings(postings: DataFrame, buckets: int, parts: int, out_dir: str | None) -> DataFrame:
+    """Postings that are partitioned by passage, written in folders by term and buckets by passage."""
+    path = f"{out_dir}/postings" if out_dir else shared_path(postings.sparkSession, f"postings-{uuid.uuid4().hex[:12]}")
+    return write_bucketed(postings.withColumn("part", part_of(F.col("term"), parts)), path, "passage_id", buckets, "term", "part")
+
+
 def term_postings(passages: DataFrame, tokens: F.Column, materialize: bool = False,
                   out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(postings, lengths) from a token-array expression over ``passages``.
@@ -45,11 +77,13 @@ def term_postings(passages: DataFrame, tokens: F.Column, materialize: bool = Fal
     toks = toks.select("passage_id", F.size("toks").alias("dl"), "toks")
     if materialize:
         toks = _out(toks, "tokens", out_dir)
-    lengths = toks.select("passage_id", "dl")
-    postings = (toks.select("passage_id", "dl", F.explode("toks").alias("term"))
-                .groupBy("term", "passage_id", "dl")
-                .agg(F.count(F.lit(1)).cast("int").alias("tf")))
-    return postings, lengths
+    return counted_terms(toks), toks.select("passage_id", "dl")
+
+
+def counted_terms(toks: DataFrame) -> DataFrame:
+    return (toks.select("passage_id", "dl", F.explode("toks").alias("term"))
+            .groupBy("term", "passage_id", "dl")
+            .agg(F.count(F.lit(1)).cast("int").alias("tf")))
 
 
 def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
@@ -61,18 +95,32 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
     re-tokenizing the corpus.
     """
     tok = get_tokenizer(tokenizer)
-    postings, lengths = term_postings(passages, tok(F.col("text")), materialize, out_dir)
+    toks = passages.select("passage_id", tok(F.col("text")).alias("toks")).select("passage_id", F.size("toks").alias("dl"), "toks")
     if materialize:
-        postings = _out(postings.sortWithinPartitions("term"), "postings", out_dir)
-    vocab = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if materialize:
-        vocab = _out(vocab, "vocab", out_dir)
+        toks = _out(toks, "tokens", out_dir)
+    lengths = toks.select("passage_id", "dl")
     stats = lengths.agg(F.count(F.lit(1)).alias("n"),
                         F.sum("dl").alias("total")).first()
-    n = int(stats["n"])
-    avgdl = float(stats["total"] or 0) / n if n else 0.0
+    n, total = int(stats["n"]), int(stats["total"] or 0)
+    avgdl = total / n if n else 0.0
+    extras = {}
+    if materialize:
+        buckets, parts = layout(passages.sparkSession, total)
+        # one shuffle, of token arrays by passage; counting needs no other one
+        postings = store_postings(counted_terms(toks.repartition(buckets, "passage_id")), buckets, parts, out_dir)
+        extras = {"buckets": buckets, "parts": parts}
+    else:
+        postings = counted_terms(toks)
+    vocab = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(density(avgdl)).alias("peak"))
+    if materialize:
+        vocab = _out(vocab, "vocab", out_dir)
     return SparseIndex(postings=postings, vocab=vocab, lengths=lengths,
-                       n_docs=n, avgdl=avgdl, tokenizer=tok)
+                       n_docs=n, avgdl=avgdl, tokenizer=tok, extras=extras)
+
+
+def density(avgdl: float) -> F.Column:
+    """tf over the passage's relative length; what a term adds to a BM25 score grows with it, for any k1."""
+    return F.col("tf") / (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * F.col("dl") / F.lit(avgdl or 1.0))
 
 
 def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
@@ -128,15 +176,21 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
              .withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0))
     if materialize:
         vocab = _out(vocab, "vocab", out_dir)
+    extras = {"ngrams": ngrams, "max_features": max_features}
     weighted = (counts.join(F.broadcast(vocab.select("term", "idf")), "term")
                 .withColumn("w", F.col("tf") * F.col("idf")))
+    if materialize:
+        buckets, parts = layout(passages.sparkSession, int(vocab.agg(F.sum("df")).first()[0] or 0))
+        weighted = weighted.repartition(buckets, "passage_id")
     # one shuffle on passage_id: the norm is a window over the passage's rows
     by_passage = Window.partitionBy("passage_id")
     postings = weighted.select(
         "term", "passage_id", "tf", "dl",
         (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_passage))).alias("w"))
     if materialize:
-        postings = _out(postings.sortWithinPartitions("term"), "postings", out_dir)
+        postings = store_postings(postings, buckets, parts, out_dir)
+        extras |= {"buckets": buckets, "parts": parts}
+        vocab = vocab.join(postings.groupBy("term").agg(F.max("w").alias("peak")), "term")
+        vocab = _out(vocab, "vocab_peaks", out_dir)
     return SparseIndex(postings=postings, vocab=vocab, lengths=lengths,
-                       n_docs=n, avgdl=0.0, tokenizer=tok,
-                       extras={"ngrams": ngrams, "max_features": max_features})
+                       n_docs=n, avgdl=0.0, tokenizer=tok, extras=extras)

@@ -6,19 +6,25 @@ each *interior* whitespace token of it (all but the first and last, which
 may be glued to neighbouring characters) as a whole token. So the
 question's rarest interior term, joined to the postings, yields a candidate
 superset, and ``contains`` verifies it. A text with fewer than three tokens
-has no interior token; it is joined by equality with the passages' distinct
-substrings of the lengths that such texts have. An empty text has no gold
+has no interior token: its longest token is part of some term of every passage
+that holds the text. The terms of the vocabulary (far fewer than the passages'
+characters) are listed by their runs of ``GRAM`` characters, the token is looked
+up by its rarest run, and the terms' postings are the candidates. A text of
+white space only is tested against each passage. An empty text has no gold
 passage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import rounded
+from .common import bounded_broadcast, rounded
 from .index import SparseIndex
 
+# Characters of a run by which terms are listed.
+GRAM = 3
+
 
 def containing_passages(items: DataFrame, passages: DataFrame, index: SparseIndex,
                         qid_col: str = "qid", text_col: str = "question") -> DataFrame:
@@ -41,16 +47,49 @@ def containing_passages(items: DataFrame, passages: DataFrame, index: SparseInde
                 .join(texts, "passage_id")
                 .where(F.col("text").contains(F.col("gold")))
                 .select("qid", "passage_id"))
-    short_items = base.where((F.size("toks") < 3) & (F.length("gold") > 0)).select("qid", "gold")
-    lengths = sorted(r[0] for r in short_items.select(F.length("gold")).distinct().collect())  # a few numbers
-    if not lengths:
+    short = base.where((F.size("toks") < 3) & (F.length("gold") > 0))
+    blank = [r[0] for r in short.where(F.size("toks") == 0).select("gold").distinct().collect()]  # runs of white space
+    tokens = short.where(F.size("toks") > 0).select("qid", "gold", F.try_element_at(F.array_sort(
+        "toks", lambda a, b: F.length(a) - F.length(b)), F.lit(-1)).alias("token"))
+    verified = verified.unionByName(
+        tokens.join(terms_containing(tokens.select("token").distinct(), index.vocab), "token")
+        .join(index.postings.select("term", "passage_id"), "term").select("qid", "gold", "passage_id").distinct()
+        .join(texts, "passage_id").where(F.col("text").contains(F.col("gold"))).select("qid", "passage_id"))
+    if not blank:
         return verified
-    chars = F.split(F.col("text"), "")
-    parts = F.flatten(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.when(
-        F.size("chars") >= n, F.transform(F.sequence(F.lit(1), F.size("chars") - n + 1),
-                                          lambda i: F.array_join(F.slice("chars", i, n), ""))).otherwise(F.array())))
-    grams = texts.select("passage_id", chars.alias("chars")).select("passage_id", F.explode(F.array_distinct(parts)).alias("gold"))
-    return verified.unionByName(grams.join(short_items, "gold").select("qid", "passage_id"))
+    held = F.filter(F.array(*map(F.lit, blank)), lambda g: F.col("text").contains(g))
+    return verified.unionByName(texts.select("passage_id", F.explode(held).alias("gold"))
+                                .join(short.select("qid", "gold"), "gold").select("qid", "passage_id"))
+
+
+def _folded(token: Column) -> Column:
+    """Lower case, with the final sigma as the other one: the last letter of a part may be an inner one of the term."""
+    return F.translate(F.lower(token), "ς", "σ")
+
+
+def _grams(text: Column, q: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(q))))
+
+
+def terms_containing(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``token, term`` for every vocabulary term that contains a token (column token), in any case of letters."""
+    folded = tokens.select("token", _folded(F.col("token")).alias("part"))
+    sizes = sorted(r[0] for r in folded.select(F.least(F.length("part"), F.lit(GRAM))).distinct().collect())  # at most GRAM numbers
+    terms = vocab.select("term", _folded(F.col("term")).alias("whole"))
+    out = None
+    for q in sizes:
+        mine = folded.where(F.least(F.length("part"), F.lit(GRAM)) == q)
+        asked = mine.select("token", "part", F.explode(_grams(F.col("part"), q)).alias("gram"))
+        # only runs that a token asks for get a posting list
+        lists = (terms.where(F.length("whole") >= q).select("term", "whole", F.explode(_grams(F.col("whole"), q)).alias("gram"))
+                 .join(bounded_broadcast(asked.select("gram").distinct()), "gram", "left_semi"))
+        sizes_of = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+        rarest = (asked.join(sizes_of, "gram", "left").groupBy("token", "part")
+                  .agg(F.min_by("gram", F.coalesce("n", F.lit(0))).alias("gram")))
+        found = (lists.join(bounded_broadcast(rarest), "gram").where(F.col("whole").contains(F.col("part"))).select("token", "term"))
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else tokens.select("token", F.lit("").alias("term")).limit(0)
 
 
 def ranking_metrics(ranked: DataFrame, gold: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
 from ..session import materialize
 from .common import BROADCAST_MAX_ROWS, bounded_broadcast, rounded, top_n
-from .index import SparseIndex
+from .index import SparseIndex, part_of
 from .topk import exhaustive_topk, filled_topk, matches_only_topk
 
 # ---------------------------------------------------------------------------
@@ -41,8 +41,8 @@ HOT_DF = 500_000
 
 def query_terms(questions: DataFrame, tokenizer: Tokenizer | str = "whitespace",
                 qid_col: str = "qid", text_col: str = "question",
-                ngrams: bool = False) -> DataFrame:
-    """``qid, term, qtf``: query tokens with their repeat count.
+                ngrams: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``qid, term, qtf``: query tokens with their repeat count, and the question's columns ``keep``.
 
     Counted inside each question's row (questions are short), so building
     the query side needs no shuffle.
@@ -53,8 +53,8 @@ def query_terms(questions: DataFrame, tokenizer: Tokenizer | str = "whitespace",
         toks = uni_and_bigrams(toks)
     counted = F.transform(F.array_distinct(toks), lambda t: F.struct(
         t.alias("term"), F.size(F.filter(toks, lambda x: x == t)).cast("long").alias("qtf")))
-    return (questions.select(F.col(qid_col).alias("qid"), F.explode(counted).alias("c"))
-            .select("qid", "c.term", "c.qtf"))
+    return (questions.select(F.col(qid_col).alias("qid"), *keep, F.explode(counted).alias("c"))
+            .select("qid", *keep, "c.term", "c.qtf"))
 
 
 def _small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
@@ -62,10 +62,20 @@ def _small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
+def postings_of(index: SparseIndex, terms: DataFrame) -> DataFrame:
+    """The postings table, cut to the folders that hold ``terms`` (column term) where it has folders."""
+    parts = index.extras.get("parts")
+    if not parts or "part" not in index.postings.columns:
+        return index.postings
+    needed = [r[0] for r in terms.select(part_of(F.col("term"), parts).alias("part")).distinct().collect()]  # at most `parts`
+    return index.postings.where(F.col("part").isin(needed)) if len(needed) < parts else index.postings
+
+
 def _join_postings(qside: DataFrame, postings: DataFrame, is_small: bool, hot_df: int) -> DataFrame:
     """Query terms x postings on term. Broadcast when small; otherwise a term
     with more than ``hot_df`` postings is dealt over ``ceil(df / hot_df)``
     salts, so a reducer's share of a term has the same size at any scale."""
+    postings = postings.drop("part")
     if is_small:
         return qside.join(postings, "term")
     salts = F.ceil(F.col("df") / hot_df).cast("int")
@@ -85,8 +95,8 @@ class Scored:
     small: bool = True      # the query side passed the broadcast size check
 
 
-def _bm25_norm(index: SparseIndex, k1: float, b: float) -> Column:
-    return k1 * (1 - b + b * F.col("dl") / F.lit(index.avgdl))
+def _relative_length(index: SparseIndex, b: float) -> Column:
+    return 1 - b + b * F.col("dl") / F.lit(index.avgdl)
 
 
 def _idf(variant: str, n: int, mean_idf: float | None = None, eps: float = 0.25) -> Column:
@@ -111,14 +121,24 @@ def okapi_mean_idf(index: SparseIndex) -> float:
     return float(row["m"] or 0.0)
 
 
+def mean_idf_of(index: SparseIndex) -> float:
+    """The stored mean idf, or the computed one."""
+    if index.extras.get("mean_idf") is None:
+        index.extras["mean_idf"] = okapi_mean_idf(index)
+    return index.extras["mean_idf"]
+
+
 DEFAULTS = {"okapi": OKAPI, "plus": PLUS, "l": BM25L, "server": SERVER}
 
 
-def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column) -> tuple[Column, Column]:
-    """What a (query term, posting) adds to the score above the base, and what the term adds to the base."""
+def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column, tf: Column | None = None,
+                  length: Column | None = None) -> tuple[Column, Column]:
+    """What a (query term, posting) adds to the score above the base, and what the term adds to the base.
+    ``tf`` and ``length`` (the weighted relative passage length) are the posting's unless given."""
     k1, b = p["k1"], p["b"]
-    tf = F.col("tf")
-    norm = _bm25_norm(index, k1, b)
+    tf = F.col("tf") if tf is None else tf
+    length = _relative_length(index, b) if length is None else length
+    norm = k1 * length
     w = F.col("qtf") * idf
     if variant == "okapi":
         return w * tf * (k1 + 1) / (tf + norm), F.lit(0.0)
@@ -126,7 +146,7 @@ def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column) -> tup
         return w * (tf * (k1 + 1) / (norm + tf)), w * p["delta"]
     if variant == "l":
         d = p["delta"]
-        c = tf / (1 - b + b * F.col("dl") / F.lit(index.avgdl))
+        c = tf / length
         return w * (k1 + 1) * ((c + d) / (k1 + c + d) - d / (k1 + d)), w * (k1 + 1) * d / (k1 + d)
     return w * tf / (tf + norm), F.lit(0.0)  # server
 
@@ -134,16 +154,13 @@ def _contribution(index: SparseIndex, variant: str, p: dict, idf: Column) -> tup
 def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
                qid_col: str = "qid", text_col: str = "question",
                params: dict | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-               hot_df: int = HOT_DF) -> Scored:
-    """Sparse BM25 scores for every question."""
+               hot_df: int = HOT_DF, keep: tuple[str, ...] = (), where: Column | None = None) -> Scored:
+    """Sparse BM25 scores for every question (R1-R3, R7). ``where`` is a condition on (query term, posting)
+    rows, before they are summed; it may use the question's columns ``keep`` and those of the postings."""
     defaults = DEFAULTS[variant]
     p = {**defaults, **(params or {})}
-    mean_idf = None
-    if variant == "okapi":
-        mean_idf = index.extras.get("mean_idf")
-        if mean_idf is None:
-            mean_idf = okapi_mean_idf(index)
-    qterms = query_terms(questions, index.tokenizer, qid_col, text_col)
+    mean_idf = mean_idf_of(index) if variant == "okapi" else None
+    qterms = query_terms(questions, index.tokenizer, qid_col, text_col, keep=keep)
     qside, is_small = _small(qterms, max_broadcast_rows)
     qv = (qside.join(index.vocab, "term")
           .withColumn("idf", _idf(variant, index.n_docs, mean_idf, p.get("epsilon", 0.25))))
@@ -151,8 +168,9 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
 
     contrib, base_term = _contribution(index, variant, p, F.col("idf"))
 
-    sums = (_join_postings(qv_side, index.postings, is_small, hot_df)
-            .groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s"), F.count(F.lit(1)).alias("n_terms")))
+    met = _join_postings(qv_side, postings_of(index, qside), is_small, hot_df)
+    met = met if where is None else met.where(where)
+    sums = (met.groupBy("qid", "passage_id").agg(F.sum(contrib).alias("s"), F.count(F.lit(1)).alias("n_terms")))
     if variant in ("okapi", "server"):
         # unmatched passages score 0: no per-query base to join
         base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
@@ -186,7 +204,7 @@ def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
     qnorm = qv.groupBy("qid").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     qv = qv.join(qnorm, "qid").withColumn("qw", F.col("qw") / F.col("qn"))
     qv_side = F.broadcast(qv) if is_small else qv
-    matched = (_join_postings(qv_side, index.postings, is_small, hot_df)
+    matched = (_join_postings(qv_side, postings_of(index, qside), is_small, hot_df)
                .groupBy("qid", "passage_id")
                .agg(rounded(F.sum(F.col("qw") * F.col("w"))).alias("score")))
     base = questions.select(F.col(qid_col).alias("qid"), F.lit(0.0).alias("base"))
@@ -200,7 +218,15 @@ def topk(index: SparseIndex, scored: Scored, k: int = DEFAULT_K) -> DataFrame:
 
 
 def bm25_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K,
-              variant: str = "okapi", **kw) -> DataFrame:
+              variant: str = "okapi", bounded: bool | None = False, **kw) -> DataFrame:
+    """Top-k over all passages. ``bounded`` (see ``operators.bounded``) leaves weak, frequent terms out of the sums:
+    always, never, or with None where the document frequencies say that it reads less."""
+    from . import bounded as B
+
+    if bounded is not False and not kw and B.usable(index, variant):
+        terms = materialize(B.query_bounds(index, questions, variant), "bounded-terms")
+        if bounded or B.worth(*B.row_costs(terms)):
+            return B.bounded_topk(index, questions, k, variant, terms=terms)
     return topk(index, score_bm25(index, questions, variant, **kw), k)
 
 
@@ -209,9 +235,7 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
     """The top-k lists of several BM25 variants from one join with the postings:
     one score column per variant in one aggregate, one ranking over (question,
     variant)."""
-    mean_idf = index.extras.get("mean_idf")
-    if "okapi" in variants and mean_idf is None:
-        mean_idf = okapi_mean_idf(index)
+    mean_idf = mean_idf_of(index) if "okapi" in variants else None
     if "okapi" in variants and mean_idf < 0:  # scores below the base need the wider fill
         return {v: bm25_topk(index, questions, k, v) for v in variants}
     qside, is_small = _small(query_terms(questions, index.tokenizer), max_broadcast_rows)
@@ -224,7 +248,7 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
             .na.fill(0.0, [f"b_{v}" for v in variants]))
     base = materialize(base, "bm25-base")  # one row per question
     side = F.broadcast(base) if is_small else base
-    sums = (_join_postings(F.broadcast(qv) if is_small else qv, index.postings, is_small, hot_df)
+    sums = (_join_postings(F.broadcast(qv) if is_small else qv, postings_of(index, qside), is_small, hot_df)
             .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
     scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
     rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")

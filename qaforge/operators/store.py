@@ -33,13 +33,13 @@ def scale_score(score: Column, temperature: float = SCALE_TEMPERATURE) -> Column
 
 def keyword_scores(index: SparseIndex, questions: DataFrame, allowed: DataFrame | None = None,
                    all_terms_must_match: bool = False, qid_col: str = "qid",
-                   text_col: str = "question") -> DataFrame:
+                   text_col: str = "question", **kw) -> DataFrame:
     """Server-BM25 matched scores ``qid, passage_id, score`` (unrounded sum),
     restricted to ``allowed`` ids (a filtered id table) and, for AND
     matching, to passages holding every distinct query term."""
     if allowed is not None:  # postings of other passages never meet a query term
         index = replace(index, postings=index.postings.join(allowed.select("passage_id"), "passage_id", "left_semi"))
-    scored = R.score_bm25(index, questions, "server", qid_col, text_col)
+    scored = R.score_bm25(index, questions, "server", qid_col, text_col, **kw)
     matched = scored.matched
     if all_terms_must_match:
         qterms = R.query_terms(questions, index.tokenizer, qid_col, text_col)
@@ -75,13 +75,13 @@ def keyword_retrieve_batch(index: SparseIndex, questions: DataFrame, docs: DataF
     which of them a query has. A query without one is unrestricted. One scan
     marks every document with the filters it passes, however many there are.
     """
-    scores = keyword_scores(index, questions, None, all_terms_must_match)
     passes = F.array_compact(F.array(*[F.when(compile_filter(f) if f else F.lit(True), F.lit(i)) for i, f in enumerate(filters)]))
-    allowed = docs.select("passage_id", F.explode(passes).alias("filter_id"))
-    tagged = scores.join(filter_of.select("qid", "filter_id"), "qid", "left")
-    scores = (tagged.where(F.col("filter_id").isNull())
-              .unionByName(tagged.join(allowed, ["filter_id", "passage_id"], "left_semi"))
-              .drop("filter_id"))
+    passed = docs.select("passage_id", passes.alias("passes")).where(F.size("passes") > 0)
+    tagged = questions.join(filter_of.select("qid", "filter_id"), "qid", "left")
+    # the marks meet the postings by passage, as the postings lie; a pair that its filter drops is never summed
+    marked = replace(index, postings=index.postings.join(passed, "passage_id", "left"))
+    scores = keyword_scores(marked, tagged, None, all_terms_must_match, keep=("filter_id",), where=(
+        F.col("filter_id").isNull() | F.coalesce(F.array_contains("passes", F.col("filter_id")), F.lit(False))))
     ranked = matches_only_topk(scores, top_k)
     if scale:
         ranked = ranked.withColumn("score", rounded(scale_score(F.col("score"))))

@@ -9,12 +9,18 @@ by an equi-join on ``cell``.
 Exact search without comparing every pair: probe the nearest cells, take
 each query's k-th distance ``d_k``, then probe every other cell whose
 closest possible point can still beat it, ``|q - c| - radius_c <= sqrt(d_k)``
-(triangle inequality). The result equals brute force.
+(triangle inequality). Radii and distances to centroids are sums of squared
+differences, so their error is relative to the distance and not to how far
+from the origin the vectors lie. The result equals brute force.
+
+Vectors that are null, empty or hold null or non-finite components are in no
+cell and no query.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +33,9 @@ from ..session import is_complete, materialize, shared_path
 from .common import top_n
 
 N_CELLS = 64
+# Distances are rounded to 6 digits; sums of squared differences are exact to far more than TOLERANCE of their value.
+ROUNDING = 1e-6
+TOLERANCE = 1e-9
 DEFAULT_NPROBE = 1
 
 
@@ -41,75 +50,124 @@ class IVFIndex:
         return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in self.centroids])
 
 
-def build_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
-              id_col: str = "vec_id", vec_col: str = "embedding", centroids: list | None = None) -> IVFIndex:
-    """Fit KMeans cells, or take the given centroids, and assign every vector to its nearest one."""
-    if centroids is not None:
-        base = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"))
-        far = F.transform(_centroid_distance_udf(centroids)(F.col("embedding")), lambda d, i: F.struct(d.alias("d"), i.alias("cell")))
-        assigned = materialize(base.withColumn("near", F.array_min(far)).select(
-            "vec_id", "embedding", F.col("near.cell").cast("int").alias("cell"), F.sqrt("near.d").alias("far")), "ivf-cells")
-        stats = assigned.groupBy("cell").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()
-        return IVFIndex(vectors=assigned.drop("far"), centroids=[list(map(float, c)) for c in centroids],
-                        radii={int(r["cell"]): float(r["r"]) for r in stats}, sizes={int(r["cell"]): int(r["n"]) for r in stats})
+def usable(vector: Column) -> Column:
+    """True for a vector without null or non-finite components."""
+    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))  # NaN is above it
+    return F.coalesce(finite & (F.size(vector) > 0), F.lit(False))
+
+
+def kmeans_centroids(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20) -> list:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    feats = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"),
-                           array_to_vector(F.col(vec_col)).alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features",
-                   predictionCol="cell").fit(feats)
-    centroids = [list(map(float, c)) for c in model.clusterCenters()]
-    index = IVFIndex(vectors=None, centroids=centroids, radii={})
-    assigned = model.transform(feats).select("vec_id", "embedding", F.col("cell").cast("int"))
-    own = F.element_at(_centroid_distance_udf(centroids)(F.col("embedding")), F.col("cell") + 1)
-    stats = (assigned.withColumn("d", F.sqrt(own))
-             .groupBy("cell").agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect())
-    index.vectors = assigned
-    index.radii = {int(r["cell"]): float(r["r"]) for r in stats}
-    index.sizes = {int(r["cell"]): int(r["n"]) for r in stats}
-    return index
+    feats = vectors.select(array_to_vector(F.col("embedding")).alias("features"))
+    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats).clusterCenters()
+
+
+def _assigned(vectors: DataFrame, centroids: list, id_col: str, vec_col: str) -> DataFrame:
+    """vec_id, embedding, its nearest cell and the distance to that cell's centroid."""
+    base = vectors.where(usable(F.col(vec_col))).select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("embedding"))
+    return base.withColumn("near", _nearest_udf(centroids)(F.col("embedding"))).select(
+        "vec_id", "embedding", F.col("near.cell").cast("int").alias("cell"), F.col("near.far").alias("far"))
+
+
+def _cell_stats(assigned: DataFrame) -> list:
+    return assigned.groupBy("cell").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()
+
+
+def build_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
+              id_col: str = "vec_id", vec_col: str = "embedding", centroids: list | None = None) -> IVFIndex:
+    """Fit KMeans cells, or take the given centroids, and assign every vector to its nearest one."""
+    if centroids is None:
+        centroids = kmeans_centroids(vectors.where(usable(F.col(vec_col))).select(F.col(vec_col).alias("embedding")), n_cells, seed, max_iter)
+    assigned = materialize(_assigned(vectors, centroids, id_col, vec_col), "ivf-cells")
+    stats = _cell_stats(assigned)
+    return IVFIndex(vectors=assigned.drop("far"), centroids=[list(map(float, c)) for c in centroids],
+                    radii={int(r["cell"]): float(r["r"]) for r in stats}, sizes={int(r["cell"]): int(r["n"]) for r in stats})
 
 
 def shared_ivf(vectors: DataFrame, n_cells: int = N_CELLS, seed: int = 42, max_iter: int = 20,
-               id_col: str = "vec_id", vec_col: str = "embedding", source_key: str | None = None) -> IVFIndex:
+               id_col: str = "vec_id", vec_col: str = "embedding", source_key: str | None = None,
+               fit: Callable[[DataFrame], list] | None = None, fit_name: str = "kmeans") -> IVFIndex:
     """``build_ivf`` once per (vector-table fingerprint, parameters): the cell
-    assignment and centroids are written to the shared folder and reused."""
+    assignment and centroids are written to the shared folder and reused.
+    ``fit`` makes the centroids of the table in another way, named ``fit_name``."""
     import hashlib
     import json
 
     spark = vectors.sparkSession
     fp = {"source": source_key} if source_key else vectors.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(id_col)).alias("s"),
                      F.bit_xor(F.xxhash64(F.col(id_col), F.col(vec_col))).alias("h")).first().asDict()
-    key = hashlib.sha1(json.dumps([n_cells, seed, max_iter, fp], sort_keys=True).encode()).hexdigest()[:20]
+    key = hashlib.sha1(json.dumps([fit_name, n_cells, seed, max_iter, fp], sort_keys=True).encode()).hexdigest()[:20]
     path = shared_path(spark, f"ivf-{key}")
     if not is_complete(spark, f"{path}/cells"):
-        index = build_ivf(vectors, n_cells, seed, max_iter, id_col, vec_col)
-        index.vectors.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
-        rows = [(i, c, index.radii.get(i, 0.0), index.sizes.get(i, 0)) for i, c in enumerate(index.centroids)]
+        good = vectors.where(usable(F.col(vec_col)))
+        centroids = fit(good) if fit else kmeans_centroids(good.select(F.col(vec_col).alias("embedding")), n_cells, seed, max_iter)
+        _assigned(vectors, centroids, id_col, vec_col).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+        stats = {r["cell"]: r for r in _cell_stats(spark.read.parquet(f"{path}/vectors"))}
+        rows = [(i, list(map(float, c)), float(stats[i]["r"]) if i in stats else 0.0, int(stats[i]["n"]) if i in stats else 0)
+                for i, c in enumerate(centroids)]
         spark.createDataFrame(rows, "cell int, centroid array<double>, radius double, size long") \
             .coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")  # last: marks a complete index
-    cells = spark.read.parquet(f"{path}/cells").collect()
-    assigned = spark.read.parquet(f"{path}/vectors")
-    cells = sorted(cells, key=lambda r: r["cell"])
+    cells = sorted(spark.read.parquet(f"{path}/cells").collect(), key=lambda r: r["cell"])
+    assigned = spark.read.parquet(f"{path}/vectors").drop("far")
     return IVFIndex(vectors=assigned, centroids=[list(r["centroid"]) for r in cells],
                     radii={r["cell"]: r["radius"] for r in cells if r["size"]},
                     sizes={r["cell"]: r["size"] for r in cells if r["size"]})
 
 
+# Rows of a batch that are compared with all centroids at once.
+DISTANCE_ROWS = 128
+
+
+def _squared_distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Sums of squared differences, some rows at a time."""
+    out = np.empty((len(x), len(centroids)))
+    for lo in range(0, len(x), DISTANCE_ROWS):
+        diff = x[lo:lo + DISTANCE_ROWS, None, :] - centroids[None]
+        out[lo:lo + DISTANCE_ROWS] = np.einsum("ijk,ijk->ij", diff, diff)
+    return out
+
+
+def _nearest_udf(centroids: list):
+    """Arrow-batched nearest centroid of each vector and the distance to it.
+
+    A product of matrices, centred on the centroids' mean, finds the cells that
+    may be nearest within its rounding error; those are compared exactly."""
+    cmat = np.asarray(centroids, dtype=np.float64)
+    mid = cmat.mean(axis=0)
+    centred = cmat - mid
+    cnorm = (centred * centred).sum(axis=1)
+
+    @F.pandas_udf("cell int, far double")
+    def nearest(vs: pd.Series) -> pd.DataFrame:
+        if len(vs) == 0:
+            return pd.DataFrame({"cell": pd.Series([], dtype="int32"), "far": pd.Series([], dtype="float64")})
+        x = np.stack(vs.to_numpy()).astype(np.float64)
+        y = x - mid
+        norm = (y * y).sum(axis=1)
+        d = norm[:, None] + cnorm[None, :] - 2.0 * (y @ centred.T)
+        size = np.abs(x).max(axis=1) + np.abs(mid).max()
+        error = 16 * cmat.shape[1] * np.finfo(float).eps * (norm + cnorm.max() + size * np.sqrt(norm + cnorm.max()))
+        best = d.argmin(axis=1)
+        for i in np.flatnonzero((d <= d.min(axis=1)[:, None] + 2 * error[:, None]).sum(axis=1) > 1):
+            best[i] = _squared_distances(x[i:i + 1], cmat)[0].argmin()
+        diff = x - cmat[best]
+        return pd.DataFrame({"cell": best.astype(np.int32), "far": np.sqrt((diff * diff).sum(axis=1))})
+
+    return nearest
+
+
 def _centroid_distance_udf(centroids: list):
-    """Arrow-batched squared distances from each vector to every centroid
+    """Arrow-batched squared distances from each query to every centroid
     (the centroid matrix is cells x dim, a bounded driver value)."""
     cmat = np.asarray(centroids, dtype=np.float64)
-    cnorm = (cmat * cmat).sum(axis=1)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def dist(vs: pd.Series) -> pd.Series:
         if len(vs) == 0:
             return pd.Series([], dtype=object)
-        x = np.stack(vs.to_numpy()).astype(np.float64)
-        d = (x * x).sum(axis=1)[:, None] + cnorm[None, :] - 2.0 * (x @ cmat.T)
-        return pd.Series(list(np.maximum(d, 0.0)))
+        return pd.Series(list(_squared_distances(np.stack(vs.to_numpy()).astype(np.float64), cmat)))
 
     return dist
 
@@ -211,14 +269,14 @@ def _rank(cands: DataFrame, k: int) -> DataFrame:
 def ivf_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = DEFAULT_NPROBE) -> DataFrame:
     """Approximate top-k by squared L2 within the ``nprobe`` nearest cells.
     Fewer than k neighbours in the probed cells -> fewer rows (no -1 ids)."""
-    q = queries.select("qid", "embedding")
+    q = queries.where(usable(F.col("embedding"))).select("qid", "embedding")
     return _rank(_probe(q, index, nearest_cells(index, F.col("embedding"), nprobe), k), k)
 
 
 def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4) -> DataFrame:
     """Exact top-k: first pass over the nearest cells, second pass over the
     cells the triangle-inequality bound cannot exclude."""
-    q = queries.select("qid", "embedding")
+    q = queries.where(usable(F.col("embedding"))).select("qid", "embedding")
     first_cells = nearest_cells(index, F.col("embedding"), nprobe)
     first = materialize(_rank(_probe(q, index, first_cells, k), k), "vector-first-pass")
     kth = first.groupBy("qid").agg(F.max("distance").alias("dk"), F.count(F.lit(1)).alias("n"))
@@ -226,12 +284,12 @@ def exact_topk(index: IVFIndex, queries: DataFrame, k: int = 40, nprobe: int = 4
         if index.radii else F.create_map().cast("map<int,double>")
     # cells not probed yet that may hold a closer point (all of them when
     # the first pass found fewer than k)
-    slack = 1e-3 + 1e-6 * F.sqrt(F.col("dk"))
+    reach = F.sqrt(F.col("dk") + ROUNDING) * (1 + TOLERANCE)
     more = F.filter(_centroid_distances(index, F.col("embedding")), lambda s: (
         ~F.array_contains(F.col("first"), s["cell"]))
         & (F.col("n").isNull() | (F.col("n") < k)
-           | (F.sqrt(s["d"]) - F.coalesce(F.element_at(radius, s["cell"]), F.lit(0.0))
-              <= F.sqrt(F.col("dk")) + slack)))
+           | (F.sqrt(s["d"]) * (1 - TOLERANCE) - F.coalesce(F.element_at(radius, s["cell"]), F.lit(0.0)) * (1 + TOLERANCE)
+              <= reach)))
     second_q = (q.withColumn("first", first_cells).join(kth, "qid", "left")
                 .select("qid", "embedding", F.transform(more, lambda s: s["cell"]).alias("cells")))
     second = _probe(second_q, index, F.col("cells"), k)

@@ -52,6 +52,12 @@ for _name, _variant in [("bm25_okapi_topk", "okapi"), ("bm25_plus_topk", "plus")
                             *O.bm25_ctes(_variant)) + O.topk_select(K))(_bm25(_variant))
 
 
+@register("bounded_bm25_topk", ORACLE["bm25_okapi_topk"])
+def bounded_bm25_topk(spark, sf_dir):
+    """Okapi top-k that sums weak, frequent terms only for passages that can still be among the best."""
+    return R.bm25_topk(corpus_index(spark, sf_dir), FX.questions(spark, sf_dir), K, "okapi", bounded=True)
+
+
 @register("server_bm25_topk",
           O.with_(O.PASSAGES, O.QUESTIONS, *O.index_ctes(O.word_tokens),
                   *O.qterm_ctes(O.word_tokens), *O.bm25_ctes("server"))
@@ -620,51 +626,52 @@ from ..operators import vector as VE  # noqa: E402
 VECTOR_K = K
 
 
+QUERY_EVERY = 20  # vectors whose id it divides are the queries, against all vectors
+USABLE_SQL = ("u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 "
+              "AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)")
+L2_SQL = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])))"
+RANK_SQL = (f"SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM (SELECT *, row_number() "
+            f"OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM {{src}}) WHERE rank <= {VECTOR_K}")
+EXACT_CTE = (f"d AS (SELECT q.vec_id AS qid, v.vec_id, round({L2_SQL.format(a='q.v', b='v.v')}, 6) AS distance "
+             f"FROM u q, u v WHERE q.vec_id % {QUERY_EVERY} = 0)")
+
+
 def _vector_queries(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    return emb, emb.select(F.col("vec_id").alias("qid"), "embedding")
+    return emb, emb.where(F.col("vec_id") % QUERY_EVERY == 0).select(F.col("vec_id").alias("qid"), "embedding")
 
 
-@register("exact_vector_topk",
-          "WITH d AS (SELECT q.vec_id AS qid, v.vec_id, round(list_sum(list_transform(range(1, len(q.embedding) + 1), "
-          "lambda i: (q.embedding[i]::DOUBLE - v.embedding[i]::DOUBLE) * (q.embedding[i]::DOUBLE - v.embedding[i]::DOUBLE))), 6) "
-          "AS distance FROM embeddings q, embeddings v) "
-          "SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM "
-          "(SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM d) "
-          f"WHERE rank <= {VECTOR_K}")
+@register("exact_vector_topk", O.with_(USABLE_SQL, EXACT_CTE) + RANK_SQL.format(src="d"))
 def exact_vector_topk(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
     index = VE.shared_ivf(emb, source_key=FX.source_key(spark, sf_dir, "embeddings"))
     return VE.exact_topk(index, qs, VECTOR_K)
 
 
-IVF_SQL = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
-m AS (SELECT label, i, round(avg(v[i]), 6) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e WHERE label IS NOT NULL) GROUP BY ALL),
-c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, label, list(x ORDER BY i) AS c FROM m GROUP BY label),
-ec AS (SELECT e.vec_id, e.v, c.cell, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c.c[i]) * (v[i] - c.c[i]))) AS d FROM e, c),
-own AS (SELECT vec_id, any_value(v) AS v, arg_min(cell, (d, cell)) AS cell FROM ec GROUP BY vec_id),
-qc AS (SELECT q.cell AS qid, q.c AS q, c.cell, row_number() OVER (PARTITION BY q.cell ORDER BY
-       list_sum(list_transform(range(1, len(q.c) + 1), lambda i: (q.c[i] - c.c[i]) * (q.c[i] - c.c[i]))), c.cell) AS r FROM c q, c),
-s AS (SELECT qid, vec_id, round(list_sum(list_transform(range(1, len(v) + 1), lambda i: (q[i] - v[i]) * (q[i] - v[i]))), 6) AS distance
-      FROM qc JOIN own USING (cell) WHERE r <= {nprobe})
-SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM
-(SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM s) WHERE rank <= {k}"""
 IVF_NPROBE = 2
+IVF_SQL = O.with_(
+    USABLE_SQL,
+    "m AS (SELECT label, i, round(avg(v[i]), 6) AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM u WHERE label IS NOT NULL) GROUP BY ALL)",
+    "c AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, list(x ORDER BY i) AS c FROM m GROUP BY label)",
+    f"uc AS (SELECT vec_id, v, cell, row_number() OVER (PARTITION BY vec_id ORDER BY {L2_SQL.format(a='u.v', b='c.c')}, cell) AS r FROM u, c)",
+    f"s AS (SELECT q.vec_id AS qid, o.vec_id, round({L2_SQL.format(a='q.v', b='o.v')}, 6) AS distance FROM uc q JOIN uc o USING (cell) "
+    f"WHERE o.r = 1 AND q.r <= {IVF_NPROBE} AND q.vec_id % {QUERY_EVERY} = 0)") + RANK_SQL.format(src="s")
+
+
+def label_means(vectors: DataFrame) -> list:
+    """One centroid a label, in the order of the labels."""
+    means = (vectors.where(F.col("label").isNotNull()).select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i")
+             .agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x")).groupBy("label")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c")))
+    return [r["c"] for r in means.orderBy("label").collect()]
 
 
-@register("ivf_topk", IVF_SQL.format(nprobe=IVF_NPROBE, k=VECTOR_K))
+@register("ivf_topk", IVF_SQL)
 def ivf_topk(spark, sf_dir):
-    """Cells around the means of the labels, which SQL can compute too (KMeans is
-    the default); the queries are those means."""
-    emb = table(spark, sf_dir, "embeddings")
-    at = F.posexplode("embedding").alias("i", "x")
-    means = (emb.where(F.col("label").isNotNull()).select("label", at).groupBy("label", "i")
-             .agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("x")).groupBy("label")
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c")))
-    centroids = [r["c"] for r in means.orderBy("label").collect()]  # one row per label
-    index = VE.build_ivf(emb, centroids=centroids)
-    queries = spark.createDataFrame(list(enumerate(centroids)), "qid long, embedding array<double>")
-    return VE.ivf_topk(index, queries, VECTOR_K, nprobe=IVF_NPROBE)
+    """Cells around the means of the labels, which SQL can compute too (KMeans is the default), stored once."""
+    emb, qs = _vector_queries(spark, sf_dir)
+    index = VE.shared_ivf(emb, source_key=FX.source_key(spark, sf_dir, "embeddings"), fit=label_means, fit_name="label-means")
+    return VE.ivf_topk(index, qs, VECTOR_K, nprobe=IVF_NPROBE)
 
 
 FRESH_SQL = "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum FROM {src} GROUP BY source"
@@ -842,10 +849,10 @@ def difficulty_table(spark, sf_dir):
     return spark.read.parquet(path).groupBy("difficulty").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("corpus_lines", "SELECT doc_id::VARCHAR AS document_id, text, lang AS domain FROM documents WHERE text IS NOT NULL")
+@register("corpus_lines", "SELECT doc_id::VARCHAR AS document_id, text, lang AS domain FROM documents")
 def corpus_lines(spark, sf_dir):
-    """Documents written as JSON Lines and read by the corpus reader."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    """Documents, those without text too, written as JSON Lines and read by the corpus reader."""
+    docs = table(spark, sf_dir, "documents")
     path = shared_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
     SK.write_json(docs.select(F.col("doc_id").cast("string").alias("document_id"), "text", F.col("lang").alias("domain")), path)
     return RD.read_corpus_lines(spark, path).select("document_id", "text", "domain")

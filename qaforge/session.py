@@ -7,6 +7,7 @@ for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import tempfile
@@ -91,3 +92,33 @@ def materialize(df, name: str = "table", path: str | None = None):
     path = path or shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _table_name(path: str) -> str:
+    return "qaforge_" + hashlib.sha1(path.encode()).hexdigest()[:20]
+
+
+def write_bucketed(df, path: str, key: str, buckets: int, sort: str, partition: str):
+    """Write ``df`` at ``path`` in folders by ``partition``, each dealt into ``buckets`` files by ``key``.
+
+    Spark knows how such a table lies: grouping or joining by ``key`` needs no
+    shuffle, and a filter on ``partition`` opens its folders only. ``df`` should
+    be partitioned by ``key`` into as many partitions as there are buckets.
+    """
+    name = _table_name(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: its files stay
+    (df.write.mode("overwrite").partitionBy(partition).bucketBy(buckets, key).sortBy(sort)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def open_bucketed(spark: SparkSession, path: str, key: str, buckets: int, sort: str, partition: str):
+    """The table that ``write_bucketed`` left at ``path``; its entry in this session's catalog is made anew if need be."""
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({partition}) "
+                  f"CLUSTERED BY ({key}) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        if spark.conf.get("spark.sql.catalogImplementation") == "hive":  # there, partitions are entries of the catalog
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)

@@ -1,9 +1,9 @@
 """Persisted index tables and their lifecycle.
 
 An index is written as Parquet tables under one folder -- ``postings``
-(partitioned files, sorted by term within each file so term lookups skip
-row groups), ``vocab``, ``lengths`` and a one-row ``stats`` table that also
-records the corpus fingerprint. Reading it back cuts the lineage, so later
+(folders by term, buckets by passage, see ``operators.index``), ``vocab``,
+``lengths`` and a one-row ``stats`` table that also records the layout and the
+corpus fingerprint. Reading it back cuts the lineage, so later
 queries do not re-tokenize the corpus and survive executor loss.
 
 The fingerprint is computed by Spark over the whole corpus: row count, id
@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import TOKENIZERS, get_tokenizer
 from ..operators.index import SparseIndex, build_index, build_tfidf_index
-from ..session import is_complete, shared_path
+from ..session import is_complete, open_bucketed, shared_path
+
+# Named in the keys of stored indexes: one of another layout is not opened.
+LAYOUT = 2
 
 
 def fingerprint(df: DataFrame, id_col: str = "passage_id", text_col: str = "text",
@@ -62,8 +65,13 @@ def load_index(spark: SparkSession, path: str) -> tuple[SparseIndex, dict]:
         extras["mean_idf"] = float(stats["mean_idf"])
     if stats.get("kind") == "tfidf":
         extras = {"ngrams": bool(stats["ngrams"]), "max_features": int(stats["max_features"])}
-    index = SparseIndex(postings=spark.read.parquet(f"{path}/postings"),
-                        vocab=spark.read.parquet(f"{path}/vocab"),
+    if stats.get("buckets"):
+        extras |= {"buckets": int(stats["buckets"]), "parts": int(stats["parts"])}
+        postings = open_bucketed(spark, f"{path}/postings", "passage_id", extras["buckets"], "term", "part")
+    else:
+        postings = spark.read.parquet(f"{path}/postings")
+    index = SparseIndex(postings=postings,
+                        vocab=spark.read.parquet(f"{path}/vocab_peaks" if stats.get("kind") == "tfidf" else f"{path}/vocab"),
                         lengths=spark.read.parquet(f"{path}/tokens" if stats.get("kind") else f"{path}/lengths")
                         .select("passage_id", "dl"),
                         n_docs=int(stats["n_docs"]), avgdl=float(stats["avgdl"]),
@@ -84,7 +92,7 @@ def shared_index(passages: DataFrame, kind: str = "bm25", tokenizer: str = "whit
         raise ValueError("shared_index needs a named tokenizer")
     spark = passages.sparkSession
     fp = {"source": source_key} if source_key else fingerprint(passages).first().asDict()
-    key = hashlib.sha1(json.dumps([kind, tokenizer, params, fp], sort_keys=True,
+    key = hashlib.sha1(json.dumps([LAYOUT, kind, tokenizer, params, fp], sort_keys=True,
                                   default=str).encode()).hexdigest()[:20]
     path = shared_path(spark, f"index-{kind}-{key}")
     if index_exists(spark, path):
@@ -110,7 +118,10 @@ def build_and_save(passages: DataFrame, path: str, kind: str = "bm25", tokenizer
                "max_features": int(index.extras["max_features"])}
     else:
         raise ValueError(f"unknown index kind {kind!r}")
+    if not index.n_docs:
+        raise ValueError("the store is empty: there is nothing to retrieve")
     row.update({"n_docs": index.n_docs, "avgdl": float(index.avgdl), "tokenizer": tokenizer,
+                "buckets": index.extras["buckets"], "parts": index.extras["parts"],
                 **{f"fp_{k}": v for k, v in (fp or {}).items()}})
     # the stats table is written last: its presence marks a complete index
     spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
