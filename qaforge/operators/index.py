@@ -87,8 +87,8 @@ def counted_terms(toks: DataFrame) -> DataFrame:
 
 
 def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
-                materialize: bool = True, out_dir: str | None = None) -> SparseIndex:
-    """Postings / vocabulary / stats for the BM25 family (A2).
+                materialize: bool = True, out_dir: str | None = None, parts: int | None = None) -> SparseIndex:
+    """Postings / vocabulary / stats for the BM25 family (A2). ``parts``: folders of the postings, if not by size.
 
     With ``materialize`` the tables are written once to the shared folder,
     so the statistics jobs and every later query read them instead of
@@ -105,7 +105,8 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
     avgdl = total / n if n else 0.0
     extras = {}
     if materialize:
-        buckets, parts = layout(passages.sparkSession, total)
+        buckets, by_size = layout(passages.sparkSession, total)
+        parts = parts or by_size
         # one shuffle, of token arrays by passage; counting needs no other one
         postings = store_postings(counted_terms(toks.repartition(buckets, "passage_id")), buckets, parts, out_dir)
         extras = {"buckets": buckets, "parts": parts}

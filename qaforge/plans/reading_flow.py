@@ -40,10 +40,46 @@ LOGITS_SCHEMA = ("example_id struct<qid:long,passage_id:long>, window int, offse
                  "start_logits array<double>, end_logits array<double>")
 
 
-def score_features(features: DataFrame, model: ScoreFn | None = None) -> DataFrame:
-    """Model scores per window (F4). ``model`` is a ``mapInPandas`` function
-    returning ``LOGITS_SCHEMA`` rows; without one, the deterministic stand-in
-    scores are used (no model ships with this library)."""
+#: Tokens, padding included, that a scorer gets at once.
+TOKEN_BUDGET = 16_384
+#: (batch of windows) -> (start scores, end scores), one list a window.
+Scorer = Callable[[pd.DataFrame], tuple[list, list]]
+
+
+def in_token_batches(frames: Iterator[pd.DataFrame], budget: int) -> Iterator[pd.DataFrame]:
+    """Cut a stream of windows that rise in length into batches whose padded size (windows x longest) is at most
+    ``budget`` tokens; a longer window is a batch of its own."""
+    held: list = []
+    for frame in frames:
+        rest = pd.concat([*held, frame], ignore_index=True) if held else frame.reset_index(drop=True)
+        lengths, lo = rest["n_tokens"].tolist(), 0
+        for i, n in enumerate(lengths):
+            if i > lo and (i - lo + 1) * n > budget:
+                yield rest.iloc[lo:i].reset_index(drop=True)
+                lo = i
+        held = [rest.iloc[lo:]]
+    if held and len(held[0]):
+        yield held[0].reset_index(drop=True)
+
+
+def score_features(features: DataFrame, model: ScoreFn | None = None, scorer: Scorer | None = None,
+                   budget: int = TOKEN_BUDGET) -> DataFrame:
+    """Model scores per window (F4). ``scorer`` gets batches of windows of like
+    length, sorted within each partition (no shuffle, little padding) and cut
+    by a budget of padded tokens; ids travel with their rows. ``model`` is a
+    whole ``mapInPandas`` function returning ``LOGITS_SCHEMA`` rows. Without
+    either, the deterministic stand-in scores are used (no model ships with
+    this library)."""
+    if scorer is not None:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in in_token_batches(frames, budget):
+                start, end = scorer(batch)
+                yield batch[["example_id", "window", "offsets"]].assign(start_logits=list(start), end_logits=list(end))
+
+        kinds = ", ".join(f"{c} {features.schema[c].dataType.simpleString()}" for c in ("example_id", "window", "offsets"))
+        by_length = features.select("example_id", "window", "offsets", F.size("offsets").alias("n_tokens"))
+        return (by_length.sortWithinPartitions("n_tokens", "example_id", "window")
+                .mapInPandas(run, f"{kinds}, start_logits array<double>, end_logits array<double>"))
     if model is None:
         return WN.synthetic_logits(features, number=F.col("example_id.qid") * PAIR_SEED + F.col("example_id.passage_id"))
     return features.mapInPandas(model, LOGITS_SCHEMA)
@@ -53,7 +89,7 @@ def read_retrieved(ranked: DataFrame, passages: DataFrame, questions: DataFrame,
                    model: ScoreFn | None = None, top_k: int = READER_TOP_K,
                    per_candidate: int = TOP_K_PER_CANDIDATE, per_sample: int = TOP_K_PER_SAMPLE,
                    max_len: int = READER_MAX_LEN, stride: int = WN.DOC_STRIDE,
-                   max_passages_per_question: int = RETRIEVER_TOP_K) -> DataFrame:
+                   max_passages_per_question: int = RETRIEVER_TOP_K, scorer: Scorer | None = None) -> DataFrame:
     """Answers across retrieved passages: ``qid, rank, passage_id, text, score``."""
     bound = questions.count() * max_passages_per_question
     ranked = materialize(ranked.select("qid", "passage_id"), "reader-pairs")  # k rows per question
@@ -65,7 +101,7 @@ def read_retrieved(ranked: DataFrame, passages: DataFrame, questions: DataFrame,
                             .alias("example_id"),
                             "qid", "passage_id", F.regexp_extract("question", QUESTION_HEAD, 0).alias("question"),
                             F.col("text").alias("context"))
-    feats = score_features(WN.context_windows(examples, max_len, stride, offsets=offsets, offsets_on="passage_id"), model)
+    feats = score_features(WN.context_windows(examples, max_len, stride, offsets=offsets, offsets_on="passage_id"), model, scorer)
     cands = SP.window_candidates(feats)
     per_window = top_n(cands, ["example_id", "window"],
                        [F.col("score").desc(), F.col("si").asc(), F.col("ei").asc()], per_sample, "wr")

@@ -674,6 +674,48 @@ def ivf_topk(spark, sf_dir):
     return VE.ivf_topk(index, qs, VECTOR_K, nprobe=IVF_NPROBE)
 
 
+from ..operators import vector_codes as VC  # noqa: E402
+from ..operators import vector_tree as VT  # noqa: E402
+
+CODED_CTES = [
+    USABLE_SQL,
+    "rg AS (SELECT list(lo ORDER BY i) AS lo, list(hi ORDER BY i) AS hi FROM (SELECT i, min(v[i]) AS lo, max(v[i]) AS hi "
+    "FROM (SELECT v, unnest(range(1, len(v) + 1)) AS i FROM u) GROUP BY i))",
+    f"dc AS (SELECT vec_id, v, list_transform(range(1, len(v) + 1), lambda i: lo[i] + floor(CASE WHEN hi[i] > lo[i] "
+    f"THEN (v[i] - lo[i]) / (hi[i] - lo[i]) ELSE 0 END * {VC.STEPS} + 0.5) * (hi[i] - lo[i]) / {VC.STEPS}) AS x FROM u, rg)",
+    f"ap AS (SELECT q.vec_id AS qid, o.vec_id, q.v AS qv, o.v AS ov, row_number() OVER (PARTITION BY q.vec_id "
+    f"ORDER BY {L2_SQL.format(a='q.v', b='o.x')}, o.vec_id) AS r FROM u q, dc o WHERE q.vec_id % {QUERY_EVERY} = 0)",
+    f"cs AS (SELECT qid, vec_id, round({L2_SQL.format(a='qv', b='ov')}, 6) AS distance FROM ap WHERE r <= {VC.FACTOR * VECTOR_K})"]
+
+
+def _coded(spark, sf_dir):
+    emb, qs = _vector_queries(spark, sf_dir)
+    index = VC.build_codes(emb, FX.source_key(spark, sf_dir, "embeddings"))
+    return VC.coded_topk(index, qs, VECTOR_K)
+
+
+@register("coded_vector_topk", O.with_(*CODED_CTES) + RANK_SQL.format(src="cs"))
+def coded_vector_topk(spark, sf_dir):
+    """Scan of 8-bit codes, exact ranking of the nearest ones."""
+    return _coded(spark, sf_dir)
+
+
+@register("coded_vector_recall", O.with_(*CODED_CTES, EXACT_CTE, f"f AS ({RANK_SQL.format(src='cs')})", f"x AS ({RANK_SQL.format(src='d')})")
+          + "SELECT count(DISTINCT x.qid) AS n_queries, count(*) AS n_exact, count(f.vec_id) AS n_found, "
+            "round(count(f.vec_id) / count(*), 6) AS recall FROM x LEFT JOIN f USING (qid, vec_id)")
+def coded_vector_recall(spark, sf_dir):
+    return VC.recall(_coded(spark, sf_dir), exact_vector_topk(spark, sf_dir))
+
+
+@register("tree_vector_recall")
+def tree_vector_recall(spark, sf_dir):
+    """Recall of the two-level tree of fitted cells against exact search (SQL cannot fit the cells)."""
+    emb, qs = _vector_queries(spark, sf_dir)
+    index = VT.build_tree(emb)
+    probe = VT.probe_for(index, qs, VECTOR_K, recall=0.9)
+    return VC.recall(VT.tree_topk(index, qs, VECTOR_K, probe), exact_vector_topk(spark, sf_dir))
+
+
 FRESH_SQL = "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum FROM {src} GROUP BY source"
 
 
@@ -856,3 +898,197 @@ def corpus_lines(spark, sf_dir):
     path = shared_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
     SK.write_json(docs.select(F.col("doc_id").cast("string").alias("document_id"), "text", F.col("lang").alias("domain")), path)
     return RD.read_corpus_lines(spark, path).select("document_id", "text", "domain")
+
+
+# --- index segments, keyed stores, and operators that write and read back ----------
+
+from ..sources import keyed_store as KS  # noqa: E402
+from ..sources import segments as SG  # noqa: E402
+
+
+def fresh_path(spark, name: str) -> str:
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("segmented_bm25_topk", ORACLE["bm25_okapi_topk"])
+def segmented_bm25_topk(spark, sf_dir):
+    """Okapi over an index of three segments (R11): most passages, some in an old wording; their updates; one
+    more segment with a passage that is deleted again. Equal to the index built at once."""
+    psg = FX.passages(spark, sf_dir).select("passage_id", "text")
+    late, old = F.col("passage_id") % 100 == 0, F.col("passage_id") % 50 == 1
+    index = SG.SegmentedIndex(spark, fresh_path(spark, "segments"))
+    index.add(psg.where(~late).withColumn("text", F.when(old, F.concat(F.lit("old wording of "), "text")).otherwise(F.col("text"))))
+    index.add(psg.where(late | old))
+    index.add(psg.agg((F.max("passage_id") + 1).alias("passage_id")).withColumn("text", F.lit("a passage that goes again")))
+    index.delete(psg.agg((F.max("passage_id") + 1).alias("passage_id")))
+    return R.bm25_topk(index.open(), FX.questions(spark, sf_dir), K)
+
+
+@register("store_merge", "WITH d AS (SELECT doc_id, text, doc_id % 3 AS m FROM documents) "
+          "SELECT 'first' AS step, count(*) AS n_new, 0 AS n_repeated, count(*) AS n_rows, "
+          "sum(coalesce(length(text), 0))::BIGINT AS chars FROM d WHERE m <> 0 UNION ALL "
+          "SELECT 'skip', count(*) FILTER (m = 0), count(*) FILTER (m = 1), count(*) , sum(coalesce(length(text), 0))::BIGINT FROM d UNION ALL "
+          "SELECT 'overwrite', 0, count(*) FILTER (m = 2), count(*), sum(CASE WHEN m = 2 THEN 3 ELSE coalesce(length(text), 0) END)::BIGINT FROM d "
+          "UNION ALL SELECT 'clear', 0, 0, 0, 0")
+def store_merge(spark, sf_dir):
+    """Documents written into a keyed store in three steps (S12, S14), counted after each, and cleared."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store, m, out = KS.KeyedStore(spark, fresh_path(spark, "store"), "doc_id"), F.col("doc_id") % 3, []
+    new_text = F.lit("new")
+
+    def step(name, done):
+        rows = store.rows()
+        chars = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)))).first()[0] if rows is not None else 0
+        out.append((name, done["new"], done["repeated"], store.count(), chars))
+
+    step("first", store.write(docs.where(m != 0), "fail"))
+    step("skip", store.write(docs.where(m != 2).withColumn("text", F.when(m == 1, new_text).otherwise(F.col("text"))), "skip"))
+    step("overwrite", store.write(docs.where(m == 2).withColumn("text", new_text), "overwrite"))
+    store.clear()
+    step("clear", {"new": 0, "repeated": 0})
+    return spark.createDataFrame(out, "step string, n_new long, n_repeated long, n_rows long, chars long")
+
+
+@register("documents_with_defaults",
+          "SELECT doc_id::VARCHAR AS id, coalesce(text, '') AS content, coalesce(source, '') AS corpus_source, "
+          "coalesce(lang, '') AS domain, '' AS url, '' AS title, '' AS author, '' AS html, doc_id::VARCHAR AS document_id FROM documents")
+def documents_with_defaults(spark, sf_dir):
+    """Corpus records without some fields, read as documents with defaults."""
+    docs = table(spark, sf_dir, "documents")
+    path = fresh_path(spark, "corpus")
+    SK.write_json(docs.select(F.col("doc_id").cast("string").alias("key"), "text", F.col("source").alias("corpus_source"),
+                              F.col("lang").alias("domain")), path)
+    return RD.to_documents(RD.read_corpus_lines(spark, path)).select("id", "content", *[f"meta.{f}" for f in RD.META_FIELDS])
+
+
+@register("top_answers", BEST_SQL)
+def top_answers(spark, sf_dir):
+    """Id and rank-1 answer of the n-best lists."""
+    ex = FX.qa_examples(spark, sf_dir)
+    return SK.top_answers(_nbest(spark, sf_dir).join(ex.select("example_id", "id"), "example_id"))
+
+
+@register("load_with_rejects", "SELECT count(*) FILTER (n_chars >= 200 AND text IS NOT NULL) AS n_stored, "
+          "count(*) FILTER (NOT coalesce(n_chars >= 200 AND text IS NOT NULL, false)) AS n_rejected FROM documents")
+def load_with_rejects(spark, sf_dir):
+    """Documents loaded into a named table, those without text or too short into a reject table."""
+    name = f"loaded_{uuid.uuid4().hex[:12]}"
+    good = (F.col("n_chars") >= 200) & F.col("text").isNotNull()
+    stored, rejected = IS.write_with_rejects(table(spark, sf_dir, "documents"), good, name, f"{name}_rejects")
+    IS.drop_index_table(spark, name)
+    IS.drop_index_table(spark, f"{name}_rejects")
+    return spark.createDataFrame([(stored, rejected)], "n_stored long, n_rejected long")
+
+
+@register("index_lifecycle", "SELECT true AS created, false AS created_again, count(*) AS n_rows, 'word' AS analyzer, "
+          "true AS listed, 0 AS n_cleared, true AS dropped FROM documents")
+def index_lifecycle(spark, sf_dir):
+    """A named table created, kept, described, listed, cleared and dropped."""
+    docs, name = table(spark, sf_dir, "documents").select("doc_id", "text"), f"named_{uuid.uuid4().hex[:12]}"
+    created, again = IS.create_index_table(docs, name, {"analyzer": "word"}), IS.create_index_table(docs.limit(0), name)
+    n, listed = spark.table(name).count(), name in IS.list_index_tables(spark)
+    analyzer = IS.index_properties(spark, name)["analyzer"]
+    IS.clear_table(spark, name)
+    cleared = spark.table(name).count()
+    IS.drop_index_table(spark, name)
+    row = (created, again, n, analyzer, listed, cleared, not spark.catalog.tableExists(name))
+    return spark.createDataFrame([row], "created boolean, created_again boolean, n_rows long, analyzer string, listed boolean, "
+                                        "n_cleared int, dropped boolean")
+
+
+@register("stage_results", O.with_(OR.EXAMPLES)
+          + "SELECT 'answers' AS stage, (len(ans_text) > 0)::VARCHAR AS name, count(*) AS n FROM ex GROUP BY 2 UNION ALL "
+            "SELECT 'roles', role, count(*) FROM conversations GROUP BY 2")
+def stage_results(spark, sf_dir):
+    """Tables of two stages exported as CSV and read back."""
+    has = (F.size("answers.text") > 0).cast("string")
+    stages = {"answers": FX.qa_examples(spark, sf_dir).groupBy(has.alias("name")).agg(F.count(F.lit(1)).alias("n")),
+              "roles": table(spark, sf_dir, "conversations").groupBy(F.col("role").alias("name")).agg(F.count(F.lit(1)).alias("n"))}
+    path = fresh_path(spark, "stages")
+    SK.save_stage_results(stages, path)
+    parts = [RD.read_csv_split(spark, f"{path}/{stage}").select(F.lit(stage).alias("stage"), "name", F.col("n").cast("long")) for stage in stages]
+    return parts[0].unionByName(parts[1])
+
+
+@register("resolved_columns", "SELECT doc_id, length(text)::BIGINT AS by_name, length(text)::BIGINT AS by_position FROM documents")
+def resolved_columns(spark, sf_dir):
+    """A column taken by its name and, where there is none of the name, by its position."""
+    docs = table(spark, sf_dir, "documents")
+    first, second = RD.resolve_column(docs, "text", 0), RD.resolve_column(docs, "content", 1)
+    return docs.select("doc_id", F.length(first).cast("long").alias("by_name"), F.length(second).cast("long").alias("by_position"))
+
+
+@register("projected_questions", O.with_(OR.EXAMPLES) + "SELECT id, question FROM ex")
+def projected_questions(spark, sf_dir):
+    """Examples projected to the declared prediction schema."""
+    return RD.project_to(FX.qa_examples(spark, sf_dir), RD.PREDICT_SCHEMA)
+
+
+@register("strict_ensemble", ENSEMBLE_SQL)
+def strict_ensemble(spark, sf_dir):
+    """The ensemble that refuses a question with fewer than k distinct passages."""
+    return EN.max_merge(_three_lists(spark, sf_dir), K, strict=True)
+
+
+@register("concatenated_splits", O.with_(OR.EXAMPLES)
+          + f"SELECT CASE WHEN example_id // {FX.EXAMPLE_ID_STRIDE} % 4 = 0 THEN 'validation' ELSE 'train' END AS split, id, question, "
+            f"ans_text[1] AS first_answer FROM ex")
+def concatenated_splits(spark, sf_dir):
+    """Two written splits, one without answers' starts, read as one table."""
+    ex, path = FX.qa_examples(spark, sf_dir), fresh_path(spark, "splits")
+    first = F.try_element_at("answers.text", F.lit(1)).alias("first_answer")
+    validation = F.floor(F.col("example_id") / FX.EXAMPLE_ID_STRIDE) % 4 == 0
+    ex.where(~validation).select("id", "question", first).write.parquet(f"{path}/train")
+    ex.where(validation).select("question", "id", first, "title").write.parquet(f"{path}/validation")
+    return RD.load_splits(spark, {"train": f"{path}/train", "validation": f"{path}/validation"}).select("split", "id", "question", "first_answer")
+
+
+MODEL_LEN = 256
+
+
+@register("clamped_windows", O.with_(OR.EXAMPLES, *OR.TOKENS, *OR.windows_ctes(MODEL_LEN))
+          + "SELECT example_id, wi AS \"window\", first_token::INTEGER AS first_token, n_ctx FROM win")
+def clamped_windows(spark, sf_dir):
+    """Windows asked for at the default length, cut to the model's own."""
+    win = WN.context_windows(FX.qa_examples(spark, sf_dir), model_max_len=MODEL_LEN)
+    return win.select("example_id", "window", "first_token", "n_ctx")
+
+
+def standin_scorer(batch):
+    """The stand-in scores of ``windows.synthetic_logits`` for a batch of windows, padded to its longest."""
+    import numpy as np
+
+    # Multipliers and moduli of the stand-in scores.
+    pos = np.arange(int(batch["n_tokens"].max()))
+    ex = np.array([(e["qid"] * RF.PAIR_SEED + e["passage_id"]) % 1_000_003 for e in batch["example_id"]])[:, None]
+    win = batch["window"].to_numpy()[:, None]
+    start = ((ex * 7919 + win * 31 + pos * 104729) % 2003) / 100.0
+    end = ((ex * 104729 + win * 17 + pos * 7919) % 2003) / 100.0
+    return [s[:n] for s, n in zip(start, batch["n_tokens"])], [e[:n] for e, n in zip(end, batch["n_tokens"])]
+
+
+@register("reader_topk_batched", READER_SQL)
+def reader_topk_batched(spark, sf_dir):
+    """Reading through a scorer that gets windows of like length in batches of a token budget."""
+    qs = FX.questions(spark, sf_dir)
+    ranked = R.bm25_topk(corpus_index(spark, sf_dir), qs, RF.RETRIEVER_TOP_K, "okapi")
+    return RF.read_retrieved(ranked, FX.passages(spark, sf_dir), qs, scorer=standin_scorer)
+
+
+TOP_ANSWERS = 5
+
+
+@register("reader_metrics_top5", O.with_(
+    *OR.reading_ctes(),
+    f"pr AS (SELECT ex.id, nb.rank, nb.text AS pred FROM nb JOIN ex USING (example_id) WHERE nb.rank <= {TOP_ANSWERS})",
+    "gx AS (SELECT id, unnest(ans_text) AS g FROM ex)",
+    f"pc AS (SELECT gx.id, ({O.normalize('pr.pred')} = {O.normalize('gx.g')})::INTEGER AS em, "
+    f"{O.chars('pr.pred')} AS pch, {O.chars('gx.g')} AS gch FROM gx JOIN pr USING (id))",
+    f"pc2 AS (SELECT *, {O.common('pch', 'gch')} AS same FROM pc)",
+    f"pf AS (SELECT id, max(em) AS em, max({O.f1_from('same', 'pch', 'gch')}) AS f1 FROM pc2 GROUP BY id)")
+    + "SELECT count(*) AS n_questions, round(avg(coalesce(em, 0)), 6) AS em, round(avg(coalesce(f1, 0.0)), 6) AS f1 FROM ex LEFT JOIN pf USING (id)")
+def reader_metrics_top5(spark, sf_dir):
+    """Reader EM / F1, the best of the first five answers."""
+    ex = FX.qa_examples(spark, sf_dir)
+    answers = _nbest(spark, sf_dir).join(ex.select("example_id", "id"), "example_id").select("id", "rank", "text")
+    return MT.reader_topk_metrics(answers, ex, k=TOP_ANSWERS)

@@ -7,10 +7,12 @@ for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -86,14 +88,36 @@ def materialize(df, name: str = "table", path: str | None = None):
     Cuts the lineage (later jobs and lost executors restart from the files,
     not from the raw tables) and lets several jobs reuse one computation.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = path or shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    if path is None:
+        path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+        _TEMPORARY.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+#: Tables that ``materialize`` wrote for this process alone.
+_TEMPORARY: list[str] = []
+
+
+def drop_temporary(spark: SparkSession | None = None) -> int:
+    """Delete the tables that ``materialize`` wrote without a given path; returns how many.
+
+    For when the results that read them are written; runs by itself as the
+    Python process ends, if its session is still there."""
+    spark = spark or SparkSession.getActiveSession()
+    paths, _TEMPORARY[:] = list(_TEMPORARY), []
+    if spark is None:
+        return 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
+
+
+atexit.register(drop_temporary)
+
+
 def _table_name(path: str) -> str:
     return "qaforge_" + hashlib.sha1(path.encode()).hexdigest()[:20]
 
@@ -119,6 +143,6 @@ def open_bucketed(spark: SparkSession, path: str, key: str, buckets: int, sort:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({partition}) "
                   f"CLUSTERED BY ({key}) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{path}'")
-        if spark.conf.get("spark.sql.catalogImplementation") == "hive":  # there, partitions are entries of the catalog
+        if spark.conf.get("spark.sql.hive.manageFilesourcePartitions", "true") == "true":  # partitions are entries of the catalog
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
