@@ -55,7 +55,7 @@ SPREAD = 24
 HOT = 500
 SHARD = 1500
 #: Rows and list entries up to which a table of spans is broadcast.
-PLACE_ROWS, PLACE_ENTRIES = 300_000, 3_000_000
+PLACE_ROWS, PLACE_ENTRIES = 100_000, 500_000
 ROWS = "node long, doc_id {kind}, lo int, hi int, key long, hot boolean, words binary"
 
 
@@ -286,6 +286,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     # an anchor in a third of all texts leaves each task as one row
     shared = (found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
               .where("a <> b").select("anchor", F.ceil(F.col("n") / HOT).cast("int").alias("salts")))
+    shared = materialize(shared, "automata-shared")  # a join of two exchanges, whose hot partitions Spark can split
     places = (anchors(texts).join(shared, "anchor").groupBy("node")
               .agg(F.collect_list(F.struct("pos", "salts")).alias("places")))
     places = materialize(places, "automata-places")
