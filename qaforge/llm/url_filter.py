@@ -93,16 +93,17 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
              .select("area", "salt", F.concat("area", "path").alias("key"), F.lit(1).alias("kind"),
                      "page_id", "host", "path", "own", F.lit(None).cast("array<struct<n:int,h:int,rule:string,verdict:string,key:string>>").alias("stack")))
 
-    # rules nested in the same area: the stack a rule opens is itself and its prefixes
+    # rules nested in the same area: the stack a rule opens is itself and the rules that are prefixes of its key,
+    # found by their lengths (a join on the prefix), so a rule is never compared with all others of its area
     one = F.struct(F.length("rule").alias("n"), F.length("area").alias("h"), F.col("rule"),
                    F.col("r_verdict").alias("verdict"), F.concat("area", "r_path").alias("key"))
-    opened = (r.withColumn("me", one)
-              .withColumn("before", F.collect_list("me").over(
-                  Window.partitionBy("area").orderBy(F.col("me.key"), F.col("rule"), F.col("r_verdict").desc())
-                  .rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("stack", F.expr("filter(before, x -> startswith(me.key, x.key))"))
-              .withColumn("order", F.size("before"))
-              .groupBy("area", F.col("me.key").alias("key")).agg(F.max_by("stack", "order").alias("stack")))
+    keyed = r.select("area", F.concat("area", "r_path").alias("key"), one.alias("me"))
+    lengths = keyed.groupBy("area").agg(F.collect_set(F.length("key")).alias("lengths"))
+    prefixes = (keyed.select("area", "key").distinct().join(lengths, "area")
+                .select("area", "key", F.explode(F.filter("lengths", lambda n: n <= F.length("key"))).alias("n"))
+                .select("area", "key", F.expr("substring(key, 1, n)").alias("prefix")))
+    opened = (prefixes.join(keyed.withColumnRenamed("key", "prefix"), ["area", "prefix"])
+              .groupBy("area", "key").agg(F.collect_list("me").alias("stack")))
     start = (opened.join(hot, "area", "left")
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
              .select("area", "salt", "key", F.lit(0).alias("kind"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"),
