@@ -9,14 +9,14 @@ word n-grams of all rows of a run at once with numpy.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 #: Rows of text that reach a Python worker at once (Spark's default of 10,000 is meant for narrow rows).
 BATCH_ROWS = 1000
 _M = (1 << 64) - 1
@@ -41,12 +41,20 @@ def bounded_batches(df: DataFrame) -> None:
         conf.set(key, BATCH_ROWS)
 
 
-def trimmed(rows):
+#: What a Python worker keeps between tasks: name -> how to drop it.
+CACHES: dict[str, Callable[[], None]] = {"powers": _POWERS.clear}
+
+
+def trimmed(rows, keeps: tuple[str, ...] = ("powers",)):
     """``rows``, a function over batches, that gives freed memory back to the system when its task ends.
 
-    Python workers are reused; what the allocators keep would add up over the stages of a job.
+    Python workers are reused by the next stages; what they and the allocators
+    keep would add up. A task drops the caches that it does not name.
     """
     def run(batches):
+        for name, drop in CACHES.items():
+            if name not in keeps:
+                drop()
         yield from rows(batches)
         pa.default_memory_pool().release_unused()
         libc = ctypes.CDLL(None)

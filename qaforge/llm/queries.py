@@ -54,7 +54,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeat"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

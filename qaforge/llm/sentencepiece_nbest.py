@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches, mix, powers, spans, trimmed, utf8
+from .common import CACHES, bounded_batches, mix, powers, spans, trimmed, utf8
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -91,6 +91,7 @@ def load(path: str = MODEL) -> Vocabulary:
 
 
 _LOADED: dict[str, Vocabulary] = {}
+CACHES["pieces"] = _LOADED.clear
 
 
 def vocabulary(path: str = MODEL) -> Vocabulary:
@@ -494,7 +495,7 @@ def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int =
         vocab.young, vocab.old, vocab.paths = {}, {}, {}
 
     return docs.select("doc_id", "text").mapInArrow(
-        trimmed(rows), f"doc_id {kind}, n_pieces int, ids array<int>, scores array<double>, sizes array<int>, round_trip boolean")
+        trimmed(rows, ("pieces",)), f"doc_id {kind}, n_pieces int, ids array<int>, scores array<double>, sizes array<int>, round_trip boolean")
 
 
 def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -507,4 +508,4 @@ def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = [None if x is None else decode(x, vocab) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(trimmed(rows), f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(rows, ("pieces",)), f"doc_id {kind}, text string")

@@ -59,6 +59,8 @@ STRETCH = 1 << 20
 BATCH = 4 << 20
 #: Rows up to which a table of places per text is broadcast.
 PLACE_ROWS = 300_000
+#: Bytes of text for each bucket of samples or suffixes.
+BUCKET_BYTES = 16 << 20
 
 
 def keys_at(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -242,6 +244,12 @@ def release(spark) -> None:
 
 # --- the operator ---------------------------------------------------------------
 
+def buckets_for(texts: DataFrame) -> int:
+    """Buckets that grow with the bytes of text, so that a bucket's task keeps its size."""
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(partitions(texts.sparkSession), 16, n_bytes // BUCKET_BYTES)
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     bounded_batches(docs)
     return docs.select("doc_id", "text", F.xxhash64("text").alias("node"))
@@ -249,7 +257,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 def shared_samples(texts: DataFrame) -> DataFrame:
     """(node, places) of the cover samples whose rank is shared."""
-    buckets = max(partitions(texts.sparkSession), 16)
+    buckets = buckets_for(texts)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,9 +277,8 @@ def shared_samples(texts: DataFrame) -> DataFrame:
     return settle_keys(long.mapInArrow(trimmed(rows), KEYED), True, "suffix-samples")
 
 
-def unique_windows(work: DataFrame, number: int) -> DataFrame:
+def unique_windows(work: DataFrame, number: int, buckets: int) -> DataFrame:
     """(node, places) of the remaining suffixes of one block whose prefix is unique."""
-    buckets = max(partitions(work.sparkSession), 16)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = zstandard.ZstdDecompressor()
@@ -322,9 +329,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     work = materialize(chosen.select("node", "places", "text").mapInArrow(trimmed(pack), "node long, places binary, blob binary"),
                        "suffix-work")
-    unique = []
+    unique, buckets = [], buckets_for(texts)
     for number in range(PASSES):
-        unique.append(unique_windows(work, number))
+        unique.append(unique_windows(work, number, buckets))
         release(spark)
     every = unique[0]
     for more in unique[1:]:
@@ -402,6 +409,7 @@ kept AS (SELECT doc_id, string_agg(hex(b[a:coalesce(z - 1, octet_length(b))]), '
          FROM gap JOIN b USING (doc_id) WHERE a < coalesce(z, octet_length(b) + 1) GROUP BY doc_id),
 gone AS (SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
 SELECT b.doc_id, octet_length(b.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(CASE WHEN gone.doc_id IS NULL THEN b.b ELSE unhex(coalesce(kept.hex, '')) END) AS kept_sha256
+       sha256(CASE WHEN gone.doc_id IS NULL THEN b.b ELSE unhex(coalesce(kept.hex, '')) END) AS kept_sha256,
+       coalesce(n_removed, 0) > 0 AS has_repeat
 FROM b LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """

@@ -269,3 +269,28 @@ def test_held_out_fold(spark):
     import zlib
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in ids.collect())
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    """Strings whose polynomial hashes modulo 2**64 are equal for every base are different words."""
+    word = thue_morse(4096)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, " ".join([word] * 5)), (4, " ".join([other] * 5)), (5, word)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_very_long_texts(spark):
+    """Texts longer than the runs and stretches that tasks work in."""
+    pick = random.Random(11)
+    long = " ".join(f"w{pick.randrange(50_000)}" for _ in range(260_000))
+    rows = [(1, long), (2, long[:700_000] + " cut " + long[700_005:]), (3, "short text of a few words only here"), (4, long[900_000:901_000])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_documents(docs).collect()}
+    assert got == {d: (len(brute.shingles(t)), 1 if d < 3 else d) for d, t in rows}
+    cut = suffix_dedup.dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows_of(cut) == sorted(brute.repeated_strings(rows), key=str)
