@@ -1,24 +1,27 @@
-"""Line dedup over content-defined chunks of lines.
-
-A document is cut into chunks of consecutive lines. Every line has a hash
-(the low 31 bits of its MD5); a rolling hash over the last ``WINDOW`` line
-hashes decides the cuts: a chunk ends after a line whose rolling hash is 0
-modulo ``DIVISOR``. The decision depends on those lines alone, so an
-inserted or removed line moves the boundaries next to it and no others, and
-a passage shared by two documents is cut alike in both.
-
-Of every multi-line chunk (two lines with text, at least) that stands in
-several places of the corpus, the first place is kept (smallest doc_id,
-null last, then position) and the others are removed. Chunk hashes are
-counted first, pre-aggregated in each task; only chunks whose hash repeats
-are compared, byte by byte (grouped by the chunk's text).
+"""Line dedup over content-defined chunks of lines that overlap.
+
+What repeats in a corpus are runs of lines, in surroundings that differ. A chunk
+that ends at a cut chosen by content hangs on lines outside of a run as short
+as itself, so whole chunks miss most runs. The chunks here are as short as a
+run can be and overlap: every two neighbouring lines with text (blank lines
+between them do not count) are a chunk, named by a rolling hash over their two
+line hashes. What stands around a run changes none of the chunks inside it, and
+an inserted or removed line changes those next to it only.
+
+Of every chunk that stands in several places of the corpus, the first place is
+kept (smallest doc_id, null last, then position); in the others its lines are
+removed, with the blank lines between them. Neighbouring removed chunks grow
+together to one run, so of a passage of two lines or more all lines go outside
+its first place. Chunk hashes are counted first, pre-aggregated in each task;
+only chunks whose hash repeats are compared, byte by byte (grouped by the
+chunk's text).
 
 Defined cases: null text stays null; a text without a repeated chunk is
 returned unchanged; rows that share doc_id and text are one document given
 twice and get the same result; of equal texts with the same doc_id nothing is
-lost; a text all of whose chunks are removed becomes empty; very long lines
-and texts are whole; empty tables give an empty result; all columns of
-``docs`` are carried.
+lost; a chunk that a text repeats itself stays at its first place; a text all of
+whose lines are removed becomes empty; very long lines and texts are whole;
+empty tables give an empty result; all columns of ``docs`` are carried.
 """
 
 from __future__ import annotations
@@ -34,41 +37,28 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..session import materialize
 from .common import bounded_batches, trimmed
 
-WINDOW = 2
-DIVISOR = 3
-PRIME = 2_147_483_647
-FACTOR = 1_103_515_245
+PRIME = (1 << 64) - 59
+FACTOR = 6_364_136_223_846_793_005
+BLANK = " \t\r\v\f"
 #: Rows up to which a side is broadcast: hashes (8 bytes) and places (about 60 bytes).
 HASH_ROWS = 1_000_000
 PLACE_ROWS = 300_000
 
 
 def line_hash(line: str) -> int:
-    return int.from_bytes(hashlib.md5(line.encode()).digest()[12:], "big") & 0x7FFFFFFF
-
-
-def chunks(text: str) -> list[list[str]]:
-    """Content-defined chunks of the lines of a text."""
-    out, now, last = [], [], 0
-    for line in text.split("\n"):
-        now.append(line)
-        h = line_hash(line)
-        # rolling hash of the last two lines; the first line of a text rolls in a 0
-        if (last * FACTOR + h) % PRIME % DIVISOR == 0:
-            out.append(now)
-            now = []
-        last = h
-    if now:
-        out.append(now)
-    return out
+    return int.from_bytes(hashlib.md5(line.encode()).digest()[8:], "big")
 
 
-def multi(chunk: list[str]) -> bool:
-    return len(chunk) > 1 and sum(bool(x.strip(" \t\r\v\f")) for x in chunk) > 1
+def chunks(lines: list[str]) -> list[tuple[int, int]]:
+    """(first, last line) of every two neighbouring lines with text."""
+    full = [i for i, line in enumerate(lines) if line.strip(BLANK)]
+    return list(zip(full, full[1:]))
 
 
-def _chunk_hash(chunk: str) -> int:
-    return int.from_bytes(hashlib.md5(chunk.encode()).digest()[:8], "big", signed=True)
+def rolling(first: int, second: int) -> int:
+    """The rolling hash of two line hashes, as a signed 64-bit number."""
+    h = (first * FACTOR + second) % PRIME
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
@@ -78,11 +68,17 @@ def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
             rows: list[tuple] = []
             weight = 0
             for d, t, text in zip(ids, keys, batch.column("text")):
-                for i, c in enumerate(chunks(text.as_py())):
-                    if multi(c):
-                        whole = "\n".join(c)
-                        rows.append((d, t, i, _chunk_hash(whole), whole if with_text else None))
-                        weight += len(whole) if with_text else 0
+                lines = text.as_py().split("\n")
+                hashes = {}
+                for i, (a, b) in enumerate(chunks(lines)):
+                    before = hashes.get(a) or line_hash(lines[a])
+                    hashes = {b: line_hash(lines[b])}
+                    whole = f"{lines[a]}\n{lines[b]}" if with_text else None
+                    rows.append((d, t, i, rolling(before, hashes[b]), whole))
+                    weight += len(whole) if with_text else 0
+                    if len(rows) > 20_000 or weight > 4 << 20:
+                        yield _pack(rows)
+                        rows, weight = [], 0
                 if len(rows) > 20_000 or weight > 4 << 20:
                     yield _pack(rows)
                     rows, weight = [], 0
@@ -106,7 +102,7 @@ def _small(df: DataFrame, most: int) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, _t, i): the multi-line chunks to remove.
+    """(doc_id, _t, i): the chunks to remove.
 
     All joins are between written tables, so Spark can split a hot chunk's
     partition; the groupings are pre-aggregated.
@@ -125,7 +121,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
-    """``docs`` with repeated chunks cut out of ``text``; with ``counts`` also n_lines, n_removed (lines), n_chunks_removed."""
+    """``docs`` with repeated lines cut out of ``text``; with ``counts`` also n_lines, n_removed (lines) and n_chunks_removed
+    (runs of removed lines)."""
     bounded_batches(docs)
     gone = materialize(repeated_chunks(docs).groupBy("doc_id", "_t").agg(F.sort_array(F.collect_set("i")).alias("_gone"))
                        .withColumnRenamed("doc_id", "_id").withColumnRenamed("_t", "_k"), "line-gone")
@@ -144,19 +141,21 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
             row = batch.column("row").flatten()
             for text, gone in zip(row[at].to_pylist(), batch.column("_gone").to_pylist()):
                 lines = text.count("\n") + 1 if text else 0
-                removed = 0
+                removed = runs = 0
                 if gone:
-                    drop, kept = set(gone), []
-                    for i, c in enumerate(chunks(text)):
-                        if i in drop:
-                            removed += len(c)
-                        else:
-                            kept.extend(c)
-                    text = "\n".join(kept)
+                    every, kept, end = text.split("\n"), [], 0  # end: line after the run so far
+                    cut = chunks(every)
+                    for a, b in (cut[i] for i in gone):
+                        if a >= end:
+                            kept += every[end:a]
+                            runs += 1
+                        removed += b + 1 - max(a, end)
+                        end = b + 1
+                    text = "\n".join(kept + every[end:])
                 out.append(text)
                 n_lines.append(lines)
                 n_gone.append(removed)
-                n_chunks.append(len(gone or ()))
+                n_chunks.append(runs)
             arrays = row
             arrays[at] = pa.array(out, pa.string())
             names = list(columns)
@@ -168,18 +167,18 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     return joined.mapInArrow(trimmed(cut), schema)
 
 
-ORACLE = f"""
+ORACLE = """
 WITH t AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM t),
-h AS (SELECT *, (('0x' || substr(md5(line), 25))::BIGINT & 2147483647)::HUGEINT AS h FROM l),
-c AS (SELECT *, ((coalesce(lag(h) OVER w, 0) * {FACTOR} + h) % {PRIME}) % {DIVISOR} = 0 AS cut FROM h WINDOW w AS (PARTITION BY doc_id, text ORDER BY p)),
-k AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id, text ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS i FROM c),
-g AS (SELECT doc_id, text, i, string_agg(line, chr(10) ORDER BY p) AS chunk, count(*) AS n,
-             count(*) > 1 AND sum((trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '')::INT) > 1 AS multi
-      FROM k GROUP BY doc_id, text, i),
-r AS (SELECT *, multi AND row_number() OVER (PARTITION BY chunk, multi ORDER BY doc_id NULLS LAST, text, i) > 1 AS gone FROM g),
-o AS (SELECT doc_id, text, sum(n) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS n_removed, count(*) FILTER (gone) AS n_chunks_removed,
-             coalesce(string_agg(chunk, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept FROM r GROUP BY doc_id, text)
+f AS (SELECT *, lead(line) OVER w AS after, lead(p) OVER w AS q FROM l WHERE trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> ''
+      WINDOW w AS (PARTITION BY doc_id, text ORDER BY p)),
+g AS (SELECT doc_id, text, p, q FROM f WHERE after IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY line || chr(10) || after ORDER BY doc_id NULLS LAST, text, p) > 1),
+d AS (SELECT DISTINCT doc_id, text, unnest(range(p, q + 1)) AS p FROM g),
+m AS (SELECT l.*, d.p IS NOT NULL AS gone FROM l LEFT JOIN d ON l.doc_id IS NOT DISTINCT FROM d.doc_id AND l.text = d.text AND l.p = d.p),
+r AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id, text ORDER BY p) AS first FROM m),
+o AS (SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_chunks_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS kept FROM r GROUP BY doc_id, text)
 SELECT d.doc_id, sha256(o.kept) AS kept_sha256, CASE WHEN d.text = '' THEN 0 ELSE coalesce(n_lines, 0) END::INTEGER AS n_lines,
        coalesce(n_removed, 0)::INTEGER AS n_removed, coalesce(n_chunks_removed, 0)::INTEGER AS n_chunks_removed
 FROM documents d LEFT JOIN o ON d.doc_id IS NOT DISTINCT FROM o.doc_id AND d.text = o.text

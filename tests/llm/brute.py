@@ -67,40 +67,28 @@ def repeated_strings(rows, length=400):
     return out
 
 
-def line_hash(line):
-    return int(hashlib.md5(line.encode()).hexdigest()[24:], 16) % 2**31
-
-
-def line_chunks(text):
+def line_pairs(text):
+    """Numbers of every two neighbouring lines with text."""
     lines = text.split("\n")
-    hashes = [0] + [line_hash(x) for x in lines]
-    out, now = [], []
-    for k, line in enumerate(lines):
-        now.append(line)
-        if (hashes[k] * 1103515245 + hashes[k + 1]) % 2147483647 % 3 == 0 or k + 1 == len(lines):
-            out.append(now)
-            now = []
-    return out
+    full = [i for i, x in enumerate(lines) if x.strip(" \t\r\v\f")]
+    return lines, list(zip(full, full[1:]))
 
 
 def dedup_lines(rows):
     """Texts, in order, of (doc_id, text) rows."""
     places = defaultdict(set)
     for d, text in rows:
-        for i, c in enumerate(line_chunks(text) if text is not None else []):
-            if len(c) > 1 and sum(bool(x.strip(" \t\r\v\f")) for x in c) > 1:
-                places["\n".join(c)].add((d is None, d or 0, text, i))
+        lines, pairs = line_pairs(text or "")
+        for a, b in pairs:
+            places[lines[a], lines[b]].add((d is None, d or 0, text, a))
     out = []
     for d, text in rows:
-        if text is None:
-            out.append(None)
-            continue
-        kept = []
-        for i, c in enumerate(line_chunks(text)):
-            own = places.get("\n".join(c))
-            if not own or min(own) == (d is None, d or 0, text, i):
-                kept += c
-        out.append("\n".join(kept) if text else text)
+        lines, pairs = line_pairs(text or "")
+        gone = set()
+        for a, b in pairs:
+            if min(places[lines[a], lines[b]]) != (d is None, d or 0, text, a):
+                gone |= set(range(a, b + 1))
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if text else text)
     return out
 
 

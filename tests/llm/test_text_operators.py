@@ -142,6 +142,21 @@ def test_line_dedup(spark, line_rows, monkeypatch, small):
     assert sum(len(t or "") for _, t in want) < sum(len(t or "") for _, t in line_rows)
 
 
+def test_planted_passages_of_few_lines(spark):
+    """Passages of 2 to 8 lines and over 50 words go outside their first place, whatever stands around them."""
+    pick = random.Random(8)
+    line = lambda n=30: " ".join(f"x{pick.randrange(10**6)}" for _ in range(n))
+    passages = [[line() for _ in range(n)] for n in range(2, 9)]
+    rows, want = [], []
+    for i in range(70):
+        before, after = [line(9) for _ in range(pick.randrange(4))], [line(9) for _ in range(1 + pick.randrange(4))]
+        passage = passages[i % 7]
+        gap = [""] * (i % 3)
+        rows.append((i, "\n".join(before + passage[:1] + gap + passage[1:] + after)))
+        want.append((i, "\n".join(before + (passage[:1] + gap + passage[1:] if i < 7 else []) + after)))
+    assert rows_of(line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "text")) == sorted(want, key=str)
+
+
 def test_line_dedup_counts(spark, line_rows):
     out = line_dedup.dedup_lines(spark.createDataFrame(line_rows, SCHEMA), counts=True).collect()
     for r in out:
