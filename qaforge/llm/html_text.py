@@ -4,7 +4,9 @@ Each page becomes a DOM tree (an element list in page order, parents before
 children; end tags that HTML lets out are implied). Elements that can hold no
 article text (scripts, forms, menus, page headers and footers, sidebars, and
 those whose class or id names them as adverts, notices, comments, ...) are
-cut first. Every other node has
+cut first; inside an article, longer names that only begin or end with such a
+word ("share-price") cut an element only if half of its text is links. Every
+other node has
 
     density = C / T * log_b(C / LC * T / LT),  b = ln(C / nLC * LC + LC_body / C_body * C + e)
 
@@ -74,36 +76,58 @@ CUT_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor
     sidebars aside widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs header masthead footer footers
     copyright comment comments reply replies discussion disqus share sharing social related recommended search pagination
     pager toolbar complementary contentinfo""".split())
+#: Names that are also plain words: at the end of a longer name ("market-share") they say little.
+PLAIN = frozenset("""share sharing social related recommended search notice notices alert copyright discussion reply replies
+    complementary""".split())
+#: What a longer name may have beside one of the names above and still mean it ("share-buttons", "comment-list").
+PARTS = frozenset("""area articles bar block body box button buttons container content form group icon icons inner item items
+    link links list outer panel post posts row section slot stories thread unit wrap wrapper""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORD = re.compile(r"[a-z]+")
 
 
-def _is_cut(tag: str, attrs: str, inside: bool) -> bool:
+#: What an element's tag and names say: its text stays, goes, or goes if it is mostly links.
+STAYS, GOES, DOUBTFUL = 0, 1, 2
+
+
+def _names(name: str, inside: bool) -> int:
+    """What one class, id or role says. Inside an article only whole names and plain pairs are taken at their word."""
+    words = WORD.findall(name)
+    if not words or not (words[0] in CUT_NAMES or words[-1] in CUT_NAMES) or inside and words[-1] == "header":
+        return STAYS
+    if not inside or len(words) == 1 or words[-1] in CUT_NAMES - PLAIN or words[0] in CUT_NAMES and PARTS.issuperset(words[1:]):
+        return GOES
+    return DOUBTFUL
+
+
+def _is_cut(tag: str, attrs: str, inside: bool) -> int:
     if tag in CUT_TAGS:
-        return True
+        return GOES
     if tag in ("html", "body", "article", "main") and not attrs:
-        return False
+        return STAYS
     if tag == "header":
-        return not inside  # an article's own header holds its headline
-    if attrs:
+        return STAYS if inside else GOES  # an article's own header holds its headline
+    said = STAYS
+    if attrs and tag not in ("html", "body"):
         for m in NAMES.finditer(attrs):
             for name in (m[1] or m[2] or m[3] or "").lower().split():
-                if tag in ("html", "body"):
-                    continue
-                words = WORD.findall(name)
-                if words and (words[0] in CUT_NAMES or words[-1] in CUT_NAMES):
-                    return not (inside and words[-1] == "header")
-    return False
+                now = _names(name, inside)
+                if now == GOES:
+                    return GOES
+                said = now or said
+    return said
 
 
 class Page:
     """The element list of one page: ``tags``, ``parents`` and, in page order, its texts by element."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.cut, self.kids = ["html"], [-1], [False], [0]
+        self.tags, self.parents, self.cut, self.doubtful = ["html"], [-1], [False], []
         #: (element, text) of each text, (element, None) where a block-level tag stands
         self.texts: list[tuple[int, str | None]] = []
         self._parse(source)
+        if self.doubtful:
+            self._settle_doubtful()
 
     def _parse(self, source: str) -> None:
         tags, parents, cut, texts = self.tags, self.parents, self.cut, self.texts
@@ -166,7 +190,10 @@ class Page:
             me = len(tags)
             tags.append(tag)
             parents.append(parent)
-            cut.append(cut[parent] or _is_cut(tag, attrs, inside > 0))
+            said = _is_cut(tag, attrs, inside > 0)
+            cut.append(cut[parent] or said == GOES)
+            if said == DOUBTFUL:
+                self.doubtful.append(me)
             if tag in BLOCK:
                 texts.append((parent, None))
             elif tag == "br":
@@ -186,6 +213,25 @@ class Page:
             if tag in ("article", "main"):
                 inside += 1
 
+    def _settle_doubtful(self) -> None:
+        """Cut the doubtful elements of whose characters at least half stand in links."""
+        n = len(self.tags)
+        chars, links, linked = [0] * n, [0] * n, [False] * n
+        for k in range(1, n):
+            linked[k] = linked[self.parents[k]] or self.tags[k] == "a"
+        for k, text in self.texts:
+            if text and not self.cut[k]:
+                c = len("".join(text.split()))
+                chars[k] += c
+                links[k] += c * linked[k]
+        for k in range(n - 1, 0, -1):
+            chars[self.parents[k]] += chars[k]
+            links[self.parents[k]] += links[k]
+        for k in self.doubtful:
+            self.cut[k] = self.cut[k] or 2 * links[k] >= chars[k]
+        for k in range(1, n):
+            self.cut[k] = self.cut[k] or self.cut[self.parents[k]]
+
     def chosen(self) -> list[bool]:
         """Which elements' texts belong to the article."""
         tags, parents, cut = self.tags, self.parents, self.cut
@@ -260,9 +306,9 @@ class Page:
                     blocks.append("".join(now))
                     now = []
             elif take[k]:
-                now.append(text)
+                now.append(_html.unescape(text))  # a reference ends with its text node
         blocks.append("".join(now))
-        out = (" ".join(_html.unescape(b).split()) for b in blocks)
+        out = (" ".join(b.split()) for b in blocks)
         return "\n".join([b for b in out if b])
 
 

@@ -56,6 +56,20 @@ def test_html_odd_sources(source, want):
     assert html_text.main_text(source) == want
 
 
+def test_html_names_inside_an_article():
+    """Plain words in longer names do not drop an article's text; names of page parts and link lists do."""
+    keep = '<p class="social-science">One study.</p><div class="share-price"><p>It rose by ten.</p></div><p id="recommended-dose">Two a day.</p><p class="market-share">A third.</p>'
+    drop = ('<div class="share-buttons">Post it</div><div class="post-comments"><p>I do not agree with this.</p></div><div class="comment-list">Me too, says one.</div>'
+            '<div class="related-coverage"><a href=1>Other story</a> <a href=2>Third story</a></div><p class="share">Tell others</p>')
+    story = "".join(f"<p>Sentence {i} of a story that goes on for a while, as stories do.</p>" for i in range(5))
+    text = html_text.main_text(f"<body><article><h1>Title</h1>{story}{keep}{drop}</article></body>")
+    assert text.split("\n")[-4:] == ["One study.", "It rose by ten.", "Two a day.", "A third."] and text.count("\n") == 9
+
+
+def test_html_references_end_with_their_node():
+    assert html_text.main_text("<p>x &<b>amp;</b> y &amp;amp; &#x41<i>1;</i></p>") == "x &amp; y &amp; A1;"
+
+
 def test_html_long_and_deep():
     assert html_text.main_text("<div>" * 50_000 + "deep") == "deep"
     assert len(html_text.main_text("<p>word</p>" * 50_000)) == 5 * 50_000 - 1
