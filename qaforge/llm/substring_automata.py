@@ -17,8 +17,8 @@ starts in a document with a smaller doc_id. Words are compared as bytes.
    doc_ids, each run of words once, however many documents repeat it.
 3. *Hot anchors.* The stretches of an anchor with more than ``HOT`` places are
    dealt over salts. Windows that find no match in their own salt meet those of
-   the other salts in a second round, one by one, in shards chosen by anchor
-   and outer words; copies of a window are there at most once for each salt.
+   the other salts in a second round, one by one, in shards chosen by a hash of
+   their words; copies of a window are there at most once for each salt.
 4. Matched windows are joined into spans by text and cut.
 
 Hashes only choose what meets where; every match is one of words. Equal texts
@@ -55,7 +55,7 @@ SPREAD = 24
 HOT = 500
 SHARD = 1500
 #: Rows and list entries up to which a table of spans is broadcast.
-PLACE_ROWS, PLACE_ENTRIES = 100_000, 500_000
+PLACE_ROWS, PLACE_ENTRIES = 10_000, 100_000
 ROWS = "node long, doc_id {kind}, lo int, hi int, key long, hot boolean, words binary"
 
 
@@ -239,9 +239,8 @@ def settle(rows: DataFrame, n_rows: int, kind: str, again: bool, name: str) -> D
                 own = words[i].split()
                 for a, found in enumerate(matched):
                     if not found:
-                        outer = b" ".join(own[a:a + 3] + own[a + WINDOW - 3:a + WINDOW])
-                        out.append((node[i], doc[i], lo[i] + a, lo[i] + a, xxhash.xxh3_64_intdigest(outer) - (1 << 63), True,
-                                    b" ".join(own[a:a + WINDOW])))
+                        whole = b" ".join(own[a:a + WINDOW])
+                        out.append((node[i], doc[i], lo[i] + a, lo[i] + a, xxhash.xxh3_64_intdigest(whole) - (1 << 63), True, whole))
         schema = pa.schema([("node", pa.int64()), ("doc_id", group.schema.field("doc_id").type), ("lo", pa.int32()), ("hi", pa.int32()),
                             ("key", pa.int64()), ("hot", pa.bool_()), ("words", pa.binary())])
         return pa.table([pa.array([r[c] for r in out], f.type) for c, f in enumerate(schema)], schema=schema)
