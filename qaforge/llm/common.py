@@ -56,14 +56,19 @@ def trimmed(rows, keeps: tuple[str, ...] = ("powers",)):
             if name not in keeps:
                 drop()
         yield from rows(batches)
-        pa.default_memory_pool().release_unused()
-        libc = ctypes.CDLL(None)
-        if hasattr(libc, "malloc_trim"):  # glibc
-            libc.malloc_trim(0)
+        trim()
 
     return run
 
 
+def trim() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc
+        libc.malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

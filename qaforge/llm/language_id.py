@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, spans, trimmed, utf8
+from .common import bounded_batches, spans, trim, trimmed, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 400
@@ -143,7 +143,7 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CON
             for c, x, m in zip(ctx.tolist(), nxt.tolist(), n.tolist()):
                 row = rows.get(c)
                 if row is None:
-                    row = rows[c] = np.zeros((len(langs), width))
+                    row = rows[c] = np.zeros((len(langs), width), np.int32)
                 row[li, x] += m
     # keep the most frequent contexts, of all and of each language; a prefix or suffix of a kept one is kept before it
     sums = [(row.sum(1), k, c) for k, rows in counts.items() if k for c, row in rows.items()]
@@ -157,7 +157,7 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER, contexts: int = CON
     step = np.zeros((len(kept), width), np.int32)
     cost = np.zeros((len(kept), width, len(langs)), np.float32)
     unseen = 256 - len(seen)
-    empty = np.zeros((len(langs), width))
+    empty = np.zeros((len(langs), width), np.int32)
     for (k, c), me in kept.items():
         for x in range(width):
             for m in range(min(k + 1, order), 0, -1):  # longest known suffix of context + byte
@@ -192,7 +192,9 @@ def fit(docs: DataFrame, **bounds) -> Model:
     for r in training_sample(docs, **bounds).collect():
         texts.setdefault(r["lang"], []).append((r["_h"], r["text"].encode()))
     rows = bounds.get("rows", SAMPLE_ROWS)
-    return train({k: [t for _, t in sorted(v, key=lambda x: (x[0] % 1_000_003, x))[:rows]] for k, v in texts.items()})
+    model = train({k: [t for _, t in sorted(v, key=lambda x: (x[0] % 1_000_003, x))[:rows]] for k, v in texts.items()})
+    trim()  # the counts were the largest thing in the driver
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

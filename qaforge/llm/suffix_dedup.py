@@ -60,7 +60,7 @@ BATCH = 4 << 20
 #: Rows up to which a table of places per text is broadcast.
 PLACE_ROWS = 300_000
 #: Bytes of text for each bucket of samples or suffixes.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 64 << 20
 
 
 def keys_at(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
