@@ -707,13 +707,18 @@ def coded_vector_recall(spark, sf_dir):
     return VC.recall(_coded(spark, sf_dir), exact_vector_topk(spark, sf_dir))
 
 
-@register("tree_vector_recall")
+TREE_RECALL = 0.9
+
+
+@register("tree_vector_recall", O.with_(USABLE_SQL, EXACT_CTE, f"x AS ({RANK_SQL.format(src='d')})")
+          + "SELECT count(DISTINCT qid) AS n_queries, count(*) AS n_exact, true AS reached FROM x")
 def tree_vector_recall(spark, sf_dir):
-    """Recall of the two-level tree of fitted cells against exact search (SQL cannot fit the cells)."""
+    """Whether the two-level tree of fitted cells reaches its recall against exact search (SQL cannot fit the cells)."""
     emb, qs = _vector_queries(spark, sf_dir)
     index = VT.build_tree(emb)
-    probe = VT.probe_for(index, qs, VECTOR_K, recall=0.9)
-    return VC.recall(VT.tree_topk(index, qs, VECTOR_K, probe), exact_vector_topk(spark, sf_dir))
+    probe = VT.probe_for(index, qs, VECTOR_K, recall=TREE_RECALL)
+    found = VC.recall(VT.tree_topk(index, qs, VECTOR_K, probe), exact_vector_topk(spark, sf_dir))
+    return found.select("n_queries", "n_exact", (F.col("recall") >= TREE_RECALL).alias("reached"))
 
 
 FRESH_SQL = "SELECT source, count(*) AS n_docs, sum(doc_id)::BIGINT AS id_sum, sum(length(text))::BIGINT AS char_sum FROM {src} GROUP BY source"
