@@ -1,6 +1,8 @@
 """N-best SentencePiece encoding and decoding: forward Viterbi, backward A-star.
 
-The pieces and scores come from a public model file. A text is escaped (space
+The pieces come from a public model file, and their log-probabilities from its
+scores (``log_probabilities``: a BPE file holds merge ranks, which Zipf's law
+turns into shares). A text is escaped (space
 to the piece mark, one mark in front); its lattice has an edge for every
 vocabulary piece that matches somewhere, and for a character that is no piece
 an edge of that character's byte pieces at ``BYTE_SCORE`` a byte. A path's
@@ -34,6 +36,7 @@ words are read whole; ids may be null; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,7 +49,12 @@ from .common import CACHES, bounded_batches, mix, powers, spans, trimmed, utf8
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BYTE_SCORE = -40_000.0
+#: Log-probability of a byte piece, below those of all others in a vocabulary of up to 10**8 pieces.
+BYTE_SCORE = -24.0
+#: Scores below this are no ranks or log-probabilities: files mark runs of spaces so.
+UNRANKED = -1e8
+#: Log-probabilities are whole multiples of 1 / STEPS, so that sums of them are exact in any order.
+STEPS = 1024
 NBEST = 4
 CACHE_WORDS = 250_000
 CACHE_LENGTH = 48
@@ -68,22 +76,42 @@ class Vocabulary:
     texts: list[str] = field(default_factory=list)
 
 
+def log_probabilities(scores: list[float]) -> list[float]:
+    """Natural log-probabilities of pieces with these scores of a model file.
+
+    Whole numbers are the merge ranks of a BPE model, from 0 downwards: adding
+    them up would favour many frequent pieces over one rare piece whatever
+    their frequencies are. The piece of rank r has a share in proportion to
+    1 / r instead (Zipf's law). Other scores are log-probabilities already.
+    Pieces below ``UNRANKED`` come after the last of the others.
+    """
+    known = [s for s in scores if s > UNRANKED]
+    if not known:
+        raise ValueError("the model has no scored pieces")
+    scores = [s if s > UNRANKED else min(known) - 1 for s in scores]
+    if all(s == int(s) <= 0 for s in known):
+        total = math.log(sum(1 / (1 - s) for s in scores))
+        scores = [-math.log(1 - s) - total for s in scores]
+    return [round(s * STEPS) / STEPS for s in scores]
+
+
 def load(path: str = MODEL) -> Vocabulary:
     """Pieces, scores and byte ids of a SentencePiece model file."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    scores, suffixes, byte_ids = {}, set(), [-1] * 256
+    names, suffixes, byte_ids = {}, set(), [-1] * 256
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
     for i, p in enumerate(pieces):
         if sp.is_byte(i):
             byte_ids[int(p[3:5], 16)] = i
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and MARK not in p.lstrip(MARK) and "\n" not in p:
-            # runs of marks are scored far below all others in the file; byte pieces must stay the last resort
-            scores[p] = max(float(sp.get_score(i)), BYTE_SCORE / 2), i
+            names[p] = i
             suffixes.update(p[k:] for k in range(1, len(p)))
     if min(byte_ids) < 0:
         raise ValueError(f"{path} has no byte pieces")
+    logs = log_probabilities([float(sp.get_score(i)) for i in names.values()])
+    scores = {p: (s, i) for (p, i), s in zip(names.items(), logs)}
     texts = [p.replace(MARK, " ") for p in pieces]
     for b, i in enumerate(byte_ids):
         texts[i] = chr(b) if 0 < b < 0x80 else "\0"

@@ -159,6 +159,28 @@ def segmentations(text, scores, byte_ids, byte_score):
     return sorted(out, key=lambda x: -x[0])
 
 
+def best_scores(text, scores, byte_ids, byte_score, n):
+    """{score: [number of paths, their lengths]} of the n greatest scores over all paths of a whole escaped text."""
+    at = [{0.0: [1, {0}]}]
+    for end in range(1, len(text) + 1):
+        here = {}
+        for start in range(end):
+            piece = text[start:end]
+            if piece in scores:
+                step, pieces = scores[piece][0], 1
+            elif len(piece) == 1:
+                pieces = len(("▁" if piece == "\0" else piece).encode())
+                step = byte_score * pieces
+            else:
+                continue
+            for score, (count, lengths) in at[start].items():
+                got = here.setdefault(score + step, [0, set()])
+                got[0] += count
+                got[1] |= {k + pieces for k in lengths}
+        at.append(dict(sorted(here.items(), reverse=True)[:n]))
+    return at[-1]
+
+
 def bucket_of(feature, buckets):
     crc = 0xFFFFFFFF
     for byte in feature.encode():

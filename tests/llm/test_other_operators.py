@@ -1,5 +1,6 @@
 """HTML text, URL rules, n-best pieces, MaxScore search and chat repair."""
 
+import math
 import random
 import time
 
@@ -148,6 +149,38 @@ def test_nbest_of_texts(vocab):
     assert [round(s, 3) for s, _ in sentencepiece_nbest.nbest(text, vocab, 4)] == [round(s, 3) for s in sums]
 
 
+def test_log_probabilities():
+    zipf = sentencepiece_nbest.log_probabilities([0.0, -1.0, -3.0, -1e9, -1e9])  # ranks 1, 2, 4, 5, 5
+    assert abs(sum(math.exp(x) for x in zipf) - 1) < 0.01 and zipf[3] == zipf[4]
+    assert [round(math.exp(zipf[0] - x)) for x in zipf] == [1, 2, 4, 5, 5]
+    assert sentencepiece_nbest.log_probabilities([-2.5, -3.25, -1e9]) == [-2.5, -3.25, -4.25]
+    with pytest.raises(ValueError):
+        sentencepiece_nbest.log_probabilities([-1e9])
+
+
+def test_weights_follow_the_vocabulary(vocab):
+    """Common words that are pieces stay whole; byte pieces are the last resort."""
+    assert [vocab.pieces[i] for i in sentencepiece_nbest.nbest("the international", vocab, 1)[0][1]] == ["▁the", "▁international"]
+    assert min(s for s, _ in vocab.scores.values()) > sentencepiece_nbest.BYTE_SCORE
+    assert all(s * sentencepiece_nbest.STEPS == int(s * sentencepiece_nbest.STEPS) for s, _ in vocab.scores.values())
+
+
+def test_encode_scores_of_whole_texts(spark, vocab):
+    """Scores and sizes per document against all paths of the whole text, word bounds unknown."""
+    texts = ["", "a", "the cat sat on the mat", "  two  spaces ", "international relations\nof the theatre", "▁mark of 東京 é\tx", "aaaa aaaa aaaa", "Ünïcödé 👍 word",
+             "un deux trois quatre cinq", "\n\n", "the the the the the the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sentencepiece_nbest.encode(docs, n=5).collect():
+        if not texts[r["doc_id"]]:
+            assert (r["scores"], r["sizes"]) == ([0.0], [0])
+            continue
+        text = sentencepiece_nbest.escape(" " + texts[r["doc_id"]])
+        every = brute.best_scores(text, vocab.scores, vocab.byte_ids, sentencepiece_nbest.BYTE_SCORE, 5)
+        want = [s for s, (count, _) in every.items() for _ in range(count)][:5]
+        assert list(r["scores"]) == want, texts[r["doc_id"]]
+        assert all(k in every[s][1] for s, k in zip(r["scores"], r["sizes"]))
+
+
 def test_encode_round_trip(spark, vocab):
     texts = [None, "", "a", " lead", "two  spaces ", "tab\tand\nline\n\nend", "▁mark ▁▁", "emoji 👍🏽 \u0000 nul", "é" * 500, "x" * 3000, "naïve café 東京"]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, "a", "x"), (2, "a", "x")], "doc_id long, text string, ids string")
