@@ -26,7 +26,7 @@ belong if a sibling up to the next heading does (a headline is too short to be
 dense). The chosen subtrees give their text whole.
 
 Blocks are the runs of text between block-level tags. Character references
-are decoded, white space inside a block becomes one space, blocks are trimmed
+are decoded before characters are counted, white space inside a block becomes one space, blocks are trimmed
 and joined by one line end.
 
 Defined cases: null or empty html gives an empty text; a page without tags is
@@ -157,14 +157,14 @@ class Page:
             m = find(source, at)
             text = source[at:m.start()] if m else source[at:]
             if text:
-                texts.append((stack[-1], text))
+                texts.append((stack[-1], _html.unescape(text)))  # a reference ends with its text node
             if m is None:
                 return
             at = m.end()
             tag = m["tag"]
             if tag is None:
                 if m[0].startswith("<![CDATA["):
-                    texts.append((stack[-1], m[0][9:-3].replace("&", "&amp;")))
+                    texts.append((stack[-1], m[0][9:-3]))
                 continue
             tag = tag.lower()
             if m["end"]:
@@ -306,7 +306,7 @@ class Page:
                     blocks.append("".join(now))
                     now = []
             elif take[k]:
-                now.append(_html.unescape(text))  # a reference ends with its text node
+                now.append(text)
         blocks.append("".join(now))
         out = (" ".join(b.split()) for b in blocks)
         return "\n".join([b for b in out if b])

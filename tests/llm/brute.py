@@ -6,6 +6,7 @@ import math
 import re
 import string
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -144,6 +145,117 @@ def repair_states(roles):
     return best[0], best[1][::-1]
 
 
+class Tree(HTMLParser):
+    """A page with all its end tags as nested [tag, class, children]; text is a str among the children."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.root = ["html", "", []]
+        self.open = [self.root]
+        self.feed(source)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "html":
+            node = [tag, dict(attrs).get("class", ""), []]
+            self.open[-1][2].append(node)
+            if tag != "br":
+                self.open.append(node)
+
+    def handle_endtag(self, tag):
+        if tag != "html":
+            assert self.open.pop()[0] == tag
+
+    def handle_data(self, data):
+        self.open[-1][2].append(data)
+
+
+def main_text(source, cut_tags, cut_names, blocks):
+    """The article of a page with all its end tags and one ``body``: every count walks its whole subtree anew."""
+    root = Tree(source).root
+
+    def prune(node):
+        node[2] = [c if isinstance(c, str) else prune(c) for c in node[2] if isinstance(c, str) or not (c[0] in cut_tags or c[1] in cut_names)]
+        return node
+
+    def nodes(node):
+        yield node
+        for c in node[2]:
+            if not isinstance(c, str):
+                yield from nodes(c)
+
+    def chars(node, tag=None, found=False):
+        """Characters under the elements of ``tag`` (all without one)."""
+        found = found or tag is None or node[0] in tag
+        return sum(len("".join(c.split())) * found if isinstance(c, str) else chars(c, tag, found) for c in node[2])
+
+    prune(root)
+    body = next(n for n in nodes(root) if n[0] == "body")
+    links = ("a",)
+    heads = ("h1", "h2", "h3", "h4", "h5", "h6")
+
+    def density(node):
+        c = chars(node)
+        if not c:
+            return 0.0
+        lc, t, lt = chars(node, links), sum(1 for _ in nodes(node)), sum(n[0] == "a" for n in nodes(node))
+        base = math.log(c / max(c - lc, 1) * lc + chars(body, links) / max(chars(body), 1) * c + math.e)
+        return c / t * max(math.log(c / max(lc, 1) * t / max(lt, 1)), 0.0) / base
+
+    def total(node):
+        return sum(density(c) for c in reversed(node[2]) if not isinstance(c, str))
+
+    def way(node, goal):
+        if node is goal:
+            return [node]
+        for c in node[2]:
+            if not isinstance(c, str) and (rest := way(c, goal)):
+                return [node, *rest]
+        return []
+
+    every = list(nodes(body))
+    sums = [total(n) for n in every]
+    core = every[sums.index(max(sums))]
+    path = way(body, core)
+    top = next((n for n in path if density(n) >= density(core) > 0 or n is not body and n[0] in ("article", "main")), core)
+    least = min(map(density, path))
+    taken = [top]
+    for above, below in zip(path[:[n is top for n in path].index(True)], path[1:]):
+        children = [c for c in above[2] if not isinstance(c, str) and chars(c)]
+        only_head = [c is not below and chars(c, heads) == chars(c) for c in children]
+        belongs = [c is below or least > 0 and (density(c) >= least or 2 * chars(c, links) < chars(c) and total(c) >= least) for c in children]
+        for k, c in enumerate(children):
+            if only_head[k]:  # headings in a row go with what follows, up to the next heading
+                after = k
+                while after < len(children) and only_head[after]:
+                    after += 1
+                while after < len(children) and not only_head[after]:
+                    if belongs[after]:
+                        taken.append(c)
+                        break
+                    after += 1
+            elif c is not below and belongs[k]:
+                taken.append(c)
+    out = [""]
+
+    def write(node, inside):
+        inside = inside or any(node is n for n in taken)
+        for c in node[2]:
+            if isinstance(c, str):
+                out[-1] += c * inside
+            elif c[0] == "br":
+                out[-1] += " " * inside
+            else:
+                if c[0] in blocks:
+                    out.append("")
+                write(c, inside)
+                if c[0] in blocks:
+                    out.append("")
+
+    write(root, False)
+    return "\n".join(b for b in (" ".join(b.split()) for b in out) if b)
+
+
 def segmentations(text, scores, byte_ids, byte_score):
     """All (score, ids) paths of an escaped word, best first."""
     out = [(0.0, ())] if not text else []

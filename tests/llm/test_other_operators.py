@@ -83,6 +83,41 @@ def test_html_extract(spark):
     assert html_text.extract(spark.createDataFrame([], pages.schema)).collect() == []
 
 
+def random_page(pick):
+    """A page of nested sections, paragraphs, lists of links and page parts, with all its end tags."""
+    words = lambda most: " ".join(pick.choice(["word", "of", "story", "two", "longer &amp; longer", "É", "sentences"]) for _ in range(pick.randrange(1, most)))
+
+    def inline():
+        kind = pick.random()
+        return f"<a href=x>{words(5)}</a>" if kind < 0.2 else f"<b>{words(4)}</b>" if kind < 0.3 else "<br>" if kind < 0.35 else words(25)
+
+    def block(depth):
+        kind = pick.random()
+        if kind < 0.45 or depth > 4:
+            return "<p>" + " ".join(inline() for _ in range(pick.randrange(4))) + "</p>"
+        if kind < 0.55:
+            return "<h2>" + (f"<b>{words(4)}</b>" if pick.random() < 0.3 else words(6)) + "</h2>"
+        if kind < 0.65:
+            return "<ul>" + "".join(f"<li><a href=x>{words(4)}</a></li>" for _ in range(pick.randrange(8))) + "</ul>"
+        tag = pick.choice(["div"] * 6 + ["section", "blockquote", "article", "main", "nav", "aside", "footer", "form"])
+        name = pick.choice(['', '', '', ' class="story"', ' class="sidebar"', ' class="comments"', ' class="x"'])
+        return f"<{tag}{name}>" + pick.choice(["", " ", words(6)]) + "".join(block(depth + 1) for _ in range(pick.randrange(6))) + f"</{tag}>"
+
+    return "<html><head><title>T</title><script>var a = 1 < 2;</script></head><body>" + "".join(block(0) for _ in range(pick.randrange(1, 8))) + "</body></html>"
+
+
+def test_html_against_brute_force(spark):
+    pick = random.Random(3)
+    pages = [random_page(pick) for _ in range(400)]
+    cut = {"head", "title", "script", "nav", "aside", "footer", "form"}
+    blocks = {"body", "head", "title", "p", "h2", "ul", "li", "div", "section", "blockquote", "article", "main", "nav", "aside", "footer", "form"}
+    want = [brute.main_text(p, cut, {"sidebar", "comments"}, blocks) for p in pages]
+    table = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(table).collect()}
+    assert [k for k, w in enumerate(want) if got[k] != w] == []
+    assert len(set(want)) > 300 and sum(0 < len(w) < len(html_text.re.sub("<[^>]*>", "", p)) * 0.8 for p, w in zip(pages, want)) > 100
+
+
 def judge(url, rules):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
