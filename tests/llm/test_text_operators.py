@@ -41,8 +41,9 @@ def near_rows():
     return rows + [rows[9]]
 
 
-@pytest.mark.parametrize("block", [4096, 24])
-def test_jaccard_join(spark, near_rows, monkeypatch, block):
+@pytest.mark.parametrize("block, hot", [(4096, 50_000), (24, 50_000), (24, 0)])
+def test_jaccard_join(spark, near_rows, monkeypatch, block, hot):
+    monkeypatch.setattr(jaccard_join, "HOT_REGIONS", hot)
     monkeypatch.setattr(jaccard_join, "LEAST_BLOCK", min(block, 256))
     monkeypatch.setattr(jaccard_join, "MOST_BLOCK", block)
     monkeypatch.setattr(jaccard_join, "PIVOTS", 4)
