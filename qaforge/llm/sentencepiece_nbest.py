@@ -182,29 +182,19 @@ def escape(word: str) -> str:
     return word.replace(MARK, "\0").replace(" ", MARK)  # the word's own marks match no piece
 
 
-def forward(word: str, vocab: Vocabulary) -> tuple[list[float], list[float], list]:
-    """Best and second-best score of reaching each position, and the best path's last edge there."""
-    text, n = escape(word), len(word)
-    first, second, last = [0.0] + [_NONE] * n, [_NONE] * (n + 1), [None] * (n + 1)
-    for end in range(1, n + 1):
-        a = b = _NONE
-        for edge in edges(text, word, end, vocab):
-            start, s, _ = edge
-            x, y = first[start] + s, second[start] + s
-            if x > a:
-                a, b, last[end] = x, max(a, y), edge
-            elif x > b:
-                b = x
-            elif y > b:
-                b = y
-        first[end], second[end] = a, b
-    return first, second, last
+def forward(word: str, vocab: Vocabulary) -> tuple[list[float], list[list]]:
+    """The best score of reaching each position, and the edges that end there."""
+    text, best, steps = escape(word), [0.0], [[]]
+    for end in range(1, len(word) + 1):
+        steps.append(edges(text, word, end, vocab))
+        best.append(max([best[start] + s for start, s, _ in steps[end]]))
+    return best, steps
 
 
 def nbest_word(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
     """The n best paths of a word, best first, as (score, ids)."""
-    best, _, _ = forward(word, vocab)
-    text, done, order = escape(word), [], 0
+    best, steps = forward(word, vocab)
+    done, order = [], 0
     # (loss so far, left end, order, score of the path's right part, path)
     agenda: list[tuple] = [(-best[-1], len(word), 0, 0.0, None)]
     while agenda and len(done) < n:
@@ -216,7 +206,7 @@ def nbest_word(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[
                 path = path[1]
             done.append((-cost, tuple(ids)))
             continue
-        for start, s, piece in edges(text, word, at, vocab):
+        for start, s, piece in steps[at]:
             order += 1
             entry = (-(best[start] + s + own), start, order, own + s, (piece, path))
             k = len(agenda)
@@ -231,7 +221,7 @@ def nbest_word(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[
 def _best_path(word: str, vocab: Vocabulary) -> tuple[bytes, float, float]:
     """Ids (int32 bytes) and score of the best path, and the loss of the second best.
 
-    The same pass as ``forward``, without lists of edges.
+    The pass of ``forward``, without lists of edges.
     """
     text, n = escape(word), len(word)
     get, suffixes, longest = vocab.scores.get, vocab.suffixes, vocab.longest
@@ -277,14 +267,15 @@ def _best_path(word: str, vocab: Vocabulary) -> tuple[bytes, float, float]:
 
 
 def _word_paths(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    got = vocab.paths.get((word, n))
-    if got is None:
-        got = nbest_word(word, vocab, n)
+    """The n best paths of a word (all, if fewer)."""
+    held, got = vocab.paths.get(word, (0, []))
+    if held < n:
+        held, got = n, nbest_word(word, vocab, n)
         if len(word) <= CACHE_LENGTH:
             if len(vocab.paths) >= CACHE_WORDS // 20:
                 vocab.paths.clear()
-            vocab.paths[word, n] = got
-    return got
+            vocab.paths[word] = held, got
+    return got[:n]
 
 
 class PieceTable:
@@ -451,7 +442,9 @@ def nbest(text: str, vocab: Vocabulary, n: int = NBEST, words: list[str] | None
             limit = np.partition(loss[few], n - 2)[n - 2]
             below = few[loss[few] < limit]
             few = np.sort(np.concatenate([below, few[loss[few] == limit][:n - 1 - len(below)]]))
-        paths = {int(k): _word_paths(words[k], vocab, n) for k in few}
+        # a detour of the word with the r-th least loss comes after those of the r - 1 words before it
+        few = few[np.argsort(loss[few], kind="stable")].tolist()
+        paths = {k: _word_paths(words[k], vocab, n - r) for r, k in enumerate(few)}
         ranked = combine([(k, [p[0][0] - s for s, _ in p[1:]]) for k, p in paths.items()], n)
         for lost, taken in ranked[1:]:
             swapped = list(parts)
