@@ -45,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import CACHES, bounded_batches, mix, powers, spans, trimmed, utf8
+from .common import CACHES, bounded_batches, powers, spans, trimmed, utf8
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -278,6 +278,10 @@ def _word_paths(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple
     return got[:n]
 
 
+#: An odd factor that spreads a polynomial hash over its high bits.
+SPREAD = np.uint64(0x9FB21C651E98DF25)
+
+
 class PieceTable:
     """Pieces by the hash of their code points: a large table, and a second one for pieces that collide in it."""
 
@@ -289,10 +293,10 @@ class PieceTable:
             by_size.setdefault(len(p), []).append(k)
         for n, rows in by_size.items():
             points = np.frombuffer("".join([names[k] for k in rows]).encode("utf-32-le"), np.uint32)
-            keys[rows] = mix(prefix_sums_of(points.reshape(len(rows), n))[:, -1])
+            keys[rows] = prefix_sums_of(points.reshape(len(rows), n))[:, -1] * SPREAD
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces with one hash")
-        self.first, rest = self._place(keys, np.arange(len(keys)), 42, 22)
+        self.first, rest = self._place(keys, np.arange(len(keys)), 44, 20)
         self.second, left = self._place(keys, rest, 20, 22)
         if len(left):
             raise ValueError("pieces collide twice")
@@ -311,8 +315,10 @@ class PieceTable:
     def find(self, h: np.ndarray) -> np.ndarray:
         """Index of the piece with each hash; the number of pieces if there is none."""
         none = len(self.keys) - 1
-        got = self.first[(h >> np.uint64(42)).astype(np.int64)]
-        missed = np.flatnonzero(self.keys[got] != h)
+        got = self.first[(h >> np.uint64(44)).astype(np.int64)]
+        # an empty place of the first table has no piece in the second one either
+        missed = np.flatnonzero(got != none)
+        missed = missed[self.keys[got[missed]] != h[missed]]
         if len(missed):
             again = self.second[((h[missed] >> np.uint64(20)) & np.uint64((1 << 22) - 1)).astype(np.int64)]
             got[missed] = np.where(self.keys[again] == h[missed], again, none)
@@ -351,7 +357,8 @@ def best_paths(words: list[str], vocab: Vocabulary) -> list[tuple[bytes, float,
 
 def _forward_rows(sums: np.ndarray, n: int, table: PieceTable, longest: int):
     m = len(sums)
-    _, inverse = powers(n + 1)
+    columns = np.ascontiguousarray(sums.T)
+    inverse = powers(n + 1)[1] * SPREAD
     first = np.full((n + 1, m), _NONE)
     second = np.full((n + 1, m), _NONE)
     first[0] = 0.0
@@ -361,7 +368,7 @@ def _forward_rows(sums: np.ndarray, n: int, table: PieceTable, longest: int):
     for end in range(1, n + 1):
         a, b = first[end], second[end]
         for start in range(end - 1, max(end - longest, 0) - 1, -1):
-            at = table.find(mix((sums[:, end] - sums[:, start]) * inverse[start]))
+            at = table.find((columns[end] - columns[start]) * inverse[start])
             hit = np.flatnonzero(at != len(table.keys) - 1)
             if start == end - 1 and len(hit) < m:
                 plain &= at != len(table.keys) - 1
@@ -393,8 +400,8 @@ def _forward_rows(sums: np.ndarray, n: int, table: PieceTable, longest: int):
             for k, (r, t, d, ok) in enumerate(zip(rank.tolist(), total, loss, plain.tolist()))]
 
 
-def learn(words: set[str], vocab: Vocabulary) -> None:
-    """Put the best paths of all short words into the cache."""
+def learn(words: set[str], vocab: Vocabulary) -> dict:
+    """Best paths of these short words, which the cache keeps: a table of one run's words is quicker to ask."""
     young, old = vocab.young, vocab.old
     fresh = []
     for w in words:
@@ -406,11 +413,11 @@ def learn(words: set[str], vocab: Vocabulary) -> None:
                 young[w] = got
     for w, got in zip(fresh, best_paths(fresh, vocab)):
         young[w] = got
+    return {w: young[w] for w in words}
 
 
-def _known(words: list[str], vocab: Vocabulary) -> list[tuple[bytes, float, float]]:
-    young = vocab.young
-    out = [young.get(w) for w in words]
+def _known(words: list[str], vocab: Vocabulary, learned: dict) -> list[tuple[bytes, float, float]]:
+    out = list(map(learned.get, words))
     if None in out:
         for k, got in enumerate(out):
             if got is None:
@@ -427,12 +434,13 @@ def combine(losses: list[tuple[int, list[float]]], n: int) -> list[tuple[float,
     return best
 
 
-def nbest(text: str, vocab: Vocabulary, n: int = NBEST, words: list[str] | None = None) -> list[tuple[float, np.ndarray]]:
+def nbest(text: str, vocab: Vocabulary, n: int = NBEST, words: list[str] | None = None,
+          learned: dict | None = None) -> list[tuple[float, np.ndarray]]:
     """The n best segmentations of a whole text, best first, as (score, ids)."""
     if not text:
         return [(0.0, np.zeros(0, np.int32))]
     words = words or split_words(text)
-    parts, scores, losses = zip(*_known(words, vocab))
+    parts, scores, losses = zip(*_known(words, vocab, learned or vocab.young))
     total = sum(scores)
     out = [(total, np.frombuffer(b"".join(parts), np.int32))]
     if n > 1:
@@ -502,8 +510,8 @@ def encode(docs: DataFrame, n: int = NBEST, path: str = MODEL, run_bytes: int =
                 for w in words:
                     if w:
                         seen.update(w)
-                learn({w for w in seen if len(w) <= CACHE_LENGTH}, vocab)
-                paths = [None if t is None else nbest(t, vocab, n, w) for t, w in zip(texts, words)]
+                learned = learn({w for w in seen if len(w) <= CACHE_LENGTH}, vocab)
+                paths = [None if t is None else nbest(t, vocab, n, w, learned) for t, w in zip(texts, words)]
                 ids = [p and p[0][1] for p in paths]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([None if x is None else len(x) for x in ids], pa.int32()),
