@@ -65,3 +65,30 @@ def test_stages_keep_columns(spark, tmp_path):
         out = stage(spark, frame, str(tmp_path))
         assert out.columns == frame.columns and out.count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "sentencepiece"]
+
+
+CLASHING = "row string, node long, label string, _node string, _label long, _first string, h long, i int, c long, chunk string, letters string, item_id long, ids string, spans string"
+
+
+def test_defined_cases(spark, tmp_path):
+    """Null ids, repeated rows, very long texts and columns named like the operators' own; and empty tables."""
+    docs, items = corpus()
+    pick = random.Random(8)
+    long = " ".join(f"the{pick.randrange(200)}" for _ in range(200_000))  # over a megabyte in one line
+    docs += [(94, long, "en", "s", len(long)), (95, long + " more", "en", "s", len(long) + 5), (None, "the1 the2 the3 the4 the5 the6", None, None, None),
+             (96, "the7\nthe8", "en", "s", 9), (96, "the7\nthe8", "en", "s", 9)]
+    extra = ("x", 1, "x", "x", 1, "x", 1, 1, 1, "x", "x", 1, "x", "x")
+    schema = f"{COLUMNS}, {CLASHING}"
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/full/benchmark.parquet")
+    spark.createDataFrame([d + extra for d in docs], schema).write.parquet(f"{tmp_path}/full/documents.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, frame, f"{tmp_path}/full").columns == frame.columns, name
+    out = corpus_pipeline.run(spark, f"{tmp_path}/full").select("doc_id", "n_pieces", "round_trip").collect()
+    ids = [r["doc_id"] for r in out]
+    assert None in ids and 94 in ids and 95 not in ids and ids.count(96) == 1 and not {90, 91, 92, 93} & set(ids)
+    assert all(r["round_trip"] for r in out) and max(r["n_pieces"] for r in out) > 200_000
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
