@@ -3,6 +3,16 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, all but the last one with the columns of ``documents``.
 ``run`` writes each stage to the shared folder and reads it again.
+
+Defined cases: a document whose text is null or has no letter is in no learned
+language and goes, and so do all if no row has a label to learn from; a text
+that loses all its lines stays as an empty one; a document with no word is no
+copy of anything and holds no benchmark item; of rows that share doc_id and
+text one stays; null ids are kept, and of near copies without any id one stays;
+of a group's documents the one with the smallest doc_id stays; very long texts
+are worked on whole; other columns are carried to the last stage, whatever
+their names; an empty table gives an empty result. ``documents`` must have its
+columns doc_id, text, lang and n_chars.
 """
 
 from __future__ import annotations
