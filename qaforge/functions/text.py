@@ -66,7 +66,8 @@ def bigrams(tokens: Column) -> Column:
 
 
 def uni_and_bigrams(tokens: Column) -> Column:
-    return F.concat(tokens, bigrams(tokens))
+    # an array of one element names the tokens, so that they are made once
+    return F.transform(F.array(tokens), lambda t: F.concat(t, bigrams(t)))[0]
 
 
 def normalize_answer(text: Column) -> Column:

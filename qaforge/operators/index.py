@@ -14,14 +14,19 @@ and a term in a third of all passages is spread over all buckets.
 from __future__ import annotations
 
 import uuid
+import zlib
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
 from ..session import materialize as _write
 from ..session import shared_path, write_bucketed
+from .common import BROADCAST_MAX_ROWS
 
 # Postings that a bucket, and a file of a bucket, should hold.
 BUCKET_POSTINGS = 4_000_000
@@ -63,27 +68,40 @@ def store_postings(postings: DataFrame, buckets: int, parts: int, out_dir: str |
     return write_bucketed(postings.withColumn("part", part_of(F.col("term"), parts)), path, "passage_id", buckets, "term", "part")
 
 
-def term_postings(passages: DataFrame, tokens: F.Column, materialize: bool = False,
-                  out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, lengths) from a token-array expression over ``passages``.
+def counted_in_row(tokens: F.Column) -> F.Column:
+    """``array<struct<term, tf>>``: the distinct tokens of a row's token array with their numbers,
+    counted by sorting the array; no row per token is made before the repeats are merged."""
+    def runs(s):
+        n = F.size(s)
+        firsts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                          lambda i: (i < n) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+        # an array of one element names a value that is used several times
+        return F.transform(F.array(firsts), lambda at: F.transform(at, lambda p, j: F.struct(
+            F.get(s, p).alias("term"), (F.coalesce(F.get(at, j + 1), n) - p).alias("tf"))))[0]
+    return F.transform(F.array(F.sort_array(tokens)), runs)[0]
+
+
+def ids_repeat(passages: DataFrame) -> bool:
+    """Whether several passages have one id; their terms are counted together."""
+    return passages.groupBy("passage_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
+
 
-    Tokens of one passage sit in one partition, so the partial aggregation
-    on (term, passage_id) collapses repeats before the shuffle; the shuffle
-    key includes passage_id, so a term present everywhere does not pile up
-    in one reducer. With ``materialize`` the tokenized passages are written
-    once and both outputs are read from that table.
+def term_postings(passages: DataFrame, tokens: F.Column, repeats: bool | None = None) -> DataFrame:
+    """Postings ``term, passage_id, dl, tf`` from a token-array expression over ``passages``.
+
+    The tokens of a passage are counted within its row, so nothing is
+    shuffled. Only where ids repeat (``repeats``; looked up if not given) rows
+    of one term, id and length are merged by a shuffle.
     """
-    toks = passages.select("passage_id", tokens.alias("toks"))
-    toks = toks.select("passage_id", F.size("toks").alias("dl"), "toks")
-    if materialize:
-        toks = _out(toks, "tokens", out_dir)
-    return counted_terms(toks), toks.select("passage_id", "dl")
+    toks = passages.select("passage_id", tokens.alias("toks")).select("passage_id", F.size("toks").alias("dl"), "toks")
+    return counted_terms(toks, ids_repeat(passages) if repeats is None else repeats)
 
 
-def counted_terms(toks: DataFrame) -> DataFrame:
-    return (toks.select("passage_id", "dl", F.explode("toks").alias("term"))
-            .groupBy("term", "passage_id", "dl")
-            .agg(F.count(F.lit(1)).cast("int").alias("tf")))
+def counted_terms(toks: DataFrame, repeats: bool) -> DataFrame:
+    # the outer form: Spark puts a filter that counts once more in front of the other one
+    counts = (toks.select("passage_id", "dl", F.explode_outer(counted_in_row(F.col("toks"))).alias("c")).where(F.col("c").isNotNull())
+              .select("c.term", "passage_id", "dl", F.col("c.tf").cast("int").alias("tf")))
+    return counts.groupBy("term", "passage_id", "dl").agg(F.sum("tf").cast("int").alias("tf")) if repeats else counts
 
 
 def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
@@ -95,23 +113,28 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
     re-tokenizing the corpus.
     """
     tok = get_tokenizer(tokenizer)
-    toks = passages.select("passage_id", tok(F.col("text")).alias("toks")).select("passage_id", F.size("toks").alias("dl"), "toks")
+
+    def tokenized(texts: DataFrame) -> DataFrame:
+        return texts.select("passage_id", tok(F.col("text")).alias("toks")).select("passage_id", F.size("toks").alias("dl"), "toks")
+
+    lengths = tokenized(passages).select("passage_id", "dl")
     if materialize:
-        toks = _out(toks, "tokens", out_dir)
-    lengths = toks.select("passage_id", "dl")
+        lengths = _out(lengths, "tokens", out_dir)
     stats = lengths.agg(F.count(F.lit(1)).alias("n"),
                         F.sum("dl").alias("total")).first()
     n, total = int(stats["n"]), int(stats["total"] or 0)
     avgdl = total / n if n else 0.0
+    repeats = ids_repeat(lengths)
     extras = {}
     if materialize:
         buckets, by_size = layout(passages.sparkSession, total)
         parts = parts or by_size
-        # one shuffle, of token arrays by passage; counting needs no other one
-        postings = store_postings(counted_terms(toks.repartition(buckets, "passage_id")), buckets, parts, out_dir)
+        # one shuffle, of texts by passage; counting needs no other one
+        dealt = passages.select("passage_id", "text").repartition(buckets, "passage_id")
+        postings = store_postings(counted_terms(tokenized(dealt), repeats), buckets, parts, out_dir)
         extras = {"buckets": buckets, "parts": parts}
     else:
-        postings = counted_terms(toks)
+        postings = counted_terms(tokenized(passages), repeats)
     vocab = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(density(avgdl)).alias("peak"))
     if materialize:
         vocab = _out(vocab, "vocab", out_dir)
@@ -154,6 +177,72 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     return head.unionByName(ties)
 
 
+# Counters of ``hashed_counts``, and how many of them a row of its result holds.
+COUNTERS = 1 << 22
+CHUNK = 1 << 12
+
+
+def counter_of(term: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64(term), F.lit(COUNTERS)).cast("int")
+
+
+def hashed_counts(passages: DataFrame, tokens: F.Column) -> DataFrame:
+    """``counter, n``: how many tokens fall to each counter by a hash; a term's count is at most its counter's.
+
+    A task adds up its own counters and sends them as compressed runs, so
+    what is shuffled grows with the number of tasks, not with the terms.
+    """
+    def add(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=COUNTERS)
+        held = [c for c in range(0, COUNTERS, CHUNK) if total[c:c + CHUNK].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(
+            [zlib.compress(total[c:c + CHUNK].tobytes(), 1) for c in held], pa.binary())], ["first", "counts"])
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in pdf["counts"])
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"counter": (at + int(pdf["first"].iloc[0])).astype(np.int32), "n": total[at]})
+
+    return (passages.select(F.transform(tokens, counter_of).alias("h")).mapInArrow(add, "first int, counts binary")
+            .groupBy("first").applyInPandas(merged, "counter int, n long"))
+
+
+def most_frequent(passages: DataFrame, tokens: F.Column, max_features: int,
+                  out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``term, cf, df`` of the ``max_features`` terms of ``top_terms``, stored postings that hold all of theirs).
+
+    Most terms are too rare to be among them, and need not be counted one by
+    one: a term of a counter below a bound occurs less often than the bound.
+    Terms of the other counters are counted exactly; when the last of the
+    best reaches the bound, no other term can be among them. Otherwise the
+    bound is lowered, at last to 1, where every term is counted.
+    """
+    repeats = ids_repeat(passages)
+    counters = _write(hashed_counts(passages, tokens), "hashed-counts")
+    hist = counters.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).limit(2 * max_features).collect()
+    bound, seen = 1, 0
+    for row in hist:
+        seen += row["k"]
+        if seen >= 2 * max_features:
+            bound = row["n"]
+            break
+    while True:
+        counts = term_postings(passages, tokens, repeats)
+        often = counters.where(F.col("n") >= bound).select("counter")
+        if bound > 1 and often.count() <= BROADCAST_MAX_ROWS:
+            counts = counts.withColumn("counter", counter_of(F.col("term"))).join(F.broadcast(often), "counter").drop("counter")
+        else:
+            bound = 1
+        counts = _out(counts, "gram_counts", out_dir)
+        best = top_terms(counts, max_features)
+        row = best.agg(F.count(F.lit(1)).alias("n"), F.min("cf").alias("last")).first()
+        if bound == 1 or (row["n"] == max_features and row["last"] >= bound):
+            return best, counts
+        bound = max(1, bound // 4)
+
+
 def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
                       max_features: int = 50_000, ngrams: bool = True,
                       materialize: bool = True, out_dir: str | None = None) -> SparseIndex:
@@ -165,16 +254,12 @@ def build_tfidf_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitesp
     """
     tok = get_tokenizer(tokenizer)
     terms = uni_and_bigrams(tok(F.col("text"))) if ngrams else tok(F.col("text"))
-    # gram counts straight from the passages (the n-gram arrays are never
-    # written); TF-IDF needs only the passage ids from the length table
-    counts, _ = term_postings(passages, terms)
     lengths = passages.select("passage_id", F.lit(0).alias("dl"))
     if materialize:
-        counts = _out(counts, "gram_counts", out_dir)
         lengths = _out(lengths, "tokens", out_dir)
     n = lengths.count()
-    vocab = (top_terms(counts, max_features)
-             .withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0))
+    best, counts = most_frequent(passages, terms, max_features, out_dir if materialize else None)
+    vocab = best.withColumn("idf", F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0)
     if materialize:
         vocab = _out(vocab, "vocab", out_dir)
     extras = {"ngrams": ngrams, "max_features": max_features}

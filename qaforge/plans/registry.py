@@ -96,7 +96,7 @@ def oracle_sql() -> dict[str, str]:
 
 from ..functions.text import uni_and_bigrams, whitespace_tokens  # noqa: E402
 from ..operators.corpus import paragraphs  # noqa: E402
-from ..operators.index import term_postings, top_terms  # noqa: E402
+from ..operators.index import most_frequent  # noqa: E402
 from ..sources.tables import table  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -108,9 +108,8 @@ PARAGRAPH_BITS = 24  # paragraph key = document_id shifted left + position
           O.with_(O.PASSAGES, *O.tfidf_ctes()[:3])
           + "SELECT term, cf::BIGINT AS cf, df::BIGINT AS df FROM tvocab")
 def vocab_top_terms(spark, sf_dir):
-    counts, _ = term_postings(FX.passages(spark, sf_dir),
-                              uni_and_bigrams(whitespace_tokens(F.col("text"))))
-    return top_terms(counts, 50_000).select("term", F.col("cf").cast("long"), F.col("df").cast("long"))
+    best, _ = most_frequent(FX.passages(spark, sf_dir), uni_and_bigrams(whitespace_tokens(F.col("text"))), 50_000)
+    return best.select("term", F.col("cf").cast("long"), F.col("df").cast("long"))
 
 
 def paragraph_table(spark, sf_dir, delimiter="\n"):

@@ -39,7 +39,7 @@ def passages(spark: SparkSession, sf_dir: str, keep=("lang", "source", "n_chars"
         return distinct_passages(docs, keep=tuple(keep))
     path = shared_path(spark, f"passages-{source_key(spark, sf_dir, 'documents', *keep)}")
     if not is_complete(spark, path):
-        distinct_passages(docs, keep=tuple(keep)).write.mode("overwrite").parquet(path)
+        distinct_passages(docs, keep=tuple(keep)).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
