@@ -109,12 +109,19 @@ def common_count(a: Column, b: Column) -> Column:
 
 
 def overlap_f1(pred_items: Column, gold_items: Column) -> Column:
-    """Harmonic mean of precision and recall of shared items; 0 if none."""
-    same = common_count(pred_items, gold_items)
-    precision = same / F.size(pred_items)
-    recall = same / F.size(gold_items)
-    return F.when(same == 0, F.lit(0.0)).otherwise(
-        2 * precision * recall / (precision + recall))
+    """Harmonic mean of precision and recall of shared items; 0 if none.
+
+    Arrays of one element name the items and their overlap, so that neither is
+    made again for each item."""
+    def f1(x):
+        precision = x["same"] / F.size(x["p"])
+        recall = x["same"] / F.size(x["g"])
+        return F.when(x["same"] == 0, F.lit(0.0)).otherwise(
+            2 * precision * recall / (precision + recall))
+
+    named = F.array(F.struct(pred_items.alias("p"), gold_items.alias("g")))
+    shared = F.transform(named, lambda x: F.struct(common_count(x["p"], x["g"]).alias("same"), x["p"].alias("p"), x["g"].alias("g")))
+    return F.transform(shared, f1)[0]
 
 
 def char_f1(pred: Column, gold: Column) -> Column:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import top_n
 
 # Decoding defaults.
@@ -81,15 +82,16 @@ def nbest(features: DataFrame, examples: DataFrame, n_best: int = N_BEST,
     Output: ``example_id, rank int, text, start_logit, end_logit, score,
     probability, is_null``. With ``with_null`` the minimum null candidate
     competes, and is appended after the n-best if it was cut (D6).
-    ``features`` is read more than once: pass a stored table (see
-    ``session.materialize``) rather than a long lazy plan.
+    The kept candidates are written once. With ``with_null`` ``features`` is
+    read twice: pass a stored table (see ``session.materialize``) then.
     """
     cands = window_candidates(features, n_best, max_answer_len, id_col)
     order = [F.col("score").desc(), F.col("window").asc(), F.col("si").asc(), F.col("ei").asc()]
     if with_null:
         nulls = null_candidates(features, id_col)
         cands = cands.unionByName(nulls)
-    kept = top_n(cands, id_col, order, n_best, "rank").withColumn("is_null", F.col("window") == NULL_WINDOW)
+    # read by several steps below; a few short rows an example, written once
+    kept = materialize(top_n(cands, id_col, order, n_best, "rank"), "nbest-kept").withColumn("is_null", F.col("window") == NULL_WINDOW)
     if with_null:
         has_null = kept.where("is_null").select(id_col)
         cut = (nulls.join(has_null, id_col, "left_anti")

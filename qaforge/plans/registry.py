@@ -276,12 +276,14 @@ from ..operators import spans as SP  # noqa: E402
 from . import oracle_reading as OR  # noqa: E402
 
 
-def _features(spark, sf_dir):
-    """QA examples and their scored windows; the windows are read by several
-    steps of the decoder, so they are written once to the shared folder."""
+def _features(spark, sf_dir, stored=False):
+    """QA examples and their scored windows. The examples are dealt by id into as many parts as a shuffle has:
+    their texts are short and the work on them is long, so parts by size would be few. ``stored``: the windows
+    are written once, for a decoder that reads them twice."""
     ex = FX.qa_examples(spark, sf_dir)
-    feats = materialize(WN.synthetic_logits(WN.context_windows(ex)), "features")
-    return ex, feats
+    dealt = ex.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "example_id")
+    feats = WN.synthetic_logits(WN.context_windows(dealt))
+    return ex, materialize(feats, "features") if stored else feats
 
 
 @register("context_windows", O.with_(OR.EXAMPLES, *OR.TOKENS, *OR.WINDOWS)
@@ -321,7 +323,7 @@ def span_alignment(spark, sf_dir):
 
 
 def _nbest(spark, sf_dir, with_null=False):
-    ex, feats = _features(spark, sf_dir)
+    ex, feats = _features(spark, sf_dir, stored=with_null)
     return SP.nbest(feats, ex, with_null=with_null)
 
 

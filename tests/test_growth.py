@@ -1,4 +1,4 @@
-"""What grows with the tables: counts without a shuffle of terms."""
+"""What grows with the tables: counts without a shuffle of terms, filters without a sort of postings, dealt examples."""
 
 import random
 from collections import Counter, defaultdict
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from qaforge.functions.text import uni_and_bigrams, whitespace_tokens
 from qaforge.operators import index as IX
+from qaforge.plans import registry
 
 
 def grams():
@@ -77,3 +78,17 @@ def test_bound_is_lowered_until_enough_terms_reach_it(spark, monkeypatch):
     for c in by_hand(data).values():
         every.update(c)
     assert {r["term"] for r in best.collect()} == set(sorted(every, key=lambda t: (-every[t], t))[:1000])
+
+
+def test_examples_are_dealt_before_they_are_decoded(spark, sf0001):
+    _, feats = registry._features(spark, sf0001)
+    assert feats.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_answers_are_normalized_once_for_their_f1(spark):
+    from qaforge.functions import text as TX
+
+    df = spark.createDataFrame([("ab ba", "b a c"), ("", "x"), (None, "x"), ("x", None)], "p string, g string")
+    scored = df.select(TX.char_f1(F.col("p"), F.col("g")).alias("f1"))
+    assert plan_of(scored).count("translate(") <= 4
+    assert [r["f1"] and round(r["f1"], 6) for r in scored.collect()] == [round(2 * (2 / 4) * (2 / 3) / (2 / 4 + 2 / 3), 6), 0.0, None, None]
