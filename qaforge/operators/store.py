@@ -37,8 +37,8 @@ def keyword_scores(index: SparseIndex, questions: DataFrame, allowed: DataFrame
     """Server-BM25 matched scores ``qid, passage_id, score`` (unrounded sum),
     restricted to ``allowed`` ids (a filtered id table) and, for AND
     matching, to passages holding every distinct query term."""
-    if allowed is not None:  # postings of other passages never meet a query term
-        index = replace(index, postings=index.postings.join(allowed.select("passage_id"), "passage_id", "left_semi"))
+    if allowed is not None:  # postings of other passages never meet a query term; hashed ids, so no postings are sorted
+        index = replace(index, postings=index.postings.join(allowed.select("passage_id").hint("shuffle_hash"), "passage_id", "left_semi"))
     scored = R.score_bm25(index, questions, "server", qid_col, text_col, **kw)
     matched = scored.matched
     if all_terms_must_match:
@@ -79,7 +79,7 @@ def keyword_retrieve_batch(index: SparseIndex, questions: DataFrame, docs: DataF
     passed = docs.select("passage_id", passes.alias("passes")).where(F.size("passes") > 0)
     tagged = questions.join(filter_of.select("qid", "filter_id"), "qid", "left")
     # the marks meet the postings by passage, as the postings lie; a pair that its filter drops is never summed
-    marked = replace(index, postings=index.postings.join(passed, "passage_id", "left"))
+    marked = replace(index, postings=index.postings.join(passed.hint("shuffle_hash"), "passage_id", "left"))
     scores = keyword_scores(marked, tagged, None, all_terms_must_match, keep=("filter_id",), where=(
         F.col("filter_id").isNull() | F.coalesce(F.array_contains("passes", F.col("filter_id")), F.lit(False))))
     ranked = matches_only_topk(scores, top_k)

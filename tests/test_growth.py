@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from qaforge.functions.text import uni_and_bigrams, whitespace_tokens
 from qaforge.operators import index as IX
+from qaforge.operators import store as ST
 from qaforge.plans import registry
 
 
@@ -80,6 +81,22 @@ def test_bound_is_lowered_until_enough_terms_reach_it(spark, monkeypatch):
     assert {r["term"] for r in best.collect()} == set(sorted(every, key=lambda t: (-every[t], t))[:1000])
 
 
+def test_filters_do_not_sort_the_postings(spark):
+    docs = frame(spark, corpus(spark)).withColumn("lang", F.when(F.col("passage_id") % 2 == 0, "en").otherwise("de"))
+    index = IX.build_index(docs.select("passage_id", "text"), "word")
+    qs = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w4 w70")], "qid long, question string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = ST.keyword_scores(index, qs, docs.where("lang = 'en'").select("passage_id"))
+        plan = plan_of(scores)
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        got = {tuple(r) for r in scores.select("qid", "passage_id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    every = {tuple(r) for r in ST.keyword_scores(index, qs).select("qid", "passage_id").collect()}
+    assert got == {(q, p) for q, p in every if p % 2 == 0}
+
+
 def test_examples_are_dealt_before_they_are_decoded(spark, sf0001):
     _, feats = registry._features(spark, sf0001)
     assert feats.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
