@@ -3,9 +3,12 @@
 Which passages contain a gold text? A brute-force answer tests every
 (question, passage) pair. Instead: every passage containing the text holds
 each *interior* whitespace token of it (all but the first and last, which
-may be glued to neighbouring characters) as a whole token. So the
-question's rarest interior term, joined to the postings, yields a candidate
-superset, and ``contains`` verifies it. A text with fewer than three tokens
+may be glued to neighbouring characters) as a whole token. So the passages
+that hold the text's rarest interior terms, looked up in the postings where
+they lie (a passage's postings meet in one task), are a candidate superset,
+and ``contains`` verifies it. Few are left, so the texts are read in place too:
+neither postings nor texts are shuffled while the terms and the candidates may
+be broadcast. A text with fewer than three tokens
 has no interior token: its longest token is part of some term of every passage
 that holds the text. The terms of the vocabulary (far fewer than the passages'
 characters) are listed by their runs of ``GRAM`` characters, the token is looked
@@ -19,11 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, rounded
+from ..session import materialize
+from .common import BROADCAST_MAX_ROWS, bounded_broadcast, rounded, top_n
 from .index import SparseIndex
+from .retrieve import HOT_DF, _join_postings, _small, postings_of
 
 # Characters of a run by which terms are listed.
 GRAM = 3
+# Interior terms of a text, the rarest, that a candidate must hold.
+RARE_TERMS = 3
 
 
 def containing_passages(items: DataFrame, passages: DataFrame, index: SparseIndex,
@@ -33,27 +40,29 @@ def containing_passages(items: DataFrame, passages: DataFrame, index: SparseInde
     ``index`` must be a whitespace-token index of ``passages``.
     """
     raw = F.filter(F.split(F.col(text_col), r"\s+"), lambda t: t != F.lit(""))
-    base = items.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("gold"),
-                        raw.alias("toks"))
+    base = materialize(items.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("gold"), raw.alias("toks"))
+                       .withColumn("item", F.monotonically_increasing_id()), "gold-items")
     long_items = base.where(F.size("toks") >= 3)
     interior = long_items.select(
-        "qid", F.explode(F.array_distinct(F.transform(
+        "item", F.explode(F.array_distinct(F.transform(
             F.slice("toks", 2, F.size("toks") - 2), lambda t: F.lower(t)))).alias("term"))
-    rarest = (interior.join(index.vocab, "term")
-              .groupBy("qid").agg(F.min_by("term", "df").alias("term")))
-    candidates = rarest.join(index.postings.select("term", "passage_id"), "term")
     texts = passages.select("passage_id", "text")
-    verified = (candidates.join(long_items.select("qid", "gold"), "qid")
-                .join(texts, "passage_id")
+    candidates = _holding_rarest(interior, index)
+    verified = (texts.join(bounded_broadcast(candidates), "passage_id")
+                .join(bounded_broadcast(long_items.select("item", "qid", "gold")), "item")
                 .where(F.col("text").contains(F.col("gold")))
                 .select("qid", "passage_id"))
     short = base.where((F.size("toks") < 3) & (F.length("gold") > 0))
+    if short.limit(1).count() == 0:
+        return verified
     blank = [r[0] for r in short.where(F.size("toks") == 0).select("gold").distinct().collect()]  # runs of white space
     tokens = short.where(F.size("toks") > 0).select("qid", "gold", F.try_element_at(F.array_sort(
         "toks", lambda a, b: F.length(a) - F.length(b)), F.lit(-1)).alias("token"))
+    asked = materialize(tokens.join(terms_containing(tokens.select("token").distinct(), index.vocab), "token")
+                        .select("qid", "gold", "term"), "gold-terms")
     verified = verified.unionByName(
-        tokens.join(terms_containing(tokens.select("token").distinct(), index.vocab), "token")
-        .join(index.postings.select("term", "passage_id"), "term").select("qid", "gold", "passage_id").distinct()
+        postings_of(index, asked).select("term", "passage_id").join(bounded_broadcast(asked), "term")
+        .select("qid", "gold", "passage_id").distinct()
         .join(texts, "passage_id").where(F.col("text").contains(F.col("gold"))).select("qid", "passage_id"))
     if not blank:
         return verified
@@ -62,6 +71,21 @@ def containing_passages(items: DataFrame, passages: DataFrame, index: SparseInde
                                 .join(short.select("qid", "gold"), "gold").select("qid", "passage_id"))
 
 
+def _holding_rarest(interior: DataFrame, index: SparseIndex) -> DataFrame:
+    """``item, passage_id``, stored: the passages that hold each of an item's ``RARE_TERMS`` rarest terms
+    (columns item, term). Terms that the vocabulary lacks are left to the later test."""
+    rare = top_n(bounded_broadcast(interior).join(index.vocab.select("term", "df"), "term"), "item",
+                 [F.col("df").asc(), F.col("term").asc()], RARE_TERMS, "no")
+    rare = materialize(rare.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("item"))), "gold-rare-terms")
+    side, small = _small(rare, BROADCAST_MAX_ROWS)
+    bit = F.call_function("shiftleft", F.lit(1), F.col("no") - 1)
+    # terms are bits: where ids repeat, a term may have several postings of one passage
+    held = (_join_postings(side, postings_of(index, rare), small, HOT_DF)
+            .groupBy("item", "passage_id", "n").agg(F.bit_or(bit).alias("held")))
+    every = F.call_function("shiftleft", F.lit(1), F.col("n").cast("int")) - 1
+    return materialize(held.where(F.col("held") == every).select("item", "passage_id"), "gold-candidates")
+
+
 def _folded(token: Column) -> Column:
     """Lower case, with the final sigma as the other one: the last letter of a part may be an inner one of the term."""
     return F.translate(F.lower(token), "ς", "σ")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from qaforge.functions.text import uni_and_bigrams, whitespace_tokens
 from qaforge.operators import index as IX
+from qaforge.operators import relevance as RV
 from qaforge.operators import store as ST
 from qaforge.plans import registry
 
@@ -109,3 +110,27 @@ def test_answers_are_normalized_once_for_their_f1(spark):
     scored = df.select(TX.char_f1(F.col("p"), F.col("g")).alias("f1"))
     assert plan_of(scored).count("translate(") <= 4
     assert [r["f1"] and round(r["f1"], 6) for r in scored.collect()] == [round(2 * (2 / 4) * (2 / 3) / (2 / 4 + 2 / 3), 6), 0.0, None, None]
+
+
+def test_gold_passages_without_a_shuffle_of_texts(spark):
+    """Neither postings nor texts are dealt anew; the candidates hold several rare terms of the text."""
+    rows = [(i, f"x{i} common words of the house {'tail' if i % 2 else 'end'} y{i}") for i in range(60)]
+    rows += [(100, "he said: common words of the house tail."), (101, "the house of words common tail"), (102, ""), (103, None)]
+    passages = frame(spark, rows)
+    golds = [(1, "common words of the house tail"), (1, "words of the house end"), (2, "x3 common words"), (2, "x3 common words"),
+             (3, "no such text here at all"), (4, "x5"), (5, ""), (6, None), (7, "said: common words")]
+    items = spark.createDataFrame(golds, "qid long, question string")
+    index = IX.build_index(passages)
+    out = RV.containing_passages(items.where("length(question) > 10"), passages, index)
+    assert "Exchange hashpartitioning" not in plan_of(out)
+    got = sorted(map(tuple, RV.containing_passages(items, passages, index).collect()))
+    want = sorted((q, i) for q, g in golds for i, t in rows if g and t and g in t)
+    assert got == want
+
+
+def test_gold_passages_of_repeated_ids(spark):
+    rows = [(1, "a b c d"), (1, "x b c d y"), (2, "a b c"), (2, "c d b c"), (3, "a b c d e")]
+    passages = frame(spark, rows)
+    items = spark.createDataFrame([(9, "b c d")], "qid long, question string")
+    got = sorted(map(tuple, RV.containing_passages(items, passages, IX.build_index(passages)).collect()))
+    assert got == [(9, 1), (9, 1), (9, 3)]
