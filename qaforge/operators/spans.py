@@ -32,16 +32,18 @@ def _top_positions(logits: Column, n: int) -> Column:
 
 
 def window_candidates(features: DataFrame, n_best: int = N_BEST,
-                      max_answer_len: int = MAX_ANSWER_LEN, id_col: str = "example_id") -> DataFrame:
+                      max_answer_len: int = MAX_ANSWER_LEN, id_col: str = "example_id",
+                      best_of: int | None = None) -> DataFrame:
     """``example_id, window, si, ei, s_off, e_off, start_logit, end_logit, score``.
 
-    With a column ``token_is_max_context`` (map of position to boolean), a
+    ``best_of`` keeps that many of a row's candidates (score descending, then si, ei), chosen before rows are
+    made of them. With a column ``token_is_max_context`` (map of position to boolean), a
     start is only taken where another window does not show more context."""
     starts = _top_positions(F.col("start_logits"), n_best)
     ends = _top_positions(F.col("end_logits"), n_best)
     off = F.col("offsets")
 
-    def pairs(s, si):
+    def pairs(s, si, ends):
         valid = F.filter(F.transform(ends, lambda e, ei: F.struct(e.alias("e"), ei.alias("ei"))),
                          lambda c: F.get(off, s).isNotNull() & F.get(off, c["e"]).isNotNull()
                          & (c["e"] >= s) & (c["e"] - s + 1 <= max_answer_len))
@@ -55,8 +57,14 @@ def window_candidates(features: DataFrame, n_best: int = N_BEST,
         best = F.col("token_is_max_context")
         starts = F.transform(starts, lambda s: F.when(best.isNull() | F.coalesce(F.try_element_at(best, s), F.lit(False)), s))
     # a rejected start keeps its rank and has no pairs
-    cands = F.flatten(F.transform(starts, lambda s, si: F.coalesce(pairs(s, si), F.array())
-                                  if "token_is_max_context" in features.columns else pairs(s, si)))
+    # an array of one element names the ends, so that they are sorted once and not once a start
+    cands = F.flatten(F.transform(F.array(ends), lambda es: F.flatten(F.transform(
+        starts, lambda s, si: F.coalesce(pairs(s, si, es), F.array()) if "token_is_max_context" in features.columns else pairs(s, si, es)))))
+    if best_of is not None:
+        # descending, as in a window's order: nulls last, NaN first
+        keyed = F.transform(cands, lambda c: F.struct((c["start_logit"] + c["end_logit"]).alias("k"), (-c["si"]).alias("a"),
+                                                      (-c["ei"]).alias("b"), c.alias("c")))
+        cands = F.transform(F.slice(F.sort_array(keyed, asc=False), 1, best_of), lambda x: x["c"])
     return (features.select(id_col, "window", F.explode(cands).alias("c"))
             .select(id_col, "window", "c.*")
             .withColumn("score", F.col("start_logit") + F.col("end_logit")))

@@ -30,14 +30,14 @@ OFFSET_TYPE = "array<struct<s:int,e:int>>"
 def token_offsets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``<id_col>, offsets array<struct<s,e>>`` for rows with at least one token."""
     pieces = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"(\S+|\s+)"), 1)
-    exploded = df.select(F.col(id_col).alias("_id"), F.posexplode(pieces).alias("i", "piece"))
+    exploded = df.select(F.col(id_col).alias("_id"), F.posexplode(pieces).alias("i", "piece")).select(
+        "_id", "i", F.length("piece").alias("n"), F.col("piece").rlike(r"^\S").alias("token"))  # the pieces stay where they are
     before = (Window.partitionBy("_id").orderBy("i")
               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = exploded.withColumn(
-        "s", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)).cast("int"))
-    toks = (starts.where(F.col("piece").rlike(r"^\S"))
+    starts = exploded.withColumn("s", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int"))
+    toks = (starts.where("token")
             .groupBy("_id")
-            .agg(F.array_sort(F.collect_list(F.struct("i", "s", (F.col("s") + F.length("piece"))
+            .agg(F.array_sort(F.collect_list(F.struct("i", "s", (F.col("s") + F.col("n"))
                                                       .cast("int").alias("e")))).alias("t")))
     offsets = F.transform("t", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     return toks.select(F.col("_id").alias(id_col), offsets.alias("offsets"))

@@ -102,7 +102,8 @@ def read_retrieved(ranked: DataFrame, passages: DataFrame, questions: DataFrame,
                             "qid", "passage_id", F.regexp_extract("question", QUESTION_HEAD, 0).alias("question"),
                             F.col("text").alias("context"))
     feats = score_features(WN.context_windows(examples, max_len, stride, offsets=offsets, offsets_on="passage_id"), model, scorer)
-    cands = SP.window_candidates(feats)
+    # a window's best candidates are chosen in its row: sorting all of them would be the largest step
+    cands = SP.window_candidates(feats, best_of=per_sample)
     per_window = top_n(cands, ["example_id", "window"],
                        [F.col("score").desc(), F.col("si").asc(), F.col("ei").asc()], per_sample, "wr")
     # equal character spans from overlapping windows count once

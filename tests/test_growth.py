@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from qaforge.functions.text import uni_and_bigrams, whitespace_tokens
 from qaforge.operators import index as IX
 from qaforge.operators import relevance as RV
+from qaforge.operators import spans as SP
 from qaforge.operators import store as ST
+from qaforge.operators import windows as WN
+from qaforge.operators.common import top_n
 from qaforge.plans import registry
 
 
@@ -134,3 +137,28 @@ def test_gold_passages_of_repeated_ids(spark):
     items = spark.createDataFrame([(9, "b c d")], "qid long, question string")
     got = sorted(map(tuple, RV.containing_passages(items, passages, IX.build_index(passages)).collect()))
     assert got == [(9, 1), (9, 1), (9, 3)]
+
+
+def test_a_windows_best_candidates_are_chosen_in_its_row(spark):
+    rng = random.Random(5)
+    rows = [(i // 2, i % 2, [None] + [(3 * t, 3 * t + 2) for t in range(12)] + [None], *[[float(rng.randrange(4)) for _ in range(14)] for _ in "se"])
+            for i in range(40)]
+    rows.append((7, 0, *rows[3][2:]))  # a window that comes twice
+    feats = spark.createDataFrame(rows, "example_id long, window int, offsets array<struct<s:int,e:int>>, "
+                                        "start_logits array<double>, end_logits array<double>")
+    order = [F.col("score").desc(), F.col("si").asc(), F.col("ei").asc()]
+    for best in (1, 3):
+        cut = SP.window_candidates(feats, best_of=best)
+        assert cut.count() == best * len(rows)
+        want, got = (sorted(tuple(r) for r in top_n(c, ["example_id", "window"], order, best).drop("rank").collect())
+                     for c in (SP.window_candidates(feats), cut))
+        assert got == want
+
+
+def test_pieces_of_a_text_are_not_shuffled(spark):
+    rows = [(1, " ab  c\u00e9 d"), (2, ""), (3, None), (4, "x")]
+    out = WN.token_offsets(frame(spark, rows), "passage_id", "text")
+    below = plan_of(out).split("Exchange hashpartitioning")[1]
+    assert "piece" not in below.split("Project")[0] and "length(piece" in below
+    got = {r[0]: [tuple(x) for x in r[1]] for r in out.collect()}
+    assert got == {1: [(1, 3), (5, 7), (8, 9)], 4: [(0, 1)]}
