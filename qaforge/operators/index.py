@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from .common import BROADCAST_MAX_ROWS
 BUCKET_POSTINGS = 4_000_000
 FILE_POSTINGS = 500_000
 LEAST_PARTS = 8
+# Tokens that a task counts at once (more only in a longer passage).
+TOKENS_AT_ONCE = 1 << 20
 # Fixed value: the weight b of the passage length, the same in all BM25 variants.
 LENGTH_WEIGHT = 0.75
 
@@ -68,17 +71,30 @@ def store_postings(postings: DataFrame, buckets: int, parts: int, out_dir: str |
     return write_bucketed(postings.withColumn("part", part_of(F.col("term"), parts)), path, "passage_id", buckets, "term", "part")
 
 
-def counted_in_row(tokens: F.Column) -> F.Column:
-    """``array<struct<term, tf>>``: the distinct tokens of a row's token array with their numbers,
-    counted by sorting the array; no row per token is made before the repeats are merged."""
-    def runs(s):
-        n = F.size(s)
-        firsts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                          lambda i: (i < n) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))))
-        # an array of one element names a value that is used several times
-        return F.transform(F.array(firsts), lambda at: F.transform(at, lambda p, j: F.struct(
-            F.get(s, p).alias("term"), (F.coalesce(F.get(at, j + 1), n) - p).alias("tf"))))[0]
-    return F.transform(F.array(F.sort_array(tokens)), runs)[0]
+def count_tokens(batches):
+    """``term, passage_id, dl, tf`` of rows ``passage_id, dl, toks``: the distinct tokens of each row with their numbers.
+
+    Tokens become numbers by a dictionary, and (token, row) pairs are sorted as integers, ``TOKENS_AT_ONCE`` at a
+    time; no row per token is made before the repeats are merged. The rows of one such run are in term order."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column("toks")), 0).to_numpy().astype(np.int64)
+        done = np.cumsum(sizes) - sizes
+        for first in np.flatnonzero(np.diff(done // TOKENS_AT_ONCE, prepend=-1)).tolist():
+            n = int(np.searchsorted(done // TOKENS_AT_ONCE, done[first] // TOKENS_AT_ONCE, "right")) - first
+            part = batch.slice(first, n)
+            coded = part.column("toks").flatten().dictionary_encode(null_encoding="encode")
+            if not len(coded):
+                continue
+            terms = coded.dictionary
+            order = pc.array_sort_indices(terms).to_numpy()
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            pairs = place[coded.indices.to_numpy()] * n + np.repeat(np.arange(n), sizes[first:first + n])
+            pairs, tf = np.unique(pairs, return_counts=True)
+            term, row = np.divmod(pairs, n)
+            columns = [terms.take(pa.array(order[term])), part.column("passage_id").take(pa.array(row)),
+                       part.column("dl").take(pa.array(row)), pa.array(tf.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "passage_id", "dl", "tf"])
 
 
 def ids_repeat(passages: DataFrame) -> bool:
@@ -98,9 +114,8 @@ def term_postings(passages: DataFrame, tokens: F.Column, repeats: bool | None =
 
 
 def counted_terms(toks: DataFrame, repeats: bool) -> DataFrame:
-    # the outer form: Spark puts a filter that counts once more in front of the other one
-    counts = (toks.select("passage_id", "dl", F.explode_outer(counted_in_row(F.col("toks"))).alias("c")).where(F.col("c").isNotNull())
-              .select("c.term", "passage_id", "dl", F.col("c.tf").cast("int").alias("tf")))
+    kind = toks.schema["passage_id"].dataType.simpleString()
+    counts = toks.select("passage_id", "dl", "toks").mapInArrow(count_tokens, f"term string, passage_id {kind}, dl int, tf int")
     return counts.groupBy("term", "passage_id", "dl").agg(F.sum("tf").cast("int").alias("tf")) if repeats else counts
 
 

@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,23 @@ def test_terms_are_counted_without_a_shuffle(spark):
     assert sorted(map(tuple, counts.collect())) == want
 
 
+def test_tokens_are_counted_in_runs_of_a_bounded_size(spark, monkeypatch):
+    plan = plan_of(IX.term_postings(frame(spark, [(1, "a b")]), grams(), repeats=False))
+    assert "MapInArrow" in plan and "Generate" not in plan  # no array of structs per row that is then exploded
+    monkeypatch.setattr(IX, "TOKENS_AT_ONCE", 40)
+    rng = random.Random(5)
+    toks = [None if i % 11 == 0 else [rng.choice("abcdé") for _ in range(rng.choice([0, 3, 25, 90]))] for i in range(200)]
+    ids = [None if i % 50 == 7 else i for i in range(200)]
+    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array([len(t or []) for t in toks], pa.int32()),
+                             pa.array(toks, pa.list_(pa.string()))], ["passage_id", "dl", "toks"])
+    runs = [[tuple(r.values()) for r in run.to_pylist()] for run in IX.count_tokens([batch.slice(0, 70), batch.slice(70)])]
+    want = [(t, i, len(ts or []), n) for i, ts in zip(ids, toks) for t, n in Counter(ts or []).items()]
+    assert sorted((r for run in runs for r in run), key=str) == sorted(want, key=str)
+    assert all([r[0] for r in run] == sorted(r[0] for r in run) for run in runs)
+    longest = max(len(t or []) for t in toks)
+    assert len(runs) > 20 and max(sum(r[3] for r in run) for run in runs) <= 40 + longest
+
+
 def test_terms_of_repeated_ids_are_counted_together(spark):
     data = [(1, "a b"), (1, "b a"), (1, "a"), (2, "a b"), (None, "a a"), (None, "a a")]
     got = sorted(map(tuple, IX.term_postings(frame(spark, data), grams()).collect()), key=str)
