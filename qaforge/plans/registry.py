@@ -627,12 +627,13 @@ from ..operators import vector as VE  # noqa: E402
 VECTOR_K = K
 
 
-QUERY_EVERY = 20  # vectors whose id it divides are the queries, against all vectors
+QUERY_EVERY = 20  # of the approximate searches, vectors whose id it divides are the queries, against all vectors
 USABLE_SQL = ("u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 "
               "AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)")
 L2_SQL = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])))"
 RANK_SQL = (f"SELECT qid::BIGINT AS qid, rank::INTEGER AS rank, vec_id::BIGINT AS vec_id, distance FROM (SELECT *, row_number() "
             f"OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM {{src}}) WHERE rank <= {VECTOR_K}")
+ALL_PAIRS_CTE = f"d AS (SELECT q.vec_id AS qid, v.vec_id, round({L2_SQL.format(a='q.v', b='v.v')}, 6) AS distance FROM u q, u v)"
 EXACT_CTE = (f"d AS (SELECT q.vec_id AS qid, v.vec_id, round({L2_SQL.format(a='q.v', b='v.v')}, 6) AS distance "
              f"FROM u q, u v WHERE q.vec_id % {QUERY_EVERY} = 0)")
 
@@ -642,13 +643,17 @@ def _vector_queries(spark, sf_dir):
     return emb, emb.where(F.col("vec_id") % QUERY_EVERY == 0).select(F.col("vec_id").alias("qid"), "embedding")
 
 
-@register("exact_vector_topk", O.with_(USABLE_SQL, EXACT_CTE) + RANK_SQL.format(src="d"))
-def exact_vector_topk(spark, sf_dir):
-    emb, qs = _vector_queries(spark, sf_dir)
-    index = VE.shared_ivf(emb, source_key=FX.source_key(spark, sf_dir, "embeddings"))
+def _exact(spark, sf_dir, qs):
+    index = VE.shared_ivf(table(spark, sf_dir, "embeddings"), source_key=FX.source_key(spark, sf_dir, "embeddings"))
     return VE.exact_topk(index, qs, VECTOR_K)
 
 
+@register("exact_vector_topk", O.with_(USABLE_SQL, ALL_PAIRS_CTE) + RANK_SQL.format(src="d"))
+def exact_vector_topk(spark, sf_dir):
+    """Every vector is a query, against all vectors."""
+    return _exact(spark, sf_dir, table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"), "embedding"))
+
+
 IVF_NPROBE = 2
 IVF_SQL = O.with_(
     USABLE_SQL,
@@ -705,7 +710,7 @@ def coded_vector_topk(spark, sf_dir):
           + "SELECT count(DISTINCT x.qid) AS n_queries, count(*) AS n_exact, count(f.vec_id) AS n_found, "
             "round(count(f.vec_id) / count(*), 6) AS recall FROM x LEFT JOIN f USING (qid, vec_id)")
 def coded_vector_recall(spark, sf_dir):
-    return VC.recall(_coded(spark, sf_dir), exact_vector_topk(spark, sf_dir))
+    return VC.recall(_coded(spark, sf_dir), _exact(spark, sf_dir, _vector_queries(spark, sf_dir)[1]))
 
 
 TREE_RECALL = 0.9
@@ -718,7 +723,7 @@ def tree_vector_recall(spark, sf_dir):
     emb, qs = _vector_queries(spark, sf_dir)
     index = VT.build_tree(emb)
     probe = VT.probe_for(index, qs, VECTOR_K, recall=TREE_RECALL)
-    found = VC.recall(VT.tree_topk(index, qs, VECTOR_K, probe), exact_vector_topk(spark, sf_dir))
+    found = VC.recall(VT.tree_topk(index, qs, VECTOR_K, probe), _exact(spark, sf_dir, qs))
     return found.select("n_queries", "n_exact", (F.col("recall") >= TREE_RECALL).alias("reached"))
 
 
