@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import Tokenizer, get_tokenizer, uni_and_bigrams
 from ..session import materialize
+from .batch import batch_weights, best_sums
 from .common import BROADCAST_MAX_ROWS, bounded_broadcast, rounded, top_n
 from .index import SparseIndex, part_of
 from .topk import exhaustive_topk, filled_topk, matches_only_topk
@@ -191,11 +192,9 @@ def score_bm25(index: SparseIndex, questions: DataFrame, variant: str = "okapi",
                   small=is_small)
 
 
-def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
-                text_col: str = "question", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                hot_df: int = HOT_DF) -> Scored:
-    """Cosine of L2-normalized tf*idf vectors over the capped vocabulary.
-    Query terms outside the vocabulary are ignored."""
+def _tfidf_weights(index: SparseIndex, questions: DataFrame, qid_col: str, text_col: str,
+                   max_broadcast_rows: int) -> tuple[DataFrame, DataFrame, bool]:
+    """(qid, term, qw: the weights of the questions' vectors; the query side; whether it may be broadcast)."""
     qterms = query_terms(questions, index.tokenizer, qid_col, text_col,
                          ngrams=index.extras.get("ngrams", True))
     qside, is_small = _small(qterms, max_broadcast_rows)
@@ -203,6 +202,15 @@ def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
           .withColumn("qw", F.col("qtf") * F.col("idf")))
     qnorm = qv.groupBy("qid").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     qv = qv.join(qnorm, "qid").withColumn("qw", F.col("qw") / F.col("qn"))
+    return qv, qside, is_small
+
+
+def score_tfidf(index: SparseIndex, questions: DataFrame, qid_col: str = "qid",
+                text_col: str = "question", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                hot_df: int = HOT_DF) -> Scored:
+    """Cosine of L2-normalized tf*idf vectors over the capped vocabulary.
+    Query terms outside the vocabulary are ignored."""
+    qv, qside, is_small = _tfidf_weights(index, questions, qid_col, text_col, max_broadcast_rows)
     qv_side = F.broadcast(qv) if is_small else qv
     matched = (_join_postings(qv_side, postings_of(index, qside), is_small, hot_df)
                .groupBy("qid", "passage_id")
@@ -248,10 +256,19 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
             .na.fill(0.0, [f"b_{v}" for v in variants]))
     base = materialize(base, "bm25-base")  # one row per question
     side = F.broadcast(base) if is_small else base
-    sums = (_join_postings(F.broadcast(qv) if is_small else qv, postings_of(index, qside), is_small, hot_df)
-            .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
-    scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
-    rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")
+    weights = batch_weights(index, qv.select("qid", "term", *[(F.col("qtf") * F.col(f"idf_{v}")).alias(f"w{i}") for i, v in enumerate(variants)])
+                            ) if is_small else None
+    if weights is not None:
+        adds = [_contribution(index, v, DEFAULTS[v], F.lit(1.0))[0] for v in variants]
+        bases = base.select("qid", *[F.col(f"b_{v}").alias(f"b{i}") for i, v in enumerate(variants)]).toArrow()
+        sums = best_sums(index, weights, postings_of(index, qside).drop("part").withColumn("qtf", F.lit(1)), adds, k, bases).join(side, "qid")
+        own = F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"b_{v}").alias("b")) for v in variants])[F.col("variant")]
+        rows = sums.select("qid", "passage_id", own["variant"].alias("variant"), rounded(own["b"] + F.col("s")).alias("score"))
+    else:
+        sums = (_join_postings(F.broadcast(qv) if is_small else qv, postings_of(index, qside), is_small, hot_df)
+                .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
+        scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
+        rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")
     best = materialize(top_n(rows, ["qid", "variant"], [F.col("score").desc(), F.col("passage_id").asc()], k), "bm25-lists")
     ids = index.lengths.select("passage_id")
     return {v: filled_topk(best.where(F.col("variant") == v).drop("variant"),
@@ -260,10 +277,25 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
 
 def server_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K, **kw) -> DataFrame:
     """Search-server BM25: matches only, no fill."""
+    if not kw:
+        qside = query_terms(questions, index.tokenizer)
+        qv = qside.join(index.vocab, "term").withColumn("idf", _idf("server", index.n_docs))
+        weights = batch_weights(index, qv.select("qid", "term", (F.col("qtf") * F.col("idf")).alias("w0")))
+        if weights is not None:
+            add = _contribution(index, "server", SERVER, F.lit(1.0))[0]
+            sums = best_sums(index, weights, postings_of(index, qside).drop("part").withColumn("qtf", F.lit(1)), [add], k)
+            return matches_only_topk(sums.select("qid", "passage_id", rounded(F.col("s")).alias("score")), k)
     return matches_only_topk(score_bm25(index, questions, "server", **kw).matched, k)
 
 
 def tfidf_topk(index: SparseIndex, questions: DataFrame, k: int = DEFAULT_K, **kw) -> DataFrame:
+    if not kw:
+        qv, qside, _ = _tfidf_weights(index, questions, "qid", "question", BROADCAST_MAX_ROWS)
+        weights = batch_weights(index, qv.select("qid", "term", F.col("qw").alias("w0")))
+        if weights is not None:
+            sums = best_sums(index, weights, postings_of(index, qside).drop("part"), [F.col("w")], k)
+            base = questions.select("qid", F.lit(0.0).alias("base"))
+            return topk(index, Scored(sums.select("qid", "passage_id", rounded(F.col("s")).alias("score")), base), k)
     return topk(index, score_tfidf(index, questions, **kw), k)
 
 

@@ -94,9 +94,9 @@ def oracle_sql() -> dict[str, str]:
 
 # --- step 2: vocabulary cap, paragraph TF-IDF --------------------------------
 
-from ..functions.text import uni_and_bigrams, whitespace_tokens  # noqa: E402
+from ..functions.text import whitespace_tokens  # noqa: E402
 from ..operators.corpus import paragraphs  # noqa: E402
-from ..operators.index import most_frequent  # noqa: E402
+from ..operators.index import most_frequent, terms_of  # noqa: E402
 from ..sources.tables import table  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -108,7 +108,7 @@ PARAGRAPH_BITS = 24  # paragraph key = document_id shifted left + position
           O.with_(O.PASSAGES, *O.tfidf_ctes()[:3])
           + "SELECT term, cf::BIGINT AS cf, df::BIGINT AS df FROM tvocab")
 def vocab_top_terms(spark, sf_dir):
-    best, _ = most_frequent(FX.passages(spark, sf_dir), uni_and_bigrams(whitespace_tokens(F.col("text"))), 50_000)
+    best, _ = most_frequent(FX.passages(spark, sf_dir), terms_of(whitespace_tokens, ngrams=True), 50_000)
     return best.select("term", F.col("cf").cast("long"), F.col("df").cast("long"))
 
 
