@@ -99,10 +99,10 @@ def best_of_batches(batches, blocks: list, weights: list, base: list, n_question
 
 def best_sums(index: SparseIndex, weights: pa.Table, postings: DataFrame, adds: list[Column], k: int,
               base: pa.Table | None = None) -> DataFrame:
-    """``variant, qid, passage_id, s``: of each task the k best sums of every question; not 0, as a match has a share in its sum.
+    """``variant, qid, passage_id, s``: of each task the k best sums of every question that are not 0, as no match's is, plus its base.
 
     ``weights``: qid, term and for each variant ``w0, w1...``; ``adds``: what a posting adds to it, from the columns of
-    ``postings``; ``base``: qid, ``b0, b1...``, what is added to a sum before it is rounded."""
+    ``postings``; ``base``: qid, ``b0, b1...``, for each variant."""
     spark, m = postings.sparkSession, len(adds)
     terms = pc.unique(weights.column("term"))
     qid = weights.column("qid").combine_chunks().dictionary_encode(null_encoding="encode")
@@ -128,7 +128,7 @@ def best_sums(index: SparseIndex, weights: pa.Table, postings: DataFrame, adds:
     def run(batches):
         for v, (q, ids, s) in enumerate(best_of_batches(batches, blocks, values, start, len(qids), k, *sizes)):
             ids = pa.array(ids, mask=ids == np.iinfo(np.int64).min).cast(id_type)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), v, np.int32)), qids.take(pa.array(q)), ids, pa.array(s)],
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), v, np.int32)), qids.take(pa.array(q)), ids, pa.array(start[v][q] + s)],
                                              ["variant", "qid", "passage_id", "s"])
 
     codes = spark.createDataFrame(list(zip(terms.to_pylist(), range(len(terms)))), "term string, t int")

@@ -179,6 +179,57 @@ def _counters(codes: np.ndarray, dictionary, counters: int) -> np.ndarray:
     return ((out >> np.uint64(24)) % np.uint64(counters)).astype(np.int64)
 
 
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def xxhash64(texts) -> np.ndarray:
+    """Spark's ``xxhash64`` of a text column without nulls, all texts at a time."""
+    places, data = _bytes_of(texts)
+    at, end = places[:-1].copy(), places[1:]
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+    def mixed(v, w):
+        return _turned(v + w * P2, 31) * P1
+
+    with np.errstate(over="ignore"):
+        seed = np.uint64(42)
+        h = np.full(len(at), seed + P5)
+        wide = np.flatnonzero(end - at >= 32)
+        if len(wide):
+            lanes = [np.full(len(at), x) for x in (seed + P1 + P2, seed + P2, seed, seed - P1)]
+            live = wide
+            while len(live):
+                for i, v in enumerate(lanes):
+                    v[live] = mixed(v[live], words[at[live] + 8 * i])
+                at[live] += 32
+                live = live[end[live] - at[live] >= 32]
+            h[wide] = sum(_turned(v[wide], bits) for v, bits in zip(lanes, (1, 7, 12, 18)))
+            for v in lanes:
+                h[wide] = (h[wide] ^ mixed(np.uint64(0), v[wide])) * P1 + P4
+        h += np.diff(places).astype(np.uint64)
+        live = np.flatnonzero(end - at >= 8)
+        while len(live):
+            h[live] = _turned(h[live] ^ mixed(np.uint64(0), words[at[live]]), 27) * P1 + P4
+            at[live] += 8
+            live = live[end[live] - at[live] >= 8]
+        live = np.flatnonzero(end - at >= 4)
+        h[live] = _turned(h[live] ^ ((words[at[live]] & np.uint64(0xFFFFFFFF)) * P1), 23) * P2 + P3
+        at[live] += 4
+        live = np.flatnonzero(at < end)
+        while len(live):
+            h[live] = _turned(h[live] ^ (data[at[live]].astype(np.uint64) * P5), 11) * P1
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        h = (h ^ (h >> np.uint64(33))) * P2
+        h = (h ^ (h >> np.uint64(29))) * P3
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
 def _likely(codes, rows, dictionary, may):
     """The terms whose counters ``may`` (a table of yes and no) names."""
     if may is None:
@@ -194,16 +245,20 @@ def _sent(columns: list, names: list[str]):
         yield whole.slice(lo, ROWS_AT_ONCE)
 
 
-def count_tokens(batches, split: bool = False, pairs: bool = False, may: np.ndarray | None = None):
+def count_tokens(batches, split: bool = False, pairs: bool = False, may: np.ndarray | None = None, parts: int = 0):
     """``term, passage_id, dl, tf`` of rows ``passage_id, toks``: the distinct terms of each row with their numbers;
     dl is the number of all its terms.
 
     (term, row) pairs are sorted as integers, about ``TOKENS_AT_ONCE`` at a time; no row per token is made before
-    the repeats are merged. Without pairs, the rows of one such run are in term order."""
+    the repeats are merged. Without pairs, the rows of one such run are in term order, with ``parts`` in the order of
+    the stored postings (part, term), part being one more column."""
     for batch in batches:
         for first, n, sizes, codes, dictionary in token_runs(batch.column("toks"), split):
             if not pairs:
                 order = pc.array_sort_indices(dictionary).to_numpy()
+                if parts:
+                    part = np.mod(xxhash64(dictionary), parts).astype(np.int32)
+                    order = order[np.argsort(part[order], kind="stable")]
                 place = np.empty(len(order), np.int64)
                 place[order] = np.arange(len(order))
                 codes, dictionary = place[codes], dictionary.take(pa.array(order))
@@ -211,9 +266,12 @@ def count_tokens(batches, split: bool = False, pairs: bool = False, may: np.ndar
             codes, rows = _likely(*run_terms(sizes, codes, len(dictionary), pairs), dictionary, may)
             held, tf = np.unique(codes * n + rows, return_counts=True)
             term, row = np.divmod(held, n)
-            yield pa.RecordBatch.from_arrays([named(term, dictionary), batch.column("passage_id").take(pa.array(row + first)),
-                                              pa.array(total[row].astype(np.int32)), pa.array(tf.astype(np.int32))],
-                                             ["term", "passage_id", "dl", "tf"])
+            columns = [named(term, dictionary), batch.column("passage_id").take(pa.array(row + first)),
+                       pa.array(total[row].astype(np.int32)), pa.array(tf.astype(np.int32))]
+            if parts:
+                yield from _sent([*columns, pa.array(part[order][term])], ["term", "passage_id", "dl", "tf", "part"])
+            else:
+                yield pa.RecordBatch.from_arrays(columns, ["term", "passage_id", "dl", "tf"])
 
 
 def count_lengths(batches, split: bool = True):
@@ -235,18 +293,22 @@ def ids_repeat(passages: DataFrame) -> bool:
     return passages.groupBy("passage_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
 
 
-def term_postings(passages: DataFrame, tokens: F.Column | Terms, repeats: bool | None = None, may: np.ndarray | None = None) -> DataFrame:
+def term_postings(passages: DataFrame, tokens: F.Column | Terms, repeats: bool | None = None, may: np.ndarray | None = None,
+                  parts: int = 0) -> DataFrame:
     """Postings ``term, passage_id, dl, tf`` of the terms of ``passages`` (a token-array expression, or ``Terms``).
 
     The tokens of a passage are counted within its row, so nothing is
     shuffled. Only where ids repeat (``repeats``; looked up if not given) rows
-    of one term, id and length are merged by a shuffle. With ``may``, terms of other counters are left out.
+    of one term, id and length are merged by a shuffle. With ``may``, terms of other counters are left out. With ``parts``
+    rows of the default tokenizer, whose ids do not repeat, come in the order in which they are stored, with their folder.
     """
     terms = tokens if isinstance(tokens, Terms) else Terms(tokens)
     repeats = ids_repeat(passages) if repeats is None else repeats
     kind, split, pairs = passages.schema["passage_id"].dataType.simpleString(), terms.split, terms.pairs
+    parts = parts if split and not pairs and not repeats else 0
     counts = passages.select("passage_id", terms.source.alias("toks")).mapInArrow(
-        lambda batches: count_tokens(batches, split, pairs, may), f"term string, passage_id {kind}, dl int, tf int")
+        lambda batches: count_tokens(batches, split, pairs, may, parts),
+        f"term string, passage_id {kind}, dl int, tf int" + ", part int" * bool(parts))
     return counts.groupBy("term", "passage_id", "dl").agg(F.sum("tf").cast("int").alias("tf")) if repeats else counts
 
 
@@ -282,7 +344,7 @@ def build_index(passages: DataFrame, tokenizer: str | Tokenizer = "whitespace",
         parts = parts or by_size
         # one shuffle, of texts by passage; counting needs no other one
         dealt = passages.select("passage_id", "text").repartition(buckets, "passage_id")
-        postings = store_postings(term_postings(dealt, terms_of(tok), repeats), buckets, parts, out_dir)
+        postings = store_postings(term_postings(dealt, terms_of(tok), repeats, parts=parts), buckets, parts, out_dir)
         extras = {"buckets": buckets, "parts": parts}
     else:
         postings = term_postings(passages, terms_of(tok), repeats)

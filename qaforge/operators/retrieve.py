@@ -256,20 +256,23 @@ def bm25_lists(index: SparseIndex, questions: DataFrame, variants=("okapi", "plu
             .na.fill(0.0, [f"b_{v}" for v in variants]))
     base = materialize(base, "bm25-base")  # one row per question
     side = F.broadcast(base) if is_small else base
+    order = [F.col("score").desc(), F.col("passage_id").asc()]
     weights = batch_weights(index, qv.select("qid", "term", *[(F.col("qtf") * F.col(f"idf_{v}")).alias(f"w{i}") for i, v in enumerate(variants)])
                             ) if is_small else None
     if weights is not None:
         adds = [_contribution(index, v, DEFAULTS[v], F.lit(1.0))[0] for v in variants]
         bases = base.select("qid", *[F.col(f"b_{v}").alias(f"b{i}") for i, v in enumerate(variants)]).toArrow()
-        sums = best_sums(index, weights, postings_of(index, qside).drop("part").withColumn("qtf", F.lit(1)), adds, k, bases).join(side, "qid")
-        own = F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"b_{v}").alias("b")) for v in variants])[F.col("variant")]
-        rows = sums.select("qid", "passage_id", own["variant"].alias("variant"), rounded(own["b"] + F.col("s")).alias("score"))
+        sums = best_sums(index, weights, postings_of(index, qside).drop("part").withColumn("qtf", F.lit(1)), adds, k, bases)
+        name = F.array(*[F.lit(v) for v in variants])[F.col("variant")]
+        rows = sums.select("qid", "passage_id", name.alias("variant"), rounded(F.col("s")).alias("score"))
+        # a row for each question of the id, as there is one where sums meet their base
+        rows = top_n(rows, ["qid", "variant"], order, k).drop("rank").join(F.broadcast(base.select("qid")), "qid")
     else:
         sums = (_join_postings(F.broadcast(qv) if is_small else qv, postings_of(index, qside), is_small, hot_df)
                 .groupBy("qid", "passage_id").agg(*[F.sum(parts[v][0]).alias(f"s_{v}") for v in variants]).join(side, "qid"))
         scores = F.array(*[F.struct(F.lit(v).alias("variant"), rounded(F.col(f"b_{v}") + F.col(f"s_{v}")).alias("score")) for v in variants])
         rows = sums.select("qid", "passage_id", F.explode(scores).alias("x")).select("qid", "passage_id", "x.variant", "x.score")
-    best = materialize(top_n(rows, ["qid", "variant"], [F.col("score").desc(), F.col("passage_id").asc()], k), "bm25-lists")
+    best = materialize(top_n(rows, ["qid", "variant"], order, k), "bm25-lists")
     ids = index.lengths.select("passage_id")
     return {v: filled_topk(best.where(F.col("variant") == v).drop("variant"),
                            base.select("qid", rounded(F.col(f"b_{v}")).alias("base")), ids, k) for v in variants}

@@ -113,3 +113,18 @@ def test_a_batch_makes_no_row_per_pair(spark):
     assert "MapInArrow" in plan and "Bucketed: true" in plan
     before_sums = plan[plan.index("MapInArrow"):]
     assert "qid" not in before_sums.split("\n", 1)[1] and "Exchange hashpartitioning(passage_id" not in plan
+
+
+def test_folders_of_terms_equal_sparks(spark):
+    rng = random.Random(8)
+    terms = ["", "a", "é", *("".join(rng.choice("abcdeé中\U0001f600") for _ in range(n)) for n in range(90))]
+    frame = spark.createDataFrame([(t,) for t in terms], "term string")
+    got = IX.xxhash64(frame.toArrow().column(0).combine_chunks())
+    assert got.tolist() == [r[0] for r in frame.select(F.xxhash64("term")).collect()]
+
+
+def test_stored_postings_lie_in_the_folders_of_their_terms(spark):
+    index = IX.build_index(frame(spark, [t or "" for t in ODD] + some_texts(50)), parts=16)
+    assert index.postings.where(F.col("part") != IX.part_of(F.col("term"), 16)).count() == 0
+    assert rows(index.postings, "term", "passage_id", "dl", "tf") == rows(
+        IX.build_index(frame(spark, [t or "" for t in ODD] + some_texts(50)), materialize=False).postings, "term", "passage_id", "dl", "tf")
